@@ -60,10 +60,10 @@ ranked as (
 l as (
   select doc_id, text, lang, n_chars, case when doc_id % 3 = 0 then 'hot' else 's' || part end as topic,
     case when doc_id % 3 = 0 then 0 else 1 + part end as ord,
-    rank1 // {v.PAGE_SIZE} as page, rank1 % {v.PAGE_SIZE} as pos from ranked
+    (rank1 // {v.PAGE_SIZE})::integer as page, (rank1 % {v.PAGE_SIZE})::integer as pos from ranked
   union all
   select doc_id, text, lang, n_chars, 'tag' || (doc_id % 4), 11 + doc_id % 4,
-    doc_id // 4 // {v.PAGE_SIZE}, doc_id // 4 % {v.PAGE_SIZE} from documents)"""
+    (doc_id // 4 // {v.PAGE_SIZE})::integer, (doc_id // 4 % {v.PAGE_SIZE})::integer from documents)"""
 
 HITS = LISTED + f""",
 h as (
@@ -92,9 +92,9 @@ PAGES = f"""
 pg as (
   select topic, page,
     case when topic = 's3' and page = 2 then null when topic = 's6' and page = 1 then 0
-         else count(*) end as n_hits,
+         else count(*)::integer end as n_hits,
     case when topic = 's3' and page = 2 then null when topic = 's5' then 2
-         when topic like 'tag%' then 1000000000 end as nb_pages
+         when topic like 'tag%' then 1000000000::bigint end as nb_pages
   from l where not (topic = 's4' and page = 2) group by topic, page),
 stops as (
   select *, row_number() over (partition by topic order by page) - 1 as rn,
@@ -163,7 +163,7 @@ def add(name: str, body: str, *ctes: str) -> None:
 add("raw_page_scan", "select topic, page, n_hits, nb_pages from pg", LISTED, PAGES)
 add("landing_path", r"""
 select doc_id, folder || '/page_' || case when doc_id < 1000 then lpad(doc_id::varchar, 3, '0') else doc_id::varchar end || '.json' as path,
-  folder, doc_id as page
+  folder, doc_id::integer as page
 from (select doc_id, regexp_replace(source || '/' || lang || '/é ½.', '[^\p{L}\p{N}_-]', '_', 'g') as folder from documents)""")
 add("corrupt_pages", "select topic, page from pg where n_hits is null", LISTED, PAGES)
 add("land_new_pages", "select topic, page, n_hits from pg where topic not like 'tag%'", LISTED, PAGES)
@@ -211,8 +211,10 @@ add("truncate_text", "select doc_id, substr(text, 1, 90) as excerpt from documen
 
 # Scalar functions
 
-DECODED = ("replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), "
-           "'&quot;', '\"'), '&amp;', '&')")
+# The pages hold four entities, some without their semicolon; `&amp` is decoded last.
+DECODED = "html"
+for entity, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+    DECODED = f"regexp_replace({DECODED}, '&{entity};?', '{char}', 'g')"
 UNTAGGED = f"regexp_replace({DECODED}, '<[^>]+>', ' ', 'g')"
 add("clean_text", f"select page_id, {spaces(UNTAGGED)} as text from pages")
 add("html_unescape", f"select page_id, {DECODED} as html from pages")
@@ -237,9 +239,9 @@ from events""")
 
 # Store
 
-add("dedupe_batch", "select id, topic, length(full_text) as text_chars from batch", HITS)
+add("dedupe_batch", "select id, topic, length(full_text)::integer as text_chars from batch", HITS)
 add("upsert_new_mentions", """
-select id, topic, length(full_text) as text_chars from batch where lang <> 'en'""", HITS)
+select id, topic, length(full_text)::integer as text_chars from batch where lang <> 'en'""", HITS)
 add("upsert_counts", """
 select count(*) filter (lang <> 'en') as inserted, count(*) filter (lang = 'en') as duplicates from batch""", HITS)
 add("quarantine_upsert", """
@@ -254,7 +256,7 @@ select m.id, m.topic,
   case when l.doc_id is null then m.category when toxic = 1 then 'criticism' else 'other' end as category
 from m left join labels l using (doc_id)""", MENTIONS)
 add("unlabelled", """
-select id, title, length(text) as text_chars from m where sentiment is null or category is null""", MENTIONS)
+select id, title, length(text)::integer as text_chars from m where sentiment is null or category is null""", MENTIONS)
 add("all_mentions", f"""
 select id, topic, source, author, title, text, url, {iso('created_at')} as created_at,
   '{FETCHED}' as fetched_at, points, num_comments, sentiment, sentiment_score, category
@@ -443,7 +445,7 @@ select count(*) as total, count(distinct topic) as topics,
   (select count(*) from h where reason is not null) as quarantined,
   count(*) filter (sentiment is null or category is null) as unlabelled from m""", MENTIONS, HITS)
 add("top_items_per_topic", """
-select topic, rank, id, substr(coalesce(nullif(title, ''), text), 1, 110) as label, sentiment, category,
+select topic, rank::integer as rank, id, substr(coalesce(nullif(title, ''), text), 1, 110) as label, sentiment, category,
   coalesce(points::varchar, '-') as points, url
 from (select *, row_number() over (
         partition by topic order by coalesce(points, 0) desc, created_at desc, id) as rank from m)
@@ -490,7 +492,7 @@ order by id limit 10""", GOLD)
 INGEST_CATEGORY, _ = category_case(v.RULES, "full_text")
 add("incremental_ingest", f"""
 select id, topic, url, {iso('created_at')} as created_at, points, num_comments,
-  {INGEST_CATEGORY} as category, length(full_text) as text_chars
+  {INGEST_CATEGORY} as category, length(full_text)::integer as text_chars
 from (
   select h.* from h join acc using (topic, page) where reason is null and acc.n_hits > 0
   qualify row_number() over (partition by id order by ord desc, topic desc, page desc, pos desc) = 1)""",

@@ -18,7 +18,7 @@ from hearsay.functions.times import iso_text, to_utc
 from hearsay.operators import evaluate as ev
 from hearsay.operators import labelling, normalise, pages, report, runs, upsert
 from hearsay.plans import ingest
-from hearsay.session import local_frame, shared_folder
+from hearsay.session import local_frame, shared_folder, spread
 from hearsay.sources import landing
 from hearsay.sources.gold import GOLD_COLUMNS
 from hearsay.sources.store import MentionStore, table_counts
@@ -48,8 +48,8 @@ def _r6(frame: DataFrame, *names: str) -> DataFrame:
 @query
 def raw_page_scan(spark, sf):
     return v.landed(spark, sf).select(
-        "topic", "page", "n_hits", "nb_pages", F.length("payload").alias("payload_chars")
-    ).drop("payload_chars")
+        "topic", "page", "n_hits", "nb_pages"
+    )
 
 
 @query
@@ -181,7 +181,7 @@ def truncate_text(spark, sf):
 
 @query
 def clean_text_pages(spark, sf):
-    p = v.table(spark, sf, "pages")
+    p = spread(v.table(spark, sf, "pages"), "page_id")
     return p.select("page_id", clean_text(F.col("html")).alias("text"))
 
 
@@ -190,7 +190,7 @@ QUERIES["clean_text"] = QUERIES.pop("clean_text_pages")
 
 @query
 def html_unescape_pages(spark, sf):
-    p = v.table(spark, sf, "pages")
+    p = spread(v.table(spark, sf, "pages"), "page_id")
     return p.select("page_id", html_unescape(F.col("html")).alias("html"))
 
 
@@ -366,7 +366,7 @@ def batch_counters(spark, sf):
 
 @query
 def lexicon_sentiment(spark, sf):
-    d = v.table(spark, sf, "documents")
+    d = v.texts(spark, sf)
     return d.select("doc_id", lexicon_score(F.col("text"), v.LEXICON, v.WORDS).alias("score"))
 
 
@@ -388,7 +388,7 @@ def _labelled_by(frame: DataFrame, rules) -> DataFrame:
 
 @query
 def category_rules_query(spark, sf):
-    return _labelled_by(v.table(spark, sf, "documents"), v.RULES)
+    return _labelled_by(v.texts(spark, sf), v.RULES)
 
 
 QUERIES["category_rules"] = QUERIES.pop("category_rules_query")
@@ -396,7 +396,7 @@ QUERIES["category_rules"] = QUERIES.pop("category_rules_query")
 
 @query
 def category_rules_default(spark, sf):
-    return _labelled_by(v.table(spark, sf, "documents"), None)
+    return _labelled_by(v.texts(spark, sf), None)
 
 
 @query
@@ -411,12 +411,12 @@ def category_rules_subset(spark, sf):
         "rule_order int, category string, pattern_order int, pattern string",
     )
     enabled = local_frame(spark, {"category": ["french", "english"]}, "category string")
-    return _labelled_by(v.table(spark, sf, "documents"), rules_from_table(rules, enabled))
+    return _labelled_by(v.texts(spark, sf), rules_from_table(rules, enabled))
 
 
 @query
 def classify(spark, sf):
-    d = v.table(spark, sf, "documents").select(
+    d = v.texts(spark, sf).select(
         "doc_id", classify_text(F.col("text"), v.settings()).alias("l")
     )
     return d.select("doc_id", "l.*")
@@ -424,7 +424,7 @@ def classify(spark, sf):
 
 @query
 def label_pending(spark, sf):
-    return labelling.label_pending(v.mentions(spark, sf), v.settings())
+    return labelling.label_pending(spread(v.mentions(spark, sf), "id"), v.settings())
 
 
 # Reports

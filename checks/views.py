@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hearsay.functions.sentiment import sentiment_bucket
 from hearsay.operators.pages import topic_frame
-from hearsay.session import use_utc
+from hearsay.session import spread, use_utc
 from hearsay.settings import RunSettings, SentimentRules, Topic
 from hearsay.sources.landing import with_page_facts
 
@@ -60,6 +60,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, split over all cores for costly text work."""
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A store of labelled mentions, some rows still without one or both labels."""
     d = table(spark, sf_dir, "documents")
@@ -133,7 +138,7 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _page(second_rank).alias("page"),
         (second_rank % PAGE_SIZE).cast("int").alias("pos"),
     )
-    d = table(spark, sf_dir, "documents").withColumn("json", _hit_json(doc))
+    d = texts(spark, sf_dir).withColumn("json", _hit_json(doc))
     return d.select("doc_id", "json", F.inline(F.array(first, second)))
 
 

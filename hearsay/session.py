@@ -29,6 +29,17 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{parent.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Split an input of few files over all cores before costly per-row work.
+
+    A large input has more splits than the cluster has cores and stays as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores, key)
+
+
 def broadcast_if(frame: DataFrame, row_bound: int | None) -> DataFrame:
     """Hint a broadcast only when the caller can prove a small row bound."""
     if row_bound is not None and row_bound <= BROADCAST_ROWS:
