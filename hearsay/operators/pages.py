@@ -17,6 +17,9 @@ from hearsay.settings import Topic
 from hearsay.sources.landing import hits_of
 
 
+FACTS = ("topic", "page", "n_hits", "nb_pages")
+
+
 def topic_frame(spark: SparkSession, topics: Sequence[Topic]) -> DataFrame:
     """Configured topics with their place in the list."""
     return local_frame(
@@ -66,7 +69,7 @@ def accepted_pages(
     pages: DataFrame, topics: DataFrame, n_topics: int, max_pages: int | None = None
 ) -> DataFrame:
     """Rows of `pages` inside the accepted prefix of their topic."""
-    ends = frontier(pages.select("topic", "page", "n_hits", "nb_pages"), topics, n_topics, max_pages)
+    ends = frontier(pages.select(*FACTS), topics, n_topics, max_pages)
     kept = pages.filter("n_hits is not null").join(broadcast_if(ends, n_topics), "topic")
     return kept.filter("page <= last_page").drop("last_page")
 
@@ -82,23 +85,28 @@ def capped_pages(
 ) -> DataFrame:
     """Accepted pages with `take`, the number of their first hits under the topic's cap.
 
-    The running sum covers page facts only, at most ceil(cap / hits_per_page)
-    rows per topic; hits themselves are never sorted.
+    Where a topic reaches its cap is one row per topic. It is found by a running
+    sum over page facts, at most ceil(cap / hits_per_page) rows per topic; hits
+    and payloads are never sorted or shuffled.
     """
     if cap is None:
         return accepted_pages(pages, topics, n_topics).withColumn("take", F.col("n_hits"))
-    max_pages = -(-cap // hits_per_page)
-    facts = accepted_pages(
-        pages.select("topic", "page", "n_hits", "nb_pages"), topics, n_topics, max_pages
-    )
+    facts, max_pages = pages.select(*FACTS), -(-cap // hits_per_page)
     earlier = Window.partitionBy("topic").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n_hits").over(earlier), F.lit(0))
-    quota = facts.select("topic", "topic_order", "page", (F.lit(cap) - before).alias("take"))
-    quota = quota.filter("take > 0")
-    bound = n_topics * max_pages
-    return pages.filter("n_hits is not null").filter(F.col("page") < max_pages).join(
-        broadcast_if(quota, bound), ["topic", "page"]
+    running = accepted_pages(facts, topics, n_topics, max_pages).withColumn(
+        "before", F.coalesce(F.sum("n_hits").over(earlier), F.lit(0))
     )
+    full = running.filter((F.col("before") < cap) & (F.col("before") + F.col("n_hits") >= cap))
+    cuts = full.select(
+        "topic", F.col("page").alias("cut_page"), (F.lit(cap) - F.col("before")).alias("cut_take")
+    )
+    ends = frontier(facts, topics, n_topics, max_pages).join(
+        broadcast_if(cuts, n_topics), "topic", "left"
+    )
+    kept = pages.filter("n_hits is not null").join(broadcast_if(ends, n_topics), "topic")
+    kept = kept.filter(F.col("page") <= F.least("last_page", "cut_page"))
+    take = F.when(F.col("page") == F.col("cut_page"), F.col("cut_take")).otherwise(F.col("n_hits"))
+    return kept.withColumn("take", take).drop("last_page", "cut_page", "cut_take")
 
 
 def taken_hits(kept: DataFrame) -> DataFrame:

@@ -7,15 +7,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearsay.operators.labelling import label_rows
+from hearsay.operators.labelling import label_records, label_rows
 from hearsay.operators.normalise import (
     ORDER_COLUMNS, RECORD_COLUMNS, assess_hits, rejected_hits,
 )
 from hearsay.operators.pages import capped_hits, frontier, topic_frame
 from hearsay.operators.runs import COUNTERS
-from hearsay.operators.upsert import (
-    first_per_payload, insert_or_ignore, last_per_id, unlabelled, upsert_counts,
-)
+from hearsay.operators.upsert import first_per_payload, insert_or_ignore, last_per_id
 from hearsay.session import shared_folder
 from hearsay.settings import RunSettings
 from hearsay.sources.landing import read_landing
@@ -72,47 +70,51 @@ def ingest_hits(
 ) -> dict[str, int]:
     """Load hits into the store and return the counters of the steps.
 
-    The assessed hits are written once to the shared folder: later steps read
-    that table instead of parsing again, and a lost executor costs no more than
-    its own tasks. Every write skips what is stored, so a run that failed half
-    way is repaired by running it again.
+    Assessed hits, and new mentions with their labels, are each written once to
+    the shared folder: later steps read those tables instead of computing again,
+    and a lost executor costs no more than its own tasks. Every write to the
+    store skips what is stored, so a run that failed half way is repaired by
+    running it again. Texts of stored mentions are not read.
     """
     spark = store.spark
-    staged = _stage(spark, hits, settings, at)
+    stamp = F.lit(at).cast("timestamp")
+    assessed = assess_hits(hits, stamp, settings.source, settings.permalink_prefix)
+    staged = _written(assessed, spark, "staged-hits")
     valid = staged.filter("reason is null")
-    outcome = staged.agg(
-        F.count_if(F.col("reason").isNull()).alias("normalised"),
-        F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
-    ).first()
-    stored = store.table("mentions_base")
-    counts = upsert_counts(valid.select("id").distinct(), stored).first()
+    unique = valid.select("id").distinct().count()
+
     batch = last_per_id(valid.select(*RECORD_COLUMNS, *ORDER_COLUMNS))
-    store.append(insert_or_ignore(batch, stored, "id"), "mentions_base")
-
-    pending = unlabelled(store.mentions())
-    classified = pending.count()
-    if classified:
-        labelled_at = F.lit(at).cast("timestamp")
-        store.append(
-            label_rows(pending, settings).withColumn("labelled_at", labelled_at), "mention_labels"
-        )
+    fresh = insert_or_ignore(batch, store.table("mentions_base"), "id")
+    fresh = _written(label_records(fresh, settings), spark, "new-mentions")
+    inserted = fresh.count()
+    store.append(fresh, "mentions_base")
+    store.append(fresh.withColumn("labelled_at", stamp), "mention_labels")
+
+    # Rows that an earlier run stored but did not label; usually none.
+    left = store.unlabelled_ids()
+    late = left.count()
+    if late:
+        open_rows = store.table("mentions_base").join(left, "id", "left_semi")
+        labels = label_rows(open_rows, settings).withColumn("labelled_at", stamp)
+        store.append(labels, "mention_labels")
+
     rejects = first_per_payload(rejected_hits(staged))
     store.append(insert_or_ignore(rejects, store.quarantine(), "payload_hash"), "quarantine")
+    total = staged.count()
+    normalised = valid.count()
     return {
-        "normalised": outcome["normalised"],
-        "quarantined": outcome["quarantined"],
-        "inserted": counts["inserted"],
-        "duplicates": counts["duplicates"],
-        "classified": classified,
+        "normalised": normalised,
+        "quarantined": total - normalised,
+        "inserted": inserted,
+        "duplicates": unique - inserted,
+        "classified": inserted + late,
     }
 
 
-def _stage(spark: SparkSession, hits: DataFrame, settings: RunSettings, at: datetime) -> DataFrame:
-    """Assessed hits as a written table in the shared folder."""
-    folder = shared_folder(spark, "staged-hits")
-    assess_hits(
-        hits, F.lit(at).cast("timestamp"), settings.source, settings.permalink_prefix
-    ).write.parquet(folder)
+def _written(frame: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """The frame as a table written to the shared folder."""
+    folder = shared_folder(spark, name)
+    frame.write.parquet(folder)
     return spark.read.parquet(folder)
 
 

@@ -39,13 +39,20 @@ COUNTABLE = ("mentions", "quarantine", "run_log")
 
 
 class MentionStore:
-    """Tables of one store, kept in `folder` and registered as database `name`."""
+    """Tables of one store, kept in `folder` and registered as database `name`.
 
-    def __init__(self, spark: SparkSession, name: str, folder: str, buckets: int = 16) -> None:
+    The number of buckets is fixed when the tables are made. It should not be
+    below the session's shuffle partitions, which is the default: then joins
+    bring the batch to the buckets, never the stored rows to the batch.
+    """
+
+    def __init__(
+        self, spark: SparkSession, name: str, folder: str, buckets: int | None = None
+    ) -> None:
         self.spark = spark
         self.name = name
         self.folder = folder
-        self.buckets = buckets
+        self.buckets = buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
         for table, (schema, key) in TABLES.items():
             cluster = f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS" if key else ""
@@ -79,6 +86,11 @@ class MentionStore:
         joined = self.table("mentions_base").join(self.labels(), "id", "left")
         return joined.select(*RECORD_COLUMNS, "sentiment", "sentiment_score", "category")
 
+    def unlabelled_ids(self) -> DataFrame:
+        """Ids still missing a label; reads ids and label columns only."""
+        done = self.labels().filter("sentiment is not null and category is not null")
+        return self.table("mentions_base").select("id").join(done, "id", "left_anti")
+
     def quarantine(self) -> DataFrame:
         return self.table("quarantine")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hearsay.operators.pages import accepted_pages, capped_hits, frontier, topic_frame
 from hearsay.operators.runs import run_history
+from hearsay.operators.upsert import insert_or_ignore, last_per_id
 from hearsay.plans.ingest import run
 from hearsay.plans.report import summary
 from hearsay.settings import RunSettings, Topic
@@ -158,13 +159,48 @@ def test_unfinished_and_restarted_runs(spark, store):
     assert run_history(store.run_log()).count() == 0
 
 
-def test_store_side_is_not_shuffled(spark, store):
-    batch = spark.range(10).select(F.col("id").cast("string"))
-    plan = batch.hint("merge").join(store.table("mentions_base").select("id"), "id", "left_anti")
-    text = plan._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+def exchanges(spark, frame):
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    return frame._jdf.queryExecution().explainString(mode).count("Exchange hashpartitioning")
+
+
+def test_store_side_is_not_shuffled(spark, tmp_path):
+    store = MentionStore(spark, f"store_{next(STORES)}", str(tmp_path / "store"))
+    rows = spark.range(100).select(
+        F.col("id").cast("string"), F.lit("t").alias("topic"), F.lit(0).alias("topic_order"),
+        F.lit(0).alias("page"), F.col("id").alias("pos"),
+    )
+    stored = store.table("mentions_base")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        # Only the batch is shuffled, once: for its dedupe, by the bucket key.
+        assert exchanges(spark, insert_or_ignore(last_per_id(rows), stored, "id")) == 1
+        # Labels meet mentions without any shuffle.
+        assert exchanges(spark, store.mentions()) == 0
+        assert exchanges(spark, store.unlabelled_ids()) == 0
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_half_done_run_is_repaired(spark, raw, store, tmp_path):
+    """A run that stored mentions but died before labelling them."""
+    landing = str(tmp_path / "landing")
+    land(spark, scan_page_files(spark, str(raw)), landing)
+    lost = spark.createDataFrame(
+        [("1", "one", "old", "old text", AT)],
+        "id string, topic string, source string, text string, created_at timestamp",
     )
-    assert text.count("Exchange hashpartitioning") == 1
+    for name in ("author", "title", "url"):
+        lost = lost.withColumn(name, F.lit(None).cast("string"))
+    for name in ("points", "num_comments"):
+        lost = lost.withColumn(name, F.lit(None).cast("bigint"))
+    store.append(lost.withColumn("fetched_at", F.col("created_at")), "mentions_base")
+    done = run(spark, landing, store, SETTINGS, "r1", AT)
+    assert counters(done) == dict(from_cache=3, normalised=4, quarantined=2, inserted=2, duplicates=1, classified=3)
+    row = store.mentions().filter("id = '1'").first()
+    assert (row.text, row.sentiment, row.category) == ("old text", "neutral", "other")
 
 
 def test_streams_load_only_what_is_new(spark, raw, store, tmp_path):
