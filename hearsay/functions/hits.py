@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hearsay.functions.lookup import let
+from hearsay.functions.text import empty_to_null
+
 # What a hit that is not an object is called in a reject reason.
 _KIND_NAMES = {
     "BIGINT": "int", "DECIMAL": "float", "DOUBLE": "float", "STRING": "str",
@@ -34,12 +37,19 @@ def coerce_int(hit: Column, key: str) -> Column:
 
 def truthy_text(hit: Column, key: str) -> Column:
     """Text of a field; null when it is missing, empty, zero, false or an empty container."""
-    value = field(hit, key, "variant")
-    text = field(hit, key, "string")
-    found = kind(value)
-    return (
-        F.when(found == "STRING", F.nullif(text, F.lit("")))
-        .when(found.isin("BIGINT", "DECIMAL", "DOUBLE"), F.when(field(hit, key, "double") != 0, text))
-        .when(found == "BOOLEAN", F.when(text == "true", "True"))
-        .when(found.isin("ARRAY", "OBJECT"), F.when(~F.to_json(value).isin("[]", "{}"), F.to_json(value)))
-    )
+
+    def read(value: Column) -> Column:
+        def by_kind(found: Column) -> Column:
+            text = F.try_variant_get(value, "$", "string")
+            number = F.try_variant_get(value, "$", "double")
+            json = F.to_json(value)
+            return (
+                F.when(found == "STRING", empty_to_null(text))
+                .when(found.isin("BIGINT", "DECIMAL", "DOUBLE"), F.when(number != 0, text))
+                .when(found == "BOOLEAN", F.when(text == "true", "True"))
+                .when(found.isin("ARRAY", "OBJECT"), F.when(~json.isin("[]", "{}"), json))
+            )
+
+        return F.when(value.isNotNull(), let(kind(value), by_kind))
+
+    return let(field(hit, key, "variant"), read)

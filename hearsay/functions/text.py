@@ -35,6 +35,11 @@ def _spaces_only(value: Column) -> Column:
     return F.when(present, F.translate(value, _SEPARATORS, " " * len(_SEPARATORS))).otherwise(value)
 
 
+def empty_to_null(value: Column) -> Column:
+    """As NULLIF(value, ''), which would compute a costly value twice."""
+    return let(value, lambda text: F.when(text != "", text))
+
+
 def collapse_spaces(value: Column) -> Column:
     """Runs of whitespace to one space, none at the ends."""
     return let(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearsay.functions.hits import coerce_int, field, kind, kind_name, truthy_text
-from hearsay.functions.text import clean_text, is_blank, truncate
+from hearsay.functions.text import clean_text, empty_to_null, is_blank, truncate
 from hearsay.functions.times import to_utc
 from hearsay.session import settled
 from hearsay.settings import DEFAULT_SOURCE, PAYLOAD_CHARS, PERMALINK_PREFIX
@@ -28,7 +28,7 @@ def choose_text(title: Column, story: Column, comment: Column) -> Column:
     The body is the story unless the raw story is empty, only then the comment.
     """
     body = clean_text(F.coalesce(F.nullif(story, F.lit("")), comment))
-    return F.coalesce(F.nullif(clean_text(title), F.lit("")), F.nullif(body, F.lit("")))
+    return F.coalesce(empty_to_null(clean_text(title)), empty_to_null(body))
 
 
 def default_url(url: Column, record_id: Column, prefix: str = PERMALINK_PREFIX) -> Column:
@@ -78,7 +78,7 @@ def assess_hits(
     )
     cleaned = wide.select(
         *carried, "hit", "_kind", "id", "_title", "_title_kind",
-        F.nullif(clean_text(F.col("_title")), F.lit("")).alias("title"),
+        empty_to_null(clean_text(F.col("_title"))).alias("title"),
         F.col("_body"),
     )
     epoch = coerce_int(hit, "created_at_i")
@@ -89,7 +89,7 @@ def assess_hits(
         *carried, "hit", "_kind", "id", "title",
         (F.col("_title").isNotNull() & (F.col("_title_kind") != "STRING")).alias("_odd_title"),
         F.when(F.col("title").isNotNull(), F.col("title"))
-        .otherwise(F.nullif(clean_text(F.col("_body")), F.lit(""))).alias("text"),
+        .otherwise(empty_to_null(clean_text(F.col("_body")))).alias("text"),
         to_utc(epoch, written).alias("created_at"),
     )
 
