@@ -12,7 +12,6 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearsay.functions.sentiment import sentiment_bucket
 from hearsay.operators.pages import topic_frame
 from hearsay.session import spread, use_utc
 from hearsay.settings import RunSettings, SentimentRules, Topic
@@ -82,7 +81,8 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(FETCHED_AT).cast("timestamp").alias("fetched_at"),
         F.when(doc % 10 != 0, F.col("n_chars")).alias("points"),
         F.lit(None).cast("bigint").alias("num_comments"),
-        F.when(score.isNotNull(), sentiment_bucket(F.col("text"), score)).alias("sentiment"),
+        F.when(score >= 0.05, "positive").when(score <= -0.05, "negative")
+        .when(score.isNotNull(), "neutral").alias("sentiment"),
         score.alias("sentiment_score"),
         F.when((doc % 17 != 0) & (doc % 29 != 0), F.concat(F.lit("cat"), (F.col("n_chars") % 5).cast("string"))).alias("category"),
     )

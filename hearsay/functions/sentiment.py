@@ -42,13 +42,13 @@ def _is_caps(word: Column) -> Column:
 def _words(text: Column) -> Column:
     """Words with edge punctuation off; words left with two characters or fewer keep it."""
 
-    def bare(word: Column) -> Column:
-        return let(
-            F.btrim(word, F.lit(_EDGE)),
-            lambda cut: F.when(F.length(cut) <= 2, word).otherwise(cut),
+    def bare(words: Column) -> Column:
+        return F.transform(
+            F.transform(words, lambda w: F.btrim(w, F.lit(_EDGE))),
+            lambda cut, i: F.when(F.length(cut) <= 2, F.get(words, i)).otherwise(cut),
         )
 
-    return F.transform(split_words(text), bare)
+    return let(split_words(text), bare)
 
 
 def _emphasis(text: Column) -> Column:

@@ -49,7 +49,7 @@ def collapse_spaces(value: Column) -> Column:
 
 def split_words(value: Column) -> Column:
     """Pieces between whitespace."""
-    return F.filter(let(_spaces_only(value), lambda t: F.split(t, _SPACE_RUN)), lambda w: w != "")
+    return F.array_remove(let(_spaces_only(value), lambda t: F.split(t, _SPACE_RUN)), "")
 
 
 def strip(value: Column) -> Column:

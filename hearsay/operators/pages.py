@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hearsay.session import broadcast_if, local_frame
 from hearsay.settings import Topic
-from hearsay.sources.landing import hits_of
+from hearsay.sources.landing import hits_of, safe_topic
 
 
 FACTS = ("topic", "page", "n_hits", "nb_pages")
@@ -33,6 +33,15 @@ def topic_frame(spark: SparkSession, topics: Sequence[Topic]) -> DataFrame:
     )
 
 
+def named_pages(pages: DataFrame, topics: Sequence[Topic]) -> DataFrame:
+    """Pages read from topic folders, under the names of the configured topics."""
+    names = topic_frame(pages.sparkSession, topics).select(
+        F.col("topic").alias("_name"), safe_topic(F.col("topic")).alias("topic")
+    )
+    joined = pages.join(broadcast_if(names, len(topics)), "topic")
+    return joined.select(F.col("_name").alias("topic"), "page", "payload")
+
+
 def frontier(
     facts: DataFrame, topics: DataFrame, n_topics: int, max_pages: int | None = None
 ) -> DataFrame:

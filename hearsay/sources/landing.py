@@ -34,7 +34,8 @@ def page_path(topic: Column, page: Column) -> Column:
 
 
 def topic_of_path(path: Column) -> Column:
-    return F.regexp_extract(path, _PAGE_FILE, 1)
+    """Folder name of the topic; file paths come percent-encoded."""
+    return F.try_url_decode(F.regexp_extract(path, _PAGE_FILE, 1))
 
 
 def page_of_path(path: Column) -> Column:
@@ -60,7 +61,10 @@ def with_page_facts(pages: DataFrame) -> DataFrame:
 
 
 def scan_page_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Landed JSON files `<folder>/<topic>/page_NNN.json`, one row per file."""
+    """Landed JSON files `<folder>/<topic>/page_NNN.json`, one row per file.
+
+    `topic` is the folder name; `operators.pages.named_pages` gives the topic's own.
+    """
     files = spark.read.text(f"{folder}/*/page_*.json", wholetext=True)
     return files.select(
         topic_of_path(F.col("_metadata.file_path")).alias("topic"),

@@ -8,16 +8,16 @@ changes nothing and a lost executor or driver is repaired by starting again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hearsay.operators.pages import capped_pages, taken_hits, topic_frame
+from hearsay.operators.pages import capped_pages, named_pages, taken_hits, topic_frame
 from hearsay.plans.ingest import ingest_hits
-from hearsay.settings import RunSettings
+from hearsay.settings import RunSettings, Topic
 from hearsay.sources.landing import LANDING_SCHEMA, land, page_of_path, read_landing, topic_of_path
 from hearsay.sources.store import MentionStore
 
@@ -34,10 +34,10 @@ def _start(
 
 
 def land_stream(
-    spark: SparkSession, json_folder: str, landing: str, checkpoint: str,
-    max_files: int | None = None,
+    spark: SparkSession, json_folder: str, landing: str, topics: Sequence[Topic],
+    checkpoint: str, max_files: int | None = None,
 ) -> StreamingQuery:
-    """Land every new `<topic>/page_NNN.json`, then stop."""
+    """Land every new `<topic>/page_NNN.json` of the configured topics, then stop."""
     reader = spark.readStream.format("text").option("wholetext", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -47,7 +47,11 @@ def land_stream(
         topic_of_path(path).alias("topic"), page_of_path(path).alias("page"),
         F.col("value").alias("payload"),
     ).filter("page is not null")
-    return _start(pages, lambda batch, _: land(batch.sparkSession, batch, landing), checkpoint)
+
+    def step(batch: DataFrame, _: int) -> None:
+        land(batch.sparkSession, named_pages(batch, topics), landing)
+
+    return _start(pages, step, checkpoint)
 
 
 def ingest_stream(

@@ -19,7 +19,7 @@ def label(spark, *texts, settings=SETTINGS):
 
 
 def test_buckets(spark):
-    got = label(spark, "This is wonderful, I love it", "This is terrible and broken", "Version 4 released Tuesday")
+    got = label(spark, "What a wonderful anvil, I love it", "A terrible thing, and broken", "Version 4 came on Tuesday")
     assert [x.sentiment for x in got] == ["positive", "negative", "neutral"]
 
 
@@ -93,7 +93,7 @@ def test_only_enabled_categories(spark):
 
 
 def test_labels_are_deterministic(spark):
-    text = "Gemini pricing raises concerns among developers"
+    text = "Anvil pricing is a great concern"
     assert len(set(map(tuple, label(spark, text, text)))) == 1
 
 

@@ -33,3 +33,5 @@ def test_no_cross_joins_and_partial_limits(spark):
             assert "WindowGroupLimit" in plan, name
         if name in ("seeded_sample", "disagreements", "run_history"):
             assert "TakeOrderedAndProject" in plan, name
+        if name in ("sentiment_by_topic", "category_distribution", "distinct_topics", "class_metrics"):
+            assert "text" not in plan.split("ReadSchema")[1], name

@@ -6,7 +6,9 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from hearsay.operators.pages import accepted_pages, capped_hits, frontier, topic_frame
+from hearsay.operators.pages import (
+    accepted_pages, capped_hits, frontier, named_pages, topic_frame,
+)
 from hearsay.operators.runs import run_history
 from hearsay.operators.upsert import insert_or_ignore, last_per_id
 from hearsay.plans.ingest import run
@@ -111,6 +113,14 @@ def test_landing_skips_what_is_landed(spark, raw, tmp_path):
     assert read_landing(spark, landing).filter("n_hits is not null").count() == 4
 
 
+def test_folders_get_their_topic_names(spark, tmp_path):
+    for folder, keys in (("C__", "12"), ("é_1", "3"), ("other", "4")):
+        write_page(tmp_path, folder, 0, [hit(k) for k in keys])
+    topics = [Topic("C++"), Topic("é 1"), Topic("none")]
+    pages = with_page_facts(named_pages(scan_page_files(spark, str(tmp_path)), topics))
+    assert {(r.topic, r.page, r.n_hits) for r in pages.collect()} == {("C++", 0, 2), ("é 1", 0, 1)}
+
+
 def counters(row):
     return {k: row[k] for k in ("from_cache", "normalised", "quarantined", "inserted", "duplicates", "classified")}
 
@@ -211,7 +221,7 @@ def test_streams_load_only_what_is_new(spark, raw, store, tmp_path):
     write_page(raw, "two", 1, [hit("8")])
 
     def go(at):
-        land_stream(spark, str(raw), landing, str(marks / "land")).awaitTermination()
+        land_stream(spark, str(raw), landing, SETTINGS.topics, str(marks / "land")).awaitTermination()
         ingest_stream(spark, landing, store, SETTINGS, str(marks / "ingest"), lambda: at).awaitTermination()
         return {r.id: r.topic for r in store.mentions().collect()}
 
