@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
-from hearsay.functions.category import category_rules, enabled_rules, rules_from_table
+from hearsay.functions.category import category_rules, rules_from_table
 from hearsay.functions.hits import coerce_int as as_int
 from hearsay.functions.hits import field
 from hearsay.functions.labels import classify as classify_text

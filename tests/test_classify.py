@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from hearsay.functions.category import category_rules, enabled_rules
 from hearsay.functions.labels import classify
-from hearsay.functions.sentiment import lexicon_score
 from hearsay.settings import CATEGORY_RULES, RunSettings, Topic
 from hearsay.sources.lexicon import lexicon_pairs, read_lexicon
 
