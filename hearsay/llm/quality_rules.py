@@ -129,7 +129,7 @@ def quartiles(parts: DataFrame, *keys: str) -> DataFrame:
 
 def fences(parts: DataFrame, *keys: str, reach: int = REACH) -> DataFrame:
     """One row per key: total, and low and high of every metric."""
-    cells = []
+    cells: list[Column] = []
     for name, (floor, two_sided) in METRICS.items():
         spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(floor)) * reach
         here = F.col("metric") == name
@@ -154,14 +154,13 @@ def thresholds(rows: DataFrame, min_rows: int = MIN_ROWS, reach: int = REACH) ->
     lang = level(by_lang, "lang").select(
         F.col("lang").alias("l"), F.col("total").alias("lang_total"), F.col("limits").alias("lang_limits")
     )
-    # A corpus has one row here; it meets every group by a constant key.
-    corpus = level(whole.withColumn("one", F.lit(1)), "one").select("one", F.col("limits").alias("all_limits"))
-    joined = own.join(lang, own["lang"].eqNullSafe(lang["l"])).withColumn("one", F.lit(1)).join(
-        F.broadcast(corpus), "one"
-    )
+    joined = own.join(lang, own["lang"].eqNullSafe(lang["l"]))
+    # The corpus has one row of six numbers; it travels as constants.
+    corpus = level(whole).first()
+    everywhere = F.struct(*[F.lit(corpus["limits"][c] if corpus else None).cast("long").alias(c) for c in limits])
     chosen = F.when(F.col("total") >= min_rows, F.col("limits")).when(
         F.col("lang_total") >= min_rows, F.col("lang_limits")
-    ).otherwise(F.col("all_limits"))
+    ).otherwise(everywhere)
     return stage(joined.select("lang", "source", chosen.alias("c")).select("lang", "source", "c.*"), "limits")
 
 

@@ -3,15 +3,42 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearsay.llm.exact_dedup import exact_dedup
+from hearsay.llm.mixing import mix_sources
 from hearsay.llm.quality_rules import quality_rules
+from hearsay.llm.url_filter import Rule, url_filter
+
+# The rules of the URL contract.
+URL_RULES = (
+    Rule("allow", "com/"),
+    Rule("block", "example.com/en/"),
+    Rule("allow", "www.example.com/en/"),
+    Rule("block", "net/es/"),
+    Rule("block", "net/fr/"),
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled URLs: those whose last number is the id of a labelled document."""
+    pages = _table(spark, sf_dir, "pages")
+    labels = _table(spark, sf_dir, "labels")
+    number = F.regexp_extract("url", r"/([0-9]{1,18})[^0-9/]*$", 1)
+    named = pages.select("url", number.alias("n")).where("n <> ''").selectExpr("url", "cast(n as bigint) as doc_id")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = named.join(labels.select("doc_id", bad.cast("int").alias("label")), "doc_id").select("url", "label")
+    return url_filter(pages, labelled, URL_RULES)
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).drop("__key")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -22,4 +49,6 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_mixing, op4_quality_rules, op9_exact_dedup,
+)}
