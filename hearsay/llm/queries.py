@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearsay.llm.bpe import bpe_round_trip
 from hearsay.llm.exact_dedup import exact_dedup
 from hearsay.llm.mixing import mix_sources
 from hearsay.llm.quality_rules import quality_rules
+from hearsay.llm.secret_scan import KINDS, secret_scan
 from hearsay.llm.url_filter import Rule, url_filter
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 # The rules of the URL contract.
 URL_RULES = (
     Rule("allow", "com/"),
@@ -45,10 +50,32 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _joined(spans) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(_joined(F.filter("spans", lambda s: s["kind"] != KINDS[-1])), 256).alias("base_sha256"),
+        _joined("spans").alias("spans"),
+    )
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe_round_trip(_table(spark, sf_dir, "documents"), VOCABULARY)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_mixing, op4_quality_rules, op9_exact_dedup,
+    op1_url_filter, op2_mixing, op4_quality_rules, op6_secret_scan, op8_bpe,
+    op9_exact_dedup,
 )}
