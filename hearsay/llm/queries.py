@@ -11,6 +11,8 @@ from hearsay.llm.exact_dedup import exact_dedup
 from hearsay.llm.mixing import mix_sources
 from hearsay.llm.quality_rules import quality_rules
 from hearsay.llm.secret_scan import KINDS, secret_scan
+from hearsay.llm.site_quality import site_quality
+from hearsay.llm.toxicity import score_chain, train_chain
 from hearsay.llm.url_filter import Rule, url_filter
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -64,6 +66,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The site of a document is its source, the path its language section."""
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
+    return site_quality(_table(spark, sf_dir, "documents"), labels, host_col="source", path_col="lang")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_round_trip(_table(spark, sf_dir, "documents"), VOCABULARY)
     return coded.select(
@@ -75,7 +83,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain: junk (low quality), toxic, and both at once."""
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").select(
+        "doc_id", (1 - F.col("quality")).alias("junk"), "toxic", ((1 - F.col("quality")) * F.col("toxic")).alias("toxic_junk")
+    )
+    chain = train_chain(docs, labels, ["junk", "toxic", "toxic_junk"])
+    return score_chain(docs, chain).withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_mixing, op4_quality_rules, op6_secret_scan, op8_bpe,
-    op9_exact_dedup,
+    op1_url_filter, op2_mixing, op4_quality_rules, op6_secret_scan, op7_site_quality,
+    op8_bpe, op9_exact_dedup, op10_toxicity,
 )}
