@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hearsay.llm.bpe import bpe_round_trip
 from hearsay.llm.exact_dedup import exact_dedup
+from hearsay.llm.hmm_scoring import hmm_scoring
 from hearsay.llm.mixing import mix_sources
 from hearsay.llm.quality_rules import quality_rules
 from hearsay.llm.secret_scan import KINDS, secret_scan
@@ -52,6 +53,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_scoring(_table(spark, sf_dir, "documents"))
+
+
 def _joined(spans) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
@@ -90,10 +95,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (1 - F.col("quality")).alias("junk"), "toxic", ((1 - F.col("quality")) * F.col("toxic")).alias("toxic_junk")
     )
     chain = train_chain(docs, labels, ["junk", "toxic", "toxic_junk"])
-    return score_chain(docs, chain).withColumn("toxic", F.col("p_toxic") >= 0.5)
+    return score_chain(docs, chain).withColumn("toxic", F.col("p_toxic") >= chain.cuts[1])
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_mixing, op4_quality_rules, op6_secret_scan, op7_site_quality,
+    op1_url_filter, op2_mixing, op4_quality_rules, op5_hmm_scoring, op6_secret_scan, op7_site_quality,
     op8_bpe, op9_exact_dedup, op10_toxicity,
 )}

@@ -96,12 +96,13 @@ def telling_words(sample: DataFrame, categories: list[str], max_words: int) -> n
 
 @dataclass
 class Chain:
-    """Categories, the word features, and the weights of each link (None: a constant rate)."""
+    """Categories, word features, weights of each link (None: a constant rate), cuts for a verdict."""
 
     categories: list[str]
     words: np.ndarray
     weights: list[np.ndarray | None]
     rates: list[float]
+    cuts: list[float]
 
     def link(self, i: int, x: np.ndarray) -> np.ndarray:
         w = self.weights[i]
@@ -115,8 +116,17 @@ class Chain:
         return np.stack(out, axis=1)
 
 
+def best_cut(p: np.ndarray, target: np.ndarray) -> float:
+    """The probability from which a document counts as positive: best F1 out of fold, at least 0.2."""
+    grid = np.arange(0.2, 0.801, 0.05)
+    hits = np.array([((p >= c) & (target == 1)).sum() for c in grid])
+    called = np.array([(p >= c).sum() for c in grid])
+    f1 = 2 * hits / np.maximum(called + target.sum(), 1)
+    return float(grid[int(f1.argmax())]) if f1.max() > 0 else 0.5
+
+
 def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, categories: list[str], words: np.ndarray) -> Chain:
-    chain = Chain(categories, words, [], [])
+    chain = Chain(categories, words, [], [], [])
     for i in range(len(categories)):
         target = y[:, i]
         rate = float(target.mean()) if len(target) else 0.0
@@ -131,6 +141,7 @@ def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, categories: list[s
                 if own.any() and 0 < target[rest].mean() < 1:
                     unseen[own] = predict(fit_logistic(x[rest], target[rest]), x[own])
             chain.weights.append(fit_logistic(x, target))
+        chain.cuts.append(best_cut(unseen, target))
         x = np.hstack([x, logit(unseen)[:, None]])
     return chain
 
