@@ -10,6 +10,7 @@ from hearsay.llm.bpe import bpe_round_trip
 from hearsay.llm.exact_dedup import exact_dedup
 from hearsay.llm.hmm_scoring import hmm_scoring
 from hearsay.llm.mixing import mix_sources
+from hearsay.llm.ngram_join import ngram_join
 from hearsay.llm.quality_rules import quality_rules
 from hearsay.llm.secret_scan import KINDS, secret_scan
 from hearsay.llm.site_quality import site_quality
@@ -47,6 +48,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).drop("__key")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_table(spark, sf_dir, "documents"), size=3, num=90, den=100)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -99,6 +104,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_url_filter, op2_mixing, op4_quality_rules, op5_hmm_scoring, op6_secret_scan, op7_site_quality,
+    op1_url_filter, op2_mixing, op3_ngram_join, op4_quality_rules, op5_hmm_scoring, op6_secret_scan, op7_site_quality,
     op8_bpe, op9_exact_dedup, op10_toxicity,
 )}
