@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,15 +27,33 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     folder = shared_folder(spark, "llm-" + name)
     _scratch.append(folder)
     frame.write.parquet(folder)
-    return spark.read.schema(frame.schema).parquet(folder)
+    staged = spark.read.schema(frame.schema).parquet(folder)
+    staged._scratch_folder = folder
+    return staged
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete scratch tables that no later step reads, and let go of finished shuffles.
+
+    Spark removes a shuffle's files when its driver objects are collected, so a
+    long job that never fills the driver's memory would keep them all.
+    """
+    for frame in staged:
+        _scratch.remove(frame._scratch_folder)
+        _delete(frame.sparkSession, frame._scratch_folder)
+    gc.collect()
+    staged[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def release(spark: SparkSession) -> None:
     """Delete the scratch tables made so far. Call it when no result reads them any more."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _scratch.pop())
 
 
 def ascii_lower(text: Column) -> Column:

@@ -11,9 +11,10 @@ alike share a shingle among the first `n - ceil(t n) + 1` of each.
    never outnumber the differing shingles, and the closest partner is verified.
    Members of a group are verified against its first unit. Links give classes.
 3. Posting lists that still hold more than one class are expanded to units, and
-   all pairs of different classes that pass the size, position and bitmap
-   filters are verified on their whole sets. So no link between classes is lost,
-   and lists that lie within one class cost nothing more.
+   all pairs of different classes that pass the size and bitmap filters are
+   counted: pairs that share enough of their prefixes are verified on their whole
+   sets. So no link between classes is lost, and lists that lie within one class
+   cost nothing more.
 
 No list, group or component is gathered in one place. Sets are made of 64-bit
 shingle hashes.
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearsay.llm.common import stage
+from hearsay.llm.common import discard, stage
 from hearsay.llm.words import hashed_words, mix, slices
 
 BUCKET_BITS = 20
@@ -167,7 +168,9 @@ def verified(pairs: DataFrame, rows: DataFrame, size: int, num: int, den: int) -
         prefixed(sets, "y_"), F.col("b") == F.col("y_id")
     )
     found = joined.select("a", "b", "x_set", "y_set").mapInArrow(check, f"a {id_type}, b {id_type}")
-    return stage(found.distinct(), "links")
+    links = stage(found.distinct(), "links")
+    discard(pairs, sets)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -194,7 +197,10 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stage(edges.select("a", "b").where("a <> b"), "edges")
     last = None
     while True:
-        edges = stage(star(stage(star(edges, True), "large"), False), "small")
+        large = stage(star(edges, True), "large")
+        small = stage(star(large, False), "small")
+        discard(edges, large)
+        edges = small
         mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == last:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -214,30 +220,30 @@ def ngram_join(
         F.min("doc_id").alias("uid"), F.count(F.lit(1)).alias("copies")
     ).where("uid is not null")
     sets = stage(sets, "units")
-    mine = (F.col("doc_id") == F.col("uid")) & (F.col("s_n") == F.col("n"))
-    mine = mine & (F.col("s_k1") == F.col("k1")) & (F.col("s_k2") == F.col("k2"))
-    named = sets.select("uid", *[F.col(c).alias(f"s_{c}") for c in ("n", "k1", "k2")])
-    units = facts.join(named, mine).dropDuplicates(["uid", "n", "k1", "k2"])
-    units = stage(units.select("uid", "n", "g1", "g2", *MAPS, "prefix"), "unit-facts")
+    mine = facts.join(sets, ["n", "k1", "k2"]).where("doc_id = uid")
+    units = stage(mine.select("uid", "n", "k1", "k2", "g1", "g2", *MAPS).distinct(), "unit-facts")
     groups = units.groupBy("n", "g1", "g2").agg(F.min("uid").alias("gid"))
-    members = stage(units.drop("prefix").join(groups, ["n", "g1", "g2"]).select("uid", "gid", "n", *MAPS), "members")
-    leaders = units.join(groups, ["n", "g1", "g2"]).where("uid = gid")
-    postings = leaders.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    postings = stage(postings, "postings")
+    members = stage(units.join(groups, ["n", "g1", "g2"]).select("uid", "gid", "n", "k1", "k2", *MAPS), "members")
+    heads = members.where("uid = gid").select("gid", "n", *MAPS)
+    keys = members.where("uid = gid").select("gid", F.col("n").alias("h_n"), F.col("k1").alias("h1"), F.col("k2").alias("h2"))
+    same_set = (F.col("doc_id") == F.col("gid")) & (F.col("n") == F.col("h_n"))
+    same_set = same_set & (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2"))
+    postings = facts.join(keys, same_set).select("gid", F.posexplode("prefix").alias("pos", "token"))
+
+    # A list of one group can link nothing: only shared shingles go on.
+    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("token")
+    shared = stage(postings.join(lists, "token"), "shared")
 
     # Two partners of each group per posting list; the closest possible one is verified.
     pick = F.xxhash64("token", "gid")
-    lists = postings.groupBy("token").agg(
-        F.count(F.lit(1)).alias("size"), F.min_by("gid", pick).alias("p"), F.max_by("gid", pick).alias("q")
-    ).where("size > 1")
-    lists = stage(lists, "lists")
-    met = postings.select("token", "gid").join(lists, "token")
+    picked = shared.groupBy("token").agg(F.min_by("gid", pick).alias("p"), F.max_by("gid", pick).alias("q"))
+    met = shared.select("token", "gid").join(picked, "token")
     partners = met.select("gid", F.explode(F.array("p", "q")).alias("partner")).where("gid <> partner").distinct()
-    heads = members.where("uid = gid").select("gid", "n", *MAPS)
+    differ = sum((F.bit_count(F.col(f"x_{m}").bitwiseXOR(F.col(f"y_{m}"))) for m in MAPS), F.lit(0))
+    # Unrelated large sets differ in about half the bits: they are left to the second round.
     close = partners.join(prefixed(heads, "x_"), F.col("gid") == F.col("x_gid")).join(
         prefixed(heads, "y_"), F.col("partner") == F.col("y_gid")
-    ).where(could_link("x_", "y_", num, den))
-    differ = sum((F.bit_count(F.col(f"x_{m}").bitwiseXOR(F.col(f"y_{m}"))) for m in MAPS), F.lit(0))
+    ).where(could_link("x_", "y_", num, den) & (differ < 100))
     near = F.shiftleft((differ + F.abs(F.col("x_n") - F.col("y_n"))).cast("long"), 32) + F.pmod(
         F.xxhash64("gid", "partner"), F.lit(1 << 31)
     )
@@ -250,31 +256,28 @@ def ngram_join(
 
     # Lists with more than one class: all pairs across classes.
     classed = members.join(roots, members["uid"] == roots["node"], "left").select(
-        *members.columns, F.coalesce("root", "uid").alias("class")
+        "uid", "gid", "n", *MAPS, F.coalesce("root", "uid").alias("class")
     )
     classed = stage(classed, "classed")
     spans = classed.groupBy("gid").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-    # Group members share their whole prefix, so a group of several classes is open by itself.
-    live = postings.join(lists.select("token"), "token").join(spans, "gid")
-    mixed = postings.join(spans.where("lo <> hi"), "gid")
-    live = live.select("token", "gid", "pos", "lo", "hi").union(mixed.select("token", "gid", "pos", "lo", "hi")).distinct()
-    live = stage(live, "live")
+    # Group members share their whole prefix, so a group of several classes is a list by itself.
+    alone = postings.join(spans.where("lo <> hi").select("gid"), "gid", "left_semi").join(lists, "token", "left_anti")
+    live = shared.select("token", "gid").union(alone.select("token", "gid")).join(spans, "gid")
     opened = live.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most")
-    entries = stage(
-        live.select("token", "gid", "pos").join(opened.select("token"), "token").join(classed, "gid"), "entries"
-    )
+    entries = live.select("token", "gid").join(opened.select("token"), "token").join(classed, "gid")
+    entries = stage(entries.drop("gid"), "entries")
     x, y = prefixed(entries, "x_"), prefixed(entries, "y_")
-    need = F.ceil(num * (F.col("x_n") + F.col("y_n")) / F.lit(num + den))
-    # For the first shingle that two sets share: it and what follows must hold the overlap.
-    reach = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
-    early = F.least("x_pos", "y_pos")
-    possible = could_link("x_", "y_", num, den) & (reach + early >= need)
-    across = x.join(
+    met = x.join(
         y,
         (F.col("x_token") == F.col("y_token")) & (F.col("x_uid") < F.col("y_uid"))
-        & (F.col("x_class") != F.col("y_class")) & possible,
-    ).select(F.col("x_uid").alias("a"), F.col("y_uid").alias("b"))
-    more = verified(across, rows, size, num, den)
+        & (F.col("x_class") != F.col("y_class")) & could_link("x_", "y_", num, den),
+    ).groupBy(F.col("x_uid").alias("a"), F.col("y_uid").alias("b"), "x_n", "y_n").agg(F.count(F.lit(1)).alias("common"))
+    # Up to the end of the shorter-reaching prefix all shared shingles are counted in `common`;
+    # of one of the two sets, only the ceil(t n) - 1 shingles after its prefix can add to them.
+    need = F.ceil(num * (F.col("x_n") + F.col("y_n")) / F.lit(num + den))
+    after = F.ceil(num * F.greatest("x_n", "y_n") / F.lit(den)) - 1
+    more = verified(met.where(F.col("common") + after >= need).select("a", "b"), rows, size, num, den)
+    discard(shared, entries)
     if not more.isEmpty():
         roots = components(links.union(more))
 
