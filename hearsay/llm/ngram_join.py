@@ -11,8 +11,8 @@ alike share a shingle among the first `n - ceil(t n) + 1` of each.
    never outnumber the differing shingles, and the closest partner is verified.
    Members of a group are verified against its first unit. Links give classes.
 3. Posting lists that still hold more than one class are expanded to units, and
-   all pairs of different classes that pass the size and bitmap filters are
-   counted: pairs that share enough of their prefixes are verified on their whole
+   all pairs of different classes that pass the size, place and bitmap filters
+   are counted: pairs that share enough of their prefixes are verified on their whole
    sets. So no link between classes is lost, and lists that lie within one class
    cost nothing more.
 
@@ -39,7 +39,8 @@ from hearsay.llm.common import discard, stage
 from hearsay.llm.words import hashed_words, mix, slices
 
 BUCKET_BITS = 20
-MAPS = ["b0", "b1", "b2", "b3"]
+MAP_BITS = 768
+MAPS = [f"b{i}" for i in range(MAP_BITS // 64)]
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -106,7 +107,7 @@ def profiles(rows: DataFrame, size: int, num: int, den: int, levels: np.ndarray)
         prefix = np.sort(order)[: n - (num * n + den - 1) // den + 1] if n else order
         keys = [int(mix(s ^ c).sum(dtype=np.uint64)) for c in salts[:2]]
         keys += [int(mix(prefix ^ c).sum(dtype=np.uint64)) for c in salts[2:]]
-        parity = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+        parity = np.bincount((s % np.uint64(MAP_BITS)).astype(np.int64), minlength=MAP_BITS) & 1
         return n, prefix.view(np.int64), keys, np.packbits(parity.astype(np.uint8)).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +115,7 @@ def profiles(rows: DataFrame, size: int, num: int, den: int, levels: np.ndarray)
             for part in slices(batch, 1):
                 found = [profile(s) for s in shingle_sets(part.column(1), size)]
                 keys = [pa.array(np.array([f[2][i] for f in found], np.uint64).view(np.int64)) for i in range(4)]
-                maps = [pa.array(np.array([f[3][i] for f in found], np.int64)) for i in range(4)]
+                maps = [pa.array(np.array([f[3][i] for f in found], np.int64)) for i in range(len(MAPS))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([f[0] for f in found], pa.int64()), *keys, *maps,
                      pa.array([f[1] for f in found], pa.list_(pa.int64()))],
@@ -243,7 +244,7 @@ def ngram_join(
     # Unrelated large sets differ in about half the bits: they are left to the second round.
     close = partners.join(prefixed(heads, "x_"), F.col("gid") == F.col("x_gid")).join(
         prefixed(heads, "y_"), F.col("partner") == F.col("y_gid")
-    ).where(could_link("x_", "y_", num, den) & (differ < 100))
+    ).where(could_link("x_", "y_", num, den) & (differ < 0.43 * MAP_BITS))
     near = F.shiftleft((differ + F.abs(F.col("x_n") - F.col("y_n"))).cast("long"), 32) + F.pmod(
         F.xxhash64("gid", "partner"), F.lit(1 << 31)
     )
@@ -262,19 +263,21 @@ def ngram_join(
     spans = classed.groupBy("gid").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
     # Group members share their whole prefix, so a group of several classes is a list by itself.
     alone = postings.join(spans.where("lo <> hi").select("gid"), "gid", "left_semi").join(lists, "token", "left_anti")
-    live = shared.select("token", "gid").union(alone.select("token", "gid")).join(spans, "gid")
+    live = shared.union(alone.select(*shared.columns)).join(spans, "gid")
     opened = live.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most")
-    entries = live.select("token", "gid").join(opened.select("token"), "token").join(classed, "gid")
+    entries = live.select(*shared.columns).join(opened.select("token"), "token").join(classed, "gid")
     entries = stage(entries.drop("gid"), "entries")
     x, y = prefixed(entries, "x_"), prefixed(entries, "y_")
+    need = F.ceil(num * (F.col("x_n") + F.col("y_n")) / F.lit(num + den))
+    # A shared shingle at these places leaves room for so much overlap before and after it.
+    room = F.least("x_pos", "y_pos") + F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
     met = x.join(
         y,
         (F.col("x_token") == F.col("y_token")) & (F.col("x_uid") < F.col("y_uid"))
-        & (F.col("x_class") != F.col("y_class")) & could_link("x_", "y_", num, den),
+        & (F.col("x_class") != F.col("y_class")) & could_link("x_", "y_", num, den) & (room >= need),
     ).groupBy(F.col("x_uid").alias("a"), F.col("y_uid").alias("b"), "x_n", "y_n").agg(F.count(F.lit(1)).alias("common"))
     # Up to the end of the shorter-reaching prefix all shared shingles are counted in `common`;
     # of one of the two sets, only the ceil(t n) - 1 shingles after its prefix can add to them.
-    need = F.ceil(num * (F.col("x_n") + F.col("y_n")) / F.lit(num + den))
     after = F.ceil(num * F.greatest("x_n", "y_n") / F.lit(den)) - 1
     more = verified(met.where(F.col("common") + after >= need).select("a", "b"), rows, size, num, den)
     discard(shared, entries)
