@@ -33,6 +33,7 @@ from hearsay.llm.common import join_small, row_key, stage, words_of
 BLOCK_TOKENS = 65_536
 RANGE_ROWS = 2_048
 LEVELS, ROUNDS = 4, 8
+SHARPEST = 16.0
 
 
 def moments(sources: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
@@ -45,12 +46,12 @@ def moments(sources: DataFrame, exponents: list[float]) -> list[tuple[float, flo
     return [(row[f"z{i}"], row[f"s{i}"]) for i in range(len(exponents))]
 
 
-def bisect_exponent(sources: DataFrame, below) -> tuple[float, float]:
-    """Bracket (low, high) within [0, 1] of the exponent where `below(exponent, (z, s))` turns false.
+def bisect_exponent(sources: DataFrame, below, high: float = 1.0) -> tuple[float, float]:
+    """Bracket (low, high) within [0, high] of the exponent where `below(exponent, (z, s))` turns false.
 
     Four bisection levels are evaluated in one pass over the sources.
     """
-    low, high = 0.0, 1.0
+    low = 0.0
     for _ in range(ROUNDS):
         points = [low + (high - low) * i / 2**LEVELS for i in range(2**LEVELS + 1)]
         held = [below(a, m) for a, m in zip(points, moments(sources, points), strict=True)]
@@ -85,7 +86,10 @@ def source_weights(
 
     if target_entropy is not None:
         # Entropy of weights p^a / z is ln z - a s / z; it falls as the exponent grows.
-        exponent = bisect_exponent(filled, lambda a, m: log(m[0]) - a * m[1] / m[0] >= target_entropy - 1e-12)[0]
+        # Above 1, weights are sharper than the shares.
+        exponent = bisect_exponent(
+            filled, lambda a, m: log(m[0]) - a * m[1] / m[0] >= target_entropy - 1e-12, high=SHARPEST
+        )[0]
     elif max_repetition is not None:
         exponent = bisect_exponent(filled, lambda a, m: repetition(a, m[0]) > max_repetition + 1e-9)[1]
     else:
@@ -156,7 +160,9 @@ def mix_sources(
     rows = token_table(docs, id_col, text_col, source_col)
     weighed, _, budget = source_weights(source_shares(rows), max_repetition, target_entropy, budget_tokens)
     blocks = max(1, ceil(budget / block_tokens))
-    read = streams(rows, stage(weighed, "weights"), seed).where("tokens = 0 or offset < allotted")
+    read = streams(rows, stage(weighed, "weights"), seed).where(
+        "tokens = 0 or offset < allotted or copy < floor(round(allotted / tokens, 9))"
+    )
     share = F.when(F.col("allotted") > 0, F.col("offset") / F.col("allotted")).otherwise(0.0)
     dealt = read.withColumn("block", F.least(F.floor(share * blocks), F.lit(blocks - 1)).cast("long"))
     order = Window.partitionBy("block").orderBy(unit_hash(F.lit(-seed), "block", "copy", "doc_id", "__key"), "doc_id")
@@ -171,12 +177,12 @@ def mixed_documents(
     """The documents in mixed order, repeated as the weights ask, with all their columns."""
     plan = mix_sources(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
     # Repeated rows share a key and are each in the plan: one copy of the row serves them all.
-    once = plan.select("__key", "copy", "block", "position")
+    plan = plan.select("__key", F.col("copy").alias("__copy"), F.col("block").alias("__block"), F.col("position").alias("__at"))
+    plan = stage(plan, "plan")
     marked = docs.withColumn("__key", row_key(id_col, source_col, text_col))
-    again = plan.where("copy = 0").groupBy("__key").count().where("count > 1")
-    if not again.isEmpty():
+    if not plan.where("__copy = 0").groupBy("__key").count().where("count > 1").isEmpty():
         marked = marked.dropDuplicates(["__key"])
-    mixed = marked.join(once, "__key")
+    mixed = marked.join(plan, "__key")
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = mixed.repartition(int(parts), "block").sortWithinPartitions("block", "position")
+    ordered = mixed.repartition(int(parts), "__block").sortWithinPartitions("__block", "__at")
     return ordered.select(*docs.columns)
