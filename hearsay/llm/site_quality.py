@@ -87,7 +87,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_la
     # Bounded by max_labelled rows.
     found = sorted((bytes(x), good) for x, good in rows.collect())
     y = np.array([good for _, good in found], float)
-    rate = float(y.mean()) if len(y) else 0.5
+    rate = float(y.mean()) if len(y) else 0.0
     if not 0 < rate < 1:
         return np.zeros(N_FEATURES + 1), 0.5
     x = np.array([np.frombuffer(b, float) for b, _ in found])
