@@ -206,7 +206,7 @@ from (
          when doc_id % 5 = 0 or not regexp_matches(text, '\\S') then 'text'
          when doc_id % 3 = 0 then 'created_at' end as field
   from documents)""")
-add("payload_hash", "select doc_id, sha256(source || '|' || substr(text, 1, 2000)) as payload_hash from documents")
+add("payload_hash", "select doc_id, sha256(source || '|' || text) as payload_hash from documents")
 add("truncate_text", "select doc_id, substr(text, 1, 90) as excerpt from documents")
 
 # Scalar functions
@@ -245,9 +245,9 @@ select id, topic, length(full_text)::integer as text_chars from batch where lang
 add("upsert_counts", """
 select count(*) filter (lang <> 'en') as inserted, count(*) filter (lang = 'en') as duplicates from batch""", HITS)
 add("quarantine_upsert", """
-select payload_hash, raw_id, topic, reason
-from (select *, sha256('any|' || substr(text, 1, 2000)) as payload_hash from h where reason is not null)
-where payload_hash not in (select sha256('any|' || substr(text, 1, 2000)) from documents where lang = 'de')
+select payload_hash, raw_id, topic, reason, text as payload
+from (select *, sha256('any|' || text) as payload_hash from h where reason is not null)
+where payload_hash not in (select sha256('any|' || text) from documents where lang = 'de')
 qualify row_number() over (partition by payload_hash order by ord, topic, page, pos) = 1""", HITS)
 add("apply_labels", """
 select m.id, m.topic,

@@ -291,7 +291,7 @@ def quarantine_upsert(spark, sf):
     rejects = normalise.rejected_hits(_assessed(spark, sf))
     texts = v.listed(spark, sf).join(
         v.table(spark, sf, "documents").select("doc_id", "text"), "doc_id"
-    ).select("topic", "page", "pos", truncate(F.col("text"), 2000).alias("payload"))
+    ).select("topic", "page", "pos", F.col("text").alias("payload"))
     rejects = rejects.drop("payload", "payload_hash").join(texts, ["topic", "page", "pos"])
     rejects = rejects.withColumn(
         "payload_hash", normalise.payload_hash(F.lit("any"), F.col("payload"))
@@ -300,7 +300,7 @@ def quarantine_upsert(spark, sf):
         normalise.payload_hash(F.lit("any"), F.col("text")).alias("payload_hash")
     )
     kept = upsert.insert_or_ignore(upsert.first_per_payload(rejects), stored, "payload_hash")
-    return kept.select("payload_hash", "raw_id", "topic", "reason")
+    return kept.select("payload_hash", "raw_id", "topic", "reason", "payload")
 
 
 def _hand_labels(spark, sf) -> DataFrame:

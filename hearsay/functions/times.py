@@ -63,9 +63,13 @@ def iso_text(ts: Column) -> Column:
 
     The session time zone must be UTC.
     """
-    micros = F.date_format(ts, "SSSSSS")
-    return F.concat(
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
-        F.lit("+00:00"),
-    )
+
+    def shown(at: Column) -> Column:
+        micros = F.date_format(at, "SSSSSS")
+        return F.concat(
+            F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"),
+            F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros)),
+            F.lit("+00:00"),
+        )
+
+    return let(ts, shown)

@@ -45,7 +45,7 @@ def _plain(label: Column) -> Column:
 def label_pairs(gold: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     """`(kind, true, predicted)` of every row a person has labelled.
 
-    A prediction may be blank; a missing one (short row) is skipped.
+    A blank or missing prediction is a prediction like any other, and wrong.
     """
     stacked = gold.select(F.inline(F.array(*[
         F.struct(
@@ -54,8 +54,9 @@ def label_pairs(gold: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
         )
         for kind in kinds
     ])))
-    filled = stacked.filter(~is_blank(F.col("true")) & F.col("predicted").isNotNull())
-    return filled.select("kind", _plain(F.col("true")).alias("true"), _plain(F.col("predicted")).alias("predicted"))
+    filled = stacked.filter(~is_blank(F.col("true")))
+    predicted = F.coalesce(_plain(F.col("predicted")), F.lit(""))
+    return filled.select("kind", _plain(F.col("true")).alias("true"), predicted.alias("predicted"))
 
 
 def confusion_counts(pairs: DataFrame) -> DataFrame:
@@ -140,7 +141,7 @@ def evaluation_report(pairs: DataFrame) -> DataFrame:
 def disagreements(gold: DataFrame, kind: str = "sentiment", first: int = 10) -> DataFrame:
     """The first rows, by id, whose label differs from the prediction."""
     true, predicted = F.col(f"true_{kind}"), F.col(f"predicted_{kind}")
-    differs = ~is_blank(true) & (_plain(true) != _plain(predicted))
+    differs = ~is_blank(true) & (_plain(true) != F.coalesce(_plain(predicted), F.lit("")))
     excerpt = F.replace(truncate(F.col("text"), EXCERPT_CHARS), F.lit("|"), F.lit("\\|"))
     chosen = gold.filter(differs).orderBy("id").limit(first)
     return chosen.select(

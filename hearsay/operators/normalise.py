@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearsay.functions.hits import coerce_int, field, kind, kind_name, truthy_text
-from hearsay.functions.text import clean_text, empty_to_null, is_blank, truncate
+from hearsay.functions.text import clean_text, empty_to_null, is_blank
 from hearsay.functions.times import to_utc
 from hearsay.session import settled
-from hearsay.settings import DEFAULT_SOURCE, PAYLOAD_CHARS, PERMALINK_PREFIX
+from hearsay.settings import DEFAULT_SOURCE, PERMALINK_PREFIX
 
 # Fixed value: fields that must be present and not blank, in checking order.
 REQUIRED_FIELDS = ("id", "topic", "text", "created_at")
@@ -49,8 +49,8 @@ def missing_field(record_id: Column, values: dict[str, Column]) -> Column:
 
 
 def payload_hash(topic: Column, payload: Column) -> Column:
-    """Quarantine key: digest of topic and the stored (cut) payload."""
-    return F.sha2(F.concat_ws("|", topic, truncate(payload, PAYLOAD_CHARS)), 256)
+    """Quarantine key: digest of topic and the whole payload."""
+    return F.sha2(F.concat_ws("|", topic, payload), 256)
 
 
 def assess_hits(
@@ -129,7 +129,7 @@ def assess_hits(
         *[F.col(c) for c in ORDER_COLUMNS],
         F.col("reason"),
         F.when(rejected, raw_id).alias("raw_id"),
-        F.when(rejected, truncate(F.to_json(hit), PAYLOAD_CHARS)).alias("payload"),
+        F.when(rejected, F.to_json(hit)).alias("payload"),
     )
 
 

@@ -45,9 +45,16 @@ def first_per_payload(rejects: DataFrame) -> DataFrame:
 
 
 def apply_labels(mentions: DataFrame, labels: DataFrame) -> DataFrame:
-    """Overwrite all three label columns of every mention that `labels` names."""
-    new = labels.select(
-        "id", F.lit(True).alias("_new"), *[F.col(c).alias(f"_{c}") for c in LABEL_COLUMNS]
+    """Overwrite all three label columns of every mention that `labels` names.
+
+    Of several labels for an id the last wins: by `labelled_at` if there is such
+    a column, else the greatest, so a mention never becomes two rows.
+    """
+    label = F.struct(*LABEL_COLUMNS)
+    last = F.max_by(label, "labelled_at") if "labelled_at" in labels.columns else F.max(label)
+    one = labels.groupBy("id").agg(last.alias("_l"))
+    new = one.select(
+        "id", F.lit(True).alias("_new"), *[F.col(f"_l.{c}").alias(f"_{c}") for c in LABEL_COLUMNS]
     )
     joined = mentions.join(new, "id", "left")
     picked = [

@@ -25,6 +25,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         parent = tempfile.mkdtemp(prefix="hearsay-")
     return f"{parent.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

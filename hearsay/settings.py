@@ -10,7 +10,6 @@ FALLBACK_CATEGORY = "other"
 DEFAULT_SOURCE = "hackernews_algolia"
 PERMALINK_PREFIX = "https://news.ycombinator.com/item?id="
 HITS_PER_PAGE = 50
-MAX_ITEMS_PER_TOPIC = 100
 POSITIVE_THRESHOLD = 0.05
 NEGATIVE_THRESHOLD = -0.05
 SAMPLE_SIZE = 25
@@ -18,7 +17,6 @@ SAMPLE_SEED = 42
 TOP_ITEMS_PER_TOPIC = 3
 
 # Lengths, in characters, at which stored or shown text is cut.
-PAYLOAD_CHARS = 2000
 EXCERPT_CHARS = 90
 LABEL_CHARS = 110
 RUN_TIME_CHARS = 19
@@ -177,7 +175,7 @@ class RunSettings:
     permalink_prefix: str = PERMALINK_PREFIX
     hits_per_page: int = HITS_PER_PAGE
     # None reads every accepted page of every topic.
-    max_items_per_topic: int | None = MAX_ITEMS_PER_TOPIC
+    max_items_per_topic: int | None = None
     positive_threshold: float = POSITIVE_THRESHOLD
     negative_threshold: float = NEGATIVE_THRESHOLD
     rules: list[tuple[str, list[str]]] = field(default_factory=lambda: CATEGORY_RULES)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearsay.operators.evaluate import GOLD_COLUMNS, gold_template
 from hearsay.settings import SAMPLE_SEED, SAMPLE_SIZE
@@ -34,7 +35,14 @@ def export_gold_template(
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, schema=GOLD_SCHEMA, header=True, multiLine=True, escape='"')
+    """All rows but short lines. An empty cell is the empty text: a blank prediction is a wrong one."""
+    rows = spark.read.csv(
+        path, schema=f"{GOLD_SCHEMA}, _short string", header=True, multiLine=True, escape='"',
+        columnNameOfCorruptRecord="_short", enforceSchema=True,
+    )
+    # Spark refuses to read the flag alone, as a bare count would: the filter looks at the cells too.
+    read = F.length(F.concat_ws("", *GOLD_COLUMNS)) >= 0
+    return rows.filter(F.col("_short").isNull() & read).drop("_short").fillna("")
 
 
 def read_filled_gold(spark: SparkSession, path: str) -> DataFrame | None:

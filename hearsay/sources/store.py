@@ -41,8 +41,9 @@ COUNTABLE = ("mentions", "quarantine", "run_log")
 class MentionStore:
     """Tables of one store, kept in `folder` and registered as database `name`.
 
-    The number of buckets is fixed when the tables are made. It should not be
-    below the session's shuffle partitions, which is the default: then joins
+    The number of buckets is fixed when the tables are made and kept in the
+    folder, so any later session reads the files as they were written. It should
+    not be below the shuffle partitions, whose number is the default: then joins
     bring the batch to the buckets, never the stored rows to the batch.
     """
 
@@ -52,7 +53,7 @@ class MentionStore:
         self.spark = spark
         self.name = name
         self.folder = folder
-        self.buckets = buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets = self._layout(buckets)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
         for table, (schema, key) in TABLES.items():
             cluster = f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS" if key else ""
@@ -61,6 +62,19 @@ class MentionStore:
                 f"{cluster} LOCATION '{folder}/{table}'"
             )
 
+    def _layout(self, wanted: int | None) -> int:
+        """The store's bucket count: read if the store exists, else written once."""
+        path = f"{self.folder}/_layout"
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target):
+            kept = self.spark.read.schema("buckets int").json(path).first()["buckets"]
+            if wanted not in (None, kept):
+                raise ValueError(f"the store in {self.folder} has {kept} buckets, not {wanted}")
+            return kept
+        buckets = wanted or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.spark.range(1).selectExpr(f"{buckets} as buckets").write.json(path)
+        return buckets
+
     def table(self, table: str) -> DataFrame:
         return self.spark.table(f"{self.name}.{table}")
 
