@@ -40,6 +40,7 @@ from hearsay.llm.words import hashed_words, mix, slices
 
 BUCKET_BITS = 20
 MAP_BITS = 768
+MEETINGS = 2
 MAPS = [f"b{i}" for i in range(MAP_BITS // 64)]
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -241,19 +242,40 @@ def ngram_join(
     met = shared.select("token", "gid").join(picked, "token")
     partners = met.select("gid", F.explode(F.array("p", "q")).alias("partner")).where("gid <> partner").distinct()
     differ = sum((F.bit_count(F.col(f"x_{m}").bitwiseXOR(F.col(f"y_{m}"))) for m in MAPS), F.lit(0))
-    # Unrelated large sets differ in about half the bits: they are left to the second round.
+    # Unrelated large sets differ in about half the bits: they are left to the pairs across classes.
     close = partners.join(prefixed(heads, "x_"), F.col("gid") == F.col("x_gid")).join(
         prefixed(heads, "y_"), F.col("partner") == F.col("y_gid")
     ).where(could_link("x_", "y_", num, den) & (differ < 0.43 * MAP_BITS))
     near = F.shiftleft((differ + F.abs(F.col("x_n") - F.col("y_n"))).cast("long"), 32) + F.pmod(
         F.xxhash64("gid", "partner"), F.lit(1 << 31)
     )
-    best = close.groupBy("gid").agg(F.min_by("partner", near).alias("partner"))
+    close = stage(close.select(
+        F.least("gid", "partner").alias("a"), F.greatest("gid", "partner").alias("b"), near.alias("near")
+    ).distinct(), "close")
     inside = members.join(prefixed(heads, "y_"), F.col("gid") == F.col("y_gid")).where("uid <> gid")
     inside = inside.withColumnsRenamed({c: f"x_{c}" for c in ("n", *MAPS)}).where(could_link("x_", "y_", num, den))
-    first = best.select(F.col("gid").alias("a"), F.col("partner").alias("b")).union(inside.select("uid", "gid"))
-    links = verified(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), rows, size, num, den)
+    inside = inside.select(F.least("uid", "gid").alias("a"), F.greatest("uid", "gid").alias("b"))
+
+    def closest(pairs: DataFrame) -> DataFrame:
+        sides = pairs.union(pairs.select("b", "a", "near"))
+        best = sides.groupBy("a").agg(F.min_by("b", "near").alias("b"))
+        return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    links = verified(closest(close).union(inside), rows, size, num, den)
     roots = components(links)
+    # Classes of a large family meet through their next partners before pairs are listed.
+    tried = closest(close)
+    for _ in range(MEETINGS):
+        at = prefixed(roots, "p_"), prefixed(roots, "q_")
+        open_pairs = close.join(tried, ["a", "b"], "left_anti").join(at[0], F.col("a") == F.col("p_node"), "left").join(
+            at[1], F.col("b") == F.col("q_node"), "left"
+        ).where(F.coalesce("p_root", "a") != F.coalesce("q_root", "b")).select("a", "b", "near")
+        chosen = stage(closest(open_pairs), "chosen")
+        if chosen.isEmpty():
+            break
+        links = links.union(verified(chosen, rows, size, num, den))
+        tried = tried.union(chosen)
+        roots = components(links)
 
     # Lists with more than one class: all pairs across classes.
     classed = members.join(roots, members["uid"] == roots["node"], "left").select(
