@@ -197,16 +197,31 @@ def components(edges: DataFrame) -> DataFrame:
         return out.where("a <> b").distinct()
 
     edges = stage(edges.select("a", "b").where("a <> b"), "edges")
-    last = None
     while True:
         large = stage(star(edges, True), "large")
         small = stage(star(large, False), "small")
         discard(edges, large)
         edges = small
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == last:
+        # Done when only stars are left: one edge out of each leaf, none out of a root.
+        ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+            edges.select("b", F.lit(0), F.lit(1))
+        ).groupBy("v").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        if ends.where("out > 1 or (out = 1 and into = 1)").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        last = mark
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components `roots` after more links: only the classes that these join are worked on."""
+    at = prefixed(roots, "p_"), prefixed(roots, "q_")
+    between = links.join(at[0], F.col("a") == F.col("p_node"), "left").join(
+        at[1], F.col("b") == F.col("q_node"), "left"
+    ).select(F.coalesce("p_root", "a").alias("a"), F.coalesce("q_root", "b").alias("b")).distinct()
+    top = components(between)
+    higher = prefixed(top, "t_")
+    lower = roots.join(higher, F.col("root") == F.col("t_node"), "left").select(
+        "node", F.coalesce("t_root", "root").alias("root")
+    )
+    return stage(lower.union(top), "roots")
 
 
 def ngram_join(
@@ -261,8 +276,7 @@ def ngram_join(
         best = sides.groupBy("a").agg(F.min_by("b", "near").alias("b"))
         return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    links = verified(closest(close).union(inside), rows, size, num, den)
-    roots = components(links)
+    roots = components(verified(closest(close).union(inside), rows, size, num, den))
     # Classes of a large family meet through their next partners before pairs are listed.
     tried = closest(close)
     for _ in range(MEETINGS):
@@ -273,9 +287,8 @@ def ngram_join(
         chosen = stage(closest(open_pairs), "chosen")
         if chosen.isEmpty():
             break
-        links = links.union(verified(chosen, rows, size, num, den))
+        roots = merged(roots, verified(chosen, rows, size, num, den))
         tried = tried.union(chosen)
-        roots = components(links)
 
     # Lists with more than one class: all pairs across classes.
     classed = members.join(roots, members["uid"] == roots["node"], "left").select(
@@ -304,7 +317,7 @@ def ngram_join(
     more = verified(met.where(F.col("common") + after >= need).select("a", "b"), rows, size, num, den)
     discard(shared, entries)
     if not more.isEmpty():
-        roots = components(links.union(more))
+        roots = merged(roots, more)
 
     # Back to rows: only sets with copies or links need a partner.
     final = sets.join(roots, sets["uid"] == roots["node"], "left").where("copies > 1 or root is not null").select(
