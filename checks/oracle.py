@@ -109,18 +109,24 @@ ph as (
 GOLD = """
 g as (
   select cast(doc_id as varchar) as id, source as topic, text,
-    case when n_chars >= 1000 then 'good' else ' POOR ' end as predicted_sentiment,
-    case when n_chars % 2 = 1 then 'Toxic' else 'clean' end as predicted_category,
+    case when doc_id % 17 = 0 then ' ' when doc_id % 19 = 0 then null
+      when n_chars >= 1000 then 'good' else ' POOR ' end as predicted_sentiment,
+    case when doc_id % 13 = 0 then null when n_chars % 2 = 1 then 'Toxic' else 'clean' end as predicted_category,
     case when doc_id % 9 = 0 then '  ' when quality = 1 then ' Good' else 'poor ' end as true_sentiment,
     case when doc_id % 11 = 0 then null when toxic = 1 then 'toxic' else 'CLEAN' end as true_category
   from labels join documents using (doc_id)),
 pairs as (
-  select 'sentiment' as kind, lower(trim(true_sentiment)) as "true", lower(trim(predicted_sentiment)) as predicted
+  select 'sentiment' as kind, lower(trim(true_sentiment)) as "true", coalesce(lower(trim(predicted_sentiment)), '') as predicted
   from g where trim(true_sentiment) <> ''
   union all
-  select 'category', lower(trim(true_category)), lower(trim(predicted_category))
+  select 'category', lower(trim(true_category)), coalesce(lower(trim(predicted_category)), '')
   from g where trim(true_category) <> ''),
 conf as (select kind, "true", predicted, count(*) as n from pairs group by all),
+seen as (select kind, "true" as label from conf union select kind, predicted from conf),
+cells as (select kind, x.label as "true", y.label as predicted from seen x join seen y using (kind)),
+grid as (
+  select kind, "true", predicted, coalesce(n, 0)::bigint as n
+  from cells left join conf using (kind, "true", predicted)),
 sides as (
   select kind, "true" as label, n as support, 0 as guessed,
     case when "true" = predicted then n else 0 end as tp from conf
@@ -220,9 +226,11 @@ add("clean_text", f"select page_id, {spaces(UNTAGGED)} as text from pages")
 add("html_unescape", f"select page_id, {DECODED} as html from pages")
 add("to_utc_time", f"""
 select event_id, case
-  when event_id % 6 in (0, 2, 4) then strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00'
-  when event_id % 6 = 1 then {iso('ts')}
-  when event_id % 6 = 3 then {iso('(ts - interval 150 minute)')} end as created_at
+  when event_id % 9 in (0, 2, 4, 6) then strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00'
+  when event_id % 9 = 1 then {iso('ts')}
+  when event_id % 9 = 3 then {iso('(ts - interval 150 minute)')}
+  when event_id % 9 = 7 then {iso('(ts + interval 3630250 millisecond)')}
+  when event_id % 9 = 8 then strftime(ts - interval 1 hour, '%Y-%m-%dT%H:%M:%S') || '+00:00' end as created_at
 from events""")
 add("iso_format", f"""
 select event_id, case when event_id % 2 = 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00'
@@ -464,12 +472,7 @@ add("confusion_counts", 'select kind, "true", predicted, n from conf', GOLD)
 add("label_universe", "select distinct kind, label from sides", GOLD)
 add("eval_accuracy", "select kind, correct, n, round(correct / n, 6) as accuracy from acy", GOLD)
 add("confusion_grid", """
-select 'sentiment' as kind, label as "true",
-  coalesce(sum(n) filter (predicted = 'good'), 0)::bigint as good,
-  coalesce(sum(n) filter (predicted = 'neutral'), 0)::bigint as neutral,
-  coalesce(sum(n) filter (predicted = 'poor'), 0)::bigint as poor
-from (select unnest(['good', 'neutral', 'poor']) as label) t
-left join conf on conf."true" = t.label and conf.kind = 'sentiment' group by label""", GOLD)
+select * from grid""", GOLD)
 add("class_metrics", """
 select kind, label, support, round(prec, 6) as precision, round(rec, 6) as recall, round(f1, 6) as f1
 from met""", GOLD)
@@ -480,11 +483,11 @@ union all select kind, 'support', label, null, support from met
 union all select kind, 'precision', label, null, round(prec, 6) from met
 union all select kind, 'recall', label, null, round(rec, 6) from met
 union all select kind, 'f1', label, null, round(f1, 6) from met
-union all select kind, 'confusion', "true", predicted, n from conf""", GOLD)
+union all select kind, 'confusion', "true", predicted, n from grid""", GOLD)
 add("disagreements", r"""
 select id, topic, replace(substr(text, 1, 90), '|', '\|') as text,
   predicted_sentiment as predicted, true_sentiment as "true"
-from g where trim(true_sentiment) <> '' and lower(trim(true_sentiment)) <> lower(trim(predicted_sentiment))
+from g where trim(true_sentiment) <> '' and lower(trim(true_sentiment)) <> coalesce(lower(trim(predicted_sentiment)), '')
 order by id limit 10""", GOLD)
 
 # Streaming

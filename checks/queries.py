@@ -198,8 +198,13 @@ QUERIES["html_unescape"] = QUERIES.pop("html_unescape_pages")
 
 
 def _time_json() -> Column:
-    """Event time as epoch, UTC text, text without zone, text with offset, or unusable."""
-    ts, kind = F.col("ts").cast("timestamp"), F.col("event_id") % 6
+    """Event time as epoch, ISO text of several forms, or unusable."""
+    ts, kind = F.col("ts").cast("timestamp"), F.col("event_id") % 9
+    number = lambda part, size: F.lpad(F.extract(F.lit(part), ts).cast("string"), size, "0")
+    week = F.concat(
+        number("YEAROFWEEK", 4), F.lit("-W"), number("WEEK", 2), F.lit("-"), number("DAYOFWEEK_ISO", 1),
+        F.date_format(ts, "'T'HH:mm:ss"),
+    )
     text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     written = (
         F.when(kind == 1, F.concat(text, F.lit("Z")))
@@ -207,6 +212,9 @@ def _time_json() -> Column:
         .when(kind == 3, F.concat(text, F.lit("+02:30")))
         .when(kind == 4, F.date_format(ts, "yyyyMMdd'T'HHmmss"))
         .when(kind == 5, "22:13")
+        .when(kind == 6, week)
+        .when(kind == 7, F.concat(text, F.lit("-01:00:30.25")))
+        .when(kind == 8, F.date_format(ts, "yyyy-MM-dd HH:mm:ss '+0100'"))
     )
     epoch = F.when(kind == 0, F.unix_seconds(ts).cast("string")).when(kind == 1, "abc").when(
         kind == 2, "99999999999999"
@@ -503,9 +511,7 @@ def confusion_counts(spark, sf):
 
 @query
 def confusion_grid(spark, sf):
-    return ev.full_confusion_grid(
-        _confusion(spark, sf).filter("kind = 'sentiment'"), ["good", "neutral", "poor"]
-    )
+    return ev.confusion_grid(_confusion(spark, sf))
 
 
 @query

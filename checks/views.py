@@ -176,14 +176,16 @@ def topics(spark: SparkSession) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hand-label rows: quality as sentiment, toxic as category; some left blank."""
+    """Hand-label rows: quality as sentiment, toxic as category; some labels and predictions blank."""
     d = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "n_chars")
     g = table(spark, sf_dir, "labels").join(d, "doc_id")
     doc = F.col("doc_id")
     return g.select(
         doc.cast("string").alias("id"), F.col("source").alias("topic"), "text",
-        F.when(F.col("n_chars") >= 1000, "good").otherwise(" POOR ").alias("predicted_sentiment"),
-        F.when(F.col("n_chars") % 2 == 1, "Toxic").otherwise("clean").alias("predicted_category"),
+        F.when(doc % 17 == 0, " ").when(doc % 19 == 0, F.lit(None)).when(F.col("n_chars") >= 1000, "good").otherwise(
+            " POOR ").alias("predicted_sentiment"),
+        F.when(doc % 13 == 0, F.lit(None)).when(F.col("n_chars") % 2 == 1, "Toxic").otherwise("clean").alias(
+            "predicted_category"),
         F.when(doc % 9 == 0, "  ").when(F.col("quality") == 1, " Good").otherwise("poor ").alias("true_sentiment"),
         F.when(doc % 11 == 0, F.lit(None)).when(F.col("toxic") == 1, "toxic").otherwise("CLEAN").alias("true_category"),
     )

@@ -75,23 +75,23 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def label_universe(pairs: DataFrame) -> DataFrame:
-    """Every label seen as true or predicted."""
+    """Every label seen as true or predicted, of label pairs or their counts."""
     seen = pairs.select("kind", F.explode(F.array("true", "predicted")).alias("label"))
     return seen.distinct().orderBy("kind", "label")
 
 
-def confusion_grid(confusion: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """One row per (kind, true label), one column per predicted label, zeros filled."""
-    grid = confusion.groupBy("kind", "true").pivot("predicted", list(labels)).agg(F.sum("n"))
-    return grid.na.fill(0, list(labels))
+def confusion_grid(confusion: DataFrame) -> DataFrame:
+    """Every pair of labels of a kind, `(kind, true, predicted, n)`, zeros filled.
 
-
-def full_confusion_grid(confusion: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """As `confusion_grid`, with a zero row also for labels that are never true."""
-    seed = confusion.select("kind").distinct().select(
-        "kind", F.explode(F.array(*[F.lit(x) for x in labels])).alias("true")
-    ).select("kind", "true", F.col("true").alias("predicted"), F.lit(0).cast("bigint").alias("n"))
-    return confusion_grid(confusion.unionByName(seed), labels)
+    Labels come from the data, seen as true or predicted, so none is left out;
+    the grid is as small as the label set squared.
+    """
+    universe = label_universe(confusion)
+    cells = universe.withColumnRenamed("label", "true").join(
+        universe.withColumnRenamed("label", "predicted"), "kind"
+    )
+    counted = cells.join(confusion, ["kind", "true", "predicted"], "left")
+    return counted.select("kind", "true", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def class_metrics(confusion: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def evaluation_report(pairs: DataFrame) -> DataFrame:
     metrics = class_metrics(confusion).select("kind", "label", F.inline(F.array(*[
         F.struct(F.lit(m).alias("section"), F.col(m).cast("double").alias("value")) for m in names
     ]))).select("kind", "section", "label", text.alias("predicted"), "value")
-    counts = confusion.select(
+    counts = confusion_grid(confusion).select(
         "kind", F.lit("confusion").alias("section"), F.col("true").alias("label"), "predicted",
         F.col("n").cast("double").alias("value"),
     )

@@ -34,7 +34,7 @@ def evaluation(gold: DataFrame) -> dict[str, DataFrame]:
     return {
         "accuracy": ev.accuracy(confusion),
         "class_metrics": ev.class_metrics(confusion),
-        "confusion": confusion,
+        "confusion": ev.confusion_grid(confusion),
         "disagreements": ev.disagreements(gold),
     }
 

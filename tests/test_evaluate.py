@@ -55,13 +55,14 @@ def test_published_figures(gold):
 
 
 def test_grid_has_every_label(gold):
-    confusion = ev.confusion_counts(ev.label_pairs(gold, ["sentiment"]))
-    labels = ["negative", "neutral", "positive", "unseen"]
-    rows = {r.true: tuple(r[x] for x in labels) for r in ev.full_confusion_grid(confusion, labels).collect()}
-    assert rows == {
-        "negative": (6, 2, 0, 0), "neutral": (0, 12, 0, 0), "positive": (0, 3, 2, 0),
-        "unseen": (0, 0, 0, 0),
-    }
+    grid = ev.confusion_grid(ev.confusion_counts(ev.label_pairs(gold)))
+    cells = {(r.true, r.predicted): r.n for r in grid.collect() if r.kind == "sentiment"}
+    labels = ("negative", "neutral", "positive")
+    rows = {x: tuple(cells[x, y] for y in labels) for x in labels}
+    assert len(cells) == 9
+    assert rows == {"negative": (6, 2, 0), "neutral": (0, 12, 0), "positive": (0, 3, 2)}
+    kinds = {r.kind: r.n for r in grid.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert kinds == {"sentiment": 9, "category": 25}
 
 
 def test_disagreements(gold):

@@ -1,6 +1,7 @@
 """Cleaning, entities, times, truncation."""
 
 import html
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -72,6 +73,27 @@ def test_iso_text_to_utc(spark):
     assert got == [want for _, want in ISO_TEXTS]
 
 
+def test_iso_forms_equal_python(spark):
+    """Calendar and week dates, with times and offsets, as Python's own parser reads them."""
+    dates = ["2023-11-14", "20231114", "2023-W46-2", "2023W462", "2023-W46", "2023W46", "2020-W53-7", "2021-W53-1",
+             "2024-W01-1", "2026-W53-5", "2023-W00-1", "2023-W46-8", "2023-W462"]
+    times = ["", "T22", " 22:13", "T221320", "T22:13:20.5", "T22:13:20,1234567", "T24:00", "T22:13:"]
+    offsets = ["", "Z", " Z", "+02:30", "-0130", " +01", "  +01", "+02:30:15.5", "-023015,25", "+24:00", " "]
+    texts = [d + t + o for d in dates for t in times for o in offsets if t or not o]
+
+    def wanted(text):
+        try:
+            at = datetime.fromisoformat(text.replace("Z", "+00:00"))
+        except ValueError:
+            return None
+        return (at if at.tzinfo else at.replace(tzinfo=timezone.utc)).astimezone(timezone.utc).isoformat()
+
+    texts += ["2023-11-14\n", "2023-W46-20", "0001-W01-1", "0001-01-01T00:00+01:00"]
+    got = values(spark, texts, lambda c: iso_text(iso_to_timestamp(c)))
+    differ = [(t, g, wanted(t)) for t, g in zip(texts[:-1], got, strict=False) if g != wanted(t)]
+    assert not differ and got[-1] is None
+
+
 def test_epoch_range(spark):
     frame = spark.createDataFrame([(1_700_000_000,), (0,), (253402300800,), (-62135596801,)], "e bigint")
     got = [r[0] for r in frame.select(iso_text(epoch_to_timestamp(F.col("e")))).collect()]
