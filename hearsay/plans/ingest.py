@@ -14,7 +14,7 @@ from hearsay.operators.normalise import (
 from hearsay.operators.pages import capped_hits, frontier, topic_frame
 from hearsay.operators.runs import COUNTERS
 from hearsay.operators.upsert import first_per_payload, insert_or_ignore, last_per_id
-from hearsay.session import shared_folder
+from hearsay.session import staging
 from hearsay.settings import RunSettings
 from hearsay.sources.landing import read_landing
 from hearsay.sources.store import MentionStore
@@ -28,33 +28,36 @@ def batch_hits(spark: SparkSession, pages: DataFrame, settings: RunSettings) ->
     )
 
 
-def batch_counters(
-    spark: SparkSession, pages: DataFrame, stored: DataFrame, settings: RunSettings, at: datetime
-) -> DataFrame:
-    """The counters a run over `pages` would give, as one row, without writing.
+def step_counters(assessed: DataFrame, stored: DataFrame) -> DataFrame:
+    """Normalised, quarantined, inserted and duplicate counts of assessed hits, as one row.
 
     Hits are read once: valid ones are counted per id, which also gives the
     number of unique ids; rejects fall into the group without id.
     """
-    topics = topic_frame(spark, settings.topics)
-    assessed = assess_hits(
-        batch_hits(spark, pages, settings), F.lit(at), settings.source, settings.permalink_prefix
-    )
     per_id = assessed.select(F.when(F.col("reason").isNull(), F.col("id")).alias("id")).groupBy(
         "id"
     ).agg(F.count(F.lit(1)).alias("n"))
-    known = stored.select(
-        "id", (F.col("sentiment").isNull() | F.col("category").isNull()).alias("open")
-    )
-    valid = F.col("id").isNotNull()
-    counted = per_id.join(known.select("id", F.lit(True).alias("known")), "id", "left").agg(
-        F.sum(F.when(valid, F.col("n"))).alias("normalised"),
-        F.sum(F.when(~valid, F.col("n"))).alias("quarantined"),
+    known = stored.select("id", F.lit(True).alias("known"))
+    valid, zero = F.col("id").isNotNull(), F.lit(0).cast("bigint")
+    return per_id.join(known, "id", "left").agg(
+        F.coalesce(F.sum(F.when(valid, F.col("n"))), zero).alias("normalised"),
+        F.coalesce(F.sum(F.when(~valid, F.col("n"))), zero).alias("quarantined"),
         F.count_if(valid & F.col("known").isNull()).alias("inserted"),
         F.count_if(valid & F.col("known").isNotNull()).alias("duplicates"),
-        F.count_if(valid & F.col("known").isNull()).alias("classified"),
     )
-    pending = known.agg(F.count_if("open").alias("classified"))
+
+
+def batch_counters(
+    spark: SparkSession, pages: DataFrame, stored: DataFrame, settings: RunSettings, at: datetime
+) -> DataFrame:
+    """The counters a run over `pages` would give, as one row, without writing."""
+    topics = topic_frame(spark, settings.topics)
+    assessed = assess_hits(
+        batch_hits(spark, pages, settings), F.lit(at), settings.source, settings.permalink_prefix
+    )
+    counted = step_counters(assessed, stored).withColumn("classified", F.col("inserted"))
+    missing = F.col("sentiment").isNull() | F.col("category").isNull()
+    pending = stored.agg(F.count_if(missing).alias("classified"))
     facts = pages.select("topic", "page", "n_hits", "nb_pages")
     ends = frontier(facts, topics, len(settings.topics), settings.max_pages)
     cached = ends.agg(F.sum(F.col("last_page") + 1).alias("from_cache"))
@@ -79,43 +82,27 @@ def ingest_hits(
     spark = store.spark
     stamp = F.lit(at).cast("timestamp")
     assessed = assess_hits(hits, stamp, settings.source, settings.permalink_prefix)
-    staged = _written(assessed, spark, "staged-hits")
-    valid = staged.filter("reason is null")
-    unique = valid.select("id").distinct().count()
-
-    batch = last_per_id(valid.select(*RECORD_COLUMNS, *ORDER_COLUMNS))
-    fresh = insert_or_ignore(batch, store.table("mentions_base"), "id")
-    fresh = _written(label_records(fresh, settings), spark, "new-mentions")
-    inserted = fresh.count()
-    store.append(fresh, "mentions_base")
-    store.append(fresh.withColumn("labelled_at", stamp), "mention_labels")
-
-    # Rows that an earlier run stored but did not label; usually none.
-    left = store.unlabelled_ids()
-    late = left.count()
-    if late:
-        open_rows = store.table("mentions_base").join(left, "id", "left_semi")
-        labels = label_rows(open_rows, settings).withColumn("labelled_at", stamp)
-        store.append(labels, "mention_labels")
-
-    rejects = first_per_payload(rejected_hits(staged))
-    store.append(insert_or_ignore(rejects, store.quarantine(), "payload_hash"), "quarantine")
-    total = staged.count()
-    normalised = valid.count()
-    return {
-        "normalised": normalised,
-        "quarantined": total - normalised,
-        "inserted": inserted,
-        "duplicates": unique - inserted,
-        "classified": inserted + late,
-    }
-
-
-def _written(frame: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """The frame as a table written to the shared folder."""
-    folder = shared_folder(spark, name)
-    frame.write.parquet(folder)
-    return spark.read.parquet(folder)
+    with staging(spark) as written:
+        staged = written(assessed, "staged-hits")
+        counters = step_counters(staged, store.table("mentions_base")).first().asDict()
+
+        batch = last_per_id(staged.filter("reason is null").select(*RECORD_COLUMNS, *ORDER_COLUMNS))
+        fresh = insert_or_ignore(batch, store.table("mentions_base"), "id")
+        fresh = written(label_records(fresh, settings), "new-mentions")
+        store.append(fresh, "mentions_base")
+        store.append(fresh.withColumn("labelled_at", stamp), "mention_labels")
+
+        # Rows that an earlier run stored but did not label; usually none.
+        left = store.unlabelled_ids()
+        late = left.count()
+        if late:
+            open_rows = store.table("mentions_base").join(left, "id", "left_semi")
+            labels = label_rows(open_rows, settings).withColumn("labelled_at", stamp)
+            store.append(labels, "mention_labels")
+
+        rejects = first_per_payload(rejected_hits(staged))
+        store.append(insert_or_ignore(rejects, store.quarantine(), "payload_hash"), "quarantine")
+    return counters | {"classified": counters["inserted"] + late}
 
 
 def run(

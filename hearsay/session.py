@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +33,24 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{parent.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Give `write(frame, name)`: the frame as a table in the shared folder. All are deleted at the end."""
+    made: list[str] = []
+
+    def write(frame: DataFrame, name: str) -> DataFrame:
+        made.append(shared_folder(spark, name))
+        frame.write.parquet(made[-1])
+        return spark.read.parquet(made[-1])
+
+    try:
+        yield write
+    finally:
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(frame: DataFrame, key: str) -> DataFrame:
     """Split an input of few files over all cores before costly per-row work.
 

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hearsay.operators.pages import capped_pages, named_pages, taken_hits, topic_frame
+from hearsay.operators.pages import FACTS, capped_pages, named_pages, taken_hits, topic_frame
 from hearsay.plans.ingest import ingest_hits
+from hearsay.session import broadcast_if, staging
 from hearsay.settings import RunSettings, Topic
 from hearsay.sources.landing import LANDING_SCHEMA, land, page_of_path, read_landing, topic_of_path
 from hearsay.sources.store import MentionStore
@@ -58,7 +59,12 @@ def ingest_stream(
     spark: SparkSession, landing: str, store: MentionStore, settings: RunSettings,
     checkpoint: str, clock: Callable[[], datetime] = _utc_now, max_files: int | None = None,
 ) -> StreamingQuery:
-    """Load newly landed pages, and older ones they unblock, then stop."""
+    """Load newly landed pages, and older ones they unblock, then stop.
+
+    A landing area where nothing was landed yet gives no rows.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     reader = spark.readStream.schema(LANDING_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -75,18 +81,33 @@ def ingest_arrivals(
 ) -> dict[str, int]:
     """Load the accepted pages, not loaded yet, of the topics that got new pages.
 
-    Paging is decided again on the page facts of those topics only; payloads are
-    read for the chosen pages alone. Pages are marked done last.
+    Paging is decided on the page facts of those topics, and the open pages are
+    written as a small table of keys; only then are payloads read. Pages are
+    marked done last.
     """
     spark = store.spark
     n_topics = len(settings.topics)
     touched = topic_frame(spark, settings.topics).join(
         arrivals.select("topic").distinct(), "topic", "left_semi"
     )
+    pages = read_landing(spark, landing)
     open_pages = capped_pages(
-        read_landing(spark, landing), touched, n_topics,
-        settings.hits_per_page, settings.max_items_per_topic,
+        pages.select(*FACTS), touched, n_topics, settings.hits_per_page, settings.max_items_per_topic
     ).join(store.table("done_pages"), ["topic", "page"], "left_anti")
-    counters = ingest_hits(taken_hits(open_pages), store, settings, at)
-    store.append(open_pages.select("topic", "page"), "done_pages")
+    with staging(spark) as written:
+        chosen = written(open_pages.select("topic", "topic_order", "page", "take"), "open-pages")
+        counters = ingest_hits(taken_hits(with_payload(pages, chosen)), store, settings, at)
+        store.append(chosen.select("topic", "page"), "done_pages")
     return counters
+
+
+def with_payload(pages: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The chosen pages `(topic, topic_order, page, take)` with their payloads.
+
+    Keys are counted and broadcast while they are few, so payloads stay where they
+    are and topic folders without an open page are not read; page bounds skip the
+    files of a topic that hold older pages alone.
+    """
+    n, low, high = chosen.agg(F.count(F.lit(1)), F.min("page"), F.max("page")).first()
+    readable = pages.filter(F.col("n_hits").isNotNull() & F.col("page").between(F.lit(low), F.lit(high)))
+    return readable.select("topic", "page", "payload").join(broadcast_if(chosen, n), ["topic", "page"])

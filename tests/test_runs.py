@@ -19,7 +19,7 @@ from hearsay.sources.landing import (
 )
 from hearsay.sources.reports import write_sections
 from hearsay.sources.store import MentionStore
-from hearsay.streaming.ingest import ingest_stream, land_stream
+from hearsay.streaming.ingest import ingest_stream, land_stream, with_payload
 
 AT = datetime(2026, 1, 1, tzinfo=timezone.utc)
 SETTINGS = RunSettings(topics=(Topic("one"), Topic("two")), hits_per_page=2, max_items_per_topic=5)
@@ -234,3 +234,34 @@ def test_streams_load_only_what_is_new(spark, raw, store, tmp_path):
     assert store.table("done_pages").count() == 4
     assert store.table("mention_labels").count() == 4
     assert store.mentions().filter("sentiment is null or category is null").count() == 0
+
+
+def test_streams_start_on_an_empty_landing_area(spark, raw, store, tmp_path):
+    landing, marks = str(tmp_path / "landing"), str(tmp_path / "marks")
+    ingest_stream(spark, landing, store, SETTINGS, marks, lambda: AT).awaitTermination()
+    assert store.count().first()["n"] == 0
+    land(spark, named_pages(scan_page_files(spark, str(raw)), SETTINGS.topics), landing)
+    ingest_stream(spark, landing, store, SETTINGS, marks, lambda: AT).awaitTermination()
+    assert store.count().first()["n"] == 3
+
+
+def test_payloads_of_open_pages_are_not_shuffled(spark, raw, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(spark, named_pages(scan_page_files(spark, str(raw)), SETTINGS.topics), landing)
+    chosen = spark.createDataFrame([("one", 0, 1, 2)], "topic string, topic_order int, page int, take int")
+    found = with_payload(read_landing(spark, landing), chosen)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "dynamicpruning" in plan
+    assert "GreaterThanOrEqual(page,1)" in plan and "LessThanOrEqual(page,1)" in plan
+    assert [(r.topic, r.page) for r in found.collect()] == [("one", 1)]
+    nothing = chosen.limit(0)
+    assert with_payload(read_landing(spark, landing), nothing).isEmpty()
+
+
+def test_no_staging_stays_behind(spark, raw, store, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr("hearsay.session.shared_folder", lambda _, name: str(shared / name))
+    landing = str(tmp_path / "landing")
+    land(spark, named_pages(scan_page_files(spark, str(raw)), SETTINGS.topics), landing)
+    assert run(spark, landing, store, SETTINGS, "r", AT)["inserted"] == 3
+    assert shared.exists() and not any(shared.iterdir())
