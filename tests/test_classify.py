@@ -103,7 +103,8 @@ def test_lexicon_file(spark, tmp_path):
 
 def test_settings_checks():
     assert "other" in RunSettings(topics=(Topic("a"),), categories=("criticism",)).categories
-    assert RunSettings(topics=(Topic("a"),)).max_pages == 2
+    assert RunSettings(topics=(Topic("a"),)).max_pages is None
+    assert RunSettings(topics=(Topic("a"),), max_items_per_topic=100).max_pages == 2
     for topics in ((), (Topic("a"), Topic("a")), (Topic(""),)):
         with pytest.raises(ValueError):
             RunSettings(topics=topics)
