@@ -33,15 +33,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled URLs: those whose last number is the id of a labelled document."""
-    pages = _table(spark, sf_dir, "pages")
-    labels = _table(spark, sf_dir, "labels")
-    number = F.regexp_extract("url", r"/([0-9]{1,18})[^0-9/]*$", 1)
+def labelled_urls(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(url, label) of the pages whose path ends in the id of a labelled document.
+
+    The id begins the last segment; an extension or a slash may follow it. Query and
+    fragment do not count, nor does the host.
+    """
+    path = F.regexp_extract("url", r"(?s)^(?:.*?://[^/?#]*)?([^?#]*)", 1)
+    number = F.regexp_extract(path, r"/([0-9]{1,18})[^0-9/]*/?$", 1)
     named = pages.select("url", number.alias("n")).where("n <> ''").selectExpr("url", "cast(n as bigint) as doc_id")
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    labelled = named.join(labels.select("doc_id", bad.cast("int").alias("label")), "doc_id").select("url", "label")
-    return url_filter(pages, labelled, URL_RULES)
+    return named.join(labels.select("doc_id", bad.cast("int").alias("label")), "doc_id").select("url", "label")
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return url_filter(pages, labelled_urls(pages, _table(spark, sf_dir, "labels")), URL_RULES)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

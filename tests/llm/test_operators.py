@@ -20,7 +20,7 @@ from hearsay.llm.mixing import mix_sources, mixed_documents
 from hearsay.llm.ngram_join import ngram_join, one_per_component
 from hearsay.llm.oracle import ORACLE
 from hearsay.llm.quality_rules import keep_good, quality_rules
-from hearsay.llm.queries import QUERIES, URL_RULES
+from hearsay.llm.queries import QUERIES, URL_RULES, labelled_urls
 from hearsay.llm.secret_scan import pattern_spans, ratio_table, secret_scan, transition_counts
 from hearsay.llm.site_quality import site_quality
 from hearsay.llm.toxicity import score_chain, train_chain
@@ -250,6 +250,16 @@ def test_url_filter(spark):
     assert none.where("rule is null and verdict = 'block'").isEmpty()
 
 
+def test_labels_reach_every_url_ending(spark):
+    ends = ["", "/", ".html", "#top", "?page=2", "?page=2&ref=x"]
+    urls = [f"https://h{i}.example.com/de/{i}{end}" for i, end in enumerate(ends, 10)]
+    other = ["http://12.example.com", "http://a.net/en/x?id=/12", "http://a.net/en/#/12", None]
+    pages = spark.createDataFrame([(u,) for u in [*urls, *other]], "url string")
+    labels = spark.createDataFrame([(i, 1, int(i == 12)) for i in range(10, 16)], "doc_id long, quality int, toxic int")
+    got = {tuple(r) for r in labelled_urls(pages, labels).collect()}
+    assert got == {(u, int(i == 12)) for i, u in enumerate(urls, 10)}
+
+
 def test_empty_tables(spark, docs, labels):
     none = docs.limit(0)
     frames = [
