@@ -1,19 +1,21 @@
-"""LM scoring with a hidden Markov model over word classes.
+"""LM scoring with a hidden Markov model over words.
 
-Word counts cover all training documents. The most frequent words are classes of
-their own, other words share a class per length; a text is its classes and one
-end. Baum-Welch trains latent states: every pass sends the parameters to the
-partitions and adds up their expected counts. The scaled forward recursion then
-gives each whole text's exact likelihood under the model; a word in a shared
-class adds its smoothed share of that class.
+Word counts cover all training documents, and every training word has emissions
+of its own in every state. A text is its words and one end. Baum-Welch trains the
+latent states: tasks add up the expected counts of (state, word), which are summed
+by word in a table on Spark that grows with the vocabulary. The scaled forward and
+backward recursions run over whole texts, however long.
 
-For the expected counts, texts are cut into segments of `SEGMENT` tokens that
-cover them wholly; scoring does not cut.
+Emissions are expected counts and half a count, which each word gets dealt over
+the states by their tokens: a word that training has not seen is about as likely
+as under the smoothed unigram of `base_score`.
 
-Counts of the `frequent` most frequent words travel to the tasks (a bounded
-table). All other words meet their counts in a join on the word, so nothing that
-grows with the vocabulary is broadcast, and no hot word is left for the join.
-Words are identified by 64-bit hashes.
+Texts are coded in chunks of about `CHUNK` bytes, with the chunk's distinct words.
+Counts and emissions of the `frequent` most frequent words travel to the tasks (a
+bounded table). All other words meet theirs in a join on the word, one row per
+chunk and word, so nothing that grows with the vocabulary is broadcast or sent to
+the driver, and no hot word is left for the join. Words are identified by 64-bit
+hashes.
 
 Defined results: a null or empty text is one end; a null id counts as training;
 without training documents counts are zero and the model is uniform; repeated
@@ -28,52 +30,37 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearsay.llm.common import stage
-from hearsay.llm.words import slices, text_bytes, word_borders, word_hashes
+from hearsay.llm.common import discard, stage
+from hearsay.llm.words import hashed_words, mix, slices
 
-STATES, CLASSES, FREQUENT, PASSES = 8, 1_000, 150_000, 6
-SEGMENT, SEGMENTS = 128, 1_024
-# Upper byte lengths of the shared classes.
-LENGTHS = np.array([3, 5, 7, 9, 12])
-SHARED = len(LENGTHS) + 1
-
-
-def hashed_with_length(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, their length classes, and where each text's words begin."""
-    data, bounds = text_bytes(texts)
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
-    starts, ends, first = word_borders(data, bounds)
-    return word_hashes(data, starts, ends), np.searchsorted(LENGTHS, ends - starts), first
+STATES, FREQUENT, PASSES = 8, 150_000, 6
+# Bytes of text in a chunk; tokens whose recursions run in step; steps kept at once of a longer block.
+CHUNK, BLOCK, STEPS = 1 << 21, 1 << 18, 1_024
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, length class, n) over all rows of a one-column frame; added up per batch before the shuffle."""
+    """(word, n) over all rows of a one-column frame; added up per batch before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held: list[tuple[np.ndarray, np.ndarray]] = []
+            held: list[np.ndarray] = []
             size = 0
             for part in [*slices(batch, 0), None]:
                 if part is not None:
-                    h, length, _ = hashed_with_length(part.column(0))
-                    held.append((h, length))
-                    size += len(h)
+                    held.append(hashed_words(part.column(0))[0])
+                    size += len(held[-1])
                 if size and (part is None or size > 8_000_000):
-                    h = np.concatenate([a for a, _ in held])
-                    length = np.concatenate([b for _, b in held])
-                    word, at, n = np.unique(h, return_index=True, return_counts=True)
+                    word, n = np.unique(np.concatenate(held), return_counts=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(word.view(np.int64)), pa.array(length[at]), pa.array(n.astype(np.int64))],
-                        names=["word", "length", "n"],
+                        [pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"]
                     )
                     held, size = [], 0
 
-    found = texts.mapInArrow(run, "word long, length long, n long")
-    return found.groupBy("word").agg(F.first("length").alias("length"), F.sum("n").alias("n"))
+    found = texts.mapInArrow(run, "word long, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -81,289 +68,348 @@ class Vocabulary:
     """What tasks need to know about words."""
 
     words: np.ndarray  # sorted hashes of the frequent words
-    counts: np.ndarray  # their counts
-    classes: np.ndarray  # their class, -1: shared
-    n_classes: int  # own classes; then the end, then the shared classes
+    counts: np.ndarray  # their counts, then the number of ends
     train_tokens: int
     distinct: int
-    shared_tokens: np.ndarray  # per shared class: tokens and distinct words
-    shared_words: np.ndarray
-    ends: int
-
-    @property
-    def base(self) -> float:
-        return self.train_tokens + 0.5 * (self.distinct + 1)
 
     @property
-    def shared_base(self) -> np.ndarray:
-        return self.shared_tokens + 0.5 * (self.shared_words + 1)
+    def end(self) -> int:
+        return len(self.words)
 
     @property
-    def size(self) -> int:
-        return self.n_classes + 1 + SHARED
+    def base(self) -> float:
+        return self.train_tokens + 0.5 * (self.distinct + 1)
 
 
-def vocabulary(counts: DataFrame, ends: int, n_classes: int, frequent: int) -> Vocabulary:
+def vocabulary(counts: DataFrame, ends: int, frequent: int) -> Vocabulary:
     """`counts` are the words of the training documents, `ends` their number."""
-    tokens, shared_words = np.zeros(SHARED), np.zeros(SHARED)
-    for length, n, v in counts.groupBy("length").agg(F.sum("n"), F.count(F.lit(1))).collect():
-        tokens[length], shared_words[length] = n, v
-    total, distinct = int(tokens.sum()), int(shared_words.sum())
+    total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     top = counts.orderBy(F.desc("n"), "word").limit(frequent).toArrow()
-    word, length, n = (top.column(c).to_numpy() for c in ("word", "length", "n"))
-    own = min(n_classes, len(word))
-    classes = np.full(len(word), -1)
-    classes[:own] = np.arange(own)
-    np.subtract.at(tokens, length[:own], n[:own])
-    np.subtract.at(shared_words, length[:own], 1)
+    word, n = (top.column(c).to_numpy() for c in ("word", "n"))
     word = word.view(np.uint64)
     order = np.argsort(word)
-    return Vocabulary(
-        word[order], n[order], classes[order], own, total + ends, distinct + (ends > 0), tokens, shared_words, ends
-    )
+    return Vocabulary(word[order], np.append(n[order], ends), (total or 0) + ends, distinct + (ends > 0))
 
 
 def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Per row: classes of the text, the part of the sums that needs no join, and the words that do."""
+    """Chunks of training or of held-out texts.
+
+    `symbols` point into the chunk's frequent words (with the end), then its other `words`.
+    """
+
+    def code(part: pa.RecordBatch, held_out: bool) -> pa.RecordBatch:
+        h, first = hashed_words(part.column(3))
+        at = np.minimum(np.searchsorted(vocab.words, h), max(vocab.end - 1, 0))
+        hit = vocab.words[at] == h if vocab.end else np.zeros(len(h), bool)
+        words, place = np.unique(h[~hit], return_inverse=True)
+        every = np.where(hit, at, 0)
+        every[~hit] = vocab.end + 1 + place
+        distinct, symbols = np.unique(np.insert(every, first[1:], vocab.end), return_inverse=True)
+        symbols = symbols.astype("<u2" if len(distinct) <= 1 << 16 else "<u4")
+        one = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+        return pa.RecordBatch.from_arrays(
+            [part.column(0)[:1], pa.array([held_out]), one(part.column(1)), one(pa.array(np.diff(first) + 1)),
+             pa.array([symbols.tobytes()], pa.binary()), one(pa.array(distinct[distinct <= vocab.end])),
+             one(pa.array(words.view(np.int64)))],
+            names=["chunk", "held_out", "ids", "n", "symbols", "frequent", "words"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared_log = np.log10(vocab.shared_base)
         for batch in batches:
-            for part in slices(batch, 3):
-                h, length, first = hashed_with_length(part.column(3))
-                n = np.diff(first)
-                doc = np.repeat(np.arange(len(n)), n)
-                at = np.minimum(np.searchsorted(vocab.words, h), max(len(vocab.words) - 1, 0))
-                hit = vocab.words[at] == h if len(vocab.words) else np.zeros(len(h), bool)
-                count = np.where(hit, vocab.counts[at], 0) if len(vocab.words) else np.zeros(len(h))
-                own = np.where(hit, vocab.classes[at], -1) if len(vocab.words) else np.full(len(h), -1)
-                symbol = np.where(own >= 0, own, vocab.n_classes + 1 + length).astype("<u2")
-                base = np.bincount(doc, np.where(hit, np.log10(count + 0.5), 0.0), len(n))
-                shared = hit & (own < 0)
-                extra = np.where(shared, np.log10(count + 0.5) - shared_log[length], 0.0)
-                extra = np.bincount(doc, extra, len(n))
-                known = np.bincount(doc[hit], minlength=len(n))
-                # The other words, once per text.
-                w, d, ln = h[~hit], doc[~hit], length[~hit]
-                order = np.lexsort((w, d))
-                w, d, ln = w[order], d[order], ln[order]
-                new = np.ones(len(w), bool)
-                new[1:] = (w[1:] != w[:-1]) | (d[1:] != d[:-1])
-                where = np.flatnonzero(new)
-                times = np.diff(np.append(where, len(w)))
-                cuts = pa.array(np.searchsorted(d[where], np.arange(len(n) + 1)).astype(np.int32))
-                lists = [
-                    pa.ListArray.from_arrays(cuts, pa.array(v.astype(np.int64)))
-                    for v in (w[where].view(np.int64), ln[where], times)
-                ]
-                packed = [symbol[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], pa.array(packed, pa.binary()), pa.array(n.astype(np.int64)),
-                     pa.array(known.astype(np.int64)), pa.array(base), pa.array(extra), *lists],
-                    names=["row", "doc_id", "held_out", "classes", "n", "known", "base", "extra",
-                           "words", "lengths", "times"],
-                )
+            for part in slices(batch, 3, CHUNK):
+                held = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
+                for kind in (False, True):
+                    if (held == kind).any():
+                        yield code(part.filter(pa.array(held == kind)), kind)
 
     id_type = dict(docs.dtypes)["doc_id"]
     return docs.mapInArrow(
         run,
-        f"row long, doc_id {id_type}, held_out boolean, classes binary, n long, known long, base double, "
-        "extra double, words array<long>, lengths array<long>, times array<long>",
+        f"chunk long, held_out boolean, ids array<{id_type}>, n array<long>, symbols binary, "
+        "frequent array<long>, words array<long>",
     )
 
 
 @dataclass
 class Hmm:
-    """Start of a text, start of a later segment, transitions, and emissions (states x classes)."""
+    """Start of a text, expected tokens, transitions, and emissions (states x words; in training the frequent ones)."""
 
     start: np.ndarray
-    later: np.ndarray
+    tokens: np.ndarray
     move: np.ndarray
     emit: np.ndarray
 
 
-def first_guess(unigram: np.ndarray, states: int, seed: int = 11) -> Hmm:
-    """Sticky states whose emissions are the class shares, each word favoured at random."""
-    noise = np.exp(np.random.default_rng(seed).normal(size=(states, len(unigram))))
-    emit = unigram * noise
-    even = np.full(states, 1.0 / states)
-    move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
-    return Hmm(even, even, move, emit / emit.sum(axis=1, keepdims=True))
+def emissions(expected: np.ndarray, tokens: np.ndarray, distinct: int) -> np.ndarray:
+    """Probabilities (words x states) from the words' expected counts and the states' tokens."""
+    half = 0.5 * (tokens + 0.1) / (tokens + 0.1).sum()
+    return (expected + half) / (tokens + half * (distinct + 1))
 
 
-def expected_counts(obs: np.ndarray, initial: np.ndarray, hmm: Hmm, later: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Baum-Welch sums over a block of segments (rows; -1 pads). `later` marks non-first segments."""
-    rows, length = obs.shape
-    states, size = hmm.emit.shape
-    table = np.vstack([hmm.emit.T, np.ones(states)])  # the last row serves the padding
-    shown = table[obs.T]
-    alpha = np.empty((length, rows, states))
-    scale = np.empty((length, rows, 1))
-    now = initial * shown[0]
-    for t in range(length):
-        if t:
-            now = (alpha[t - 1] @ hmm.move) * shown[t]
-        scale[t] = now.sum(axis=1, keepdims=True)
-        alpha[t] = now / scale[t]
-    beta = np.ones((rows, states))
-    gamma = np.empty_like(alpha)
-    pairs = np.zeros((states, states))
-    gamma[-1] = alpha[-1]
-    valid = obs.T >= 0
-    for t in range(length - 2, -1, -1):
-        ahead = shown[t + 1] * beta / scale[t + 1]
-        pairs += alpha[t].T @ (ahead * valid[t + 1][:, None])
-        beta = ahead @ hmm.move.T
-        gamma[t] = alpha[t] * beta
-    seen = obs.T[valid]
-    weight = gamma[valid]
-    emit = np.stack([np.bincount(seen, weight[:, k], size) for k in range(states)])
-    return gamma[0][~later].sum(axis=0), gamma[0][later].sum(axis=0), pairs * hmm.move, emit
-
-
-def segment_block(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All segments of the texts as padded rows, and which are not the first of a text."""
-    cut = [(t[i : i + SEGMENT], i > 0) for t in texts for i in range(0, len(t), SEGMENT)]
-    cut.sort(key=lambda c: len(c[0]))
-    obs = np.full((len(cut), SEGMENT), -1, np.int64)
-    for r, (c, _) in enumerate(cut):
-        obs[r, : len(c)] = c
-    return obs, np.array([late for _, late in cut], bool)
-
-
-def with_end(packed: bytes, end: int) -> np.ndarray:
-    return np.append(np.frombuffer(packed, "<u2"), np.uint16(end))
-
-
-def baum_welch_pass(rows: DataFrame, hmm: Hmm, end: int, unigram: np.ndarray) -> Hmm:
-    """One pass over all training texts; partitions add up, the sums of a fixed number of cells come back."""
-    states, size = hmm.emit.shape
+def first_shares(words: np.ndarray, states: int) -> np.ndarray:
+    """How a word's count is dealt over the states at first: at random, by its hash."""
+    seeds = np.arange(1, states + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    noise = np.exp(12**0.5 * ((mix(words[:, None] ^ seeds) >> np.uint64(11)) / 2.0**53 - 0.5))
+    return noise / noise.sum(axis=1, keepdims=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * states + states * states + states * size)
 
-        def add(texts: list[np.ndarray]) -> None:
-            obs, later = segment_block(texts)
-            for a in range(0, len(obs), SEGMENTS):
-                block, late = obs[a : a + SEGMENTS], later[a : a + SEGMENTS]
-                block = block[:, : int((block >= 0).sum(axis=1).max())]
-                initial = np.where(late[:, None], hmm.later, hmm.start)
-                total[:] += np.concatenate([x.ravel() for x in expected_counts(block, initial, hmm, late)])
+def cells(states: int) -> list[str]:
+    return [f"g{k}" for k in range(states)]
 
-        for batch in batches:
-            held: list[np.ndarray] = []
-            size_held = 0
-            for packed in batch.column(0):
-                held.append(with_end(packed.as_py(), end))
-                size_held += len(held[-1])
-                if size_held > 2 * SEGMENT * SEGMENTS:
-                    add(held)
-                    held, size_held = [], 0
-            if held:
-                add(held)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "value"])
-
-    sums = rows.select("classes").mapInArrow(run, "cell long, value double")
-    found = sums.groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
-    total = np.zeros(2 * states + states * states + states * size)
-    total[found.column("cell").to_numpy()] = found.column("value").to_numpy()
-    start, later, move, emit = np.split(total, [states, 2 * states, 2 * states + states * states])
-    share = lambda x: x / x.sum(axis=-1, keepdims=True)
-    return Hmm(
-        share(start + 0.1), share(later + 0.1), share(move.reshape(states, states) + 0.1),
-        share(emit.reshape(states, size) + 20 * unigram),
+
+def count_schema(states: int) -> str:
+    return "word long, place long, " + ", ".join(f"{g} float" for g in cells(states))
+
+
+def count_batch(words: np.ndarray, places: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(v) for v in values.T.astype(np.float32)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(words.astype(np.int64)), pa.array(places.astype(np.int64)), *columns],
+        names=["word", "place", *cells(values.shape[1])],
     )
 
 
-def log_likelihoods(texts: list[np.ndarray], hmm: Hmm) -> np.ndarray:
-    """log10 of each whole text's probability: the forward recursion, all texts in step.
+def first_guess(counts: DataFrame, vocab: Vocabulary, states: int) -> tuple[DataFrame, Hmm]:
+    """Expected counts by word, and sticky states."""
 
-    Texts are sorted by length, so those still running are always the first rows.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, n = (batch.column(i).to_numpy() for i in range(2))
+            yield count_batch(word, np.full(len(word), -1), n[:, None] * first_shares(word.view(np.uint64), states))
+
+    expected = stage(counts.mapInArrow(run, count_schema(states)), "expected")
+    even = np.full(states, 1.0 / states)
+    shares = np.vstack([first_shares(vocab.words, states), even])
+    tokens = state_tokens(expected, states) + vocab.counts[-1] * even
+    move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
+    emit = emissions(vocab.counts[:, None] * shares, tokens, vocab.distinct)
+    return expected, Hmm(even, tokens, move, emit.T)
+
+
+def state_tokens(expected: DataFrame, states: int) -> np.ndarray:
+    return np.array([x or 0.0 for x in expected.agg(*[F.sum(g) for g in cells(states)]).first()])
+
+
+def in_step(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Order by falling length, so that those still running are always the first rows; all symbols; where texts begin; rows running at each step."""
     n = np.array([len(t) for t in texts])
     order = np.argsort(-n, kind="stable")
     length = n[order]
     flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
     begin = np.concatenate([[0], np.cumsum(length)[:-1]])
+    live = np.searchsorted(-length, -np.arange(int(length[0])), "left")
+    return order, flat, begin, live
+
+
+def expected_counts(texts: list[np.ndarray], hmm: Hmm, steps: int | None = None) -> tuple[np.ndarray, ...]:
+    """Baum-Welch sums over whole texts: of starts, transitions and emissions (words x states).
+
+    Of long blocks, `steps` steps are kept at once; the forward recursion starts anew
+    from its state at their border, and the backward recursion is carried over it.
+    """
+    states, size = hmm.emit.shape
+    table = np.ascontiguousarray(hmm.emit.T)
+    _, flat, begin, live = in_step(texts)
+    last = len(live)
+    steps = steps or (last if len(flat) <= 4 * BLOCK else STEPS)
+
+    def forward(now: np.ndarray | None, t: int) -> tuple[np.ndarray, ...]:
+        shown = table[flat[begin[: live[t]] + t]]
+        now = (hmm.start if now is None else now[: live[t]] @ hmm.move) * shown
+        scale = now.sum(axis=1, keepdims=True)
+        return now / scale, shown / scale
+
+    borders, now = [], None
+    for a in range(0, last, steps):
+        borders.append(now)
+        for t in range(a, a + steps if a + steps < last else a):
+            now = forward(now, t)[0]
+    pairs, emit = np.zeros((states, states)), np.zeros((size, states))
+    ahead = np.zeros((0, states))
+    for a in reversed(range(0, last, steps)):
+        kept, now = [], borders.pop()
+        for t in range(a, min(a + steps, last)):
+            kept.append(forward(now, t))
+            now = kept[-1][0]
+        seen, weight = [], []
+        for t in reversed(range(a, a + len(kept))):
+            alpha, shown = kept.pop()
+            pairs += alpha[: len(ahead)].T @ ahead
+            beta = np.ones_like(alpha)
+            beta[: len(ahead)] = ahead @ hmm.move.T
+            seen.append(flat[begin[: live[t]] + t])
+            weight.append(alpha * beta)
+            ahead = shown * beta
+        seen, first = np.concatenate(seen), weight[-1]
+        weight = np.concatenate(weight)
+        for k in range(states):
+            emit[:, k] += np.bincount(seen, weight[:, k], size)
+    return first.sum(axis=0), pairs * hmm.move, emit
+
+
+@dataclass
+class Chunk:
+    """A chunk's texts, and counts and emissions of its words: the frequent ones, then the others."""
+
+    ids: pa.Array
+    texts: list[np.ndarray]
+    frequent: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
+    table: np.ndarray
+
+
+def opened(batch: pa.RecordBatch, hmm: Hmm, vocab: Vocabulary) -> Iterator[Chunk]:
+    states = len(hmm.start)
+    for i in range(batch.num_rows):
+        n, frequent, words = (batch.column(c)[i].values.to_numpy() for c in ("n", "frequent", "words"))
+        packed = batch.column("symbols")[i].as_py()
+        symbols = np.frombuffer(packed, f"<u{len(packed) // int(n.sum())}")
+        count, expected = np.zeros(len(words)), np.zeros((len(words), states))
+        rest = batch.column("rest")[i].values
+        if rest is not None:
+            at, count_at, *found = (rest.field(j).to_numpy() for j in range(2 + states))
+            count[at], expected[at] = count_at, np.stack(found, axis=1)
+        table = np.vstack([hmm.emit.T[frequent], emissions(expected, hmm.tokens, vocab.distinct)])
+        yield Chunk(
+            batch.column("ids")[i].values, np.split(symbols, np.cumsum(n)[:-1]), frequent, words,
+            np.concatenate([vocab.counts[frequent], count]), table,
+        )
+
+
+def blocks(batches: Iterator[pa.RecordBatch], hmm: Hmm, vocab: Vocabulary) -> Iterator[list[Chunk]]:
+    held: list[Chunk] = []
+    size = 0
+    for batch in batches:
+        for chunk in opened(batch, hmm, vocab):
+            held.append(chunk)
+            size += sum(len(t) for t in chunk.texts)
+            if size > BLOCK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def together(held: list[Chunk], hmm: Hmm) -> tuple[list[np.ndarray], Hmm, np.ndarray]:
+    """All texts of a block, the model over its words, and where each chunk's words begin."""
+    first = np.cumsum([0, *[len(c.table) for c in held]])
+    texts = [t.astype(np.int64) + a for c, a in zip(held, first[:-1], strict=True) for t in c.texts]
+    return texts, Hmm(hmm.start, hmm.tokens, hmm.move, np.vstack([c.table for c in held]).T), first
+
+
+def with_counts(coded: DataFrame, needed: DataFrame, expected: DataFrame, states: int) -> DataFrame:
+    """Chunks with the counts and expected counts of their words that are not frequent."""
+    known = expected.where("place < 0").drop("place")
+    values = [F.coalesce(g, F.lit(0.0).cast("float")).alias(g) for g in cells(states)]
+    rest = needed.join(known, "word", "left").groupBy("chunk").agg(
+        F.collect_list(F.struct("at", "n", *values)).alias("rest")
+    )
+    return coded.join(rest, "chunk", "left")
+
+
+def baum_welch_pass(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary) -> tuple[DataFrame, Hmm]:
+    """One pass over all training texts. Expected counts are summed by word; those of frequent words also come back."""
+    states, end = len(hmm.start), vocab.end
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Frequent words, the end, starts, transitions.
+        total = np.zeros((end + 2 + states, states))
+        for held in blocks(batches, hmm, vocab):
+            texts, model, first = together(held, hmm)
+            start, pairs, emit = expected_counts(texts, model)
+            total[end + 1] += start
+            total[end + 2 :] += pairs
+            for c, a, b in zip(held, first[:-1], first[1:], strict=True):
+                total[c.frequent] += emit[a : a + len(c.frequent)]
+                if len(c.words):
+                    yield count_batch(c.words, np.full(len(c.words), -1), emit[a + len(c.frequent) : b])
+        place = np.flatnonzero(total.any(axis=1))
+        yield count_batch(np.zeros(len(place)), place, total[place])
+
+    g = cells(states)
+    sums = chunks.mapInArrow(run, count_schema(states))
+    expected = stage(
+        sums.groupBy("word", "place").agg(*[F.sum(c).cast("float").alias(c) for c in g]), "expected"
+    )
+    total = np.zeros((end + 2 + states, states))
+    found = expected.where("place >= 0").toArrow()
+    total[found.column("place").to_numpy()] = np.stack([found.column(c).to_numpy() for c in g], axis=1)
+    tokens = state_tokens(expected.where(F.col("place") <= end), states)
+    share = lambda x: x / x.sum(axis=-1, keepdims=True)
+    emit = emissions(total[: end + 1], tokens, vocab.distinct).T
+    return expected, Hmm(share(total[end + 1] + 0.1), tokens, share(total[end + 2 :] + 0.1), emit)
+
+
+def log_likelihoods(texts: list[np.ndarray], hmm: Hmm) -> np.ndarray:
+    """log10 of each whole text's probability: the forward recursion, all texts in step."""
+    order, flat, begin, live = in_step(texts)
     table = np.ascontiguousarray(hmm.emit.T)
     total = np.zeros(len(texts))
     now = np.broadcast_to(hmm.start, (len(texts), len(hmm.start)))
-    for t in range(int(length[0])):
-        live = int(np.searchsorted(-length, -t, "left"))
-        now = (now[:live] if t == 0 else now[:live] @ hmm.move) * table[flat[begin[:live] + t]]
+    for t, rows in enumerate(live):
+        now = (now[:rows] if t == 0 else now[:rows] @ hmm.move) * table[flat[begin[:rows] + t]]
         scale = now.sum(axis=1)
         now = now / scale[:, None]
-        total[:live] += np.log10(scale)
+        total[:rows] += np.log10(scale)
     out = np.empty(len(texts))
     out[order] = total
     return out
 
 
-def scored(rows: DataFrame, hmm: Hmm, end: int) -> DataFrame:
-    names = ["row", "doc_id", "held_out", "n", "known", "base", "extra"]
+def scored(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary) -> DataFrame:
+    names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            texts = [with_end(p.as_py(), end) for p in batch.column(len(names))]
+        for held in blocks(batches, hmm, vocab):
+            texts, model, _ = together(held, hmm)
+            n = np.array([len(t) for t in texts])
+            begin, flat = np.cumsum(n) - n, np.concatenate(texts)
+            count = np.concatenate([c.counts for c in held])[flat]
+            base = np.add.reduceat(np.log10(count + 0.5), begin) - n * np.log10(vocab.base)
+            known = np.add.reduceat((count > 0).astype(np.int64), begin)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(names)], pa.array(log_likelihoods(texts, hmm))], names=[*names, "model"]
+                [pa.concat_arrays([c.ids for c in held]), pa.array(n), pa.array(known), pa.array(base),
+                 pa.array(log_likelihoods(texts, model))], names=names,
             )
 
-    id_type = dict(rows.dtypes)["doc_id"]
-    return rows.select(*names, "classes").mapInArrow(
-        run, f"row long, doc_id {id_type}, held_out boolean, n long, known long, base double, extra double, model double"
-    )
+    id_type = dict(chunks.dtypes)["ids"][len("array<") : -1]
+    return chunks.mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
+
+
+def held_out(doc_id: str) -> Column:
+    remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
+    return F.coalesce(remainder == 1, F.lit(False))
 
 
 def hmm_scoring(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, classes: int = CLASSES,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, classes: int | None = None,
     frequent: int = FREQUENT, passes: int = PASSES,
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities)."""
-    remainder = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
+
+    `classes` has no effect: every training word has its own emissions.
+    """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-        F.coalesce(remainder == 1, F.lit(False)).alias("held_out"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        held_out(id_col).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     ends = rows.where("not held_out").count()
     counts = stage(word_counts(rows.where("not held_out").select("text")), "word-counts")
-    vocab = vocabulary(counts, ends, classes, frequent)
+    vocab = vocabulary(counts, ends, frequent)
     coded = stage(encoded(rows, vocab), "coded")
+    each = coded.select("chunk", "held_out", F.posexplode("words").alias("at", "word"))
+    needed = stage(each.join(counts, "word", "left").fillna(0, ["n"]), "needed")
 
-    own = np.zeros(vocab.size)
-    mine = vocab.classes >= 0
-    own[vocab.classes[mine]] = vocab.counts[mine]
-    own[vocab.n_classes] = ends
-    own[vocab.n_classes + 1 :] = vocab.shared_tokens
-    unigram = (own + 0.5) / (own + 0.5).sum()
-    hmm = first_guess(unigram, states)
-    training = coded.where("not held_out")
+    expected, hmm = first_guess(counts, vocab, states)
+    discard(counts)
+    training, wanted = (f.where("not held_out").drop("held_out") for f in (coded, needed))
     for _ in range(passes if ends else 0):
-        hmm = baum_welch_pass(training, hmm, vocab.n_classes, unigram)
-
-    each = coded.select("row", F.inline(F.arrays_zip("words", "lengths", "times"))).withColumnRenamed("words", "word")
-    met = each.join(counts.select("word", F.col("n").alias("c")), "word", "left").select(
-        "row", "lengths", "times", F.coalesce("c", F.lit(0)).alias("c")
-    )
-    logs = F.array(*[F.lit(float(x)) for x in np.log10(vocab.shared_base)])
-    log_count = F.log10(F.col("c") + 0.5)
-    rest = met.groupBy("row").agg(
-        F.sum(F.col("times") * log_count).alias("rest_base"),
-        F.sum(F.col("times") * (log_count - F.get(logs, F.col("lengths").cast("int")))).alias("rest_extra"),
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rest_known"),
-    )
-    joined = scored(coded, hmm, vocab.n_classes).join(rest, "row", "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    tokens = F.col("n") + 1
-    end_log = F.lit(float(np.log10(vocab.ends + 0.5)))
-    return joined.select(
-        "doc_id", "held_out", tokens.alias("n_tokens"),
-        (F.col("known") + zero("rest_known") + F.lit(int(ends > 0))).cast("long").alias("n_known"),
-        F.lit(vocab.train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("rest_base") + end_log - tokens * F.lit(float(np.log10(vocab.base)))).alias("base_score"),
-        (F.col("model") + F.col("extra") + zero("rest_extra")).alias("score"),
+        before = expected
+        expected, hmm = baum_welch_pass(with_counts(training, wanted, before, states), hmm, vocab)
+        discard(before)
+    found = scored(with_counts(coded.drop("held_out"), needed, expected, states), hmm, vocab)
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known",
+        F.lit(vocab.train_tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 import checks.compare as compare
 from hearsay.llm.bpe import bpe_round_trip, decode_ids
 from hearsay.llm.exact_dedup import drop_exact_copies, exact_dedup
-from hearsay.llm.hmm_scoring import Hmm, hmm_scoring, log_likelihoods
+from hearsay.llm.hmm_scoring import Hmm, emissions, expected_counts, first_shares, hmm_scoring, log_likelihoods
 from hearsay.llm.mixing import mix_sources, mixed_documents
 from hearsay.llm.ngram_join import ngram_join, one_per_component
 from hearsay.llm.oracle import ORACLE
@@ -25,6 +26,7 @@ from hearsay.llm.secret_scan import pattern_spans, ratio_table, secret_scan, tra
 from hearsay.llm.site_quality import site_quality
 from hearsay.llm.toxicity import score_chain, train_chain
 from hearsay.llm.url_filter import url_filter
+from hearsay.llm.words import hashed_words
 
 SF = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -153,6 +155,55 @@ def test_forward_recursion_is_exact():
         assert abs(got - math.log10(total)) < 1e-9
 
 
+def test_expected_counts_cross_segment_borders():
+    rng = np.random.default_rng(5)
+    share = lambda x: x / x.sum(axis=-1, keepdims=True)
+    hmm = Hmm(share(rng.random(2)), share(rng.random(2)), share(rng.random((2, 2))), share(rng.random((2, 4))))
+    texts = [np.array(t) for t in ([0, 1, 3], [3], [2, 2, 1, 0, 3, 1, 2])]
+    want = [np.zeros(2), np.zeros((2, 2)), np.zeros((4, 2))]
+    for text in texts:
+        paths = {}
+        for path in np.ndindex(*(2,) * len(text)):
+            p = hmm.start[path[0]] * hmm.emit[path[0], text[0]]
+            for a, b, o in zip(path, path[1:], text[1:], strict=False):
+                p *= hmm.move[a, b] * hmm.emit[b, o]
+            paths[path] = p
+        for path, p in paths.items():
+            p /= sum(paths.values())
+            want[0][path[0]] += p
+            for a, b in zip(path, path[1:], strict=False):
+                want[1][a, b] += p
+            for a, o in zip(path, text, strict=True):
+                want[2][o, a] += p
+    for steps in (None, 1, 2, 3):
+        for got, right in zip(expected_counts(texts, hmm, steps), want, strict=True):
+            assert np.allclose(got, right)
+
+
+def test_every_training_word_has_its_own_emissions(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = {r["doc_id"]: words(low(r["text"])) for r in table.collect()}
+    train = [i for i in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    names = sorted({w for i in train for w in rows[i]})
+    at = {w: k for k, w in enumerate(names)}
+    end, new = len(names), len(names) + 1
+    texts = {i: np.array([*[at.get(w, new) for w in ws], end]) for i, ws in rows.items()}
+    count = np.bincount(np.concatenate([texts[i] for i in train]), minlength=new + 1)
+    shares = np.vstack([first_shares(hashed_words(pa.array(names))[0], 3), np.full((2, 3), 1 / 3)])
+    seen, even = count[:, None] * shares, np.full(3, 1 / 3)
+    hmm = Hmm(even, seen.sum(axis=0), np.full((3, 3), 0.1) + 0.7 * np.eye(3), None)
+    share = lambda x: x / x.sum(axis=-1, keepdims=True)
+    hmm.emit = emissions(seen, hmm.tokens, new).T
+    for _ in range(2):
+        start, pairs, seen = expected_counts([texts[i] for i in train], hmm)
+        hmm = Hmm(share(start + 0.1), seen.sum(axis=0), share(pairs + 0.1), emissions(seen, seen.sum(axis=0), new).T)
+    assert np.allclose(hmm.emit.sum(axis=1), 1)
+    want = dict(zip(texts, log_likelihoods(list(texts.values()), hmm), strict=True))
+    # Nearly all words are outside the frequent ones and come by the join.
+    for i, r in by_id(hmm_scoring(table, states=3, frequent=50, passes=2)).items():
+        assert abs(r["score"] - want[i]) < 1e-3 * abs(want[i])
+
+
 def test_hmm_beats_unigram_on_held_out_text(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     base, model = hmm_scoring(table).where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
