@@ -9,7 +9,9 @@ stream is dealt evenly over the blocks, so each block holds the sources in the
 target proportion; documents are permuted inside a block.
 
 Without a budget the smallest one is taken that reads every source at least
-once, so no document is lost. Positions in a stream are prefix sums in two
+once, so no document is lost: it rests on the largest share up to an exponent of
+1 and on the smallest above, where a target entropy sharper than the shares reads
+the largest source (most / least)^(exponent - 1) times. Positions in a stream are prefix sums in two
 levels (hash ranges of about `range_rows` documents, then inside a range): a
 source with a third of all rows is spread over many tasks.
 
@@ -95,7 +97,8 @@ def source_weights(
     else:
         raise ValueError("a target entropy or a repetition limit is needed")
     z = moments(filled, [exponent])[0][0]
-    budget = float(budget_tokens) if budget_tokens else total * most ** (1 - exponent) * z
+    scarcest = most if exponent <= 1 else least
+    budget = float(budget_tokens) if budget_tokens else total * scarcest ** (1 - exponent) * z
     weight = F.when(F.col("share") > 0, F.pow("share", F.lit(exponent)) / z).otherwise(0.0)
     # Rounded, so that float noise does not cut the last document of a whole pass.
     passes = F.round(weight * budget / F.greatest("tokens", F.lit(1)), 9)

@@ -261,6 +261,17 @@ def test_mixing_meets_targets(spark):
     assert abs(-sum(w * math.log(w) for w in weights) - 2.5) < 1e-3
 
 
+def test_sharp_target_entropy_loses_no_document(spark):
+    rows = [(i, "a b c d e f g h i j", "abc"[(i >= 50) + (i >= 90)]) for i in range(100)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(table, max_repetition=None, target_entropy=0.8).collect()
+    assert {r["doc_id"] for r in got if r["copy"] == 0} == set(range(100))
+    read = Counter(r["source"] for r in got)
+    assert read["c"] == 10
+    for r in got:
+        assert abs(read[r["source"]] / len(got) - r["weight"]) < 0.02
+
+
 def test_site_quality(docs, labels):
     got = site_quality(docs, labels, host_col="source", path_col="lang").collect()
     assert len(got) == docs.count() and all(0 <= r["p_good"] <= 1 for r in got)
