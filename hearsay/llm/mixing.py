@@ -16,8 +16,9 @@ levels (hash ranges of about `range_rows` documents, then inside a range): a
 source with a third of all rows is spread over many tasks.
 
 Defined results: null text has no tokens; null source is a source; a source
-without tokens has no share and is read once; documents without tokens go with
-their source; a document belongs to the block in which it starts, however long
+without tokens has no share and is read once; documents without tokens are read
+as often as their source, lie in a pseudo-random block, and count as one token
+each in the number of blocks; a document belongs to the block in which it starts, however long
 it is; repeated rows are separate documents; an empty table gives an empty
 result; other columns pass through `mixed_documents` untouched.
 """
@@ -117,7 +118,8 @@ def token_table(docs: DataFrame, id_col: str, text_col: str, source_col: str) ->
 def source_shares(rows: DataFrame) -> DataFrame:
     tokens = rows.agg(F.sum("n_tokens")).first()[0] or 0
     return stage(rows.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("tokens")
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("tokens"),
+        F.sum((F.col("n_tokens") == 0).cast("long")).alias("n_empty"),
     ).withColumn("share", F.col("tokens") / F.lit(float(max(tokens, 1)))), "shares")
 
 
@@ -126,12 +128,17 @@ def unit_hash(*columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(2**53))
 
 
+def passes_read() -> Column:
+    """Passes over a source, the last one whole or partial."""
+    passes = F.when(F.col("tokens") > 0, F.ceil(F.col("allotted") / F.col("tokens"))).otherwise(1)
+    return F.greatest(passes, F.lit(1))
+
+
 def streams(rows: DataFrame, weighed: DataFrame, seed: int) -> DataFrame:
     """Every pass over every source as rows, with the offset in the source's token stream."""
     with_source = join_small(rows, weighed, ["source"])
-    passes = F.when(F.col("tokens") > 0, F.ceil(F.col("allotted") / F.col("tokens"))).otherwise(1)
     copies = with_source.withColumn(
-        "copy", F.explode(F.sequence(F.lit(0), F.greatest(passes, F.lit(1)).cast("int") - 1))
+        "copy", F.explode(F.sequence(F.lit(0), passes_read().cast("int") - 1))
     )
     placed = copies.withColumn("u", unit_hash(F.lit(seed), "copy", "doc_id", "__key")).withColumn(
         "part", F.floor(F.col("u") * F.ceil(F.col("n_docs") / RANGE_ROWS)).cast("long")
@@ -162,11 +169,15 @@ def mix_sources(
     """
     rows = token_table(docs, id_col, text_col, source_col)
     weighed, _, budget = source_weights(source_shares(rows), max_repetition, target_entropy, budget_tokens)
-    blocks = max(1, ceil(budget / block_tokens))
-    read = streams(rows, stage(weighed, "weights"), seed).where(
+    weighed = stage(weighed, "weights")
+    empty = weighed.agg(F.sum(F.col("n_empty") * passes_read())).first()[0] or 0
+    blocks = max(1, ceil((budget + empty) / block_tokens))
+    read = streams(rows, weighed, seed).where(
         "tokens = 0 or offset < allotted or copy < floor(round(allotted / tokens, 9))"
     )
-    share = F.when(F.col("allotted") > 0, F.col("offset") / F.col("allotted")).otherwise(0.0)
+    worded = (F.col("n_tokens") > 0) & (F.col("allotted") > 0)
+    anywhere = unit_hash(F.lit(seed), F.lit("block"), "copy", "doc_id", "__key")
+    share = F.when(worded, F.col("offset") / F.col("allotted")).otherwise(anywhere)
     dealt = read.withColumn("block", F.least(F.floor(share * blocks), F.lit(blocks - 1)).cast("long"))
     order = Window.partitionBy("block").orderBy(unit_hash(F.lit(-seed), "block", "copy", "doc_id", "__key"), "doc_id")
     return dealt.withColumn("position", F.row_number().over(order)).select(

@@ -272,6 +272,16 @@ def test_sharp_target_entropy_loses_no_document(spark):
         assert abs(read[r["source"]] / len(got) - r["weight"]) < 0.02
 
 
+def test_rows_without_tokens_are_dealt_over_blocks(spark):
+    table = spark.createDataFrame(
+        [(i, None if i < 300 else "a b c d", "x" if i < 300 else "y") for i in range(400)],
+        "doc_id long, text string, source string")
+    for frame, size in ((table, 400), (table.where("doc_id < 300"), 300)):
+        rows = mix_sources(frame, block_tokens=64).collect()
+        assert len(rows) == size
+        assert max(Counter(r["block"] for r in rows if r["source"] == "x").values()) <= 100
+
+
 def test_site_quality(docs, labels):
     got = site_quality(docs, labels, host_col="source", path_col="lang").collect()
     assert len(got) == docs.count() and all(0 <= r["p_good"] <= 1 for r in got)
