@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,6 +22,14 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@functools.cache
+def own_folder() -> str:
+    """Scratch of a single-machine session; gone when the process ends."""
+    folder = tempfile.mkdtemp(prefix="hearsay-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder path that every executor can reach.
 
@@ -29,7 +40,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not parent:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        parent = tempfile.mkdtemp(prefix="hearsay-")
+        parent = own_folder()
     return f"{parent.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect
+from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF, name) is None
 
@@ -24,7 +25,7 @@ def test_entry(spark):
 
 def test_no_cross_joins_and_partial_limits(spark):
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         if name == "incremental_ingest":
             continue
         plan = fn(spark, SF)._jdf.queryExecution().explainString(mode)
