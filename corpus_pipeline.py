@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from hearsay.llm.bpe import bpe_round_trip
-from hearsay.llm.common import release
+from hearsay.llm.common import delete_folder, leave_to_exit, scratch
 from hearsay.llm.exact_dedup import drop_exact_copies
 from hearsay.llm.mixing import mixed_documents
 from hearsay.llm.ngram_join import one_per_component
@@ -60,10 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows. Each stage's scratch tables go when it is written, its result when the next one is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         folder = shared_folder(spark, "pipeline-" + name.split(" ")[0].lower())
-        stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
-        release(spark)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(folder)
+        if before:
+            delete_folder(spark, before)
+        docs, before = spark.read.parquet(folder), folder
+    leave_to_exit(before)
     return docs

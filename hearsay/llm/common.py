@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +19,22 @@ from hearsay.session import BROADCAST_ROWS, shared_folder
 SPACE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_scratch: list[str] = []
+# Tables that results outside any `scratch` block read; deleted when the process ends.
+_left: list[str] = []
+_owner: ContextVar[list[str]] = ContextVar("scratch", default=_left)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside the block are deleted at its end, and no others: write the result inside."""
+    made: list[str] = []
+    token = _owner.set(made)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+        for folder in made:
+            delete_folder(spark, folder)
 
 
 def stage(frame: DataFrame, name: str) -> DataFrame:
@@ -25,14 +45,15 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     folder = shared_folder(spark, "llm-" + name)
-    _scratch.append(folder)
+    owner = _owner.get()
+    owner.append(folder)
     frame.write.parquet(folder)
     staged = spark.read.schema(frame.schema).parquet(folder)
-    staged._scratch_folder = folder
+    staged._scratch_folder, staged._scratch_owner = folder, owner
     return staged
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -44,16 +65,25 @@ def discard(*staged: DataFrame) -> None:
     long job that never fills the driver's memory would keep them all.
     """
     for frame in staged:
-        _scratch.remove(frame._scratch_folder)
-        _delete(frame.sparkSession, frame._scratch_folder)
+        frame._scratch_owner.remove(frame._scratch_folder)
+        delete_folder(frame.sparkSession, frame._scratch_folder)
     gc.collect()
     staged[0].sparkSession.sparkContext._jvm.System.gc()
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the scratch tables made so far. Call it when no result reads them any more."""
-    while _scratch:
-        _delete(spark, _scratch.pop())
+def leave_to_exit(folder: str) -> None:
+    """Have a folder that a returned result reads deleted when the process ends."""
+    _left.append(folder)
+
+
+@atexit.register
+def _delete_left() -> None:
+    context, jvm = SparkContext._active_spark_context, SparkContext._jvm
+    if _left and jvm is not None:
+        conf = context._jsc.hadoopConfiguration() if context else jvm.org.apache.hadoop.conf.Configuration()
+        for folder in _left:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:
