@@ -71,4 +71,44 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from m left join t on m.lang is not distinct from t.lang and m.source is not distinct from t.source
 """
 
-ORACLE = {"op4_quality_rules": QUALITY_RULES, "op9_exact_dedup": EXACT_DEDUP}
+
+def _crc(values: str) -> str:
+    """CTEs that give crc(x, crc32): the checksum of the UTF-8 bytes of each distinct x of the relation `values`."""
+    return f"""
+crc_table as (select list_transform(range(256), lambda i: list_reduce(range(8),
+                lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as t),
+crc_bytes as (select x, hex(encode(x)) as h from (select distinct x from {values})),
+crc as (select x, xor(4294967295, list_reduce(
+                 list_transform(range(1, length(h) + 1, 2), lambda i: 16 * instr('0123456789ABCDEF', h[i]) - 17
+                                                                      + instr('0123456789ABCDEF', h[i + 1])),
+                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::bigint)) as crc32
+        from crc_bytes, crc_table)"""
+
+
+IMPORTANCE = f"""
+with d as (select doc_id, row_number() over () as rid,
+                  list_filter(regexp_split_to_array({_FOLDED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws
+           from documents),
+w as (select rid, unnest(ws) as x from d),
+v as (select unnest(list_filter(regexp_split_to_array({_FOLDED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) as x
+      from benchmark),
+{_crc("(select x from w union all select x from v)")},
+s as (select crc32 % 10000 as b, count(*) as n from w join crc using (x) group by all),
+t as (select crc32 % 10000 as b, count(*) as n from v join crc using (x) group by all),
+totals as (select (select coalesce(sum(n), 0) from s)::bigint as ss, (select coalesce(sum(n), 0) from t)::bigint as tt),
+g as (select b, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * (ss + 10000)::double
+                                / ((coalesce(s.n, 0) + 1)::double * (tt + 10000)::double)))::bigint as gain
+      from s left join t using (b), totals),
+sums as (select rid, count(*) as n, sum(gain)::double as total from w join crc using (x) join g on crc32 % 10000 = b group by rid),
+h as (select doc_id, len(ws)::bigint as n_features, coalesce(floor(total / n), 0)::bigint as weight,
+             ('0x' || left(sha256('2024:' || doc_id), 8))::bigint as h
+      from d left join sums using (rid)),
+z as (select doc_id, n_features, weight,
+             weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score from h),
+r as (select *, n_features >= 20 as able,
+             row_number() over (partition by n_features >= 20 order by score desc, doc_id) as place,
+             count(*) over (partition by n_features >= 20) as able_n from z)
+select doc_id, n_features, weight, score, case when able and place <= 10 * able_n // 100 then place end as rank from r
+"""
+
+ORACLE = {"op4_quality_rules": QUALITY_RULES, "op9_exact_dedup": EXACT_DEDUP, "op11_importance": IMPORTANCE}

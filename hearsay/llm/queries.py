@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hearsay.llm.bpe import bpe_round_trip
 from hearsay.llm.exact_dedup import exact_dedup
 from hearsay.llm.hmm_scoring import hmm_scoring
+from hearsay.llm.importance import resample
 from hearsay.llm.mixing import mix_sources
 from hearsay.llm.ngram_join import ngram_join
 from hearsay.llm.quality_rules import quality_rules
@@ -110,7 +111,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_chain(docs, chain).withColumn("toxic", F.col("p_toxic") >= chain.cuts[1])
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents of 20 words or more, drawn towards the benchmark texts."""
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, min_words=20)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_mixing, op3_ngram_join, op4_quality_rules, op5_hmm_scoring, op6_secret_scan, op7_site_quality,
-    op8_bpe, op9_exact_dedup, op10_toxicity,
+    op8_bpe, op9_exact_dedup, op10_toxicity, op11_importance,
 )}
