@@ -111,4 +111,32 @@ r as (select *, n_features >= 20 as able,
 select doc_id, n_features, weight, score, case when able and place <= 10 * able_n // 100 then place end as rank from r
 """
 
-ORACLE = {"op4_quality_rules": QUALITY_RULES, "op9_exact_dedup": EXACT_DEDUP, "op11_importance": IMPORTANCE}
+PREFIX_TRIE = f"""
+with t as (select conv_id, role, text, m, row_number() over (partition by conv_id order by turn nulls first, role, m) - 1 as pos
+           from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+                        sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) as m
+                 from conversations where conv_id is not null)),
+ids as (select distinct conv_id from t),
+{_crc("(select conv_id::varchar as x from ids)")},
+h as (select conv_id, crc32 % 6 as h from ids join crc on x = conv_id::varchar),
+re as (select h.conv_id, 0 as kind, pos, m, text from h join t on t.conv_id = h.conv_id - h.conv_id % 100 and pos < h
+       union all select conv_id, 1, pos, m, text from t join h using (conv_id) where pos >= h),
+p as (select conv_id, row_number() over w as depth, string_agg(m, '') over w as k, length(text) as n
+      from re window w as (partition by conv_id order by kind, pos rows unbounded preceding)),
+whole as (select conv_id, coalesce(max(depth), 0) as depth, coalesce(max_by(k, depth), '') as k from ids left join p using (conv_id) group by all),
+n as (select k, depth, min(conv_id) as conv_id, count(*) as n_convs, max(n) as n from
+        (select conv_id, k, depth, n from p union all select conv_id, '', 0, 0 from ids) group by all),
+e as (select k, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends from whole group by k),
+c as (select left(k, -64) as k, count(*) as n_children from n where depth > 0 group by all),
+u as (select v.k, sum((n.n_convs - 1) * n.n)::bigint as saved_tokens, count(*) filter (c.k is null) as n_leaves
+      from n v join n on starts_with(n.k, v.k) left join c on c.k = n.k group by v.k)
+select n.conv_id, n.depth, up.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves, saved_tokens,
+       coalesce(ends, sha256('')) as ends_sha256
+from n join u using (k) left join c using (k) left join e using (k)
+left join n up on n.depth > 0 and up.k = left(n.k, -64)
+"""
+
+ORACLE = {
+    "op4_quality_rules": QUALITY_RULES, "op9_exact_dedup": EXACT_DEDUP, "op11_importance": IMPORTANCE,
+    "op12_prefix_trie": PREFIX_TRIE,
+}

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from hearsay.llm.bpe import bpe_round_trip
 from hearsay.llm.exact_dedup import exact_dedup
 from hearsay.llm.hmm_scoring import hmm_scoring
+from hearsay.llm.html_extraction import main_text
 from hearsay.llm.importance import resample
 from hearsay.llm.mixing import mix_sources
 from hearsay.llm.ngram_join import ngram_join
+from hearsay.llm.prefix_trie import prefix_trie, rebuilt
 from hearsay.llm.quality_rules import quality_rules
 from hearsay.llm.secret_scan import KINDS, secret_scan
 from hearsay.llm.site_quality import site_quality
@@ -116,7 +118,15 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=10, min_words=20)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(_table(spark, sf_dir, "conversations"), block=100, heads=6))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_mixing, op3_ngram_join, op4_quality_rules, op5_hmm_scoring, op6_secret_scan, op7_site_quality,
-    op8_bpe, op9_exact_dedup, op10_toxicity, op11_importance,
+    op8_bpe, op9_exact_dedup, op10_toxicity, op11_importance, op12_prefix_trie, op13_html_extraction,
 )}
