@@ -322,11 +322,12 @@ select doc_id, case when doc_id % 17 = 0 then 'neutral' when s >= 0.05 then 'pos
 from (select doc_id, (n_chars % 41 - 20) / 200.0::double as s from documents)""")
 
 
-def score_ctes(source: str) -> str:
-    """CTE `scored(key, score)` over `source(key, text)`, by the published scoring rules."""
+def score_ctes(source: str, lexicon: str | None = None) -> str:
+    """CTE `scored(key, score)` over `source(key, text)`, by the published scoring rules and SQL for `(word, value)`."""
     r = v.WORDS
     punct = text_of("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
-    lexicon = ", ".join(f"({text_of(w)}, {s}::double)" for w, s in v.LEXICON.items())
+    if lexicon is None:
+        lexicon = "values " + ", ".join(f"({text_of(w)}, {s}::double)" for w, s in v.LEXICON.items())
     idioms = ", ".join(f"({text_of(w)}, {s}::double)" for w, s in r.idioms)
     up, down, neg = words_in(r.stronger), words_in(r.weaker), words_in(r.negations)
 
@@ -365,7 +366,7 @@ def score_ctes(source: str) -> str:
         ctes.append(f"step{n} as (select * replace ({expression} as s) from {chain})")
         chain = f"step{n}"
     return f"""
-lex(word, value) as (values {lexicon}),
+lex(word, value) as ({lexicon}),
 idi(phrase, value) as (values {idioms}),
 pieces as (select key, text, list_filter(string_split_regex(text, '{WS}+'), lambda x: x <> '') as ws from {source}),
 raws as (select key, unnest(ws) as piece, generate_subscripts(ws, 1) as i from pieces),
@@ -434,6 +435,40 @@ src as (
   select id as key, coalesce(nullif(title, ''), text) as text
   from m where sentiment is null or category is null)""", score_ctes("src"))
 
+LETTERS = r"""
+letters as (select word, sha256(word) as h from (
+  select distinct unnest(regexp_extract_all(lower(text), '\p{L}+')) as word from documents) where length(word) >= 3)"""
+
+
+def number(start: int, size: int) -> str:
+    return f"('0x' || substr(h, {start}, {size}))::bigint"
+
+
+W = r"[\p{L}\p{M}\p{Nd}\p{Pc}]"
+add("category_rules_table", f"""
+select doc_id, coalesce(category, 'other') as category, term as matched_term
+from documents left join (
+  select distinct on (doc_id) doc_id, category, term from hit order by doc_id, rule_order, pattern_order, i) using (doc_id)""",
+    LETTERS, f"""
+r as (select word, {number(16, 1)} // 4 as form, {number(1, 7)} as rule_order, {number(8, 7)} as pattern_order,
+             'c' || ({number(17, 4)} % 97) as category, substr(word, 1, 5) as stem from letters),
+pieces as (select doc_id, unnest(p) as piece, generate_subscripts(p, 1) as i
+           from (select doc_id, regexp_extract_all(text, '{W}+|[^{W[1:-1]}]+') as p from documents)),
+near as (select *, lower(piece) as low, lead(piece) over o as gap, lead(piece, 2) over o as after
+         from pieces window o as (partition by doc_id order by i)),
+tok as (select * from near where regexp_matches(piece, '^{W}')),
+forms as (select word as form_word, r.* from r where form = 0
+          union all select word || e, r.* from r, (values (''), ('s'), ('ed')) x(e) where form = 1),
+starts as (select doc_id, i, piece, left(low, n) as stem from tok, (values (3), (4), (5)) x(n) where length(low) >= n),
+hit as (
+  select doc_id, i, category, rule_order, pattern_order, piece as term from tok join forms on low = form_word
+  union all select doc_id, i, category, rule_order, pattern_order, piece from starts join r using (stem) where form = 2
+  union all select doc_id, i, category, rule_order, pattern_order, piece || ' ' || after
+  from tok join r on low = word where form = 3 and gap = ' ' and after is not null)""")
+add("lexicon_table_sentiment", "select key as doc_id, score from scored", LETTERS, SOURCE, score_ctes("src", f"""
+select word || e, max(({number(2, 4)} % 61 - 30) / 10.0::double) from letters, (values (''), ('s'), ('ed'), ('ing')) x(e)
+where h < '4' group by 1"""))
+
 # Reports
 
 BY_TOPIC = """
@@ -460,6 +495,29 @@ from (select *, row_number() over (
 where rank <= 3""", MENTIONS)
 add("distinct_topics", "select distinct topic from m", MENTIONS)
 
+RELABELLED = """
+cur as (
+  select m.* replace (
+    case when l.doc_id is null then m.sentiment when quality = 1 then 'positive' else 'negative' end as sentiment,
+    case when l.doc_id is null then m.sentiment_score when quality = 1 then 0.5 else -0.5 end as sentiment_score,
+    case when l.doc_id is null then m.category when toxic = 1 then 'criticism' else 'other' end as category)
+  from m left join labels l using (doc_id)),
+bt as (select topic, count(*) as total, count(*) filter (sentiment = 'positive') as positive,
+    count(*) filter (sentiment = 'neutral') as neutral, count(*) filter (sentiment = 'negative') as negative,
+    round(avg(sentiment_score::decimal(24, 12)), 3) as mean from cur group by topic),
+top as (select *, row_number() over (partition by topic order by coalesce(points, 0) desc, created_at desc, id) as rank from cur)"""
+add("incremental_report", """
+select 'topic' as section, topic, side as name, n, mean as value
+from (unpivot bt on total, positive, neutral, negative into name side value n)
+union all select 'headline', null, 'total', count(*), null from cur
+union all select 'headline', null, 'topics', count(distinct topic), null from cur
+union all select 'headline', null, 'unlabelled', count(*) filter (sentiment is null or category is null), null from cur
+union all select 'category', null, category, n, round_even(100 * n / sum(n) over (), 0)
+  from (select category, count(*) as n from cur group by category)
+union all select distinct 'topics', topic, null, null::bigint, null::double from cur
+union all select 'best', topic, concat_ws('|', id, substr(coalesce(nullif(title, ''), text), 1, 110), sentiment, category,
+  coalesce(points::varchar, '-'), url), rank, null from top where rank <= 3""", MENTIONS, RELABELLED)
+
 # Evaluation
 
 SAMPLE = "from m where sentiment is not null order by sha256('42|' || id), id limit 25"

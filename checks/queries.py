@@ -16,7 +16,9 @@ from hearsay.functions.sentiment import lexicon_score, sentiment_bucket
 from hearsay.functions.text import clean_text, html_unescape, truncate
 from hearsay.functions.times import iso_text, to_utc
 from hearsay.operators import evaluate as ev
-from hearsay.operators import labelling, normalise, pages, report, runs, upsert
+from hearsay.operators import labelling, normalise, pages, report, report_state, runs, upsert
+from hearsay.operators.lexicon_table import score_by_lexicon_table
+from hearsay.operators.rule_table import label_by_rule_table
 from hearsay.plans import ingest
 from hearsay.session import local_frame, shared_folder, spread
 from hearsay.sources import landing
@@ -422,6 +424,28 @@ def category_rules_subset(spark, sf):
     return _labelled_by(v.texts(spark, sf), rules_from_table(rules, enabled))
 
 
+def _kept(spark, frame: DataFrame, name: str) -> DataFrame:
+    """A derived table, written as the tables of a real run are."""
+    folder = shared_folder(spark, name)
+    frame.write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+@query
+def category_rules_table(spark, sf):
+    """One rule per word of the documents: tens of thousands, met through an index."""
+    rules = _kept(spark, v.rule_table(spark, sf), "rules")
+    found = label_by_rule_table(v.texts(spark, sf).select("doc_id", "text"), rules, key=("doc_id",))
+    return found.select("doc_id", "category", "matched_term")
+
+
+@query
+def lexicon_table_sentiment(spark, sf):
+    lexicon = _kept(spark, v.lexicon_table(spark, sf), "lexicon")
+    d = v.texts(spark, sf).select("doc_id", "text")
+    return score_by_lexicon_table(d, lexicon, v.WORDS, key=("doc_id",)).select("doc_id", "score")
+
+
 @query
 def classify(spark, sf):
     d = v.texts(spark, sf).select(
@@ -470,6 +494,48 @@ def distinct_topics(spark, sf):
     return report.distinct_topics(v.mentions(spark, sf))
 
 
+@query
+def incremental_report(spark, sf):
+    """Three batches of mentions, the last of which also gives labels to earlier ones; reports from their states."""
+    counts, items = (shared_folder(spark, f"report-{name}") for name in ("counts", "items"))
+    m, labels = v.mentions(spark, sf), _hand_labels(spark, sf)
+    for batch in range(3):
+        part = m.where(F.col("id").cast("long") % 3 == batch)
+        came, went = part, None
+        if batch == 2:
+            # The batch itself is labelled before it is counted; of earlier ones the change counts.
+            came = upsert.apply_labels(part, labels)
+            new, went = report_state.relabelled(m.where(F.col("id").cast("long") % 3 < 2), labels)
+            cell = [*report_state.CELL, "sentiment_score"]
+            came = came.select(*cell).unionByName(new.select(*cell))
+        report_state.count_changes(came, went).write.parquet(f"{counts}/batch={batch}")
+        report_state.best_items(part).write.parquet(f"{items}/batch={batch}")
+    state = report_state.merge_counts(spark.read.parquet(counts))
+    current = upsert.apply_labels(m.select("id", "sentiment", "sentiment_score", "category"), labels)
+    best = report_state.top_items(spark.read.parquet(items), current, 3)
+    none = lambda kind: F.lit(None).cast(kind)
+    line = lambda section, topic, name, n, value: [
+        F.lit(section).alias("section"), topic.alias("topic"), name.alias("name"), n.cast("bigint").alias("n"),
+        value.cast("double").alias("value"),
+    ]
+    by_topic = report_state.sentiment_by_topic(state)
+    sides = [
+        by_topic.select(*line("topic", F.col("topic"), F.lit(c), F.col(c), F.col("mean_score")))
+        for c in ("total", "positive", "neutral", "negative")
+    ]
+    head = report_state.headline_counts(state, 0)
+    sides += [head.select(*line("headline", none("string"), F.lit(c), F.col(c), none("double"))) for c in ("total", "topics", "unlabelled")]
+    sides.append(report_state.category_distribution(state).select(
+        *line("category", none("string"), F.col("category"), F.col("n"), F.col("share_pct"))))
+    sides.append(report_state.distinct_topics(state).select(*line("topics", F.col("topic"), none("string"), none("bigint"), none("double"))))
+    shown = F.concat_ws("|", "id", "label", "sentiment", "category", "points", "url")
+    sides.append(best.select(*line("best", F.col("topic"), shown, F.col("rank"), none("double"))))
+    whole = sides[0]
+    for side in sides[1:]:
+        whole = whole.unionByName(side)
+    return whole
+
+
 # Evaluation
 
 

@@ -204,3 +204,40 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n % 7).alias("quarantined"), (n * 2).alias("inserted"), (n * 18).alias("duplicates"),
         (n * 2).alias("classified"),
     )
+
+
+def _letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct lower-case words of three letters or more of all documents, with a digest."""
+    words = texts(spark, sf_dir).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    return words.where(F.length("word") >= 3).distinct().withColumn("h", F.sha2("word", 256))
+
+
+def _number(hex_digits: Column) -> Column:
+    return F.conv(hex_digits, 16, 10).cast("int")
+
+
+def rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule per word of the documents, of four forms and in random order."""
+    word, h = F.col("word"), F.col("h")
+    form = F.expr("conv(substr(h, 16, 1), 16, 10) div 4")
+    pattern = (
+        F.when(form == 0, F.concat(F.lit(r"\b"), word, F.lit(r"\b")))
+        .when(form == 1, F.concat(F.lit(r"\b"), word, F.lit(r"(?:s|ed)?\b")))
+        .when(form == 2, F.concat(F.lit(r"\b"), F.substring(word, 1, 5), F.lit(r"\w*")))
+        .otherwise(F.concat(F.lit(r"\b"), word, F.lit(r" \w+")))
+    )
+    return _letters(spark, sf_dir).select(
+        _number(F.substring(h, 1, 7)).alias("rule_order"), _number(F.substring(h, 8, 7)).alias("pattern_order"),
+        F.concat(F.lit("c"), (_number(F.substring(h, 17, 4)) % 97).cast("string")).alias("category"),
+        pattern.alias("pattern"),
+    )
+
+
+def lexicon_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every fourth word of the documents, in four endings; some words get several."""
+    h = F.col("h")
+    scored = _letters(spark, sf_dir).where(F.substring(h, 1, 1) < "4")
+    scored = scored.withColumn("ending", F.explode(F.array(*map(F.lit, ("", "s", "ed", "ing")))))
+    return scored.select(
+        F.concat("word", "ending").alias("word"), ((_number(F.substring(h, 2, 4)) % 61 - 30) / 10.0).alias("score")
+    )

@@ -6,7 +6,7 @@ topic or author holding a third of all rows costs nothing extra.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ def _is_caps(word: Column) -> Column:
     return (word == F.upper(word)) & (word != F.lower(word))
 
 
-def _words(text: Column) -> Column:
+def scored_words(text: Column) -> Column:
     """Words with edge punctuation off; words left with two characters or fewer keep it."""
 
     def bare(words: Column) -> Column:
@@ -72,15 +72,43 @@ def lexicon_score(
     Every word is looked up once; only the words found in the lexicon are then
     weighed by the three words before them.
     """
-    rules = rules or SentimentRules()
     valence_of = literal_lookup(STARTER_LEXICON if lexicon is None else lexicon, "double")
+
+    def hits(low: Column) -> Column:
+        looked = F.transform(low, lambda w, i: F.struct(i.alias("i"), valence_of(w).alias("v")))
+        return F.filter(looked, lambda hit: hit["v"].isNotNull())
+
+    return hits_score(text, hits, rules)
+
+
+def hits_score(
+    text: Column, hits: Callable[[Column], Column], rules: SentimentRules | None = None
+) -> Column:
+    """As `lexicon_score`; `hits(low)` gives ARRAY<STRUCT<i, v>>, the places (from 0) and
+    scores of the lower-case words `low` that the lexicon holds, in order.
+
+    A word's neighbours are found among the hits next to it, so no word is looked up twice.
+    """
+    rules = rules or SentimentRules()
     idiom_of = literal_lookup(dict(rules.idioms), "double")
     steps = {w: rules.step for w in rules.stronger} | {w: -rules.step for w in rules.weaker}
     step_of = literal_lookup({w: s for w, s in steps.items() if " " not in w}, "double")
     long_steps = {w: s for w, s in steps.items() if " " in w}
     long_step_of = literal_lookup(long_steps, "double")
 
-    def weigh(raw: Column, low: Column, valence: Column, mixed_caps: Column, i: Column) -> Column:
+    def weigh(
+        raw: Column, low: Column, found: Column, mixed_caps: Column, hit: Column, k: Column
+    ) -> Column:
+        i = hit["i"]
+
+        def scored_at(shift: int) -> Column:
+            """Whether the word `shift` places on is in the lexicon: then it is one of the hits next to this one."""
+            step = 1 if shift > 0 else -1
+            near = F.lit(False)
+            for j in range(step, shift + step, step):
+                near = near | F.coalesce(F.get(found, k + j)["i"] == i + shift, F.lit(False))
+            return near
+
         def at(shift: int) -> Column:
             return F.get(low, i + shift)
 
@@ -88,7 +116,7 @@ def lexicon_score(
 
         def plain(shift: int) -> Column:
             """A neighbour that exists and is not scored itself."""
-            return at(shift).isNotNull() & F.get(valence, i + shift).isNull()
+            return at(shift).isNotNull() & ~scored_at(shift)
 
         def phrase(first: int, last: int) -> Column:
             return F.concat_ws(" ", *[at(k) for k in range(first, last + 1)])
@@ -98,7 +126,7 @@ def lexicon_score(
             no_before = F.coalesce(
                 (one == "no") | (two == "no") | (three == "no") & one.isin("or", "nor"), F.lit(False)
             )
-            no_itself = (word == "no") & F.get(valence, i + 1).isNotNull()
+            no_itself = (word == "no") & scored_at(1)
             start = F.when(no_before, v * rules.negate).when(no_itself, 0.0).otherwise(v)
             shout = F.when(mixed_caps & _is_caps(F.get(raw, i)), rules.caps).otherwise(0.0)
             return let(start, lambda w: w + F.when(w > 0, shout).otherwise(-shout))
@@ -158,46 +186,36 @@ def lexicon_score(
         skipped = step_of(word).isNotNull() | (word == "kind") & F.coalesce(
             at(1) == "of", F.lit(False)
         )
-        return F.when(skipped, 0.0).otherwise(let(F.get(valence, i), scored))
+        return F.when(skipped, 0.0).otherwise(let(hit["v"], scored))
 
-    def total(raw: Column, low: Column, valence: Column) -> Column:
-        found = F.filter(
-            F.transform(valence, lambda v, i: F.when(v.isNotNull(), i)), lambda i: i.isNotNull()
-        )
-
-        def facts(found: Column) -> Column:
-            caps = F.transform(raw, lambda w, i: (w != F.get(low, i)) & (w == F.upper(w)))
-            loud = F.size(F.filter(caps, lambda c: c))
-            return F.struct(
-                found.alias("found"),
-                ((loud > 0) & (loud < F.size(raw))).alias("mixed"),
-                F.array_position(low, rules.contrast).alias("turn"),
-            )
+    def total(raw: Column, low: Column, found: Column) -> Column:
+        caps = F.transform(raw, lambda w, i: (w != F.get(low, i)) & (w == F.upper(w)))
+        facts = let(F.size(F.filter(caps, lambda c: c)), lambda loud: F.struct(
+            ((loud > 0) & (loud < F.size(raw))).alias("mixed"),
+            F.array_position(low, rules.contrast).alias("turn"),
+        ))
 
         def add_up(facts: Column) -> Column:
             turn = facts["turn"]
 
-            def add(total: Column, i: Column) -> Column:
+            def weighed(hit: Column, k: Column) -> Column:
+                place = hit["i"] + 1
                 share = (
-                    F.when((turn == 0) | (turn == i + 1), 1.0)
-                    .when(i + 1 < turn, 0.5)
-                    .otherwise(1.5)
+                    F.when((turn == 0) | (turn == place), 1.0).when(place < turn, 0.5).otherwise(1.5)
                 )
-                return total + weigh(raw, low, valence, facts["mixed"], i) * share
+                return weigh(raw, low, found, facts["mixed"], hit, k) * share
 
-            return F.aggregate(facts["found"], F.lit(0.0), add)
+            return F.aggregate(F.transform(found, weighed), F.lit(0.0), lambda total, v: total + v)
 
-        return let(
-            found, lambda i: F.when(F.size(i) == 0, 0.0).otherwise(let(facts(i), add_up))
-        )
+        return F.when(F.size(found) == 0, 0.0).otherwise(let(facts, add_up))
 
     def squash(s: Column) -> Column:
         pushed = s + F.signum(s) * _emphasis(text)
         return let(pushed, lambda p: F.round(p / F.sqrt(p * p + rules.norm), 4))
 
-    raw_total = let(_words(text), lambda raw: let(
+    raw_total = let(scored_words(text), lambda raw: let(
         F.transform(raw, F.lower),
-        lambda low: let(F.transform(low, valence_of), lambda valence: total(raw, low, valence)),
+        lambda low: let(hits(low), lambda found: total(raw, low, found)),
     ))
     return F.when(is_blank(text), 0.0).otherwise(let(raw_total, squash))
 

@@ -66,6 +66,11 @@ def headline_counts(mentions: DataFrame, quarantine: DataFrame) -> DataFrame:
     return both.agg(*[F.sum(c).alias(c) for c in ("total", "topics", "quarantined", "unlabelled")])
 
 
+def best_first() -> list[Column]:
+    """Order of a topic's items: most points, then newest, then by id."""
+    return [F.coalesce("points", F.lit(0)).desc(), F.col("created_at").desc(), F.col("id")]
+
+
 def top_items_per_topic(mentions: DataFrame, k: int = TOP_ITEMS_PER_TOPIC) -> DataFrame:
     """The k items with most points per topic, newer first among equals."""
     title = F.nullif(F.col("title"), F.lit(""))
@@ -73,7 +78,7 @@ def top_items_per_topic(mentions: DataFrame, k: int = TOP_ITEMS_PER_TOPIC) -> Da
         "topic", "id", "created_at", "points", "sentiment", "category", "url",
         truncate(F.coalesce(title, F.col("text")), LABEL_CHARS).alias("label"),
     )
-    best = [F.coalesce("points", F.lit(0)).desc(), F.col("created_at").desc(), F.col("id")]
+    best = best_first()
     if k > _GROUP_LIMIT:
         # A topic's k best are among the k best of each of its salted parts.
         salt = F.pmod(F.xxhash64("id"), F.lit(_SALTS))
