@@ -2,10 +2,16 @@
 
 Every input partition turns its texts into one run: a row per distinct digest
 with the winning id and the number of copies, sorted by digest. Rounds merge
-`fan_in` neighbouring runs at a time until one run number is left. A run is
-spread over tasks by digest, so no round gathers a run in one task, and a hot
-digest is reduced inside each task before it is exchanged. Equality is verified
-at every level on the whole SHA-256 and the byte length.
+`fan_in` neighbouring runs at a time until one is left. A round deals the runs by
+ranges of (run, digest), sorts each range, and merges equal neighbours in that
+order by a sorted aggregate; what it writes is sorted again. So a run is spread
+over tasks by digest and no round gathers one in a task. At every level rows merge
+only where the whole SHA-256 and the byte length are equal.
+
+The decision goes back the way it came: from the last run to those it was merged
+from, down to the rows of an input partition. A join never meets more than
+`fan_in` rows of a digest, or the copies within one input partition, however many
+copies of a text there are.
 
 Defined results: null text counts as empty; empty texts are equal to each other;
 a null id never wins against an id; repeated rows of one id and text count each
@@ -21,17 +27,18 @@ from pyspark.sql import functions as F
 from hearsay.llm.common import ascii_lower, stage
 
 FAN_IN = 16
+KEY = ["run", "digest", "n_bytes"]
 
 
 def merge_runs(runs: DataFrame, fan_in: int) -> DataFrame:
-    """One round: fan_in neighbouring runs become one, sorted by digest again."""
-    merged = runs.groupBy(
-        F.floor(F.col("run") / fan_in).cast("long").alias("run"), "digest", "n_bytes"
-    ).agg(
-        F.max("keep_id").alias("keep_id"),
-        F.sum("group_size").alias("group_size"),
-    )
-    return merged.sortWithinPartitions("run", "digest")
+    """One round: fan_in neighbouring runs become one, sorted by digest; fan_in 1 makes rows into runs.
+
+    The winner is the greatest of structs, whose aggregate Spark does on sorted input.
+    """
+    parent = F.floor(F.col("run") / fan_in).cast("long").alias("run")
+    dealt = runs.select(parent, "digest", "n_bytes", F.struct("keep_id").alias("won"), "group_size")
+    merged = dealt.repartitionByRange(*KEY).groupBy(*KEY).agg(F.max("won").alias("won"), F.sum("group_size").alias("group_size"))
+    return merged.select(*KEY, F.col("won.keep_id").alias("keep_id"), "group_size")
 
 
 def digest_table(docs: DataFrame, id_col: str, text_col: str, normalise) -> DataFrame:
@@ -64,18 +71,19 @@ def exact_dedup(
         "run", "digest", "n_bytes", (F.col("doc_id") * sign).alias("keep_id"),
         F.lit(1).cast("long").alias("group_size"),
     )
+    levels = [stage(merge_runs(runs, 1), "run")]
     last = rows.agg(F.max("run")).first()[0] or 0
-    while True:
-        runs = merge_runs(runs, fan_in)
+    while last:
+        levels.append(stage(merge_runs(levels[-1], fan_in), "run"))
         last //= fan_in
-        if not last:
-            break
-        runs = stage(runs, "run")
-    groups = runs.where("group_size > 1").select(
-        "digest", "n_bytes", (F.col("keep_id") * sign).alias("keep_id"), "group_size"
-    )
-    # A unique text needs no partner: only groups of copies are joined back.
-    both = rows.join(groups, ["digest", "n_bytes"], "left")
+    # A unique text needs no partner: only groups of copies are carried back.
+    found = levels.pop().where("group_size > 1")
+    while levels:
+        level = levels.pop().select(*KEY, F.floor(F.col("run") / fan_in).cast("long").alias("up"))
+        above = found.select(F.col("run").alias("up"), "digest", "n_bytes", "keep_id", "group_size")
+        found = level.join(above, ["up", "digest", "n_bytes"])
+    groups = found.select(*KEY, (F.col("keep_id") * sign).alias("keep_id"), "group_size")
+    both = rows.join(groups, KEY, "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return both.select(
         "doc_id",

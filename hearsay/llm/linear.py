@@ -13,9 +13,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     """(doc_id, text, label columns) of the labelled documents with the smallest hash of their id.
 
     `labels` has doc_id and label columns. At most `limit` label rows are taken,
-    so the broadcast is bounded; repeated labels of an id count once.
+    so the broadcast is bounded; of several labels for an id the greatest counts, column by column.
     """
-    marks = labels.where("doc_id is not null").dropDuplicates(["doc_id"])
+    columns = [c for c in labels.columns if c != "doc_id"]
+    marks = labels.where("doc_id is not null").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in columns])
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return texts.join(F.broadcast(chosen), "doc_id")

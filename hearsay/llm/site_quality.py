@@ -14,7 +14,8 @@ documents; rates cover all documents.
 
 Defined results: a null or empty text has no words and is judged by its features
 like any other; null host or path is a group of its own; without labels of both
-classes the text gives no evidence; repeated rows count each and are judged
+classes the text gives no evidence; of several labels for an id the greater
+counts; repeated rows count each and are judged
 alike; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -142,7 +143,7 @@ def site_quality(
     )
     p = 1 / (1 + F.exp(-F.col("z")))
     known = labels.select(F.col("doc_id").alias("l"), F.col("good").cast("double").alias("label")).dropna()
-    known = known.dropDuplicates(["l"])
+    known = known.groupBy("l").agg(F.max("label").alias("label"))
     scored = stage(scored.withColumn("p_text", p), "scored")
     votes = scored.join(known, scored["doc_id"] == known["l"], "left").withColumn(
         "vote", F.coalesce("label", "p_text")

@@ -4,16 +4,17 @@ Categories are predicted one after the other, each by a linear model on the text
 features and the probabilities of the categories before it. In training those
 earlier probabilities are out-of-fold: a document's come from models that have
 not seen it. Features are the presence of the words most associated with a
-category (by z-score of their document frequencies among labelled documents) and
-a few shares of character kinds.
+category (by z-score of their document frequencies among labelled documents), all
+that reach `MIN_DOCS` documents and `MIN_Z`, and a few shares of character kinds.
 
 The models are fitted on a bounded sample: at most `max_labelled` labelled
 documents with the smallest hash of their id. All documents are scored whole.
 
 Defined results: a null or empty text has no words and scores by the constants;
 a category without both classes in the sample has a constant probability; null
-labels are left out; repeated rows score alike; an empty table gives an empty
-result; other columns are ignored.
+labels are left out; of several labels for an id the greater counts, category by
+category; repeated rows score alike; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearsay.llm.common import stage
-from hearsay.llm.linear import SAMPLE_ROWS, fit_logistic, labelled_sample, logit, predict
+from hearsay.llm.linear import SAMPLE_ROWS, labelled_sample, logit, sigmoid
 from hearsay.llm.words import NON_LETTERS, hashed_words, shares, slices, text_bytes
 
-MAX_WORDS, MIN_DOCS, MIN_Z, FOLDS = 192, 5, 4.0, 5
+MIN_DOCS, MIN_Z, FOLDS = 5, 4.0, 5
 KINDS = {
     "upper": np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
     "digit": np.isin(np.arange(256), list(b"0123456789")),
@@ -47,19 +48,73 @@ def style(texts: pa.Array, n_words: np.ndarray) -> np.ndarray:
     return np.stack([*cells, np.log1p(n_words)], axis=1)
 
 
-def features(texts: pa.Array, words: np.ndarray) -> np.ndarray:
+@dataclass
+class Design:
+    """Rows of features: the words that a row holds, as pairs (row, word), then dense columns, then a constant."""
+
+    rows: np.ndarray
+    words: np.ndarray
+    n_words: int
+    dense: np.ndarray
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        n = self.n_words
+        return np.bincount(self.rows, w[:n][self.words], len(self.dense)) + self.dense @ w[n:-1] + w[-1]
+
+    def back(self, u: np.ndarray) -> np.ndarray:
+        """The transposed product."""
+        return np.concatenate([np.bincount(self.words, u[self.rows], self.n_words), u @ self.dense, [u.sum()]])
+
+    def squares(self, u: np.ndarray) -> np.ndarray:
+        """The transposed product of the squared features."""
+        return np.concatenate([np.bincount(self.words, u[self.rows], self.n_words), u @ self.dense**2, [u.sum()]])
+
+    def wider(self, column: np.ndarray) -> Design:
+        return Design(self.rows, self.words, self.n_words, np.hstack([self.dense, column[:, None]]))
+
+
+def features(texts: pa.Array, words: np.ndarray) -> Design:
     """Presence of each of the sorted word hashes, then the style columns."""
     hashes, first = hashed_words(texts, NON_LETTERS)
-    x = np.zeros((len(texts), len(words)))
+    cells = np.zeros(0, np.int64)
     if len(words) and len(hashes):
         at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
         hit = np.flatnonzero(words[at] == hashes)
-        x[np.searchsorted(first, hit, "right") - 1, at[hit]] = 1.0
-    return np.hstack([x, style(texts, np.diff(first))])
-
-
-def telling_words(sample: DataFrame, categories: list[str], max_words: int) -> np.ndarray:
-    """Sorted hashes of the words whose document frequency differs most between the classes."""
+        cells = np.unique((np.searchsorted(first, hit, "right") - 1) * len(words) + at[hit])
+    size = max(len(words), 1)
+    return Design(cells // size, cells % size, len(words), style(texts, np.diff(first)))
+
+
+def fit_sparse(x: Design, y: np.ndarray, used: np.ndarray, l2: float = 1.0, steps: int = 25) -> np.ndarray:
+    """Logistic weights of the `used` rows: damped Newton steps with an L2 penalty, solved by conjugate gradients."""
+    w = np.zeros(x.n_words + x.dense.shape[1] + 1)
+    penalty = np.full(len(w), l2)
+    penalty[-1] = 1e-3
+    for _ in range(steps):
+        p = sigmoid(x.dot(w))
+        curve = used * np.maximum(p * (1 - p), 1e-6)
+        rest = x.back(used * (p - y)) + penalty * w
+        scale = 1 / (x.squares(curve) + penalty)
+        step, limit = np.zeros(len(w)), 1e-8 * np.sqrt((rest * rest).sum())
+        z = scale * rest
+        along, size = z, rest @ z
+        for _ in range(4 * len(w)):
+            if np.sqrt((rest * rest).sum()) <= limit or not size:
+                break
+            bent = x.back(curve * x.dot(along)) + penalty * along
+            pace = size / (along @ bent)
+            step, rest = step + pace * along, rest - pace * bent
+            z = scale * rest
+            size, last = rest @ z, size
+            along = z + size / last * along
+        w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def telling_words(sample: DataFrame, categories: list[str]) -> np.ndarray:
+    """Sorted hashes of the words whose document frequency differs between the classes by MIN_Z or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,8 +145,9 @@ def telling_words(sample: DataFrame, categories: list[str], max_words: int) -> n
         if 0 < rate < 1:
             expected = F.col("n") * rate
             best = F.greatest(best, F.abs(F.col(f"n{i}") - expected) / F.sqrt(expected * (1 - rate)))
-    top = counts.withColumn("z", best).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(max_words)
-    return np.sort(np.array([r[0] for r in top.select("word").collect()], np.int64).view(np.uint64))
+    # At most the words of the bounded sample that MIN_DOCS of its documents hold.
+    told = counts.withColumn("z", best).where(F.col("z") >= MIN_Z).select("word")
+    return np.sort(np.array([r[0] for r in told.collect()], np.int64).view(np.uint64))
 
 
 @dataclass
@@ -104,15 +160,15 @@ class Chain:
     rates: list[float]
     cuts: list[float]
 
-    def link(self, i: int, x: np.ndarray) -> np.ndarray:
+    def link(self, i: int, x: Design) -> np.ndarray:
         w = self.weights[i]
-        return np.full(len(x), self.rates[i]) if w is None else predict(w, x)
+        return np.full(len(x.dense), self.rates[i]) if w is None else sigmoid(x.dot(w))
 
-    def probabilities(self, x: np.ndarray) -> np.ndarray:
+    def probabilities(self, x: Design) -> np.ndarray:
         out = []
         for i in range(len(self.categories)):
             out.append(self.link(i, x))
-            x = np.hstack([x, logit(out[-1])[:, None]])
+            x = x.wider(logit(out[-1]))
         return np.stack(out, axis=1)
 
 
@@ -125,53 +181,58 @@ def best_cut(p: np.ndarray, target: np.ndarray) -> float:
     return float(grid[int(f1.argmax())]) if f1.max() > 0 else 0.5
 
 
-def fit_chain(x: np.ndarray, y: np.ndarray, fold: np.ndarray, categories: list[str], words: np.ndarray) -> Chain:
+def fit_chain(x: Design, y: np.ndarray, fold: np.ndarray, categories: list[str], words: np.ndarray) -> Chain:
     chain = Chain(categories, words, [], [], [])
     for i in range(len(categories)):
         target = y[:, i]
         rate = float(target.mean()) if len(target) else 0.0
         chain.rates.append(rate)
+        unseen = np.full(len(target), rate)
         if not 0 < rate < 1:
             chain.weights.append(None)
-            unseen = np.full(len(x), rate)
         else:
-            unseen = np.full(len(x), rate)
             for k in range(FOLDS):
                 own, rest = fold == k, fold != k
                 if own.any() and 0 < target[rest].mean() < 1:
-                    unseen[own] = predict(fit_logistic(x[rest], target[rest]), x[own])
-            chain.weights.append(fit_logistic(x, target))
+                    unseen[own] = sigmoid(x.dot(fit_sparse(x, target, rest.astype(float))))[own]
+            chain.weights.append(fit_sparse(x, target, np.ones(len(target))))
         chain.cuts.append(best_cut(unseen, target))
-        x = np.hstack([x, logit(unseen)[:, None]])
+        x = x.wider(logit(unseen))
     return chain
 
 
 def train_chain(
     docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str = "doc_id", text_col: str = "text",
-    max_labelled: int = SAMPLE_ROWS, max_words: int = MAX_WORDS,
+    max_labelled: int = SAMPLE_ROWS,
 ) -> Chain:
     """`labels` has doc_id and one 0/1 column per category, in chain order."""
     known = labels.select("doc_id", *[F.col(c).cast("int").alias(c) for c in categories]).dropna()
     sample = stage(labelled_sample(docs, known, id_col, text_col, max_labelled), "labelled")
-    words = telling_words(sample, categories, max_words)
+    words = telling_words(sample, categories)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                x = features(part.column(1), words).astype(np.float32)
+                x = features(part.column(1), words)
+                own = np.split(x.words.astype(np.int32), np.searchsorted(x.rows, np.arange(1, part.num_rows)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([r.tobytes() for r in x], pa.binary()), *part.columns[2:]],
-                    names=["doc_id", "x", *categories],
+                    [part.column(0), pa.array([c.tobytes() for c in own], pa.binary()),
+                     pa.array([r.tobytes() for r in x.dense], pa.binary()), *part.columns[2:]],
+                    names=["doc_id", "words", "dense", *categories],
                 )
 
     marks = ", ".join(f"{c} int" for c in categories)
     id_type = dict(sample.dtypes)["doc_id"]
-    rows = sample.select("doc_id", "text", *categories).mapInArrow(run, f"doc_id {id_type}, x binary, {marks}")
+    rows = sample.select("doc_id", "text", *categories).mapInArrow(run, f"doc_id {id_type}, words binary, dense binary, {marks}")
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).alias("fold")
-    # Bounded by max_labelled rows of max_words + 5 numbers.
-    found = rows.select("doc_id", "x", fold, *categories).orderBy("doc_id").collect()
-    width = len(words) + len(KINDS) + 1
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in found], float).reshape(len(found), width)
+    # Bounded by max_labelled rows, each with the telling words it holds and a few numbers.
+    found = rows.select("doc_id", "words", "dense", fold, *categories).orderBy("doc_id").collect()
+    held = [np.frombuffer(r["words"], np.int32) for r in found]
+    x = Design(
+        np.repeat(np.arange(len(found)), [len(h) for h in held]).astype(np.int64),
+        np.concatenate([np.zeros(0, np.int32), *held]).astype(np.int64), len(words),
+        np.array([np.frombuffer(r["dense"]) for r in found], float).reshape(len(found), len(KINDS) + 1),
+    )
     y = np.array([[r[c] for c in categories] for r in found], float).reshape(len(found), len(categories))
     return fit_chain(x, y, np.array([r["fold"] for r in found]), categories, words)
 

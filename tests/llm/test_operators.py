@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import checks.compare as compare
 from hearsay.llm.bpe import bpe_round_trip, decode_ids
-from hearsay.llm.exact_dedup import drop_exact_copies, exact_dedup
+from hearsay.llm.exact_dedup import drop_exact_copies, exact_dedup, merge_runs
 from hearsay.llm.hmm_scoring import Hmm, emissions, expected_counts, first_shares, hmm_scoring, log_likelihoods
 from hearsay.llm.mixing import mix_sources, mixed_documents
 from hearsay.llm.ngram_join import ngram_join, one_per_component
@@ -79,6 +79,23 @@ def test_exact_dedup(docs):
     assert kept.columns == docs.columns and kept.count() == len({low(t) for _, t in rows})
 
 
+def test_exact_dedup_merges_sorted_runs(spark):
+    """Many runs, binary rounds, and half of all rows equal; rounds deal by range and merge in order."""
+    rows = [(i, "Same text" if i % 2 else f"t{i % 30}") for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(13)
+    for largest in (True, False):
+        best, size = {}, Counter()
+        for i, t in rows:
+            best[t] = (max if largest else min)(best.get(t, i), i)
+            size[t] += 1
+        got = exact_dedup(table, fan_in=2, largest=largest).collect()
+        assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == Counter(
+            (i, best[t], size[t], best[t] == i) for i, t in rows)
+    runs = spark.range(10).selectExpr("id as run", "cast(cast(id as string) as binary) as digest", "id as n_bytes", "id as keep_id", "id as group_size")
+    plan = merge_runs(runs, 2)._jdf.queryExecution().toString().split("Physical Plan")[1]
+    assert "rangepartitioning(run" in plan and "SortAggregate" in plan and "HashAggregate" not in plan and plan.count("Exchange ") == 1
+
+
 def test_quality_rules(docs):
     got = {r["doc_id"]: r for r in quality_rules(docs).collect()}
     assert got[2]["n_words"] == 0 and got[2]["base_failed"] and not got[2]["kept"]
