@@ -12,10 +12,12 @@ as under the smoothed unigram of `base_score`.
 
 Texts are coded in chunks of about `CHUNK` bytes, with the chunk's distinct words.
 Counts and emissions of the `frequent` most frequent words travel to the tasks (a
-bounded table). All other words meet theirs in a join on the word, one row per
-chunk and word, so nothing that grows with the vocabulary is broadcast or sent to
-the driver, and no hot word is left for the join. Words are identified by 64-bit
-hashes.
+bounded table). Expected counts of a word that lies in one chunk alone stay beside
+the chunk. Only words that chunks share move: each chunk's sums of them are dealt
+by word, added up, and brought back to the chunks that hold them. Chunks and what
+belongs to them are bucketed by chunk, so they meet without moving. Nothing that
+grows with the vocabulary is broadcast or sent to the driver, and no hot word is
+left to be dealt. Words are identified by 64-bit hashes.
 
 Defined results: a null or empty text is one end; a null id counts as training;
 without training documents counts are zero and the model is uniform; repeated
@@ -27,18 +29,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearsay.llm.common import discard, stage
+from hearsay.llm.common import discard, stage, stage_by
 from hearsay.llm.words import hashed_words, mix, slices
 
 STATES, FREQUENT, PASSES = 8, 150_000, 6
-# Bytes of text in a chunk; tokens whose recursions run in step; steps kept at once of a longer block.
-CHUNK, BLOCK, STEPS = 1 << 21, 1 << 18, 1_024
+# Records that are handed on at once.
+PIECE = 50_000
+# Bytes of text in a chunk, chunks in a bucket; tokens whose recursions run in step; steps kept at once of a longer block.
+CHUNK, PER_BUCKET, BLOCK, STEPS = 1 << 24, 4, 1 << 18, 1_024
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -97,8 +102,8 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     `symbols` point into the chunk's frequent words (with the end), then its other `words`.
     """
 
-    def code(part: pa.RecordBatch, held_out: bool) -> pa.RecordBatch:
-        h, first = hashed_words(part.column(3))
+    def code(part: pa.Table, held_out: bool) -> pa.RecordBatch:
+        h, first = hashed_words(part.column(3).combine_chunks())
         at = np.minimum(np.searchsorted(vocab.words, h), max(vocab.end - 1, 0))
         hit = vocab.words[at] == h if vocab.end else np.zeros(len(h), bool)
         words, place = np.unique(h[~hit], return_inverse=True)
@@ -108,25 +113,35 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
         symbols = symbols.astype("<u2" if len(distinct) <= 1 << 16 else "<u4")
         one = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
         return pa.RecordBatch.from_arrays(
-            [part.column(0)[:1], pa.array([held_out]), one(part.column(1)), one(pa.array(np.diff(first) + 1)),
-             pa.array([symbols.tobytes()], pa.binary()), one(pa.array(distinct[distinct <= vocab.end])),
+            [part.column(0).chunk(0)[:1], pa.array([held_out]), one(part.column(1).combine_chunks()), one(pa.array(np.diff(first) + 1)),
+             pa.array([symbols.tobytes()], pa.binary()), one(pa.array(distinct[distinct <= vocab.end].astype(np.int32))),
              one(pa.array(words.view(np.int64)))],
             names=["chunk", "held_out", "ids", "n", "symbols", "frequent", "words"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[bool, list[pa.RecordBatch]] = {False: [], True: []}
+        size = {False: 0, True: 0}
         for batch in batches:
-            for part in slices(batch, 3, CHUNK):
+            for part in slices(batch, 3):
                 held = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
                 for kind in (False, True):
                     if (held == kind).any():
-                        yield code(part.filter(pa.array(held == kind)), kind)
+                        own = part.filter(pa.array(held == kind))
+                        waiting[kind].append(own)
+                        size[kind] += own.column(3).nbytes
+                        if size[kind] >= CHUNK:
+                            yield code(pa.Table.from_batches(waiting[kind]), kind)
+                            waiting[kind], size[kind] = [], 0
+        for kind, parts in waiting.items():
+            if parts:
+                yield code(pa.Table.from_batches(parts), kind)
 
     id_type = dict(docs.dtypes)["doc_id"]
     return docs.mapInArrow(
         run,
         f"chunk long, held_out boolean, ids array<{id_type}>, n array<long>, symbols binary, "
-        "frequent array<long>, words array<long>",
+        "frequent array<int>, words array<long>",
     )
 
 
@@ -153,41 +168,41 @@ def first_shares(words: np.ndarray, states: int) -> np.ndarray:
     return noise / noise.sum(axis=1, keepdims=True)
 
 
-def cells(states: int) -> list[str]:
-    return [f"g{k}" for k in range(states)]
-
-
-def count_schema(states: int) -> str:
-    return "word long, place long, " + ", ".join(f"{g} float" for g in cells(states))
+def chunk_table(coded: DataFrame, counts: DataFrame) -> tuple[DataFrame, int]:
+    """Chunks with training counts of their words and whether another chunk has the word too; the number of buckets."""
+    words = coded.select("chunk", F.posexplode("words").alias("at", "word")).join(counts, "word", "left")
+    known = words.withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("word")) > 1)
+    facts = known.groupBy("chunk").agg(
+        F.array_sort(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), "shared"))).alias("facts")
+    )
+    n = coded.count()
+    parts = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, min(parts, n), ceil(n / PER_BUCKET))
+    whole = coded.join(facts, "chunk", "left").select(*coded.columns, F.col("facts.n").alias("counts"), F.col("facts.shared").alias("shared"))
+    return stage_by(whole.repartition(buckets, "chunk"), "chunks", "chunk", buckets), buckets
 
 
-def count_batch(words: np.ndarray, places: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(v) for v in values.T.astype(np.float32)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(words.astype(np.int64)), pa.array(places.astype(np.int64)), *columns],
-        names=["word", "place", *cells(values.shape[1])],
-    )
+def first_model(vocab: Vocabulary, tokens: np.ndarray, states: int) -> Hmm:
+    """Sticky states, and the frequent words' emissions from counts dealt at random."""
+    even = np.full(states, 1.0 / states)
+    shares = np.vstack([first_shares(vocab.words, states), even])
+    move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
+    return Hmm(even, tokens, move, emissions(vocab.counts[:, None] * shares, tokens, vocab.distinct).T)
 
 
-def first_guess(counts: DataFrame, vocab: Vocabulary, states: int) -> tuple[DataFrame, Hmm]:
-    """Expected counts by word, and sticky states."""
+def first_tokens(counts: DataFrame, ends: int, states: int) -> np.ndarray:
+    """Tokens of each state when all counts are dealt at random."""
+    names = [f"g{k}" for k in range(states)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(states)
         for batch in batches:
             word, n = (batch.column(i).to_numpy() for i in range(2))
-            yield count_batch(word, np.full(len(word), -1), n[:, None] * first_shares(word.view(np.uint64), states))
-
-    expected = stage(counts.mapInArrow(run, count_schema(states)), "expected")
-    even = np.full(states, 1.0 / states)
-    shares = np.vstack([first_shares(vocab.words, states), even])
-    tokens = state_tokens(expected, states) + vocab.counts[-1] * even
-    move = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
-    emit = emissions(vocab.counts[:, None] * shares, tokens, vocab.distinct)
-    return expected, Hmm(even, tokens, move, emit.T)
+            total += n @ first_shares(word.view(np.uint64), states)
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names=names)
 
-
-def state_tokens(expected: DataFrame, states: int) -> np.ndarray:
-    return np.array([x or 0.0 for x in expected.agg(*[F.sum(g) for g in cells(states)]).first()])
+    sums = counts.mapInArrow(run, ", ".join(f"{g} double" for g in names)).agg(*[F.sum(g) for g in names]).first()
+    return np.array([x or 0.0 for x in sums]) + ends / states
 
 
 def in_step(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
@@ -251,94 +266,202 @@ def expected_counts(texts: list[np.ndarray], hmm: Hmm, steps: int | None = None)
 class Chunk:
     """A chunk's texts, and counts and emissions of its words: the frequent ones, then the others."""
 
+    number: int
     ids: pa.Array
     texts: list[np.ndarray]
     frequent: np.ndarray
     words: np.ndarray
+    shared: np.ndarray
     counts: np.ndarray
     table: np.ndarray
 
+    def blocks(self) -> Iterator[tuple[int, int]]:
+        """Ranges of texts with about BLOCK tokens."""
+        ends = np.cumsum([len(t) for t in self.texts])
+        a = 0
+        while a < len(ends):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
+            yield a, b
+            a = b
+
+
+def floats(packed: bytes | None, states: int) -> np.ndarray:
+    return np.frombuffer(packed or b"", "<f4").reshape(-1, states).astype(float)
 
-def opened(batch: pa.RecordBatch, hmm: Hmm, vocab: Vocabulary) -> Iterator[Chunk]:
+
+def opened(batch: pa.RecordBatch, hmm: Hmm, vocab: Vocabulary, first: bool) -> Iterator[Chunk]:
+    """The chunks of a batch. At first, words have the counts dealt at random, later those that the last pass left."""
     states = len(hmm.start)
     for i in range(batch.num_rows):
-        n, frequent, words = (batch.column(c)[i].values.to_numpy() for c in ("n", "frequent", "words"))
-        packed = batch.column("symbols")[i].as_py()
+        cell = lambda c: batch.column(c)[i]  # noqa: B023, E731
+        values = lambda c, t: (cell(c).values if cell(c).is_valid else pa.array([], t)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+        n, frequent, words, count = (values(c, pa.int64()) for c in ("n", "frequent", "words", "counts"))
+        shared = values("shared", pa.bool_()).astype(bool)
+        packed = cell("symbols").as_py()
         symbols = np.frombuffer(packed, f"<u{len(packed) // int(n.sum())}")
-        count, expected = np.zeros(len(words)), np.zeros((len(words), states))
-        rest = batch.column("rest")[i].values
-        if rest is not None:
-            at, count_at, *found = (rest.field(j).to_numpy() for j in range(2 + states))
-            count[at], expected[at] = count_at, np.stack(found, axis=1)
+        if first:
+            expected = count[:, None] * first_shares(words.view(np.uint64), states)
+        else:
+            expected = np.zeros((len(words), states))
+            own, met = (floats(cell(c).as_py(), states) for c in ("local", "met"))
+            if len(own):
+                expected[~shared] = own
+            if len(met):
+                expected[shared] = met
         table = np.vstack([hmm.emit.T[frequent], emissions(expected, hmm.tokens, vocab.distinct)])
         yield Chunk(
-            batch.column("ids")[i].values, np.split(symbols, np.cumsum(n)[:-1]), frequent, words,
+            cell("chunk").as_py(), cell("ids").values, np.split(symbols, np.cumsum(n)[:-1]), frequent, words, shared,
             np.concatenate([vocab.counts[frequent], count]), table,
         )
 
 
-def blocks(batches: Iterator[pa.RecordBatch], hmm: Hmm, vocab: Vocabulary) -> Iterator[list[Chunk]]:
-    held: list[Chunk] = []
-    size = 0
-    for batch in batches:
-        for chunk in opened(batch, hmm, vocab):
-            held.append(chunk)
-            size += sum(len(t) for t in chunk.texts)
-            if size > BLOCK:
-                yield held
-                held, size = [], 0
-    if held:
-        yield held
-
-
-def together(held: list[Chunk], hmm: Hmm) -> tuple[list[np.ndarray], Hmm, np.ndarray]:
-    """All texts of a block, the model over its words, and where each chunk's words begin."""
-    first = np.cumsum([0, *[len(c.table) for c in held]])
-    texts = [t.astype(np.int64) + a for c, a in zip(held, first[:-1], strict=True) for t in c.texts]
-    return texts, Hmm(hmm.start, hmm.tokens, hmm.move, np.vstack([c.table for c in held]).T), first
-
-
-def with_counts(coded: DataFrame, needed: DataFrame, expected: DataFrame, states: int) -> DataFrame:
-    """Chunks with the counts and expected counts of their words that are not frequent."""
-    known = expected.where("place < 0").drop("place")
-    values = [F.coalesce(g, F.lit(0.0).cast("float")).alias(g) for g in cells(states)]
-    rest = needed.join(known, "word", "left").groupBy("chunk").agg(
-        F.collect_list(F.struct("at", "n", *values)).alias("rest")
-    )
-    return coded.join(rest, "chunk", "left")
-
+def expectation(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool, buckets: int) -> tuple[DataFrame, Hmm]:
+    """One pass over all training texts: each chunk's sums of its words, and the model of the frequent ones.
 
-def baum_welch_pass(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary) -> tuple[DataFrame, Hmm]:
-    """One pass over all training texts. Expected counts are summed by word; those of frequent words also come back."""
+    The sums are (chunk, local, sums): expected counts of the words that no other chunk
+    has, and records (word, expected counts) of those that are shared.
+    """
     states, end = len(hmm.start), vocab.end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Frequent words, the end, starts, transitions.
-        total = np.zeros((end + 2 + states, states))
-        for held in blocks(batches, hmm, vocab):
-            texts, model, first = together(held, hmm)
-            start, pairs, emit = expected_counts(texts, model)
-            total[end + 1] += start
-            total[end + 2 :] += pairs
-            for c, a, b in zip(held, first[:-1], first[1:], strict=True):
-                total[c.frequent] += emit[a : a + len(c.frequent)]
-                if len(c.words):
-                    yield count_batch(c.words, np.full(len(c.words), -1), emit[a + len(c.frequent) : b])
-        place = np.flatnonzero(total.any(axis=1))
-        yield count_batch(np.zeros(len(place)), place, total[place])
+        # Frequent words, the end, starts, transitions, tokens of each state.
+        total = np.zeros((end + 3 + states, states))
 
-    g = cells(states)
-    sums = chunks.mapInArrow(run, count_schema(states))
-    expected = stage(
-        sums.groupBy("word", "place").agg(*[F.sum(c).cast("float").alias(c) for c in g]), "expected"
-    )
-    total = np.zeros((end + 2 + states, states))
-    found = expected.where("place >= 0").toArrow()
-    total[found.column("place").to_numpy()] = np.stack([found.column(c).to_numpy() for c in g], axis=1)
-    tokens = state_tokens(expected.where(F.col("place") <= end), states)
+        for batch in batches:
+            for c in opened(batch, hmm, vocab, first):
+                model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
+                emit = np.zeros(c.table.shape)
+                for a, b in c.blocks():
+                    start, pairs, part = expected_counts(c.texts[a:b], model)
+                    total[end + 1] += start
+                    total[end + 2 : -1] += pairs
+                    emit += part
+                total[c.frequent] += emit[: len(c.frequent)]
+                total[-1] += emit.sum(axis=0)
+                own = emit[len(c.frequent) :].astype("<f4")
+                sums = np.zeros(int(c.shared.sum()), record_type(states))
+                sums["word"], sums["v"] = c.words[c.shared], own[c.shared]
+                yield batch_of(1, chunk=[c.number], local=[own[~c.shared].tobytes()], sums=[sums.tobytes()])
+        place = np.flatnonzero(total.any(axis=1))
+        for at in np.split(place, range(PIECE, len(place), PIECE)):
+            yield batch_of(len(at), place=at, **dict(zip(g, total[at].T, strict=True)))
+
+    g = [f"g{k}" for k in range(states)]
+    types = {"chunk": pa.int64(), "local": pa.binary(), "sums": pa.binary(), "place": pa.int64()} | dict.fromkeys(g, pa.float64())
+
+    def batch_of(size: int, **columns) -> pa.RecordBatch:
+        cells = [pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in types.items()]
+        return pa.RecordBatch.from_arrays(cells, names=list(types))
+
+    schema = "chunk long, local binary, sums binary, place long, " + ", ".join(f"{c} double" for c in g)
+    found = stage_by(chunks.mapInArrow(run, schema), "sums", "chunk", buckets)
+    # One row per frequent word and for the rest of the model, at any size of the corpus.
+    sums = found.where("chunk is null").groupBy("place").agg(*[F.sum(c).alias(c) for c in g]).toArrow()
+    total = np.zeros((end + 3 + states, states))
+    total[sums.column("place").to_numpy()] = np.stack([sums.column(c).to_numpy() for c in g], axis=1)
     share = lambda x: x / x.sum(axis=-1, keepdims=True)
-    emit = emissions(total[: end + 1], tokens, vocab.distinct).T
-    return expected, Hmm(share(total[end + 1] + 0.1), tokens, share(total[end + 2 :] + 0.1), emit)
+    emit = emissions(total[: end + 1], total[-1], vocab.distinct).T
+    return found, Hmm(share(total[end + 1] + 0.1), total[-1], share(total[end + 2 : -1] + 0.1), emit)
+
+
+def record_type(states: int) -> np.dtype:
+    return np.dtype([("word", "<i8"), ("v", "<f4", (states,))])
+
+
+def met_again(own: DataFrame, held_out: DataFrame | None, states: int, buckets: int) -> DataFrame:
+    """(chunk, met): for each chunk the sums over all chunks of the words it shares, in its words' order.
+
+    `held_out` are chunks that have no sums of their own but ask for those of others.
+    """
+    schema = "word long, chunk long, at int, v binary"
+    kind = record_type(states)
+
+    def asked(batch: pa.RecordBatch, i: int) -> np.ndarray:
+        if batch.schema.names[1] == "sums":
+            return np.frombuffer(batch.column(1)[i].as_py() or b"", kind)
+        words = batch.column(1)[i]
+        words = words.values.to_numpy() if words.is_valid else np.zeros(0, np.int64)
+        mask = batch.column(2)[i]
+        mask = mask.values.to_numpy(zero_copy_only=False).astype(bool) if mask.is_valid else np.zeros(0, bool)
+        found = np.zeros(int(mask.sum()), kind)
+        found["word"] = words[mask]
+        return found
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = asked(batch, i)
+                for a in range(0, len(found), PIECE):
+                    part = found[a : a + PIECE]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part["word"]), pa.array(np.full(len(part), batch.column(0)[i].as_py(), np.int64)),
+                         pa.array(np.arange(a, a + len(part), dtype=np.int32)), packed_rows(part["v"])],
+                        names=["word", "chunk", "at", "v"],
+                    )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = pa.Table.from_batches([*held, batch]).combine_chunks()
+            word = whole.column(0).to_numpy()
+            # The last word may go on in the next batch.
+            upto = int(np.searchsorted(word, word[-1], "left"))
+            if upto:
+                yield summed(whole.slice(0, upto))
+            held = whole.slice(upto).to_batches()
+        if held:
+            yield summed(pa.Table.from_batches(held))
+
+    def summed(rows: pa.Table) -> pa.RecordBatch:
+        word = rows.column(0).to_numpy()
+        begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        v = unpacked_rows(rows.column(3), states)
+        total = np.add.reduceat(v.astype(float), begin).astype("<f4")
+        back = np.repeat(total, np.diff([*begin, len(word)]), axis=0)
+        return pa.RecordBatch.from_arrays(
+            [rows.column(1).combine_chunks(), rows.column(2).combine_chunks(), packed_rows(back)], names=["chunk", "at", "v"]
+        )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = None, []
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([b"".join(held)], pa.binary())], names=["chunk", "met"])
+
+        for batch in batches:
+            chunk = batch.column(0).to_numpy()
+            for a, b in zip(edges := np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])), [*edges[1:], len(chunk)], strict=True):
+                if number is not None and chunk[a] != number:
+                    yield row()
+                    held = []
+                number = int(chunk[a])
+                held.append(unpacked_rows(batch.column(2).slice(a, b - a), states).tobytes())
+        if number is not None:
+            yield row()
+
+    rows = own.where("chunk is not null").select("chunk", "sums").mapInArrow(spread, schema)
+    if held_out is not None:
+        rows = rows.union(held_out.select("chunk", "words", "shared").mapInArrow(spread, schema))
+    sums = rows.repartition("word").sortWithinPartitions("word").mapInArrow(add, "chunk long, at int, v binary")
+    dealt = sums.repartition(buckets, "chunk").sortWithinPartitions("chunk", "at")
+    return stage_by(dealt.mapInArrow(pack, "chunk long, met binary"), "met", "chunk", buckets)
+
+
+def packed_rows(values: np.ndarray) -> pa.Array:
+    """Rows of floats as one binary each."""
+    data = np.ascontiguousarray(values, "<f4")
+    offsets = np.arange(len(data) + 1, dtype=np.int32) * (data.shape[1] * 4)
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def unpacked_rows(column: pa.Array | pa.ChunkedArray, states: int) -> np.ndarray:
+    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    array = array.cast(pa.binary()) if array.type != pa.binary() else array
+    _, offsets, data = array.buffers()
+    at = np.frombuffer(offsets, np.int32)[array.offset : array.offset + len(array) + 1]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]].view("<f4").reshape(-1, states)
 
 
 def log_likelihoods(texts: list[np.ndarray], hmm: Hmm) -> np.ndarray:
@@ -357,21 +480,24 @@ def log_likelihoods(texts: list[np.ndarray], hmm: Hmm) -> np.ndarray:
     return out
 
 
-def scored(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary) -> DataFrame:
+def scored(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool) -> DataFrame:
     names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in blocks(batches, hmm, vocab):
-            texts, model, _ = together(held, hmm)
-            n = np.array([len(t) for t in texts])
-            begin, flat = np.cumsum(n) - n, np.concatenate(texts)
-            count = np.concatenate([c.counts for c in held])[flat]
-            base = np.add.reduceat(np.log10(count + 0.5), begin) - n * np.log10(vocab.base)
-            known = np.add.reduceat((count > 0).astype(np.int64), begin)
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([c.ids for c in held]), pa.array(n), pa.array(known), pa.array(base),
-                 pa.array(log_likelihoods(texts, model))], names=names,
-            )
+        for batch in batches:
+            for c in opened(batch, hmm, vocab, first):
+                model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
+                for a, b in c.blocks():
+                    texts = c.texts[a:b]
+                    n = np.array([len(t) for t in texts])
+                    begin, flat = np.cumsum(n) - n, np.concatenate(texts)
+                    count = c.counts[flat]
+                    base = np.add.reduceat(np.log10(count + 0.5), begin) - n * np.log10(vocab.base)
+                    known = np.add.reduceat((count > 0).astype(np.int64), begin)
+                    yield pa.RecordBatch.from_arrays(
+                        [c.ids[a:b], pa.array(n), pa.array(known), pa.array(base), pa.array(log_likelihoods(texts, model))],
+                        names=names,
+                    )
 
     id_type = dict(chunks.dtypes)["ids"][len("array<") : -1]
     return chunks.mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
@@ -383,13 +509,10 @@ def held_out(doc_id: str) -> Column:
 
 
 def hmm_scoring(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, classes: int | None = None,
-    frequent: int = FREQUENT, passes: int = PASSES,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", states: int = STATES, frequent: int = FREQUENT,
+    passes: int = PASSES,
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
-
-    `classes` has no effect: every training word has its own emissions.
-    """
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities)."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
         held_out(id_col).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
@@ -398,17 +521,26 @@ def hmm_scoring(
     counts = stage(word_counts(rows.where("not held_out").select("text")), "word-counts")
     vocab = vocabulary(counts, ends, frequent)
     coded = stage(encoded(rows, vocab), "coded")
-    each = coded.select("chunk", "held_out", F.posexplode("words").alias("at", "word"))
-    needed = stage(each.join(counts, "word", "left").fillna(0, ["n"]), "needed")
-
-    expected, hmm = first_guess(counts, vocab, states)
-    discard(counts)
-    training, wanted = (f.where("not held_out").drop("held_out") for f in (coded, needed))
-    for _ in range(passes if ends else 0):
-        before = expected
-        expected, hmm = baum_welch_pass(with_counts(training, wanted, before, states), hmm, vocab)
-        discard(before)
-    found = scored(with_counts(coded.drop("held_out"), needed, expected, states), hmm, vocab)
+    chunks, buckets = chunk_table(coded, counts)
+    hmm = first_model(vocab, first_tokens(counts, ends, states), states)
+    discard(counts, coded)
+
+    training, asking = chunks.where("not held_out"), chunks.where("held_out")
+    before: tuple[DataFrame, ...] = ()
+
+    def with_sums(frame: DataFrame) -> DataFrame:
+        if not before:
+            return frame
+        own, met = before
+        own = own.where("chunk is not null").select("chunk", "local")
+        return frame.join(own, "chunk", "left").join(met, "chunk", "left")
+
+    for left in reversed(range(passes if ends else 0)):
+        own, hmm = expectation(with_sums(training), hmm, vocab, not before, buckets)
+        if before:
+            discard(*before)
+        before = own, met_again(own, None if left else asking, states, buckets)
+    found = scored(with_sums(chunks), hmm, vocab, not before)
     return found.select(
         "doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known",
         F.lit(vocab.train_tokens).cast("long").alias("train_tokens"), "base_score", "score",

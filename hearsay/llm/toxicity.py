@@ -85,31 +85,38 @@ def features(texts: pa.Array, words: np.ndarray) -> Design:
     return Design(cells // size, cells % size, len(words), style(texts, np.diff(first)))
 
 
-def fit_sparse(x: Design, y: np.ndarray, used: np.ndarray, l2: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Logistic weights of the `used` rows: damped Newton steps with an L2 penalty, solved by conjugate gradients."""
-    w = np.zeros(x.n_words + x.dense.shape[1] + 1)
+def fit_sparse(
+    x: Design, y: np.ndarray, used: np.ndarray, start: np.ndarray | None = None, l2: float = 1.0, steps: int = 50,
+) -> np.ndarray:
+    """Logistic weights of the `used` rows with an L2 penalty, whose optimum is one, wherever the search starts.
+
+    Newton steps, damped, each solved by conjugate gradients as far as it pays: to a
+    hundredth of the gradient, which steps make smaller until it is next to nothing.
+    """
+    w = np.zeros(x.n_words + x.dense.shape[1] + 1) if start is None else start.copy()
     penalty = np.full(len(w), l2)
     penalty[-1] = 1e-3
+    norm = lambda v: np.sqrt(v @ v)
     for _ in range(steps):
         p = sigmoid(x.dot(w))
         curve = used * np.maximum(p * (1 - p), 1e-6)
         rest = x.back(used * (p - y)) + penalty * w
+        if norm(rest) < 1e-4 * np.sqrt(used.sum() + 1):
+            break
         scale = 1 / (x.squares(curve) + penalty)
-        step, limit = np.zeros(len(w)), 1e-8 * np.sqrt((rest * rest).sum())
-        z = scale * rest
-        along, size = z, rest @ z
-        for _ in range(4 * len(w)):
-            if np.sqrt((rest * rest).sum()) <= limit or not size:
-                break
+        step, limit = np.zeros(len(w)), 0.01 * norm(rest)
+        along = scale * rest
+        size = rest @ along
+        for _ in range(100):
             bent = x.back(curve * x.dot(along)) + penalty * along
             pace = size / (along @ bent)
             step, rest = step + pace * along, rest - pace * bent
+            if norm(rest) <= limit:
+                break
             z = scale * rest
             size, last = rest @ z, size
             along = z + size / last * along
         w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
-        if np.abs(step).max() < 1e-6:
-            break
     return w
 
 
@@ -191,11 +198,11 @@ def fit_chain(x: Design, y: np.ndarray, fold: np.ndarray, categories: list[str],
         if not 0 < rate < 1:
             chain.weights.append(None)
         else:
+            chain.weights.append(fit_sparse(x, target, np.ones(len(target))))
             for k in range(FOLDS):
                 own, rest = fold == k, fold != k
                 if own.any() and 0 < target[rest].mean() < 1:
-                    unseen[own] = sigmoid(x.dot(fit_sparse(x, target, rest.astype(float))))[own]
-            chain.weights.append(fit_sparse(x, target, np.ones(len(target))))
+                    unseen[own] = sigmoid(x.dot(fit_sparse(x, target, rest.astype(float), chain.weights[-1])))[own]
         chain.cuts.append(best_cut(unseen, target))
         x = x.wider(logit(unseen))
     return chain

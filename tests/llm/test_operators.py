@@ -149,7 +149,7 @@ def test_hmm_scoring(docs):
     count = Counter(w for i, ws in rows.items() if i not in held for w in ws)
     total, distinct = sum(count.values()), len(count)
     # Few frequent words, so that the join path is used too.
-    got = by_id(hmm_scoring(known, states=2, classes=3, frequent=6, passes=2))
+    got = by_id(hmm_scoring(known, states=2, frequent=6, passes=2))
     for i, ws in rows.items():
         base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in ws)
         r = got[i]
