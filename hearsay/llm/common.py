@@ -136,8 +136,12 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], salts: int = 3
 
 
 def row_key(*columns: str) -> Column:
-    """Identity of a row by the columns a decision rests on; equal rows share it."""
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00null")) for c in columns])
+    """128-bit identity of a row by the columns a decision rests on; equal rows share it."""
+    def written(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.unhex(F.md5(F.concat_ws(",", *map(written, columns))))
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,8 +11,8 @@ target proportion; documents are permuted inside a block.
 Without a budget the smallest one is taken that reads every source at least
 once, so no document is lost: it rests on the largest share up to an exponent of
 1 and on the smallest above, where a target entropy sharper than the shares reads
-the largest source (most / least)^(exponent - 1) times. Positions in a stream are prefix sums in two
-levels (hash ranges of about `range_rows` documents, then inside a range): a
+the largest source (most / least)^(exponent - 1) times; beyond `MOST_PASSES` a
+budget must be given. Positions in a stream are prefix sums in two levels (hash ranges of about `range_rows` documents, then inside a range): a
 source with a third of all rows is spread over many tasks.
 
 Defined results: null text has no tokens; null source is a source; a source
@@ -37,6 +37,8 @@ BLOCK_TOKENS = 65_536
 RANGE_ROWS = 2_048
 LEVELS, ROUNDS = 4, 8
 SHARPEST = 16.0
+# Passes over a source that are read without a budget that asks for them.
+MOST_PASSES = 1_000
 
 
 def moments(sources: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
@@ -100,6 +102,8 @@ def source_weights(
     z = moments(filled, [exponent])[0][0]
     scarcest = most if exponent <= 1 else least
     budget = float(budget_tokens) if budget_tokens else total * scarcest ** (1 - exponent) * z
+    if not budget_tokens and exponent > 1 and (most / least) ** (exponent - 1) > MOST_PASSES:
+        raise ValueError(f"weights so sharp read the largest source over {MOST_PASSES} times: a budget of tokens is needed")
     weight = F.when(F.col("share") > 0, F.pow("share", F.lit(exponent)) / z).otherwise(0.0)
     # Rounded, so that float noise does not cut the last document of a whole pass.
     passes = F.round(weight * budget / F.greatest("tokens", F.lit(1)), 9)

@@ -21,9 +21,11 @@ shingle hashes.
 
 Defined results: a text with fewer words than a shingle is one shingle; null or
 empty text, or white space, has no shingle, is linked with nothing and is its
-own component; a null id is never a component's id, its row takes the component
-of an equal text; rows that share an id are one node; an empty table gives an
-empty result; other columns are ignored.
+own component; rows without an id take part as nodes of their own, so chains run
+through them, but a component is named by an id where it has one (else null), and
+of a component without any id `one_per_component` keeps one row; rows that share
+an id are one node; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -224,18 +226,44 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stage(lower.union(top), "roots")
 
 
+def named_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with an id, and those without one, written with an id above all others as `__node` (none: None)."""
+    known, lost = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
+    if lost.isEmpty():
+        return known, None
+    top = docs.agg(F.max(id_col)).first()[0]
+    row = F.monotonically_increasing_id()
+    if dict(docs.dtypes)[id_col] == "string":
+        node = F.concat(F.lit((top or "") + "\U0010FFFF"), F.lpad(row.cast("string"), 20, "0"))
+    else:
+        node = row + F.lit(0 if top is None else int(top) + 1)
+    return known, stage(lost.withColumn("__node", node), "without-id")
+
+
 def ngram_join(
     docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_shingles, component_id. Texts link when den * intersection >= num * union."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    known, lost = named_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id")
+    whole = F.coalesce("text", F.lit("")).alias("text")
+    rows = known.select("doc_id", whole)
+    if lost is None:
+        return linked(rows, size, num, den)
+    found = linked(rows.union(lost.select("__node", whole)), size, num, den)
+    made = lost.agg(F.min("__node")).first()[0]
+    name = lambda c: F.when(F.col(c) < F.lit(made), F.col(c)).cast(dict(rows.dtypes)["doc_id"]).alias(c)
+    return found.select(name("doc_id"), "n_shingles", name("component_id"))
+
+
+def linked(rows: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """`ngram_join` of rows (doc_id, text) without nulls."""
     levels = common_levels(rows.select("text"), size)
     facts = stage(profiles(rows, size, num, den, levels), "profiles")
 
     # Units: one per set, named by its smallest id. Groups: one per prefix and size.
     sets = facts.where("n > 0").groupBy("n", "k1", "k2").agg(
         F.min("doc_id").alias("uid"), F.count(F.lit(1)).alias("copies")
-    ).where("uid is not null")
+    )
     sets = stage(sets, "units")
     mine = facts.join(sets, ["n", "k1", "k2"]).where("doc_id = uid")
     units = stage(mine.select("uid", "n", "k1", "k2", "g1", "g2", *MAPS).distinct(), "unit-facts")
@@ -328,9 +356,16 @@ def ngram_join(
     )
 
 
-def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents whose id is their component's id, with all their columns; null ids without a partner stay."""
-    found = ngram_join(docs, id_col=id_col, text_col=text_col, **options)
-    going = stage(found.where("doc_id is not null and doc_id <> component_id").select(
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The documents whose id is their component's id, with all their columns."""
+    known, lost = named_rows(docs, id_col)
+    whole = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    rows = known.select(F.col(id_col).alias("doc_id"), whole)
+    if lost is not None:
+        rows = rows.union(lost.select(F.col("__node").alias("doc_id"), whole))
+    going = stage(linked(rows, size, num, den).where("doc_id <> component_id").select(
         F.col("doc_id").alias("__id")).distinct(), "near-copies")
-    return docs.join(going, docs[id_col] == going["__id"], "left_anti")
+    left = known.join(going, known[id_col] == going["__id"], "left_anti")
+    if lost is None:
+        return left
+    return left.union(lost.join(going, lost["__node"] == going["__id"], "left_anti").select(*docs.columns))

@@ -1,12 +1,17 @@
 """Secret scan: fixed patterns, and character Markov models for what they miss.
 
-Two first-order Markov models over characters are trained: one of random strings
-(the values that the patterns find), one of ordinary identifiers (long words
-outside them). Counts are aggregated over all documents. Candidates are runs of
-`MIN_RUN` or more token characters with a letter and a digit, outside pattern
-spans; one is a secret when its log-likelihood ratio reaches `threshold`. Half
-of the random model is uniform, so alphabets unseen in training still count as
-random.
+Two first-order Markov models over characters are trained, one of random strings,
+one of ordinary runs of letters and digits. Labels are not given ones: the values
+that the patterns find are the samples of random strings, and every run of
+`MIN_RUN` or more outside pattern spans is a sample of ordinary ones. So secrets
+that the patterns miss are among the ordinary samples too; they are few against
+the words and numbers of a corpus, and differ from each other. Counts are
+aggregated over all documents.
+
+Candidates are all runs of `MIN_RUN` or more token characters in the parts of a
+text that no pattern span covers, whatever they are made of. One is a secret when
+its log-likelihood ratio reaches `threshold`. Half of the random model is uniform,
+so alphabets unseen in training still count as random.
 
 Offsets are code points, end exclusive; spans are sorted by start, then kind.
 Defined results: a null or empty text has no spans; without any training string
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 from hearsay.llm.words import slices
 
 KINDS = ("assign", "access", "hex", "markov")
-MIN_RUN, MIN_IDENTIFIER, THRESHOLD = 20, 8, 10.0
+MIN_RUN, THRESHOLD = 8, 10.0
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 EDGE = len(ALPHABET)
 
@@ -40,7 +45,7 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # maximal runs: a run of 16 or more, or none
 HEX = re.compile(r"[0-9a-f]{32,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
-IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{%d,}" % (MIN_IDENTIFIER - 1))
+ORDINARY = re.compile(r"[A-Za-z0-9_]{%d,}" % MIN_RUN)
 
 _CODE = {c: i for i, c in enumerate(ALPHABET)}
 
@@ -63,12 +68,19 @@ def pattern_spans(text: str) -> tuple[list[tuple[int, int, int]], list[str]]:
     return spans, values
 
 
-def outside(spans: list[tuple[int, int, int]], start: int, end: int) -> bool:
-    return all(end <= a or b <= start for a, _, b in spans)
+def uncovered(size: int, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a text that no span covers, in order."""
+    at = 0
+    for start, _, end in sorted(spans):
+        if start > at:
+            yield at, start
+        at = max(at, end)
+    if size > at:
+        yield at, size
 
 
 def transition_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """(model, before, after, n) over all documents; model 1: random strings, 0: identifiers."""
+    """(model, before, after, n) over all documents; model 1: random strings, 0: ordinary runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
@@ -78,8 +90,8 @@ def transition_counts(docs: DataFrame, text_col: str) -> DataFrame:
                 for value in values:
                     c = codes(value)
                     found.update((1, a, b) for a, b in zip(c, c[1:], strict=False))
-                for m in IDENTIFIER.finditer(text):
-                    if outside(spans, m.start(), m.end()):
+                for start, end in uncovered(len(text), spans):
+                    for m in ORDINARY.finditer(text, start, end):
                         c = codes(m[0])
                         found.update(zip((0,) * len(c), c, c[1:], strict=False))
         rows = [(*k, n) for k, n in found.items()]
@@ -104,10 +116,9 @@ def ratio_table(counts: DataFrame, smoothing: float = 0.5) -> np.ndarray:
 
 def markov_spans(text: str, spans: list[tuple[int, int, int]], ratio: np.ndarray, threshold: float) -> list:
     added = []
-    for m in RUN.finditer(text):
-        run = m[0]
-        if re.search("[0-9]", run) and re.search("[A-Za-z]", run) and outside(spans, m.start(), m.end()):
-            c = codes(run)
+    for start, end in uncovered(len(text), spans):
+        for m in RUN.finditer(text, start, end):
+            c = codes(m[0])
             if ratio[c[:-1], c[1:]].sum() >= threshold:
                 added.append((m.start(), 3, m.end()))
     return added

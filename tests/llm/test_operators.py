@@ -142,6 +142,23 @@ def test_ngram_join(spark, docs, size, num):
     assert one_per_component(docs).columns == docs.columns
 
 
+def test_ngram_join_through_rows_without_id(spark):
+    """Rows without an id link others, take their names, and of a component without any id one row stays."""
+    words_of = [f"w{i}" for i in range(60)]
+    texts = {k: " ".join(words_of[: 60 - k] + [f"x{i}" for i in range(k)]) for k in (0, 2, 4)}
+    alone = " ".join(f"y{i}" for i in range(50))
+    rows = [(5, texts[0], "a"), (None, texts[2], "b"), (1, texts[4], "c"), (None, alone, "d"), (None, alone + " z", "e"),
+            (None, None, "f"), (None, "", "g"), (2, None, "h")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, __node string").repartition(3)
+    for frame, name in ((table, int), (table.withColumn("doc_id", F.col("doc_id").cast("string")), str)):
+        got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join(frame, 3, 90, 100).collect())
+        one, five, two = map(name, (1, 5, 2))
+        assert got == Counter([(five, 58, one), (None, 58, one), (one, 58, one), (None, 48, None), (None, 49, None),
+                               (None, 0, None), (None, 0, None), (two, 0, two)])
+        kept = sorted(r["__node"] for r in one_per_component(frame, size=3, num=90).collect())
+        assert kept in ([*"cdfgh"], [*"cefgh"])
+
+
 def test_hmm_scoring(docs):
     known = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     rows = {r["doc_id"]: [*words(low(r["text"])), None] for r in known.collect()}
@@ -289,6 +306,15 @@ def test_sharp_target_entropy_loses_no_document(spark):
         assert abs(read[r["source"]] / len(got) - r["weight"]) < 0.02
 
 
+def test_weights_too_sharp_ask_for_a_budget(spark):
+    rows = [(i, "a " * (200 if i else 1), "x" if i else "y") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="budget"):
+        mix_sources(table, max_repetition=None, target_entropy=1e-7)
+    got = mix_sources(table, max_repetition=None, target_entropy=1e-7, budget_tokens=24_000).groupBy("doc_id").count()
+    assert got.where("doc_id > 0 and count <> 2").isEmpty()
+
+
 def test_rows_without_tokens_are_dealt_over_blocks(spark):
     table = spark.createDataFrame(
         [(i, None if i < 300 else "a b c d", "x" if i < 300 else "y") for i in range(400)],
