@@ -193,7 +193,35 @@ add("normalise_hits", f"""
 select id, topic, 'documents' as source, author, title, full_text as text, url,
   {iso('created_at')} as created_at, '{FETCHED}' as fetched_at, points, num_comments
 from h where reason is null""", HITS)
-add("quarantine_rows", "select topic, page, pos, raw_id, reason from h where reason is not null", HITS)
+
+
+def json_field(name: str, value: str, given: str = "true") -> str:
+    return f"""case when {given} then '"{name}":' || {value} end"""
+
+
+def json_text(value: str) -> str:
+    return f"to_json({value})::varchar"
+
+
+# The raw hit as compact JSON with sorted keys; keys without a value are left out.
+PAYLOAD = "case when doc_id % 101 = 0 then doc_id::varchar else '{' || concat_ws(',', " + ", ".join([
+    json_field("author", json_text("case when doc_id % 7 = 0 then '' else lang end")),
+    json_field("comment_text", json_text("text"), "doc_id % 19 = 0 or doc_id % 4 = 2"),
+    json_field("created_at", json_text("strftime(created_at, '%Y-%m-%dT%H:%M:%SZ')"), "doc_id % 31 = 0"),
+    json_field("created_at_i", "epoch(created_at)::bigint", "doc_id % 23 <> 0 and doc_id % 31 <> 0"),
+    json_field("num_comments", "doc_id % 50 || '.5'"),
+    json_field("objectID", "case when doc_id % 4 = 1 then doc_id::varchar else '\"' || doc_id || '\"' end", "doc_id % 13 <> 0"),
+    json_field("points", "case when doc_id % 6 = 0 then '\"n/a\"' else '\"' || n_chars || '\"' end"),
+    json_field("story_text", json_text(
+        "case when doc_id % 19 = 0 then '<p></p>' when doc_id % 4 = 1 then text else '<p>' || text || ' &amp; more</p>' end"),
+        "doc_id % 19 = 0 or doc_id % 4 in (1, 3)"),
+    json_field("title", json_text("case when doc_id % 4 = 0 then text else '' end"), "doc_id % 19 <> 0 and doc_id % 4 in (0, 3)"),
+    json_field("url", json_text("case when doc_id % 5 = 1 then '' else 'https://example.org/' || doc_id end"), "doc_id % 5 <> 0"),
+]) + ") || '}' end"
+REJECTS = f"""
+bad as (select *, sha256(topic || '|' || payload) as payload_hash
+        from (select *, {PAYLOAD} as payload from h where reason is not null))"""
+add("quarantine_rows", "select topic, page, pos, raw_id, reason, payload, payload_hash from bad", HITS, REJECTS)
 add("text_fallback", f"""
 select doc_id, case when doc_id % 3 = 0 then lang
   when doc_id % 5 = 0 then null
@@ -253,6 +281,8 @@ select id, topic, length(full_text)::integer as text_chars from batch where lang
 add("upsert_counts", """
 select count(*) filter (lang <> 'en') as inserted, count(*) filter (lang = 'en') as duplicates from batch""", HITS)
 add("quarantine_upsert", """
+select distinct payload_hash, raw_id, topic, reason, payload from bad where topic not like 'tag%'""", HITS, REJECTS)
+add("quarantine_copies", """
 select payload_hash, raw_id, topic, reason, text as payload
 from (select *, sha256('any|' || text) as payload_hash from h where reason is not null)
 where payload_hash not in (select sha256('any|' || text) from documents where lang = 'de')
@@ -548,13 +578,35 @@ select id, topic, replace(substr(text, 1, 90), '|', '\|') as text,
 from g where trim(true_sentiment) <> '' and lower(trim(true_sentiment)) <> coalesce(lower(trim(predicted_sentiment)), '')
 order by id limit 10""", GOLD)
 
+add("store_after_compaction", f"""
+select id, topic, source, author, title, text, url, {iso('created_at')} as created_at,
+  '{FETCHED}' as fetched_at, points, num_comments, sentiment, sentiment_score, category from m""", MENTIONS)
+STORE_CATEGORY, _ = category_case(v.RULES, "body")
+# What a run over all landed pages leaves in the store.
+STORED = (HITS, PAGES, """
+taken as (select h.* from h join acc using (topic, page) where acc.n_hits > 0),
+bad as (select topic || '|' || doc_id as payload from taken where reason is not null),
+src as (select id as key, coalesce(nullif(title, ''), full_text) as text from taken where reason is null
+  qualify row_number() over (partition by id order by ord desc, topic desc, page desc, pos desc) = 1)""", score_ctes("src"), f"""
+st as (select *, {BUCKET} as sentiment, {STORE_CATEGORY} as category from (
+  select taken.*, score, coalesce(nullif(title, ''), full_text) as body from taken join scored on key = id where reason is null
+  qualify row_number() over (partition by id order by ord desc, topic desc, page desc, pos desc) = 1))""")
+add("store_report", f"""
+select 'topic' as section, topic, side as name, n
+from (unpivot (select topic, count(*) as total, count(*) filter (sentiment = 'positive') as positive,
+    count(*) filter (sentiment = 'neutral') as neutral, count(*) filter (sentiment = 'negative') as negative from st group by topic)
+  on total, positive, neutral, negative into name side value n)
+union all select 'category', null, category, count(*) from st group by category
+union all select 'headline', null, 'total', count(*) from st
+union all select 'headline', null, 'topics', count(distinct topic) from st
+union all select 'headline', null, 'unlabelled', 0
+union all select 'headline', null, 'quarantined', count(distinct payload) from bad
+union all select 'best', topic, concat_ws('|', id, category, coalesce(points::varchar, '-')), rank
+from (select *, row_number() over (partition by topic order by coalesce(points, 0) desc, created_at desc, id) as rank from st) where rank <= 3""",
+    *STORED)
+
 # Streaming
 
-INGEST_CATEGORY, _ = category_case(v.RULES, "full_text")
 add("incremental_ingest", f"""
-select id, topic, url, {iso('created_at')} as created_at, points, num_comments,
-  {INGEST_CATEGORY} as category, length(full_text)::integer as text_chars
-from (
-  select h.* from h join acc using (topic, page) where reason is null and acc.n_hits > 0
-  qualify row_number() over (partition by id order by ord desc, topic desc, page desc, pos desc) = 1)""",
-    HITS, PAGES)
+select id, topic, 'documents' as source, author, title, full_text as text, url, {iso('created_at')} as created_at,
+  '{FETCHED}' as fetched_at, points, num_comments, sentiment, score as sentiment_score, category from st""", *STORED)

@@ -127,7 +127,7 @@ def normalise_hits(spark, sf):
 @query
 def quarantine_rows(spark, sf):
     rows = normalise.rejected_hits(_assessed(spark, sf))
-    return rows.select("topic", "page", "pos", "raw_id", "reason")
+    return rows.select("topic", "page", "pos", "raw_id", "reason", "payload", "payload_hash")
 
 
 @query
@@ -297,6 +297,17 @@ def upsert_counts(spark, sf):
 
 @query
 def quarantine_upsert(spark, sf):
+    """Every reject arrives twice; those of the `tag` topics are in the quarantine already."""
+    rejects = normalise.rejected_hits(_assessed(spark, sf))
+    stored = rejects.filter(F.col("topic").startswith("tag"))
+    kept = upsert.insert_or_ignore(
+        upsert.first_per_payload(rejects.union(rejects)), stored, "payload_hash"
+    )
+    return kept.select("payload_hash", "raw_id", "topic", "reason", "payload")
+
+
+@query
+def quarantine_copies(spark, sf):
     """Rejects carry the document's text as payload, so copies share a hash."""
     rejects = normalise.rejected_hits(_assessed(spark, sf))
     texts = v.listed(spark, sf).join(
@@ -595,6 +606,51 @@ def disagreements(spark, sf):
     return ev.disagreements(v.gold(spark, sf))
 
 
+def _store(spark, name: str) -> MentionStore:
+    work = shared_folder(spark, name)
+    return MentionStore(spark, "hearsay_" + work.rsplit("-", 1)[-1], f"{work}/store", buckets=8)
+
+
+@query
+def store_after_compaction(spark, sf):
+    """Mentions and labels appended in five batches, then both tables rewritten to one file per bucket."""
+    store, m = _store(spark, "compaction"), v.mentions(spark, sf)
+    for batch in range(5):
+        part = m.where(F.col("id").cast("long") % 5 == batch)
+        store.append(part, "mentions_base")
+        label = part.where("sentiment is not null or category is not null")
+        store.append(label.select(
+            "*", F.lit(None).cast("string").alias("matched_term"), F.lit(v.FETCHED_AT).cast("timestamp").alias("labelled_at")
+        ), "mention_labels")
+    for table in ("mentions_base", "mention_labels"):
+        store.compact(table, delete_old=True)
+    return _iso(store.mentions(), "created_at", "fetched_at")
+
+
+@query
+def store_report(spark, sf):
+    """The landed pages run twice into a store; the second run finds nothing new. Reports from the store's states."""
+    work = shared_folder(spark, "store-report")
+    landing.land(spark, v.pages(spark, sf), f"{work}/landing")
+    store = _store(spark, "store-report")
+    for run in range(2):
+        ingest.run(spark, f"{work}/landing", store, v.settings(), f"run-{run}", v.FETCHED_AT, v.FETCHED_AT)
+    parts = store.report()
+    by_topic = parts["sentiment_by_topic"]
+    line = lambda frame, section, topic, name, n: frame.select(
+        F.lit(section).alias("section"), topic.alias("topic"), name.alias("name"), n.cast("bigint").alias("n"))
+    none = F.lit(None).cast("string")
+    sides = [line(by_topic, "topic", F.col("topic"), F.lit(c), F.col(c)) for c in ("total", "positive", "neutral", "negative")]
+    sides.append(line(parts["category_distribution"], "category", none, F.col("category"), F.col("n")))
+    sides += [line(parts["headline"], "headline", none, F.lit(c), F.col(c)) for c in ("total", "topics", "quarantined", "unlabelled")]
+    shown = F.concat_ws("|", "id", "category", "points")
+    sides.append(line(parts["top_items"], "best", F.col("topic"), shown, F.col("rank")))
+    whole = sides[0]
+    for side in sides[1:]:
+        whole = whole.unionByName(side)
+    return whole
+
+
 # Streaming
 
 
@@ -610,7 +666,4 @@ def incremental_ingest(spark, sf):
             spark, f"{work}/landing", store, settings, f"{work}/checkpoint", lambda: v.FETCHED_AT
         )
         stream.awaitTermination()
-    return _iso(store.mentions(), "created_at", "fetched_at").select(
-        "id", "topic", "url", "created_at", "points", "num_comments", "category",
-        F.length("text").alias("text_chars"),
-    )
+    return _iso(store.mentions(), "created_at", "fetched_at")

@@ -43,9 +43,13 @@ def truthy_text(hit: Column, key: str) -> Column:
             text = F.try_variant_get(value, "$", "string")
             number = F.try_variant_get(value, "$", "double")
             json = F.to_json(value)
+            # A fraction keeps its point, also where its digits behind it are zeros: 7.0 is not 7.
+            whole = (number == F.floor(number)) & (F.abs(number) < 1e16)
+            fraction = F.when(whole, F.format_string("%.1f", number)).otherwise(text)
             return (
                 F.when(found == "STRING", empty_to_null(text))
-                .when(found.isin("BIGINT", "DECIMAL", "DOUBLE"), F.when(number != 0, text))
+                .when(found == "BIGINT", F.when(number != 0, text))
+                .when(found.isin("DECIMAL", "DOUBLE"), F.when(number != 0, fraction))
                 .when(found == "BOOLEAN", F.when(text == "true", "True"))
                 .when(found.isin("ARRAY", "OBJECT"), F.when(~json.isin("[]", "{}"), json))
             )

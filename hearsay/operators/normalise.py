@@ -62,7 +62,7 @@ def assess_hits(
     """Hits `(topic, topic_order, page, pos, hit)` with record columns and `reason`.
 
     `reason` is null for a valid record. Checks run in a fixed order and the
-    first failure wins. `raw_id` and `payload` (compact JSON, cut) keep what a
+    first failure wins. `raw_id` and `payload` (whole, as compact JSON) keep what a
     rejected hit looked like.
     """
     hit = F.col("hit")

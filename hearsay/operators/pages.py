@@ -118,6 +118,45 @@ def capped_pages(
     return kept.withColumn("take", take).drop("last_page", "cut_page", "cut_take")
 
 
+def advance(
+    facts: DataFrame, state: DataFrame, n_topics: int, hits_per_page: int, cap: int | None
+) -> DataFrame:
+    """The pages that topics in `state(topic, topic_order, next_page, taken)` may read now, with `take`.
+
+    As `capped_pages`, but each topic goes on from its `next_page`, after `taken`
+    hits: of `facts` only pages from there on are looked at.
+    """
+    state = broadcast_if(state, n_topics)
+    ahead = facts.join(state, "topic").filter(F.col("n_hits").isNotNull() & (F.col("page") >= F.col("next_page")))
+    if cap is not None:
+        ahead = ahead.filter(F.col("page") < -(-cap // hits_per_page))
+    shifted = ahead.select(
+        "topic", (F.col("page") - F.col("next_page")).alias("page"), "n_hits",
+        (F.col("nb_pages") - F.col("next_page")).alias("nb_pages"),
+    )
+    ends = frontier(shifted, state.select("topic", "topic_order"), n_topics).select("topic", "last_page")
+    kept = ahead.join(broadcast_if(ends, n_topics), "topic").filter(
+        F.col("page") - F.col("next_page") <= F.col("last_page")
+    )
+    take = F.col("n_hits")
+    if cap is not None:
+        # At most ceil(cap / hits_per_page) pages of a topic are left here.
+        earlier = Window.partitionBy("topic").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+        left = F.lit(cap) - F.col("taken") - F.coalesce(F.sum("n_hits").over(earlier), F.lit(0))
+        kept = kept.withColumn("left", left).filter("left > 0")
+        take = F.least(take, F.col("left").cast("int"))
+    return kept.select("topic", "topic_order", "page", take.alias("take"), "n_hits", "nb_pages", "taken")
+
+
+def paging_after(read: DataFrame) -> DataFrame:
+    """Paging state `(topic, next_page, taken, ended)` of the topics of which `advance` gave pages."""
+    last = (F.col("n_hits") == 0) | F.coalesce(F.col("page") + 1 >= F.col("nb_pages"), F.lit(False))
+    return read.groupBy("topic").agg(
+        (F.max("page") + 1).alias("next_page"), (F.max("taken") + F.sum("take")).alias("taken"),
+        F.max(last).alias("ended"),
+    )
+
+
 def taken_hits(kept: DataFrame) -> DataFrame:
     """The first `take` hits of each page of `capped_pages`."""
     hits = kept.select(

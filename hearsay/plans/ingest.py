@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from hearsay.operators.normalise import (
     ORDER_COLUMNS, RECORD_COLUMNS, assess_hits, rejected_hits,
 )
 from hearsay.operators.pages import capped_hits, frontier, topic_frame
+from hearsay.operators.report_state import relabelled
 from hearsay.operators.runs import COUNTERS
 from hearsay.operators.upsert import first_per_payload, insert_or_ignore, last_per_id
 from hearsay.session import staging
@@ -89,16 +91,24 @@ def ingest_hits(
         batch = last_per_id(staged.filter("reason is null").select(*RECORD_COLUMNS, *ORDER_COLUMNS))
         fresh = insert_or_ignore(batch, store.table("mentions_base"), "id")
         fresh = written(label_records(fresh, settings), "new-mentions")
+        report = uuid.uuid4().hex
+        store.open_batch(report)
         store.append(fresh, "mentions_base")
         store.append(fresh.withColumn("labelled_at", stamp), "mention_labels")
 
         # Rows that an earlier run stored but did not label; usually none.
         left = store.unlabelled_ids()
         late = left.count()
+        cell = ("topic", "category", "sentiment", "sentiment_score")
+        came, went = fresh.select(*cell), fresh.select(*cell).limit(0)
         if late:
             open_rows = store.table("mentions_base").join(left, "id", "left_semi")
-            labels = label_rows(open_rows, settings).withColumn("labelled_at", stamp)
+            labels = written(label_rows(open_rows, settings).withColumn("labelled_at", stamp), "late-labels")
+            before = store.mentions().join(labels.select("id"), "id", "left_semi").select("id", *cell)
+            more, went = relabelled(written(before, "before"), labels)
+            came = came.unionByName(more)
             store.append(labels, "mention_labels")
+        store.close_batch(report, came, went, fresh)
 
         rejects = first_per_payload(rejected_hits(staged))
         store.append(insert_or_ignore(rejects, store.quarantine(), "payload_hash"), "quarantine")

@@ -4,6 +4,14 @@ Mentions and labels are bucketed on `id`, the quarantine on `payload_hash`, so
 the anti joins that keep writes free of duplicates, and the join of mentions
 with their labels, read the stored side without shuffling it. Only the batch
 moves. Nothing is updated in place.
+
+Every append leaves one file per bucket. `compact` writes a bucketed table anew
+with one file per bucket, in a folder of its own that counts from the moment its
+number is written; whoever opened the store before reads the old folder on.
+
+Reports come from mergeable states that each run adds (`operators.report_state`).
+A run opens its batch before it writes and closes it behind its states; after a
+run that did not get so far the states are made anew from the tables.
 """
 
 from __future__ import annotations
@@ -13,8 +21,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearsay.operators import report_state
 from hearsay.operators.normalise import RECORD_COLUMNS
 from hearsay.operators.runs import COUNTERS, EVENT_SCHEMA, run_log
+from hearsay.session import staging
 
 TABLES: dict[str, tuple[str, str | None]] = {
     "mentions_base": (
@@ -33,7 +43,10 @@ TABLES: dict[str, tuple[str, str | None]] = {
         "payload_hash",
     ),
     "run_events": (EVENT_SCHEMA, None),
-    "done_pages": ("topic string, page int", None),
+    "report_counts": (report_state.COUNTS_SCHEMA, None),
+    "report_items": (report_state.ITEMS_SCHEMA, None),
+    "report_batches": ("batch string, event string", None),
+    "paging": ("topic string, next_page int, taken bigint, ended boolean", None),
 }
 COUNTABLE = ("mentions", "quarantine", "run_log")
 
@@ -55,12 +68,67 @@ class MentionStore:
         self.folder = folder
         self.buckets = buckets = self._layout(buckets)
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
-        for table, (schema, key) in TABLES.items():
-            cluster = f"CLUSTERED BY ({key}) INTO {buckets} BUCKETS" if key else ""
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name}.{table} ({schema}) USING parquet "
-                f"{cluster} LOCATION '{folder}/{table}'"
-            )
+        for table in TABLES:
+            self._create(table, table, self._version(table))
+
+    def _path(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _version(self, table: str) -> int:
+        """How often the table was compacted: the highest number that was written for it."""
+        target, files = self._path(f"{self.folder}/_versions/{table}")
+        if not files.exists(target):
+            return 0
+        return max((int(f.getPath().getName()) for f in files.listStatus(target)), default=0)
+
+    def _create(self, name: str, table: str, version: int) -> None:
+        schema, key = TABLES[table]
+        cluster = f"CLUSTERED BY ({key}) INTO {self.buckets} BUCKETS" if key else ""
+        place = f"{self.folder}/{table}" + (f".{version}" if version else "")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name}.{name} ({schema}) USING parquet {cluster} LOCATION '{place}'"
+        )
+
+    def compact(self, table: str, delete_old: bool = False) -> int:
+        """Rewrite a bucketed table with one file per bucket; the number of its rows.
+
+        Of rows that share a key one stays, of labels the last: so far as readers can
+        tell nothing changes. Writers must not append meanwhile. A compaction that
+        did not end left a folder without a number, which the next one writes anew.
+        """
+        schema, key = TABLES[table]
+        if not key:
+            raise ValueError(f"{table} has no key and is not bucketed")
+        columns = [c.strip().split(" ")[0] for c in schema.split(",")]
+        rows = self.table(table)
+        rest = F.struct(*[c for c in columns if c != key])
+        last = F.max_by(rest, "labelled_at") if "labelled_at" in columns else F.first(rest)
+        one = rows.groupBy(key).agg(last.alias("_rest")).select(
+            *[F.col(key) if c == key else F.col(f"_rest.{c}").alias(c) for c in columns]
+        )
+        keys = rows.agg(F.count_distinct(key)).first()[0]
+
+        version, old = self._version(table) + 1, self._version(table)
+        fresh = f"{table}_{version}"
+        target, files = self._path(f"{self.folder}/{table}.{version}")
+        files.delete(target, True)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}.{fresh}")
+        self._create(fresh, table, version)
+        one.repartition(self.buckets, key).sortWithinPartitions(key).write.insertInto(f"{self.name}.{fresh}")
+        written = self.spark.table(f"{self.name}.{fresh}").agg(F.count(F.lit(1)), F.count_distinct(key)).first()
+        if tuple(written) != (keys, keys):
+            raise RuntimeError(f"{table} has {keys} keys, its copy {written[0]} rows with {written[1]}")
+        # From here on the copy counts: creating a file is one step.
+        mark, files = self._path(f"{self.folder}/_versions/{table}/{version}")
+        files.create(mark, False).close()
+        for name in (fresh, table):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name}.{name}")
+        self._create(table, table, version)
+        if delete_old:
+            target, files = self._path(f"{self.folder}/{table}" + (f".{old}" if old else ""))
+            files.delete(target, True)
+        return keys
 
     def _layout(self, wanted: int | None) -> int:
         """The store's bucket count: read if the store exists, else written once."""
@@ -81,12 +149,24 @@ class MentionStore:
     def append(self, rows: DataFrame, table: str) -> None:
         """Append rows; a bucketed table gets one file per bucket."""
         schema, key = TABLES[table]
-        columns = [c.strip().split(" ")[0] for c in schema.split(",")]
+        columns = [c.strip().split(" ")[0] for c in schema.replace("(38,12)", "").split(",")]
         chosen = rows.select(*columns)
         if key:
             chosen = chosen.repartition(self.buckets, key)
         chosen.write.insertInto(f"{self.name}.{table}")
 
+    def save_paging(self, moved: DataFrame) -> None:
+        """Keep the paging state of topics that moved on; one row per topic.
+
+        A state that is lost on the way costs reading those topics from their first
+        page again, which stores nothing twice.
+        """
+        rest = self.table("paging").join(moved.select("topic"), "topic", "left_anti")
+        names = ["topic", "next_page", "taken", "ended"]
+        with staging(self.spark) as written:
+            whole = written(rest.select(*names).unionByName(moved.select(*names)).coalesce(1), "paging-state")
+            whole.write.insertInto(f"{self.name}.paging", overwrite=True)
+
     def labels(self) -> DataFrame:
         """The latest label of each id."""
         columns = ("sentiment", "sentiment_score", "category", "matched_term")
@@ -111,6 +191,51 @@ class MentionStore:
     def run_log(self) -> DataFrame:
         return run_log(self.table("run_events"))
 
+    def open_batch(self, batch: str) -> None:
+        """Say that a run is about to write."""
+        self._log_batch(batch, "open")
+
+    def close_batch(self, batch: str, came: DataFrame, went: DataFrame, items: DataFrame) -> None:
+        """Add a run's report states: mentions as they are now, those of them as they were, and its best items."""
+        if self._unfinished([batch]):
+            self.rebuild_report()
+        else:
+            self.append(report_state.count_changes(came, went), "report_counts")
+            self.append(report_state.best_items(items), "report_items")
+        self._log_batch(batch, "done")
+
+    def _log_batch(self, batch: str, event: str) -> None:
+        row = self.spark.range(1).select(F.lit(batch).alias("batch"), F.lit(event).alias("event"))
+        self.append(row, "report_batches")
+
+    def _unfinished(self, known: list[str]) -> bool:
+        """Whether a run other than the `known` ones opened a batch and did not close it."""
+        events = self.table("report_batches").where(~F.col("batch").isin(known))
+        ended = events.groupBy("batch").agg(F.max(F.col("event") == "done").alias("done"))
+        return not ended.where("not done").isEmpty()
+
+    def rebuild_report(self) -> None:
+        """Make the report states anew from the tables, and count all batches as done."""
+        rows = self.mentions()
+        for table, state in (("report_counts", report_state.count_changes(rows)), ("report_items", report_state.best_items(rows))):
+            names = [c.strip().split(" ")[0] for c in TABLES[table][0].replace("(38,12)", "").split(",")]
+            state.select(*names).write.insertInto(f"{self.name}.{table}", overwrite=True)
+        left = self.table("report_batches").groupBy("batch").agg(F.max(F.col("event") == "done").alias("done"))
+        for (batch,) in left.where("not done").select("batch").collect():
+            self._log_batch(batch, "done")
+
+    def report(self, k: int = 3) -> dict[str, DataFrame]:
+        """Sections of the summary, from the states: no mention is read."""
+        counts = report_state.merge_counts(self.table("report_counts"))
+        quarantined = self.count("quarantine").first()["n"]
+        return {
+            "headline": report_state.headline_counts(counts, quarantined),
+            "sentiment_by_topic": report_state.sentiment_by_topic(counts),
+            "category_distribution": report_state.category_distribution(counts),
+            "topics": report_state.distinct_topics(counts),
+            "top_items": report_state.top_items(self.table("report_items"), self.labels(), k),
+        }
+
     def count(self, table: str = "mentions") -> DataFrame:
         return table_counts({table: self._countable(table)})
 

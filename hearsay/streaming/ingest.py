@@ -4,6 +4,12 @@
 `ingest_stream` reads new rows of the landing table and loads what they make
 acceptable. State lives in the tables, not in the stream, so a replayed batch
 changes nothing and a lost executor or driver is repaired by starting again.
+
+The state of paging is one row per topic: the page to go on with, the hits taken,
+and whether the source has ended. A batch looks at the topics it touches, from
+that page on; what was loaded before is not read again, however long it is. Pages
+behind a gap wait in the landing table until the missing one arrives. A higher
+cap takes effect with the next page.
 """
 
 from __future__ import annotations
@@ -15,7 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hearsay.operators.pages import FACTS, capped_pages, named_pages, taken_hits, topic_frame
+from hearsay.operators.pages import (
+    FACTS, advance, named_pages, paging_after, taken_hits, topic_frame,
+)
 from hearsay.plans.ingest import ingest_hits
 from hearsay.session import broadcast_if, staging
 from hearsay.settings import RunSettings, Topic
@@ -79,25 +87,28 @@ def ingest_stream(
 def ingest_arrivals(
     arrivals: DataFrame, landing: str, store: MentionStore, settings: RunSettings, at: datetime
 ) -> dict[str, int]:
-    """Load the accepted pages, not loaded yet, of the topics that got new pages.
+    """Load what the topics that got new pages may read from where they stand.
 
-    Paging is decided on the page facts of those topics, and the open pages are
-    written as a small table of keys; only then are payloads read. Pages are
-    marked done last.
+    Paging is decided on page facts, and the open pages are written as a small
+    table of keys; only then are payloads read. The state of paging is kept last.
     """
     spark = store.spark
-    n_topics = len(settings.topics)
+    n_topics, cap = len(settings.topics), settings.max_items_per_topic
     touched = topic_frame(spark, settings.topics).join(
         arrivals.select("topic").distinct(), "topic", "left_semi"
     )
+    known = touched.join(store.table("paging"), "topic", "left").select(
+        "topic", "topic_order", F.coalesce("next_page", F.lit(0)).alias("next_page"),
+        F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"), F.coalesce("ended", F.lit(False)).alias("ended"),
+    )
     pages = read_landing(spark, landing)
-    open_pages = capped_pages(
-        pages.select(*FACTS), touched, n_topics, settings.hits_per_page, settings.max_items_per_topic
-    ).join(store.table("done_pages"), ["topic", "page"], "left_anti")
     with staging(spark) as written:
-        chosen = written(open_pages.select("topic", "topic_order", "page", "take"), "open-pages")
+        state = written(known.filter("not ended"), "paging")
+        low = state.agg(F.min("next_page")).first()[0]
+        facts = pages.select(*FACTS).filter(F.col("page") >= F.lit(low))
+        chosen = written(advance(facts, state, n_topics, settings.hits_per_page, cap), "open-pages")
         counters = ingest_hits(taken_hits(with_payload(pages, chosen)), store, settings, at)
-        store.append(chosen.select("topic", "page"), "done_pages")
+        store.save_paging(paging_after(chosen))
     return counters
 
 
@@ -110,4 +121,5 @@ def with_payload(pages: DataFrame, chosen: DataFrame) -> DataFrame:
     """
     n, low, high = chosen.agg(F.count(F.lit(1)), F.min("page"), F.max("page")).first()
     readable = pages.filter(F.col("n_hits").isNotNull() & F.col("page").between(F.lit(low), F.lit(high)))
-    return readable.select("topic", "page", "payload").join(broadcast_if(chosen, n), ["topic", "page"])
+    keys = broadcast_if(chosen.select("topic", "topic_order", "page", "take"), n)
+    return readable.select("topic", "page", "payload").join(keys, ["topic", "page"])

@@ -65,9 +65,9 @@ def test_score_rules(spark):
 
 
 CATEGORIES = [
-    ("Announcing our new API", "product_launch", "Announcing"),
-    ("zqx wibble frobnitz", "other", None),
-    ("Improving bandwidth utilisation", "other", None),
+    ("Releasing a faster api today", "product_launch", "Releasing"),
+    ("plonk drizzle qwv", "other", None),
+    ("a husband with a banjo", "other", None),
     ("announcements", "other", None),
     ("we build it", "other", None),
     ("we built it", "technical_discussion", "built"),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearsay.operators.pages import (
-    accepted_pages, capped_hits, frontier, named_pages, topic_frame,
+    accepted_pages, advance, capped_hits, capped_pages, frontier, named_pages, paging_after, topic_frame,
 )
 from hearsay.operators.runs import run_history
 from hearsay.operators.upsert import insert_or_ignore, last_per_id
@@ -19,7 +19,7 @@ from hearsay.sources.landing import (
 )
 from hearsay.sources.reports import write_sections
 from hearsay.sources.store import MentionStore
-from hearsay.streaming.ingest import ingest_stream, land_stream, with_payload
+from hearsay.streaming.ingest import ingest_arrivals, ingest_stream, land_stream, with_payload
 
 AT = datetime(2026, 1, 1, tzinfo=timezone.utc)
 SETTINGS = RunSettings(topics=(Topic("one"), Topic("two")), hits_per_page=2, max_items_per_topic=5)
@@ -231,11 +231,47 @@ def test_streams_load_only_what_is_new(spark, raw, store, tmp_path):
     want = {"1": "one", "2": "one", "3": "one", "8": "two"}
     assert go(AT + timedelta(hours=1)) == want
     assert go(AT + timedelta(hours=2)) == want
-    assert store.table("done_pages").count() == 4
+    assert {tuple(r) for r in store.table("paging").collect()} == {("one", 2, 4, False), ("two", 2, 3, False)}
     assert store.table("mention_labels").count() == 4
     assert store.mentions().filter("sentiment is null or category is null").count() == 0
 
 
+def test_paging_goes_on_from_its_state(spark):
+    """Gaps, caps, ends, pages of the past and replays, against the whole history read at once."""
+    facts_of = lambda *rows: facts(spark, *rows)
+    pages = [*[("a", p, 2, None) for p in (0, 1, 2, 4)], ("b", 0, 2, 2), ("b", 1, 2, 2), ("c", 1, 3, None), ("d", 0, 0, None), ("d", 1, 2, None)]
+    whole = facts_of(*pages)
+    topics = topic_frame(spark, [Topic(t) for t in "abcd"]).select("topic", "topic_order")
+    for cap in (None, 5, 4):
+        want = {(r.topic, r.page, r.take) for r in capped_pages(whole, topics, 4, 2, cap).collect()}
+        start = topics.withColumns({"next_page": F.lit(0), "taken": F.lit(0).cast("bigint")})
+        assert {(r.topic, r.page, r.take) for r in advance(whole, start, 4, 2, cap).collect()} == want
+        # The first page of each topic, then the rest from the state that this leaves.
+        first = advance(whole.filter("page = 0"), start, 4, 2, cap)
+        state = paging_after(first)
+        then = topics.join(state.filter("not ended"), "topic").select("topic", "topic_order", "next_page", "taken")
+        rest = advance(whole, then, 4, 2, cap)
+        got = [(r.topic, r.page, r.take) for r in first.union(rest).collect()]
+        assert sorted(got) == sorted(want)
+        assert {r.topic for r in state.filter("ended").collect()} == {"d"}
+    # The missing page lets the one behind the gap go on.
+    more = whole.union(facts_of(("a", 3, 2, None), ("c", 0, 1, None)))
+    at = topics.filter("topic in ('a', 'c')").withColumns({"next_page": F.when(F.col("topic") == "a", 3).otherwise(0), "taken": F.lit(0).cast("bigint")})
+    assert {(r.topic, r.page) for r in advance(more, at, 4, 2, None).collect()} == {("a", 3), ("a", 4), ("c", 0), ("c", 1)}
+
+
+def test_batches_look_ahead_only(spark, raw, store, tmp_path):
+    landing = str(tmp_path / "landing")
+    land(spark, named_pages(scan_page_files(spark, str(raw)), SETTINGS.topics), landing)
+    arrivals = spark.createDataFrame([("one", 0), ("one", 1)], "topic string, page int")
+    assert ingest_arrivals(arrivals, landing, store, SETTINGS, AT)["inserted"] == 3
+    # A replay, and a page of the past, load nothing again.
+    for _ in range(2):
+        done = ingest_arrivals(arrivals, landing, store, SETTINGS, AT)
+        assert (done["normalised"], done["inserted"]) == (0, 0)
+    assert {tuple(r) for r in store.table("paging").collect()} == {("one", 2, 4, False)}
+
+
 def test_streams_start_on_an_empty_landing_area(spark, raw, store, tmp_path):
     landing, marks = str(tmp_path / "landing"), str(tmp_path / "marks")
     ingest_stream(spark, landing, store, SETTINGS, marks, lambda: AT).awaitTermination()

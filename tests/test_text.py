@@ -19,7 +19,7 @@ def values(spark, rows, expression):
 
 def test_clean_text(spark):
     cases = {
-        "<p>hello   &amp;   world</p>": "hello & world",
+        "<em>salt \t &amp;\n pepper</em>": "salt & pepper",
         None: "",
         "": "",
         "a &lt; b &gt; c": "a c",
