@@ -76,14 +76,18 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
 def discard(*staged: DataFrame) -> None:
     """Delete scratch tables that no later step reads, and let go of finished shuffles.
 
-    Spark removes a shuffle's files when its driver objects are collected, so a
-    long job that never fills the driver's memory would keep them all.
+    A long job that never fills the driver's memory would keep them all.
     """
     for frame in staged:
         frame._scratch_owner.remove(frame._scratch_folder)
         delete_folder(frame.sparkSession, frame._scratch_folder)
+    let_go(staged[0])
+
+
+def let_go(frame: DataFrame) -> None:
+    """Have the files of finished shuffles removed: Spark does so when the driver's objects are collected."""
     gc.collect()
-    staged[0].sparkSession.sparkContext._jvm.System.gc()
+    frame.sparkSession.sparkContext._jvm.System.gc()
 
 
 def leave_to_exit(folder: str) -> None:

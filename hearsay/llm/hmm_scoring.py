@@ -14,7 +14,7 @@ Texts are coded in chunks of about `CHUNK` bytes, with the chunk's distinct word
 Counts and emissions of the `frequent` most frequent words travel to the tasks (a
 bounded table). Expected counts of a word that lies in one chunk alone stay beside
 the chunk. Only words that chunks share move: each chunk's sums of them are dealt
-by word, added up, and brought back to the chunks that hold them. Chunks and what
+by ranges of their hashes, added up, and brought back to the chunks that hold them. Chunks and what
 belongs to them are bucketed by chunk, so they meet without moving. Nothing that
 grows with the vocabulary is broadcast or sent to the driver, and no hot word is
 left to be dealt. Words are identified by 64-bit hashes.
@@ -27,23 +27,24 @@ ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearsay.llm.common import discard, stage, stage_by
+from hearsay.llm.common import discard, let_go, stage, stage_by
 from hearsay.llm.words import hashed_words, mix, slices
 
 STATES, FREQUENT, PASSES = 8, 150_000, 6
-# Records that are handed on at once.
-PIECE = 50_000
-# Bytes of text in a chunk, chunks in a bucket; tokens whose recursions run in step; steps kept at once of a longer block.
-CHUNK, PER_BUCKET, BLOCK, STEPS = 1 << 24, 4, 1 << 18, 1_024
+# Rows that are handed on at once; bytes of shared words' sums that one task adds up.
+PIECE, PART = 50_000, 32 << 20
+# Bytes of text in a chunk; the fewest chunks in a bucket while tasks are enough, and the most; tokens whose recursions
+# run in step, and of which all steps are kept.
+CHUNK, FEW, MANY, BLOCK, WINDOW = 6 << 20, 6, 16, 1 << 20, 3 << 19
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -99,7 +100,8 @@ def vocabulary(counts: DataFrame, ends: int, frequent: int) -> Vocabulary:
 def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Chunks of training or of held-out texts.
 
-    `symbols` point into the chunk's frequent words (with the end), then its other `words`.
+    `symbols` point into the chunk's frequent words (with the end), then its other `words`, of which `counts` are
+    in the order of their hashes; in a held-out chunk these are zeros.
     """
 
     def code(part: pa.Table, held_out: bool) -> pa.RecordBatch:
@@ -115,8 +117,8 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [part.column(0).chunk(0)[:1], pa.array([held_out]), one(part.column(1).combine_chunks()), one(pa.array(np.diff(first) + 1)),
              pa.array([symbols.tobytes()], pa.binary()), one(pa.array(distinct[distinct <= vocab.end].astype(np.int32))),
-             one(pa.array(words.view(np.int64)))],
-            names=["chunk", "held_out", "ids", "n", "symbols", "frequent", "words"],
+             one(pa.array(words.view(np.int64))), one(pa.array(np.bincount(place, minlength=len(words)) * (not held_out)))],
+            names=["chunk", "held_out", "ids", "n", "symbols", "frequent", "words", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +143,7 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     return docs.mapInArrow(
         run,
         f"chunk long, held_out boolean, ids array<{id_type}>, n array<long>, symbols binary, "
-        "frequent array<int>, words array<long>",
+        "frequent array<int>, words array<long>, counts array<long>",
     )
 
 
@@ -168,18 +170,94 @@ def first_shares(words: np.ndarray, states: int) -> np.ndarray:
     return noise / noise.sum(axis=1, keepdims=True)
 
 
-def chunk_table(coded: DataFrame, counts: DataFrame) -> tuple[DataFrame, int]:
-    """Chunks with training counts of their words and whether another chunk has the word too; the number of buckets."""
-    words = coded.select("chunk", F.posexplode("words").alias("at", "word")).join(counts, "word", "left")
-    known = words.withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("word")) > 1)
-    facts = known.groupBy("chunk").agg(
-        F.array_sort(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"), "shared"))).alias("facts")
-    )
-    n = coded.count()
+def through_words(
+    rows: DataFrame, kind: np.dtype, records: Callable[[pa.RecordBatch, int], np.ndarray], back: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    parts: int, buckets: int,
+) -> DataFrame:
+    """(chunk, data): for each chunk's records what `back` makes of all records of their words.
+
+    Words are dealt over `parts` equal ranges of their hashes: a chunk sends one packed
+    row to each and gets one back, so rows are few however many words there are.
+    `records` gives a chunk's records, of the type `kind`, with their `word`, in the order of the hashes;
+    `back(records, place)` an entry for each, `place` being equal for equal words.
+    """
+    edges = np.array([(k << 64) // parts for k in range(1, parts)], np.uint64)
+
+    def packed(number: list[int], part: list[int], data: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number, pa.int64()), pa.array(part, pa.int32()), pa.array(data, pa.binary())], names=["chunk", "part", "data"]
+        )
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = records(batch, i)
+                cuts = np.split(found, np.searchsorted(found["word"].view(np.uint64), edges))
+                sent = [k for k, c in enumerate(cuts) if len(c)]
+                if sent:
+                    yield packed([batch.column(0)[i].as_py()] * len(sent), sent, [cuts[k].tobytes() for k in sent])
+
+    def groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[list[tuple]]:
+        """Neighbouring rows (chunk, part, data) that are equal in one column."""
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and row[key] != held[0][key]:
+                    yield held
+                    held = []
+                held.append(row)
+        if held:
+            yield held
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in groups(batches, 1):
+            found = [np.frombuffer(data, kind) for _, _, data in held]
+            rows = np.concatenate(found)
+            made = back(rows, np.unique(rows["word"], return_inverse=True)[1])
+            answers = np.split(made, np.cumsum([len(f) for f in found])[:-1])
+            yield packed([h[0] for h in held], [h[1] for h in held], [x.tobytes() for x in answers])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in groups(batches, 0):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([held[0][0]], pa.int64()), pa.array([b"".join(h[2] for h in held)], pa.binary())], names=["chunk", "data"]
+            )
+
+    schema = "chunk long, part int, data binary"
+    dealt = rows.mapInArrow(spread, schema).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(answer, schema)
+    return dealt.repartition(buckets, "chunk").sortWithinPartitions("chunk", "part").mapInArrow(joined, "chunk long, data binary")
+
+
+FACTS = np.dtype([("n", "<i8"), ("shared", "?")])
+
+
+def chunk_table(coded: DataFrame, states: int) -> tuple[DataFrame, int, int]:
+    """Chunks with `facts` of their words: training counts, and whether another chunk has the word too.
+
+    Also the number of buckets, and of the parts that words are dealt over.
+    """
+    kind = np.dtype([("word", "<i8"), ("n", "<i8")])
+
+    def records(batch: pa.RecordBatch, i: int) -> np.ndarray:
+        words, n = (batch.column(c)[i].values.to_numpy() for c in (1, 2))
+        found = np.zeros(len(words), kind)
+        found["word"], found["n"] = words, n
+        return found
+
+    def back(rows: np.ndarray, place: np.ndarray) -> np.ndarray:
+        made = np.zeros(len(rows), FACTS)
+        # Counts stay exact: they are far below 2^53.
+        made["n"] = np.bincount(place, rows["n"])[place]
+        made["shared"] = (np.bincount(place) > 1)[place]
+        return made
+
+    n, pairs = coded.agg(F.count(F.lit(1)), F.sum(F.size("words"))).first()
     parts = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, min(parts, n), ceil(n / PER_BUCKET))
-    whole = coded.join(facts, "chunk", "left").select(*coded.columns, F.col("facts.n").alias("counts"), F.col("facts.shared").alias("shared"))
-    return stage_by(whole.repartition(buckets, "chunk"), "chunks", "chunk", buckets), buckets
+    buckets = max(1, min(parts, ceil(n / FEW)), ceil(n / MANY))
+    parts = max(parts, ceil((pairs or 0) * record_type(states).itemsize / PART))
+    facts = through_words(coded.select("chunk", "words", "counts"), kind, records, back, parts, buckets)
+    whole = coded.drop("counts").join(facts.withColumnRenamed("data", "facts"), "chunk", "left")
+    return stage_by(whole.repartition(buckets, "chunk"), "chunks", "chunk", buckets), buckets, parts
 
 
 def first_model(vocab: Vocabulary, tokens: np.ndarray, states: int) -> Hmm:
@@ -219,47 +297,58 @@ def in_step(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
 def expected_counts(texts: list[np.ndarray], hmm: Hmm, steps: int | None = None) -> tuple[np.ndarray, ...]:
     """Baum-Welch sums over whole texts: of starts, transitions and emissions (words x states).
 
-    Of long blocks, `steps` steps are kept at once; the forward recursion starts anew
-    from its state at their border, and the backward recursion is carried over it.
+    All texts run in step. What a step leaves is kept for a window of about `WINDOW`
+    tokens (or of `steps` steps); with more than one, the forward recursion starts anew
+    from its state at a window's border, and the backward recursion is carried over it.
+    Recursions are scaled at each step, in 32-bit floats; sums are in 64 bits.
     """
     states, size = hmm.emit.shape
-    table = np.ascontiguousarray(hmm.emit.T)
+    table, move, start = (np.ascontiguousarray(v, np.float32) for v in (hmm.emit.T, hmm.move, hmm.start))
+    back, ones = np.ascontiguousarray(move.T), np.ones(states, np.float32)
     _, flat, begin, live = in_step(texts)
-    last = len(live)
-    steps = steps or (last if len(flat) <= 4 * BLOCK else STEPS)
-
-    def forward(now: np.ndarray | None, t: int) -> tuple[np.ndarray, ...]:
-        shown = table[flat[begin[: live[t]] + t]]
-        now = (hmm.start if now is None else now[: live[t]] @ hmm.move) * shown
-        scale = now.sum(axis=1, keepdims=True)
-        return now / scale, shown / scale
-
-    borders, now = [], None
-    for a in range(0, last, steps):
-        borders.append(now)
-        for t in range(a, a + steps if a + steps < last else a):
-            now = forward(now, t)[0]
+    place, last = np.concatenate([[0], np.cumsum(live)]), len(live)
+    cuts = range(0, last, steps) if steps else np.unique(np.searchsorted(place, np.arange(0, place[-1], WINDOW), "left")).tolist()
+    windows = list(zip(cuts, [*cuts[1:], last], strict=True))
+
+    def slots(a: int, t: int) -> slice:
+        return slice(place[t] - place[a], place[t + 1] - place[a])
+
+    def forward(a: int, b: int, now: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """Symbols, scaled emissions and forward probabilities of steps a to b, one step after the other."""
+        seen = np.concatenate([flat[begin[: live[t]] + t] for t in range(a, b)])
+        shown = table[seen]
+        alpha = np.empty_like(shown)
+        for t in range(a, b):
+            out, emitted = alpha[slots(a, t)], shown[slots(a, t)]
+            if now is None:
+                out[:] = start
+            else:
+                np.matmul(now[: len(out)], move, out=out)
+            out *= emitted
+            scale = (out @ ones)[:, None]
+            out /= scale
+            emitted /= scale
+            now = out
+        return seen, shown, alpha
+
+    borders: list[np.ndarray | None] = [None]
+    for a, b in windows[:-1]:
+        borders.append(forward(a, b, borders[-1])[2][slots(a, b - 1)].copy())
     pairs, emit = np.zeros((states, states)), np.zeros((size, states))
-    ahead = np.zeros((0, states))
-    for a in reversed(range(0, last, steps)):
-        kept, now = [], borders.pop()
-        for t in range(a, min(a + steps, last)):
-            kept.append(forward(now, t))
-            now = kept[-1][0]
-        seen, weight = [], []
-        for t in reversed(range(a, a + len(kept))):
-            alpha, shown = kept.pop()
-            pairs += alpha[: len(ahead)].T @ ahead
-            beta = np.ones_like(alpha)
-            beta[: len(ahead)] = ahead @ hmm.move.T
-            seen.append(flat[begin[: live[t]] + t])
-            weight.append(alpha * beta)
-            ahead = shown * beta
-        seen, first = np.concatenate(seen), weight[-1]
-        weight = np.concatenate(weight)
-        for k in range(states):
-            emit[:, k] += np.bincount(seen, weight[:, k], size)
-    return first.sum(axis=0), pairs * hmm.move, emit
+    ahead = np.zeros((0, states), np.float32)
+    for (a, b), now in zip(reversed(windows), reversed(borders), strict=True):
+        seen, shown, weight = forward(a, b, now)
+        for t in reversed(range(a, b)):
+            own, emitted, k = weight[slots(a, t)], shown[slots(a, t)], len(ahead)
+            if k:
+                pairs += own[:k].T @ ahead
+                beta = ahead @ back
+                own[:k] *= beta
+                emitted[:k] *= beta
+            ahead = emitted
+        for j in range(states):
+            emit[:, j] += np.bincount(seen, weight[:, j], size)
+    return weight[slots(0, 0)].sum(axis=0, dtype=float), pairs * hmm.move, emit
 
 
 @dataclass
@@ -285,8 +374,16 @@ class Chunk:
             a = b
 
 
-def floats(packed: bytes | None, states: int) -> np.ndarray:
-    return np.frombuffer(packed or b"", "<f4").reshape(-1, states).astype(float)
+def shortened(values: np.ndarray) -> np.ndarray:
+    """Floats in three bytes each: 15 bits of fraction and the whole range of a 32-bit float."""
+    bits = np.ascontiguousarray(values, "<f4").view("<u4") + np.uint32(0x80)
+    return bits.view(np.uint8).reshape(*values.shape, 4)[..., 1:].reshape(len(values), 3 * values.shape[1])
+
+
+def lengthened(data: np.ndarray, states: int) -> np.ndarray:
+    out = np.zeros((data.size // (3 * states), states, 4), np.uint8)
+    out[..., 1:] = data.reshape(-1, states, 3)
+    return out.view("<f4")[..., 0]
 
 
 def opened(batch: pa.RecordBatch, hmm: Hmm, vocab: Vocabulary, first: bool) -> Iterator[Chunk]:
@@ -295,15 +392,16 @@ def opened(batch: pa.RecordBatch, hmm: Hmm, vocab: Vocabulary, first: bool) -> I
     for i in range(batch.num_rows):
         cell = lambda c: batch.column(c)[i]  # noqa: B023, E731
         values = lambda c, t: (cell(c).values if cell(c).is_valid else pa.array([], t)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
-        n, frequent, words, count = (values(c, pa.int64()) for c in ("n", "frequent", "words", "counts"))
-        shared = values("shared", pa.bool_()).astype(bool)
+        n, frequent, words = (values(c, pa.int64()) for c in ("n", "frequent", "words"))
+        facts = np.frombuffer(cell("facts").as_py() or b"", FACTS)
+        count, shared = facts["n"], facts["shared"]
         packed = cell("symbols").as_py()
         symbols = np.frombuffer(packed, f"<u{len(packed) // int(n.sum())}")
         if first:
             expected = count[:, None] * first_shares(words.view(np.uint64), states)
         else:
             expected = np.zeros((len(words), states))
-            own, met = (floats(cell(c).as_py(), states) for c in ("local", "met"))
+            own, met = (lengthened(np.frombuffer(cell(c).as_py() or b"", np.uint8), states) for c in ("local", "met"))
             if len(own):
                 expected[~shared] = own
             if len(met):
@@ -338,7 +436,7 @@ def expectation(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool, buc
                     emit += part
                 total[c.frequent] += emit[: len(c.frequent)]
                 total[-1] += emit.sum(axis=0)
-                own = emit[len(c.frequent) :].astype("<f4")
+                own = shortened(emit[len(c.frequent) :])
                 sums = np.zeros(int(c.shared.sum()), record_type(states))
                 sums["word"], sums["v"] = c.words[c.shared], own[c.shared]
                 yield batch_of(1, chunk=[c.number], local=[own[~c.shared].tobytes()], sums=[sums.tobytes()])
@@ -347,121 +445,56 @@ def expectation(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool, buc
             yield batch_of(len(at), place=at, **dict(zip(g, total[at].T, strict=True)))
 
     g = [f"g{k}" for k in range(states)]
-    types = {"chunk": pa.int64(), "local": pa.binary(), "sums": pa.binary(), "place": pa.int64()} | dict.fromkeys(g, pa.float64())
+    types = {"chunk": pa.int64(), "local": pa.binary(), "sums": pa.binary(), "place": pa.int64()} | dict.fromkeys(g, pa.float32())
 
     def batch_of(size: int, **columns) -> pa.RecordBatch:
         cells = [pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in types.items()]
         return pa.RecordBatch.from_arrays(cells, names=list(types))
 
-    schema = "chunk long, local binary, sums binary, place long, " + ", ".join(f"{c} double" for c in g)
+    schema = "chunk long, local binary, sums binary, place long, " + ", ".join(f"{c} float" for c in g)
     found = stage_by(chunks.mapInArrow(run, schema), "sums", "chunk", buckets)
     # One row per frequent word and for the rest of the model, at any size of the corpus.
     sums = found.where("chunk is null").groupBy("place").agg(*[F.sum(c).alias(c) for c in g]).toArrow()
     total = np.zeros((end + 3 + states, states))
     total[sums.column("place").to_numpy()] = np.stack([sums.column(c).to_numpy() for c in g], axis=1)
+    let_go(found)
     share = lambda x: x / x.sum(axis=-1, keepdims=True)
     emit = emissions(total[: end + 1], total[-1], vocab.distinct).T
     return found, Hmm(share(total[end + 1] + 0.1), total[-1], share(total[end + 2 : -1] + 0.1), emit)
 
 
 def record_type(states: int) -> np.dtype:
-    return np.dtype([("word", "<i8"), ("v", "<f4", (states,))])
+    return np.dtype([("word", "<i8"), ("v", "u1", (3 * states,))])
 
 
-def met_again(own: DataFrame, held_out: DataFrame | None, states: int, buckets: int) -> DataFrame:
+def met_again(own: DataFrame, held_out: DataFrame | None, states: int, parts: int, buckets: int) -> DataFrame:
     """(chunk, met): for each chunk the sums over all chunks of the words it shares, in its words' order.
 
     `held_out` are chunks that have no sums of their own but ask for those of others.
     """
-    schema = "word long, chunk long, at int, v binary"
     kind = record_type(states)
 
-    def asked(batch: pa.RecordBatch, i: int) -> np.ndarray:
-        if batch.schema.names[1] == "sums":
-            return np.frombuffer(batch.column(1)[i].as_py() or b"", kind)
-        words = batch.column(1)[i]
-        words = words.values.to_numpy() if words.is_valid else np.zeros(0, np.int64)
-        mask = batch.column(2)[i]
-        mask = mask.values.to_numpy(zero_copy_only=False).astype(bool) if mask.is_valid else np.zeros(0, bool)
-        found = np.zeros(int(mask.sum()), kind)
-        found["word"] = words[mask]
+    def records(batch: pa.RecordBatch, i: int) -> np.ndarray:
+        sums, facts = batch.column(1)[i].as_py(), batch.column(3)[i].as_py()
+        if sums is not None or facts is None:
+            return np.frombuffer(sums or b"", kind)
+        words = batch.column(2)[i].values.to_numpy()[np.frombuffer(facts, FACTS)["shared"]]
+        found = np.zeros(len(words), kind)
+        found["word"] = words
         return found
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                found = asked(batch, i)
-                for a in range(0, len(found), PIECE):
-                    part = found[a : a + PIECE]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(part["word"]), pa.array(np.full(len(part), batch.column(0)[i].as_py(), np.int64)),
-                         pa.array(np.arange(a, a + len(part), dtype=np.int32)), packed_rows(part["v"])],
-                        names=["word", "chunk", "at", "v"],
-                    )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            whole = pa.Table.from_batches([*held, batch]).combine_chunks()
-            word = whole.column(0).to_numpy()
-            # The last word may go on in the next batch.
-            upto = int(np.searchsorted(word, word[-1], "left"))
-            if upto:
-                yield summed(whole.slice(0, upto))
-            held = whole.slice(upto).to_batches()
-        if held:
-            yield summed(pa.Table.from_batches(held))
-
-    def summed(rows: pa.Table) -> pa.RecordBatch:
-        word = rows.column(0).to_numpy()
-        begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        v = unpacked_rows(rows.column(3), states)
-        total = np.add.reduceat(v.astype(float), begin).astype("<f4")
-        back = np.repeat(total, np.diff([*begin, len(word)]), axis=0)
-        return pa.RecordBatch.from_arrays(
-            [rows.column(1).combine_chunks(), rows.column(2).combine_chunks(), packed_rows(back)], names=["chunk", "at", "v"]
-        )
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = None, []
-
-        def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([b"".join(held)], pa.binary())], names=["chunk", "met"])
-
-        for batch in batches:
-            chunk = batch.column(0).to_numpy()
-            for a, b in zip(edges := np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]])), [*edges[1:], len(chunk)], strict=True):
-                if number is not None and chunk[a] != number:
-                    yield row()
-                    held = []
-                number = int(chunk[a])
-                held.append(unpacked_rows(batch.column(2).slice(a, b - a), states).tobytes())
-        if number is not None:
-            yield row()
+    def back(rows: np.ndarray, place: np.ndarray) -> np.ndarray:
+        values = lengthened(rows["v"], states)
+        return shortened(np.stack([np.bincount(place, values[:, k]) for k in range(states)], axis=1))[place]
 
-    rows = own.where("chunk is not null").select("chunk", "sums").mapInArrow(spread, schema)
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = own.where("chunk is not null").select("chunk", "sums", none("array<long>").alias("words"), none("binary").alias("facts"))
     if held_out is not None:
-        rows = rows.union(held_out.select("chunk", "words", "shared").mapInArrow(spread, schema))
-    sums = rows.repartition("word").sortWithinPartitions("word").mapInArrow(add, "chunk long, at int, v binary")
-    dealt = sums.repartition(buckets, "chunk").sortWithinPartitions("chunk", "at")
-    return stage_by(dealt.mapInArrow(pack, "chunk long, met binary"), "met", "chunk", buckets)
-
-
-def packed_rows(values: np.ndarray) -> pa.Array:
-    """Rows of floats as one binary each."""
-    data = np.ascontiguousarray(values, "<f4")
-    offsets = np.arange(len(data) + 1, dtype=np.int32) * (data.shape[1] * 4)
-    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-
-
-def unpacked_rows(column: pa.Array | pa.ChunkedArray, states: int) -> np.ndarray:
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    array = array.cast(pa.binary()) if array.type != pa.binary() else array
-    _, offsets, data = array.buffers()
-    at = np.frombuffer(offsets, np.int32)[array.offset : array.offset + len(array) + 1]
-    return np.frombuffer(data, np.uint8)[at[0] : at[-1]].view("<f4").reshape(-1, states)
+        rows = rows.union(held_out.select("chunk", none("binary"), "words", "facts"))
+    found = through_words(rows, kind, records, back, parts, buckets)
+    met = stage_by(found.withColumnRenamed("data", "met"), "met", "chunk", buckets)
+    let_go(met)
+    return met
 
 
 def log_likelihoods(texts: list[np.ndarray], hmm: Hmm) -> np.ndarray:
@@ -521,7 +554,7 @@ def hmm_scoring(
     counts = stage(word_counts(rows.where("not held_out").select("text")), "word-counts")
     vocab = vocabulary(counts, ends, frequent)
     coded = stage(encoded(rows, vocab), "coded")
-    chunks, buckets = chunk_table(coded, counts)
+    chunks, buckets, parts = chunk_table(coded, states)
     hmm = first_model(vocab, first_tokens(counts, ends, states), states)
     discard(counts, coded)
 
@@ -539,7 +572,7 @@ def hmm_scoring(
         own, hmm = expectation(with_sums(training), hmm, vocab, not before, buckets)
         if before:
             discard(*before)
-        before = own, met_again(own, None if left else asking, states, buckets)
+        before = own, met_again(own, None if left else asking, states, parts, buckets)
     found = scored(with_sums(chunks), hmm, vocab, not before)
     return found.select(
         "doc_id", held_out("doc_id").alias("held_out"), "n_tokens", "n_known",
