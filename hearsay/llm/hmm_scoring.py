@@ -112,11 +112,10 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
         every = np.where(hit, at, 0)
         every[~hit] = vocab.end + 1 + place
         distinct, symbols = np.unique(np.insert(every, first[1:], vocab.end), return_inverse=True)
-        symbols = symbols.astype("<u2" if len(distinct) <= 1 << 16 else "<u4")
         one = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
         return pa.RecordBatch.from_arrays(
             [part.column(0).chunk(0)[:1], pa.array([held_out]), one(part.column(1).combine_chunks()), one(pa.array(np.diff(first) + 1)),
-             pa.array([symbols.tobytes()], pa.binary()), one(pa.array(distinct[distinct <= vocab.end].astype(np.int32))),
+             pa.array([dense(symbols)], pa.binary()), one(pa.array(distinct[distinct <= vocab.end].astype(np.int32))),
              one(pa.array(words.view(np.int64))), one(pa.array(np.bincount(place, minlength=len(words)) * (not held_out)))],
             names=["chunk", "held_out", "ids", "n", "symbols", "frequent", "words", "counts"],
         )
@@ -147,6 +146,17 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     )
 
 
+def dense(symbols: np.ndarray) -> bytes:
+    """Symbols as compressed byte planes: the upper ones hold next to nothing."""
+    planes = np.ascontiguousarray(symbols.astype("<u4")).view(np.uint8).reshape(-1, 4).T
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def undense(packed: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * size, "zstd"), np.uint8).reshape(4, size)
+    return np.ascontiguousarray(planes.T).view("<u4")[:, 0]
+
+
 @dataclass
 class Hmm:
     """Start of a text, expected tokens, transitions, and emissions (states x words; in training the frequent ones)."""
@@ -256,8 +266,9 @@ def chunk_table(coded: DataFrame, states: int) -> tuple[DataFrame, int, int]:
     buckets = max(1, min(parts, ceil(n / FEW)), ceil(n / MANY))
     parts = max(parts, ceil((pairs or 0) * record_type(states).itemsize / PART))
     facts = through_words(coded.select("chunk", "words", "counts"), kind, records, back, parts, buckets)
-    whole = coded.drop("counts").join(facts.withColumnRenamed("data", "facts"), "chunk", "left")
-    return stage_by(whole.repartition(buckets, "chunk"), "chunks", "chunk", buckets), buckets, parts
+    # Chunks move once, to the buckets in which they are joined and written.
+    whole = coded.drop("counts").repartition(buckets, "chunk").join(facts.withColumnRenamed("data", "facts"), "chunk", "left")
+    return stage_by(whole, "chunks", "chunk", buckets), buckets, parts
 
 
 def first_model(vocab: Vocabulary, tokens: np.ndarray, states: int) -> Hmm:
@@ -395,8 +406,7 @@ def opened(batch: pa.RecordBatch, hmm: Hmm, vocab: Vocabulary, first: bool) -> I
         n, frequent, words = (values(c, pa.int64()) for c in ("n", "frequent", "words"))
         facts = np.frombuffer(cell("facts").as_py() or b"", FACTS)
         count, shared = facts["n"], facts["shared"]
-        packed = cell("symbols").as_py()
-        symbols = np.frombuffer(packed, f"<u{len(packed) // int(n.sum())}")
+        symbols = undense(cell("symbols").as_py(), int(n.sum()))
         if first:
             expected = count[:, None] * first_shares(words.view(np.uint64), states)
         else:
@@ -552,6 +562,7 @@ def hmm_scoring(
     )
     ends = rows.where("not held_out").count()
     counts = stage(word_counts(rows.where("not held_out").select("text")), "word-counts")
+    let_go(counts)
     vocab = vocabulary(counts, ends, frequent)
     coded = stage(encoded(rows, vocab), "coded")
     chunks, buckets, parts = chunk_table(coded, states)

@@ -226,18 +226,18 @@ def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stage(lower.union(top), "roots")
 
 
-def named_rows(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
-    """Rows with an id, and those without one, written with an id above all others as `__node` (none: None)."""
+def named_rows(docs: DataFrame, id_col: str, node: str = "__node") -> tuple[DataFrame, DataFrame | None]:
+    """Rows with an id, and those without one, written with an id above all others as `node` (none: None)."""
     known, lost = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
     if lost.isEmpty():
         return known, None
     top = docs.agg(F.max(id_col)).first()[0]
     row = F.monotonically_increasing_id()
     if dict(docs.dtypes)[id_col] == "string":
-        node = F.concat(F.lit((top or "") + "\U0010FFFF"), F.lpad(row.cast("string"), 20, "0"))
+        name = F.concat(F.lit((top or "") + "\U0010FFFF"), F.lpad(row.cast("string"), 20, "0"))
     else:
-        node = row + F.lit(0 if top is None else int(top) + 1)
-    return known, stage(lost.withColumn("__node", node), "without-id")
+        name = row + F.lit(0 if top is None else int(top) + 1)
+    return known, stage(lost.withColumn(node, name), "without-id")
 
 
 def ngram_join(
@@ -358,14 +358,15 @@ def linked(rows: DataFrame, size: int, num: int, den: int) -> DataFrame:
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The documents whose id is their component's id, with all their columns."""
-    known, lost = named_rows(docs, id_col)
+    node = max(docs.columns, key=len) + "_node"  # no column of docs has this name
+    known, lost = named_rows(docs, id_col, node)
     whole = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     rows = known.select(F.col(id_col).alias("doc_id"), whole)
     if lost is not None:
-        rows = rows.union(lost.select(F.col("__node").alias("doc_id"), whole))
+        rows = rows.union(lost.select(F.col(node).alias("doc_id"), whole))
     going = stage(linked(rows, size, num, den).where("doc_id <> component_id").select(
         F.col("doc_id").alias("__id")).distinct(), "near-copies")
     left = known.join(going, known[id_col] == going["__id"], "left_anti")
     if lost is None:
         return left
-    return left.union(lost.join(going, lost["__node"] == going["__id"], "left_anti").select(*docs.columns))
+    return left.union(lost.join(going, lost[node] == going["__id"], "left_anti").select(*docs.columns))

@@ -136,7 +136,33 @@ from n join u using (k) left join c using (k) left join e using (k)
 left join n up on n.depth > 0 and up.k = left(n.k, -64)
 """
 
+NGRAM_JOIN = f"""
+with recursive w as (
+  select doc_id, list_filter(regexp_split_to_array({_FOLDED}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws from documents),
+sets as (select doc_id, list_distinct(case when len(ws) >= 3
+           then list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))
+           when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as g from w),
+s as (select doc_id, unnest(g) as g from sets),
+met as (select x.doc_id as a, y.doc_id as b, count(*) as n from s x join s y on x.g = y.g and x.doc_id < y.doc_id group by all),
+links as (select a, b from met join sets x on x.doc_id = a join sets y on y.doc_id = b
+          where 100 * n >= 90 * (len(x.g) + len(y.g) - n)),
+sides as (select a, b from links union all select b, a from links),
+reach as (select doc_id as a, doc_id as b from sets union select reach.a, sides.b from reach join sides on reach.b = sides.a)
+select doc_id, len(g)::bigint as n_shingles, min(b) as component_id from sets join reach on a = doc_id group by all
+"""
+
+# All given pages have one article of headings and paragraphs, bold and line breaks, and two entities.
+_ARTICLE = r"regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '</?b>|<br>', ' ', 'g')"
+_DECODED = r"regexp_replace(regexp_replace(x, '&quot;?', chr(34), 'g'), '&amp;?', '&', 'g')"
+MAIN_TEXT = f"""
+select page_id, url, text, length(text)::bigint as n_chars from (
+  select page_id, url, array_to_string(list_filter(list_transform(
+      regexp_split_to_array({_ARTICLE}, '</?(?:p|h1)>'), lambda x: trim(regexp_replace({_DECODED}, '\\s+', ' ', 'g'))),
+    lambda x: x <> ''), chr(10) || chr(10)) as text from pages)
+"""
+
 ORACLE = {
+    "op3_ngram_join": NGRAM_JOIN, "op13_html_extraction": MAIN_TEXT,
     "op4_quality_rules": QUALITY_RULES, "op9_exact_dedup": EXACT_DEDUP, "op11_importance": IMPORTANCE,
     "op12_prefix_trie": PREFIX_TRIE,
 }
