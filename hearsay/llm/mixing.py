@@ -105,8 +105,9 @@ def source_weights(
     if not budget_tokens and exponent > 1 and (most / least) ** (exponent - 1) > MOST_PASSES:
         raise ValueError(f"weights so sharp read the largest source over {MOST_PASSES} times: a budget of tokens is needed")
     weight = F.when(F.col("share") > 0, F.pow("share", F.lit(exponent)) / z).otherwise(0.0)
-    # Rounded, so that float noise does not cut the last document of a whole pass.
-    passes = F.round(weight * budget / F.greatest("tokens", F.lit(1)), 9)
+    # Rounded, so that float noise and the bisected exponent's last digits neither cut the last document of a whole
+    # pass nor begin another pass.
+    passes = F.round(weight * budget / F.greatest("tokens", F.lit(1)), 6)
     return sources.withColumns({"weight": weight, "allotted": passes * F.col("tokens")}), exponent, budget
 
 

@@ -105,7 +105,8 @@ def test_stage_on_edges(spark, folder, stage):
         # Null and empty texts are equal; of equal rows of one id one stays.
         assert ids == Counter({1: 1, 3: 1, None: 1, 4: 1})
     elif name == "n-gram Jaccard join":
-        assert ids == Counter({1: 2, 2: 1, 3: 1, 4: 1, None: 1}) or ids[None] == 2
+        # 4 and the row without id but with words are near copies of 1: they share 36 of 42 and of 38 shingles.
+        assert ids == Counter({1: 2, 2: 1, 3: 1, None: 1})
     else:
         assert set(ids) == {1, 2, 3, 4, None}
     assert function(spark, docs.limit(0), folder[0]).count() == 0
