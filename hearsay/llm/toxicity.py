@@ -97,10 +97,16 @@ def fit_sparse(
     penalty = np.full(len(w), l2)
     penalty[-1] = 1e-3
     norm = lambda v: np.sqrt(v @ v)
+
+    def loss(w: np.ndarray) -> float:
+        z = x.dot(w)
+        return used @ (np.logaddexp(0, z) - y * z) + 0.5 * (penalty * w) @ w
+
+    now = loss(w)
     for _ in range(steps):
         p = sigmoid(x.dot(w))
         curve = used * np.maximum(p * (1 - p), 1e-6)
-        rest = x.back(used * (p - y)) + penalty * w
+        rest = slope = x.back(used * (p - y)) + penalty * w
         if norm(rest) < 1e-4 * np.sqrt(used.sum() + 1):
             break
         scale = 1 / (x.squares(curve) + penalty)
@@ -116,7 +122,11 @@ def fit_sparse(
             z = scale * rest
             size, last = rest @ z, size
             along = z + size / last * along
-        w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+        # Halved until the loss falls as it should: far from the optimum whole steps may overshoot.
+        pace = 1.0
+        while (then := loss(w - pace * step)) > now - 1e-4 * pace * (slope @ step) and pace > 1e-9:
+            pace /= 2
+        w, now = w - pace * step, then
     return w
 
 
