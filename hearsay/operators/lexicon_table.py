@@ -15,8 +15,8 @@ from hearsay.functions.sentiment import hits_score, scored_words
 from hearsay.session import BROADCAST_ROWS
 from hearsay.settings import SentimentRules
 
-# Parts that a frequent word is dealt over when words are shuffled to a large lexicon.
-SALTS = 32
+# Texts that are looked at to find the frequent words; every other text's words are looked up all the same.
+SAMPLE_TEXTS = 20_000
 HITS = "array<struct<i:int,v:double>>"
 
 
@@ -27,8 +27,9 @@ def score_by_lexicon_table(
     """`texts` with `score`, by `lexicon(word, score)`; of several scores for a word the greatest counts.
 
     `key` names columns that tell rows apart, so that copies of a text do not share
-    one join key. A lexicon of a counted small size is broadcast and no word moves;
-    beyond that, words are shuffled, each dealt over `SALTS` parts by its text.
+    one join key. A lexicon of a counted small size is broadcast and no word moves.
+    Of a larger one the texts' most frequent words are broadcast, held or not, so that
+    only rare words move to the lexicon and none of them is a hot key.
     """
     text = F.col(text_col)
     words = lexicon.where("word is not null and score is not null").groupBy("word").agg(
@@ -41,10 +42,25 @@ def score_by_lexicon_table(
     if words.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         met = placed.join(F.broadcast(words), "word")
     else:
-        words = words.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        met = placed.withColumn("_salt", F.pmod("_k1", F.lit(SALTS)).cast("int")).join(words, ["word", "_salt"])
+        common = frequent_words(rows.select("_k1", low.alias("_low")))
+        known = F.broadcast(common.join(words, "word", "left"))
+        columns = ["_k1", "_k2", "i", "v"]
+        met = placed.join(known.where("v is not null"), "word").select(*columns).unionByName(
+            placed.join(F.broadcast(common), "word", "left_anti").join(words, "word").select(*columns)
+        )
     # As a set: rows equal in text and key share their hits.
     hits = met.groupBy("_k1", "_k2").agg(F.array_sort(F.collect_set(F.struct("i", "v"))).alias("_hits"))
     found = F.coalesce("_hits", F.array().cast(HITS))
     joined = rows.join(hits, ["_k1", "_k2"], "left")
     return joined.select(*texts.columns, hits_score(text, lambda _: found, rules).alias("score"))
+
+
+def frequent_words(rows: DataFrame) -> DataFrame:
+    """At most `BROADCAST_ROWS` words `(word)`, the most frequent ones of some `rows(_k1, _low)`.
+
+    Any choice gives the same scores: words that it leaves out go the longer way.
+    """
+    parts = max(rows.count() // SAMPLE_TEXTS, 1)
+    some = rows.where(F.pmod("_k1", F.lit(parts)) == 0).select(F.explode("_low").alias("word"))
+    counts = some.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return counts.orderBy(F.col("n").desc(), "word").limit(BROADCAST_ROWS).select("word")

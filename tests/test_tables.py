@@ -99,6 +99,22 @@ def test_lexicon_above_the_literal_limit(spark):
     assert score_by_lexicon_table(texts.limit(0), table).count() == score_by_lexicon_table(texts, table.limit(0)).where("score <> 0").count() == 0
 
 
+def test_large_lexicon_moves_rare_words_alone(spark, monkeypatch):
+    monkeypatch.setattr(lexicon_table, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(lexicon_table, "SAMPLE_TEXTS", 4)
+    words = STARTER_LEXICON | {"the": 0.5, "held": 1.0}
+    texts = spark.createDataFrame([(i, f"the held thing is good number{i} the {'not bad' if i % 3 else 'awful'}") for i in range(40)], "id long, text string")
+    got = score_by_lexicon_table(texts, spark.createDataFrame(list(words.items()), "word string, score double"), key=("id",))
+    want = texts.select("*", lexicon_score(F.col("text"), words).alias("score"))
+    assert sorted(got.collect()) == sorted(want.collect())
+    # The lexicon is not copied, neither to the executors nor, if it looks small, to the driver.
+    plan = got._jdf.queryExecution().toString()
+    assert "_salt" not in plan and "sequence(0" not in plan
+    low = texts.select(F.col("id").alias("_k1"), F.split("text", " ").alias("_low"))
+    frequent = {r["word"] for r in lexicon_table.frequent_words(low).collect()}
+    assert len(frequent) == 3 and "the" in frequent
+
+
 def test_report_state_follows_labels(spark, tmp_path):
     rng = random.Random(4)
     schema = ("id string, topic string, title string, text string, url string, created_at timestamp, points bigint, "
