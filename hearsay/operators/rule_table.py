@@ -4,7 +4,8 @@ Every match of most patterns holds a certain word, or a word with a certain
 beginning. Such an anchor is read out of each pattern. Texts meet the rules
 through their words alone: a join on the anchor gives each text the few rules
 that could match, these are tried in rule order, and the first that matches
-names the category. No text meets all rules.
+names the category. No text meets all rules. Of many rules the first in order are
+met before the others, which only texts without a match among those meet.
 
 An anchor only narrows the choice; the pattern itself decides, with the same
 meaning as in `functions.category`. Patterns without an anchor (no literal word,
@@ -27,6 +28,9 @@ from hearsay.settings import FALLBACK_CATEGORY
 MAX_LOOSE = 10_000
 # Beginnings of words are indexed up to this length. Parts that a hot word is dealt over in a shuffled join.
 STEM, SALTS = 8, 16
+# Rules met first: so many, or this share of all where that is more; a broadcast holds them.
+FIRST_RULES, FIRST_SHARE = 1_000, 1 / 64
+_FLAGS = "(?iU)"
 RULE = "struct<rule_order:int,pattern_order:int,category:string,pattern:string>"
 
 # Marks in a reduced pattern: anything or nothing, a word's edge, one character that is no part of a word.
@@ -98,15 +102,16 @@ def anchors_of(text: Column, lengths: list[int]) -> Column:
 
 
 def _first_match(text: Column, rules: Column) -> Column:
-    """STRUCT<category, matched_term> by the first of the ordered `rules` that matches; later ones are not tried."""
-    flags = F.lit("(?iU)")
+    """The first of the ordered `rules` that matches, or null; later ones are not tried."""
     none = F.lit(None).cast(RULE)
-    first = F.aggregate(rules, none, lambda best, r: F.when(best.isNotNull(), best).when(
-        F.rlike(text, F.concat(flags, r["pattern"])), r))
-    return let(first, lambda r: F.struct(
-        F.coalesce(r["category"], F.lit(FALLBACK_CATEGORY)).alias("category"),
-        F.regexp_substr(text, F.concat(flags, r["pattern"])).alias("matched_term"),
-    ))
+    return F.aggregate(rules, none, lambda best, r: F.when(best.isNotNull(), best).when(
+        F.rlike(text, F.concat(F.lit(_FLAGS), r["pattern"])), r))
+
+
+def _place(rule: Column) -> Column:
+    """A number that never falls in rule order; rules with equal ones stay together."""
+    order = F.shiftleft(rule["rule_order"].cast("long"), 32) + F.coalesce(rule["pattern_order"].cast("long") + 2**31, F.lit(0))
+    return F.coalesce(order, F.lit(-(2**63)))
 
 
 def label_by_rule_table(texts: DataFrame, rules: DataFrame, text_col: str = "text", key: tuple[str, ...] = ()) -> DataFrame:
@@ -117,29 +122,54 @@ def label_by_rule_table(texts: DataFrame, rules: DataFrame, text_col: str = "tex
     Anchors are broadcast while their counted number is small; beyond that, words
     are shuffled to them, each dealt over `SALTS` parts.
     """
-    spark = texts.sparkSession
     rule = F.struct(*[F.col(f.split(":")[0]).cast(f.split(":")[1]).alias(f.split(":")[0]) for f in RULE[7:-1].split(",")])
     indexed = rules.select(anchor(F.col("pattern")).alias("anchor"), rule.alias("rule"))
-    loose = [r["rule"].asDict() for r in indexed.where("anchor is null").limit(MAX_LOOSE + 1).collect()]
+    indexed = indexed.withColumn("place", _place(F.col("rule")))
+    loose = indexed.where("anchor is null").select("place", "rule").limit(MAX_LOOSE + 1).collect()
     if len(loose) > MAX_LOOSE:
         raise ValueError(f"more than {MAX_LOOSE} patterns without a literal word")
     index = indexed.where("anchor is not null")
     size = F.length("anchor") - 2
-    n, lengths = index.agg(F.count(F.lit(1)), F.collect_set(F.when(F.col("anchor").startswith("p:"), size))).first()
+    starts = F.collect_set(F.when(F.col("anchor").startswith("p:"), size))
+    n, lengths = index.agg(F.count(F.lit(1)), starts).first()
 
     text = F.col(text_col)
+    label = F.when(~is_blank(text), _first_match(text, F.col("_rules")))
     rows = texts.withColumn("_key", F.xxhash64(text, *key))
-    words = rows.select("_key", F.explode(anchors_of(text, sorted(lengths))).alias("anchor"))
+    cut = None
+    if n > FIRST_RULES:
+        share = min(max(FIRST_RULES / n, FIRST_SHARE), BROADCAST_ROWS / 2 / n)
+        cut = index.agg(F.percentile_approx("place", share)).first()[0]
+    if cut is None:
+        found = _with_candidates(rows, rows, text, index, n, loose, lengths).withColumn("_rule", label)
+    else:
+        early, late = index.where(F.col("place") <= cut), index.where(F.col("place") > cut)
+        some, few = early.agg(F.count(F.lit(1)), starts).first()
+        parts = [r for r in loose if r["place"] <= cut], [r for r in loose if r["place"] > cut]
+        first = _with_candidates(rows, rows, text, early, some, parts[0], few).withColumn("_rule", label).drop("_rules")
+        unmatched = first.where(F.col("_rule").isNull() & ~is_blank(text)).select("_key", text)
+        then = _with_candidates(first, unmatched, text, late, n - some, parts[1], lengths)
+        found = then.withColumn("_rule", F.coalesce("_rule", label))
+    return found.select(
+        *texts.columns, F.coalesce("_rule.category", F.lit(FALLBACK_CATEGORY)).alias("category"),
+        F.regexp_substr(text, F.concat(F.lit(_FLAGS), F.col("_rule.pattern"))).alias("matched_term"),
+    )
+
+
+def _with_candidates(
+    rows: DataFrame, asked: DataFrame, text: Column, index: DataFrame, n: int, loose: list, lengths: list[int]
+) -> DataFrame:
+    """`rows` with `_rules`, in rule order: those of the `n` in `index` whose anchor the text of `asked` has, and all `loose` ones."""
+    words = asked.select("_key", F.explode(anchors_of(text, sorted(lengths))).alias("anchor"))
+    index = index.select("anchor", "rule")
     if n <= BROADCAST_ROWS:
         met = words.join(F.broadcast(index), "anchor")
     else:
-        salted = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # With a hint, as the copies would look small and be broadcast.
+        salted = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
         words = words.withColumn("_salt", F.pmod("_key", F.lit(SALTS)).cast("int"))
         met = words.join(salted, ["anchor", "_salt"])
-    chosen = met.groupBy("_key").agg(F.collect_set("rule").alias("_rules"))
-    always = F.from_json(F.lit(json.dumps(loose)), f"array<{RULE}>")
-    every = F.array_sort(F.concat(F.coalesce("_rules", F.array().cast(f"array<{RULE}>")), always))
-    blank = F.struct(F.lit(FALLBACK_CATEGORY).alias("category"), F.lit(None).cast("string").alias("matched_term"))
-    label = F.when(is_blank(text), blank).otherwise(let(every, lambda r: _first_match(text, r)))
-    found = rows.join(chosen, "_key", "left").withColumn("_label", label)
-    return found.select(*texts.columns, "_label.category", "_label.matched_term")
+    chosen = met.groupBy("_key").agg(F.collect_set("rule").alias("_met"))
+    always = F.from_json(F.lit(json.dumps([r["rule"].asDict() for r in loose])), f"array<{RULE}>")
+    every = F.array_sort(F.concat(F.coalesce("_met", F.array().cast(f"array<{RULE}>")), always))
+    return rows.join(chosen, "_key", "left").withColumn("_rules", every).drop("_met")

@@ -69,6 +69,28 @@ def test_rule_table_limits(spark, monkeypatch):
         label_by_rule_table(texts, rules_frame(spark, [("x", ["a", "b", "c"])]))
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_rules_that_are_met_later(spark, monkeypatch, small):
+    """Few rules are met first; texts that match none of these meet the rest, in whole rule order."""
+    monkeypatch.setattr(rule_table, "FIRST_RULES", 2)
+    monkeypatch.setattr(rule_table, "FIRST_SHARE", 0.0)
+    if not small:
+        monkeypatch.setattr(rule_table, "BROADCAST_ROWS", 4)
+    rules = [(0, "loose", 0, r"\d\.\d million"), (1, "late loose", 9, "CAF(?:É)"), (None, "unplaced", 3, r"\bunveiled\b"), (1, "ban", None, r"\bban\b"),
+             (1, "tie", 2, r"\bprice\b"), (1, "a tie", 2, r"\bprice\b"), (-5, "early", 1, r"\bnews\b"), (7, "last", 0, r"\bthing\b"), (7, "last", 1, r"\bsuet?\b")]
+    rules = spark.createDataFrame(rules, "rule_order int, category string, pattern_order int, pattern string")
+    texts = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
+    found = label_by_rule_table(texts, rules, key=("id",))
+    in_order = [("unplaced", [r"\bunveiled\b"]), ("early", [r"\bnews\b"]), ("loose", [r"\d\.\d million"]), ("ban", [r"\bban\b"]),
+                ("a tie", [r"\bprice\b"]), ("late loose", ["CAF(?:É)"]), ("last", [r"\bthing\b", r"\bsuet?\b"])]
+    label = category_rules(F.col("text"), in_order)
+    want = texts.select("*", label["category"].alias("category"), label["matched_term"].alias("matched_term"))
+    assert sorted(found.collect(), key=str) == sorted(want.collect(), key=str)
+    assert want.where("category <> 'other'").count() >= 6
+    # Two joins with candidates: of the early rules for all texts, of the others for what is left.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") >= 2
+
+
 SENTENCES = [
     None, "", " ", "Good, no really GOOD but not great!!!", "It is no good or bad??? no", "the bomb was at least bad", "VERY good very bad",
     "without doubt good", "never so good", "kind of good", "good good good " * 300, "yeah right, to die for", "nothing here", "GOOD BAD",
