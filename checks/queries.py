@@ -298,7 +298,7 @@ def upsert_counts(spark, sf):
 @query
 def quarantine_upsert(spark, sf):
     """Every reject arrives twice; those of the `tag` topics are in the quarantine already."""
-    rejects = normalise.rejected_hits(_assessed(spark, sf))
+    rejects = _kept(spark, normalise.rejected_hits(_assessed(spark, sf)), "rejects")
     stored = rejects.filter(F.col("topic").startswith("tag"))
     kept = upsert.insert_or_ignore(
         upsert.first_per_payload(rejects.union(rejects)), stored, "payload_hash"

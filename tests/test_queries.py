@@ -36,3 +36,13 @@ def test_no_cross_joins_and_partial_limits(spark):
             assert "TakeOrderedAndProject" in plan, name
         if name in ("sentiment_by_topic", "category_distribution", "distinct_topics", "class_metrics"):
             assert "text" not in plan.split("ReadSchema")[1], name
+
+
+def test_rejects_are_assessed_once(spark, tmp_path):
+    rows = [(i, "web", "en", f"<p>text {i} &amp; more", 20 + i) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    kept = QUERIES["quarantine_upsert"](spark, str(tmp_path))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count() > 0
+    assert "parse_json" not in plan
