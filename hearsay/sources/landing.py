@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearsay.functions.hits import kind
-from hearsay.session import settled
 
 LANDING_SCHEMA = "topic string, page int, payload string, n_hits int, nb_pages bigint"
 
@@ -52,12 +51,12 @@ def with_page_facts(pages: DataFrame) -> DataFrame:
     """Add `n_hits` (null for a corrupt page) and `nb_pages` to `(topic, page, payload)`."""
     parsed = pages.withColumn("_json", F.try_parse_json("payload"))
     hits = F.try_variant_get("_json", "$.hits", "array<variant>")
-    return settled(
-        parsed,
-        F.col("topic"), F.col("page"), F.col("payload"),
+    # Facts come out of a generator, so that a filter on them does not parse again; the key
+    # passes beside it, so that pages dealt by it need not be dealt anew.
+    return parsed.select("topic", "page", "payload", F.inline(F.array(F.struct(
         F.when(kind(F.col("_json")) == "OBJECT", F.coalesce(F.array_size(hits), F.lit(0))).alias("n_hits"),
         F.try_variant_get("_json", "$.nbPages", "bigint").alias("nb_pages"),
-    )
+    ))))
 
 
 def scan_page_files(spark: SparkSession, folder: str) -> DataFrame:
