@@ -91,6 +91,7 @@ def hits_score(
     """
     rules = rules or SentimentRules()
     idiom_of = literal_lookup(dict(rules.idioms), "double")
+    idiom_starts = sorted({idiom.split(" ")[0] for idiom, _ in rules.idioms})
     steps = {w: rules.step for w in rules.stronger} | {w: -rules.step for w in rules.weaker}
     step_of = literal_lookup({w: s for w, s in steps.items() if " " not in w}, "double")
     long_steps = {w: s for w, s in steps.items() if " " in w}
@@ -163,11 +164,13 @@ def hits_score(
         def idioms(v: Column) -> Column:
             value = v
             if rules.idioms:
+                # The first word is compared before a phrase is made; three words back there is one.
+                starts = {k: at(k).isin(*idiom_starts) for k in range(-3, 1)}
                 spans = ((-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2))
                 value = F.coalesce(
-                    F.when(at(2).isNotNull(), idiom_of(phrase(0, 2))),
-                    F.when(at(1).isNotNull(), idiom_of(phrase(0, 1))),
-                    *[idiom_of(phrase(a, b)) for a, b in spans],
+                    F.when(starts[0] & at(2).isNotNull(), idiom_of(phrase(0, 2))),
+                    F.when(starts[0] & at(1).isNotNull(), idiom_of(phrase(0, 1))),
+                    *[F.when(starts[a], idiom_of(phrase(a, b))) for a, b in spans],
                     v,
                 )
             if long_steps:

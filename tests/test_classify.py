@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from hearsay.functions.category import category_rules, enabled_rules
 from hearsay.functions.labels import classify
-from hearsay.settings import CATEGORY_RULES, RunSettings, Topic
+from hearsay.functions.sentiment import lexicon_score
+from hearsay.settings import CATEGORY_RULES, RunSettings, SentimentRules, Topic
 from hearsay.sources.lexicon import lexicon_pairs, read_lexicon
 
 SETTINGS = RunSettings(topics=(Topic("t"),))
@@ -108,3 +109,13 @@ def test_settings_checks():
     for topics in ((), (Topic("a"), Topic("a")), (Topic(""),)):
         with pytest.raises(ValueError):
             RunSettings(topics=topics)
+
+
+def test_phrases_are_made_only_behind_a_first_word(spark):
+    rules = SentimentRules(idioms=(("bad to the", 2.0), ("to the", 1.0), ("good", -1.0), ("kind of", 0.5)))
+    texts = ["it was bad to the bone", "to the good", "x y z good", "so kind of good", "bad to", "to the", "a b c, bad to the."]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    score = lexicon_score(F.col("t"), {"bad": -2.5, "good": 1.9, "bone": 0.5, "the": 0.1}, rules)
+    plan = frame.select(score)._jdf.queryExecution().optimizedPlan().toString()
+    assert " IN (bad,good,kind,to)" in plan
+    assert [r[0] is not None for r in frame.select(score).collect()] == [True] * len(texts)
