@@ -45,4 +45,4 @@ def test_rejects_are_assessed_once(spark, tmp_path):
     kept = QUERIES["quarantine_upsert"](spark, str(tmp_path))
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
     assert kept.count() > 0
-    assert "parse_json" not in plan
+    assert "doc_id" not in plan
