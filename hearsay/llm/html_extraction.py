@@ -1,21 +1,24 @@
-"""Main text of web pages: nearest-URL page differencing behind the markup.
+"""Main text of web pages: nearest-URL page differencing, checked by the markup.
 
-1. Each page becomes lines (blocks of text). What the markup itself names as
-   menu, header, footer, sidebar, notice, advert, form, script, style or comment
-   is no line. A page with an article element is settled by it.
+1. Each page becomes lines (blocks of text), menus and footers included; scripts,
+   styles and comments are no lines.
 2. All pages are ordered by host and path. A page's nearest page is the
    neighbour in this order, of the same host, with more equal leading path
    segments (the one before, in a tie); the other neighbour is its second.
-3. The lines of a page without an article element are aligned with those of its
-   nearest page, then of its second, by longest common subsequence; shared lines
-   are the site's frame and are deleted. A page that holds more than half of this
-   one's running text is a copy of it, which shows no frame and deletes nothing.
-   Of settled pages nothing is deleted: inside an article a shared line is a
-   quotation or a copy.
-
-Ordering moves keys alone (host, path, row). Only pages without an article meet
-the line hashes of their neighbours; a page is neighbour of at most two, so no
-host, however large, is a hot key, and page sources are never shuffled.
+3. The lines of every page are aligned with those of its nearest page, then of its
+   second, by longest common subsequence; shared lines are the site's frame and are
+   deleted. A page that holds more than half of this one's running text is a copy of
+   it, which shows no frame and deletes nothing.
+4. The markup checks what is left. What it names as menu, header, footer, sidebar,
+   notice, advert, form or comment goes too, and beside an article element all
+   else. An article element with a line of its own is whole: a shared line in it is
+   a quotation or a copy and comes back. One that is shared line by line (a teaser
+   that stands on each page) is frame.
+
+Ordering moves keys alone (host, path, row), differencing the hashes of lines; a
+page is neighbour of at most two, so no host, however large, is a hot key. Page
+sources are never shuffled, and texts only where more pages lose lines than a
+broadcast may hold.
 
 Defined results: null or empty html has an empty text; a null URL, or one without
 `://`, has no host and no neighbour; repeated rows are pages of their own (and
@@ -34,9 +37,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearsay.llm.common import stage
+from hearsay.llm.common import join_small, stage
 from hearsay.llm.ordered import in_parts
-from hearsay.llm.page_lines import page_lines
+from hearsay.llm.page_lines import judged_lines
 from hearsay.llm.url_filter import host_of, path_of
 from hearsay.llm.words import slices
 
@@ -113,39 +116,56 @@ def line_marks(lines: list[str]) -> list[int]:
     return [xxhash.xxh3_64_intdigest(line) >> 1 for line in lines]
 
 
-def without_frame(lines: list[str], others: list[list[int]]) -> list[str]:
-    """The lines less those that another page shares, unless it is a copy or nothing would be left."""
-    marks, size = line_marks(lines), [len(line.split()) for line in lines]
+def frame_of(marks: list[int], at: list[int], size: list[int], article: list[int], others: list[list[int]]) -> list[int]:
+    """Which of the lines that the markup leaves are frame: positions in `at`.
+
+    `marks` are all lines of the page, `at`, `size` and `article` the place, words and article (0: none) of those that
+    are left. Another page deletes nothing if it is a copy or nothing would be left.
+    """
     whole = sum(n for n in size if n >= TEXT_WORDS)
-    frame: set[int] = set()
+    shared: set[int] = set()
+    frame: list[int] = []
     for other in others:
         # As a set, so that copied passages in another order count too.
         there = set(other)
-        copied = sum(n for n, m in zip(size, marks, strict=True) if n >= TEXT_WORDS and m in there)
-        shared = frame.union(aligned(marks, other))
-        if 2 * copied <= whole and len(shared) < len(lines):
-            frame = shared
-    return [line for i, line in enumerate(lines) if i not in frame]
+        if 2 * sum(n for n, i in zip(size, at, strict=True) if n >= TEXT_WORDS and marks[i] in there) > whole:
+            continue
+        more = shared.union(aligned(marks, other))
+        own = {a for a, i in zip(article, at, strict=True) if a and i not in more}
+        found = [k for k, (a, i) in enumerate(zip(article, at, strict=True)) if i in more and a not in own]
+        if len(found) < len(at):
+            shared, frame = more, found
+    return frame
 
 
-def parsed(rows: DataFrame, html: int) -> DataFrame:
-    """rid, id, url, host, path, settled, text (lines set apart by an empty one) and marks (hashes of all lines)."""
+def without_frame(lines: list[str], others: list[list[int]]) -> list[str]:
+    """The lines of a page whose markup says nothing, less the frame."""
+    size = [len(line.split()) for line in lines]
+    frame = frame_of(line_marks(lines), [*range(len(lines))], size, [0] * len(lines), others)
+    return [line for i, line in enumerate(lines) if i not in set(frame)]
 
-    names = [*rows.columns[:html], "settled", "text", "marks"]
+
+def parsed(rows: DataFrame, html: int) -> DataFrame:
+    """The columns before `html`, text (the lines that the markup leaves, set apart by an empty one), marks (hashes of
+    all lines), and of the lines in the text: place, words and article."""
+    names = [*rows.columns[:html], "text", "marks", "at", "size", "article"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, html):
-                found = [page_lines(page) for page in part.column(html).to_pylist()]
+                found = [judged_lines(page) for page in part.column(html).to_pylist()]
+                left = [f.left for f in found]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:html], pa.array([f[0] for f in found], pa.bool_()),
-                     pa.array([BREAK.join(f[1]) for f in found], pa.string()),
-                     pa.array([line_marks(f[2]) for f in found], pa.list_(pa.int64()))],
+                    [*part.columns[:html], pa.array([BREAK.join(x) for x in left], pa.string()),
+                     pa.array([line_marks(f.every) for f in found], pa.list_(pa.int64())),
+                     pa.array([f.at for f in found], pa.list_(pa.int32())),
+                     pa.array([[len(line.split()) for line in x] for x in left], pa.list_(pa.int32())),
+                     pa.array([f.article for f in found], pa.list_(pa.int32()))],
                     names=names,
                 )
 
     kept = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[:html])
-    return rows.mapInArrow(run, f"{kept}, settled boolean, text string, marks array<long>")
+    return rows.mapInArrow(run, f"{kept}, text string, marks array<long>, at array<int>, size array<int>, article array<int>")
 
 
 def equal_segments(a: Column, b: Column) -> Column:
@@ -181,6 +201,32 @@ def neighbours(keys: DataFrame) -> DataFrame:
     )
 
 
+def frames(lines: DataFrame) -> DataFrame:
+    """(rid, frame): the lines of each text that differencing deletes; pages that lose none are left out."""
+    near = neighbours(lines.where("host <> ''"))
+    sides = F.inline(F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("other")) for i, c in enumerate(("near", "second"))]))
+    marks = lines.select(F.col("rid").alias("other"), F.col("marks").alias("met"))
+    met = near.select("rid", sides).where("other is not null").join(marks, "other").groupBy("rid").agg(
+        *[F.max(F.when(F.col("side") == i, F.col("met"))).alias(c) for i, c in enumerate(("near", "second"))]
+    )
+    own = lines.select("rid", "marks", "at", "size", "article").join(met, "rid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                frame_of(*page, [o for o in others if o])
+                for *page, near, second in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True)
+                for others in [(near, second)]
+            ]
+            keep = [i for i, f in enumerate(found) if f]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(keep, pa.int64())), pa.array([found[i] for i in keep], pa.list_(pa.int32()))],
+                names=["rid", "frame"],
+            )
+
+    return own.mapInArrow(run, "rid long, frame array<int>")
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars (code points)."""
     rows = pages.select(
@@ -189,22 +235,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
     lines = stage(parsed(rows, rows.columns.index("html")), "page-lines")
-    near = neighbours(lines.where("host <> ''"))
-    marks = lambda side: lines.select(F.col("rid").alias(side), F.col("marks").alias(f"{side}_marks"))
-    met = lines.where("not settled").select("rid", "page_id", "url", "text").join(near, "rid", "left")
-    met = met.join(marks("near"), "near", "left").join(marks("second"), "second", "left").select(
-        "page_id", "url", "text", "near_marks", "second_marks"
-    )
-    types = dict(met.dtypes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for text, *others in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                kept = text.split(BREAK) if text else []
-                texts.append(BREAK.join(without_frame(kept, [o for o in others if o])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["page_id", "url", "text"])
-
-    open_pages = met.mapInArrow(run, f"page_id {types['page_id']}, url {types['url']}, text string")
-    every = lines.where("settled").select("page_id", "url", "text").unionByName(open_pages)
-    return every.withColumn("n_chars", F.length("text").cast("long"))
+    found = join_small(lines.select("rid", "page_id", "url", "text"), stage(frames(lines), "page-frames"), ["rid"], 1)
+    kept = F.filter(F.split("text", BREAK), lambda line, i: ~F.array_contains("frame", i))  # noqa: ARG005
+    text = F.when(F.col("frame").isNull(), F.col("text")).otherwise(F.array_join(kept, BREAK))
+    return found.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from dataclasses import dataclass
 from html import unescape
 
 # Elements that begin a line of their own, those never shown as text of the page's subject,
@@ -49,6 +50,8 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 # Places, as bits: dropped, in a header inside an article, in an article, in the main element, in a form or an element
 # named as noise, and in an article or main element inside of such a one.
 NOWHERE, HEADER, ARTICLE, MAIN, SUSPECT, LIFTED = (1 << i for i in range(6))
+# Above them stands the number of the article element, from 1.
+NUMBER = 6
 
 
 def noise_of(attrs: str) -> str:
@@ -90,9 +93,11 @@ def place_of(name: str, attrs: str, place: int) -> int:
 
 
 def placed_lines(html: str) -> list[tuple[int, str]]:
-    """(place, text) of the lines. Linear in the page's length."""
+    """(place, text) of the lines, those that the markup drops too. Linear in the page's length."""
     out: list[tuple[int, str]] = []
     held: list[str] = []
+    unheld: list[str] = []
+    articles = 0
     stack: list[tuple[str, int]] = []
     where: dict[str, list[int]] = defaultdict(list)
     line_place = 0
@@ -105,15 +110,19 @@ def placed_lines(html: str) -> list[tuple[int, str]]:
             where[stack.pop()[0]].pop()
 
     def flush() -> None:
-        text = " ".join("".join(held).split())
-        held.clear()
-        if text:
-            out.append((line_place, text))
+        # Dropped words inside a line do not part it: they are a line beside it.
+        for parts, place in ((held, line_place), (unheld, NOWHERE)):
+            text = " ".join("".join(parts).split())
+            parts.clear()
+            if text:
+                out.append((place, text))
 
     def add(text: str) -> None:
         nonlocal line_place
         place = stack[-1][1] if stack else 0
-        if text and not place & (NOWHERE | HEADER):
+        if text and place & (NOWHERE | HEADER):
+            unheld.append(text)
+        elif text:
             line_place = place
             held.append(text)
 
@@ -146,6 +155,9 @@ def placed_lines(html: str) -> list[tuple[int, str]]:
         elif token["attrs"].endswith("/"):
             continue
         place = place_of(name, token["attrs"], top[1])
+        if place & ARTICLE and not top[1] & ARTICLE:
+            articles += 1
+            place |= articles << NUMBER
         if name in BLOCKS or place != top[1] or top[0] == name:
             where[name].append(len(stack))
             stack.append((name, place))
@@ -154,20 +166,37 @@ def placed_lines(html: str) -> list[tuple[int, str]]:
     return out
 
 
-def page_lines(html: str | None) -> tuple[bool, list[str], list[str]]:
-    """Whether the markup names the article, and its lines; else the lines that the markup does not drop. Then all lines.
+@dataclass
+class Lines:
+    """All lines of a page, and those that the markup leaves: their positions and the number of their article (0: none)."""
+
+    every: list[str]
+    at: list[int]
+    article: list[int]
+
+    @property
+    def left(self) -> list[str]:
+        return [self.every[i] for i in self.at]
+
+
+def judged_lines(html: str | None) -> Lines:
+    """The lines, with what the markup says: left are those of the article, else those that it does not drop.
 
     An article inside a form or an element named as noise counts where the rest of
     the page has less text; a page that has nothing else keeps what is in them.
     """
     lines = placed_lines(html or "")
-    chosen = lambda has, lacks: [t for p, t in lines if p & has == has and not p & lacks]
-    size = lambda found: sum(map(len, found))
-    every = [text for _, text in lines]
-    article = chosen(ARTICLE, LIFTED)
-    if article:
-        return True, article, every
-    lifted, rest = chosen(ARTICLE, 0), chosen(MAIN, LIFTED | ARTICLE) or chosen(0, SUSPECT | ARTICLE)
-    if size(lifted) > size(rest):
-        return True, lifted, every
-    return False, rest or every, every
+    shown = [i for i, (place, _) in enumerate(lines) if not place & NOWHERE]
+    chosen = lambda has, lacks: [i for i in shown if lines[i][0] & has == has and not lines[i][0] & lacks]
+    size = lambda found: sum(len(lines[i][1]) for i in found)
+    at = chosen(ARTICLE, LIFTED)
+    if not at:
+        lifted, rest = chosen(ARTICLE, 0), chosen(MAIN, LIFTED | ARTICLE) or chosen(0, SUSPECT | ARTICLE)
+        at = lifted if size(lifted) > size(rest) else rest or shown
+    return Lines([text for _, text in lines], at, [lines[i][0] >> NUMBER for i in at])
+
+
+def page_lines(html: str | None) -> tuple[bool, list[str], list[str]]:
+    """Whether the markup names the article, and its lines; else the lines that the markup does not drop. Then all lines."""
+    lines = judged_lines(html)
+    return any(lines.article), lines.left, lines.every

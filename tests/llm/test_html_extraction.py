@@ -7,7 +7,7 @@ import re
 import pytest
 
 from hearsay.llm.html_extraction import aligned, main_text, neighbours, without_frame
-from hearsay.llm.page_lines import page_lines
+from hearsay.llm.page_lines import judged_lines, page_lines
 
 SF = "/root/testdata/sf0.001"
 STORY = "This is a longer line of running text about subject number {} and it goes on for a while."
@@ -115,6 +115,24 @@ def test_differencing(spark):
     assert got[50] == got[51] == "" and got[None] == "Imprint"
 
 
+def test_pages_with_an_article_are_differenced(spark):
+    """Frame goes from them too: here teasers that markup alone takes for articles of the page."""
+    teaser = "<article><h2>Most read</h2><p>The story that everyone reads, on each page of the site, every day of it.</p></article>"
+    shared = STORY.format("quoted")
+    page = lambda n: (f"<nav><p>Home</p></nav>{teaser}<article><h1>Title {n}</h1><p>{STORY.format(f'{n}a')}</p><p>{shared}</p>"
+                      f"<p>{STORY.format(f'{n}b')}</p></article><footer>Imprint</footer>")
+    rows = [(n, f"http://t.org/{n}", page(n)) for n in range(4)] + [(9, "http://one.org/", page(9))]
+    want = lambda n: "\n\n".join([f"Title {n}", STORY.format(f"{n}a"), shared, STORY.format(f"{n}b")])
+    got = texts(main_text(table(spark, rows)))
+    assert [got[n] for n in range(4)] == [want(n) for n in range(4)]
+    assert got[9].startswith("Most read") and got[9].endswith(want(9))
+
+
+def test_lines_that_the_markup_drops_are_aligned():
+    lines = judged_lines("<nav><p>Home</p></nav><article><p>a<b hidden>x</b>b</p></article><footer>f</footer>")
+    assert (lines.every, lines.left, lines.article) == (["Home", "ab", "x", "f"], ["ab"], [1])
+
+
 def test_neighbours_are_those_of_the_sorted_urls(spark):
     rng = random.Random(3)
     keys = [("big" if rng.random() < 0.6 else f"h{rng.randrange(20)}", "/".join(["", *(str(rng.randrange(4)) for _ in range(rng.randrange(5)))]), i)
