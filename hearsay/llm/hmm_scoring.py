@@ -43,8 +43,8 @@ STATES, FREQUENT, PASSES = 8, 150_000, 6
 # Rows that are handed on at once; bytes of shared words' sums that one task adds up.
 PIECE, PART = 50_000, 32 << 20
 # Bytes of text in a chunk; the fewest chunks in a bucket while tasks are enough, and the most; tokens whose recursions
-# run in step, and of which all steps are kept.
-CHUNK, FEW, MANY, BLOCK, WINDOW = 6 << 20, 6, 16, 1 << 20, 3 << 19
+# run in step, and of which all steps are kept; rows whose transitions are added up in 32 bits.
+CHUNK, FEW, MANY, BLOCK, WINDOW, SPAN = 6 << 20, 6, 16, 1 << 18, 1 << 19, 1 << 12
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -295,14 +295,16 @@ def first_tokens(counts: DataFrame, ends: int, states: int) -> np.ndarray:
 
 
 def in_step(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-    """Order by falling length, so that those still running are always the first rows; all symbols; where texts begin; rows running at each step."""
+    """Order by falling length, so that those still running are always the first rows; all symbols, step by step; rows running at each step."""
     n = np.array([len(t) for t in texts])
     order = np.argsort(-n, kind="stable")
     length = n[order]
-    flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
-    begin = np.concatenate([[0], np.cumsum(length)[:-1]])
     live = np.searchsorted(-length, -np.arange(int(length[0])), "left")
-    return order, flat, begin, live
+    place = np.cumsum(live) - live
+    step = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    seen = np.empty(len(step), np.int64)
+    seen[place[step] + np.repeat(np.arange(len(n)), length)] = np.concatenate([texts[i] for i in order])
+    return order, seen, live
 
 
 def expected_counts(texts: list[np.ndarray], hmm: Hmm, steps: int | None = None) -> tuple[np.ndarray, ...]:
@@ -311,55 +313,65 @@ def expected_counts(texts: list[np.ndarray], hmm: Hmm, steps: int | None = None)
     All texts run in step. What a step leaves is kept for a window of about `WINDOW`
     tokens (or of `steps` steps); with more than one, the forward recursion starts anew
     from its state at a window's border, and the backward recursion is carried over it.
+    Only the recursions themselves go step by step, the sums over a window at once.
     Recursions are scaled at each step, in 32-bit floats; sums are in 64 bits.
     """
     states, size = hmm.emit.shape
     table, move, start = (np.ascontiguousarray(v, np.float32) for v in (hmm.emit.T, hmm.move, hmm.start))
     back, ones = np.ascontiguousarray(move.T), np.ones(states, np.float32)
-    _, flat, begin, live = in_step(texts)
+    _, symbols, live = in_step(texts)
     place, last = np.concatenate([[0], np.cumsum(live)]), len(live)
     cuts = range(0, last, steps) if steps else np.unique(np.searchsorted(place, np.arange(0, place[-1], WINDOW), "left")).tolist()
     windows = list(zip(cuts, [*cuts[1:], last], strict=True))
 
-    def slots(a: int, t: int) -> slice:
-        return slice(place[t] - place[a], place[t + 1] - place[a])
+    def slots(a: int, b: int) -> list[tuple[int, int]]:
+        edges = (place[a : b + 1] - place[a]).tolist()
+        return list(zip(edges[:-1], edges[1:], strict=True))
 
     def forward(a: int, b: int, now: np.ndarray | None) -> tuple[np.ndarray, ...]:
-        """Symbols, scaled emissions and forward probabilities of steps a to b, one step after the other."""
-        seen = np.concatenate([flat[begin[: live[t]] + t] for t in range(a, b)])
-        shown = table[seen]
-        alpha = np.empty_like(shown)
-        for t in range(a, b):
-            out, emitted = alpha[slots(a, t)], shown[slots(a, t)]
+        """Scaled emissions and forward probabilities of steps a to b, one step after the other."""
+        shown = np.take(table, symbols[place[a] : place[b]], axis=0)
+        alpha, scale = np.empty_like(shown), np.empty(len(shown), np.float32)
+        for i, j in slots(a, b):
+            out, part = alpha[i:j], scale[i:j]
             if now is None:
                 out[:] = start
             else:
-                np.matmul(now[: len(out)], move, out=out)
-            out *= emitted
-            scale = (out @ ones)[:, None]
-            out /= scale
-            emitted /= scale
+                np.dot(now[: j - i], move, out)
+            np.multiply(out, shown[i:j], out)
+            np.dot(out, ones, part)
+            np.divide(out, part[:, None], out)
             now = out
-        return seen, shown, alpha
+        shown /= scale[:, None]
+        return shown, alpha
 
     borders: list[np.ndarray | None] = [None]
     for a, b in windows[:-1]:
-        borders.append(forward(a, b, borders[-1])[2][slots(a, b - 1)].copy())
+        borders.append(forward(a, b, borders[-1])[1][slots(a, b)[-1][0] :].copy())
     pairs, emit = np.zeros((states, states)), np.zeros((size, states))
     ahead = np.zeros((0, states), np.float32)
     for (a, b), now in zip(reversed(windows), reversed(borders), strict=True):
-        seen, shown, weight = forward(a, b, now)
-        for t in reversed(range(a, b)):
-            own, emitted, k = weight[slots(a, t)], shown[slots(a, t)], len(ahead)
+        shown, alpha = forward(a, b, now)
+        beta = np.ones_like(alpha)
+        edges = slots(a, b)
+        # The last step goes on in the window behind, each other row in the one that lies as far on as its step is wide.
+        end, width = edges[-1][0], edges[0][1]
+        pairs += alpha[end : end + len(ahead)].T @ ahead
+        for i, j in reversed(edges):
+            k, emitted = len(ahead), shown[i:j]
             if k:
-                pairs += own[:k].T @ ahead
-                beta = ahead @ back
-                own[:k] *= beta
-                emitted[:k] *= beta
+                later, met = beta[i : i + k], emitted[:k]
+                np.dot(ahead, back, later)
+                np.multiply(met, later, met)
             ahead = emitted
-        for j in range(states):
-            emit[:, j] += np.bincount(seen, weight[:, j], size)
-    return weight[slots(0, 0)].sum(axis=0, dtype=float), pairs * hmm.move, emit
+        before = np.arange(width, len(alpha)) - np.repeat(live[a : b - 1], live[a + 1 : b])
+        for at in range(0, len(before), SPAN):
+            pairs += np.take(alpha, before[at : at + SPAN], axis=0).T @ shown[width + at : width + at + SPAN]
+        weight = np.multiply(alpha, beta, alpha)
+        seen = symbols[place[a] : place[b]]
+        for j, own in enumerate(weight.T):
+            emit[:, j] += np.bincount(seen, np.ascontiguousarray(own), size)
+    return weight[: live[0]].sum(axis=0, dtype=float), pairs * hmm.move, emit
 
 
 @dataclass
@@ -375,13 +387,15 @@ class Chunk:
     counts: np.ndarray
     table: np.ndarray
 
-    def blocks(self) -> Iterator[tuple[int, int]]:
-        """Ranges of texts with about BLOCK tokens."""
-        ends = np.cumsum([len(t) for t in self.texts])
+    def blocks(self) -> Iterator[np.ndarray]:
+        """Places of texts with about BLOCK tokens, of much the same length, so that few steps have few rows."""
+        size = np.array([len(t) for t in self.texts])
+        order = np.argsort(-size, kind="stable")
+        ends = np.cumsum(size[order])
         a = 0
         while a < len(ends):
             b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
-            yield a, b
+            yield order[a:b]
             a = b
 
 
@@ -397,30 +411,29 @@ def lengthened(data: np.ndarray, states: int) -> np.ndarray:
     return out.view("<f4")[..., 0]
 
 
-def opened(batch: pa.RecordBatch, hmm: Hmm, vocab: Vocabulary, first: bool) -> Iterator[Chunk]:
-    """The chunks of a batch. At first, words have the counts dealt at random, later those that the last pass left."""
+def opened(batch: pa.RecordBatch, i: int, hmm: Hmm, vocab: Vocabulary, first: bool) -> Chunk:
+    """A chunk of a batch. At first, words have the counts dealt at random, later those that the last pass left."""
     states = len(hmm.start)
-    for i in range(batch.num_rows):
-        cell = lambda c: batch.column(c)[i]  # noqa: B023, E731
-        values = lambda c, t: (cell(c).values if cell(c).is_valid else pa.array([], t)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
-        n, frequent, words = (values(c, pa.int64()) for c in ("n", "frequent", "words"))
-        facts = np.frombuffer(cell("facts").as_py() or b"", FACTS)
-        count, shared = facts["n"], facts["shared"]
-        symbols = undense(cell("symbols").as_py(), int(n.sum()))
-        if first:
-            expected = count[:, None] * first_shares(words.view(np.uint64), states)
-        else:
-            expected = np.zeros((len(words), states))
-            own, met = (lengthened(np.frombuffer(cell(c).as_py() or b"", np.uint8), states) for c in ("local", "met"))
-            if len(own):
-                expected[~shared] = own
-            if len(met):
-                expected[shared] = met
-        table = np.vstack([hmm.emit.T[frequent], emissions(expected, hmm.tokens, vocab.distinct)])
-        yield Chunk(
-            cell("chunk").as_py(), cell("ids").values, np.split(symbols, np.cumsum(n)[:-1]), frequent, words, shared,
-            np.concatenate([vocab.counts[frequent], count]), table,
-        )
+    cell = lambda c: batch.column(c)[i]
+    values = lambda c, t: (cell(c).values if cell(c).is_valid else pa.array([], t)).to_numpy(zero_copy_only=False)
+    n, frequent, words = (values(c, pa.int64()) for c in ("n", "frequent", "words"))
+    facts = np.frombuffer(cell("facts").as_py() or b"", FACTS)
+    count, shared = facts["n"], facts["shared"]
+    symbols = undense(cell("symbols").as_py(), int(n.sum()))
+    if first:
+        expected = count[:, None] * first_shares(words.view(np.uint64), states)
+    else:
+        expected = np.zeros((len(words), states))
+        own, met = (lengthened(np.frombuffer(cell(c).as_py() or b"", np.uint8), states) for c in ("local", "met"))
+        if len(own):
+            expected[~shared] = own
+        if len(met):
+            expected[shared] = met
+    table = np.vstack([hmm.emit.T[frequent], emissions(expected, hmm.tokens, vocab.distinct)])
+    return Chunk(
+        cell("chunk").as_py(), cell("ids").values, np.split(symbols, np.cumsum(n)[:-1]), frequent, words, shared,
+        np.concatenate([vocab.counts[frequent], count]), table,
+    )
 
 
 def expectation(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool, buckets: int) -> tuple[DataFrame, Hmm]:
@@ -435,21 +448,25 @@ def expectation(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool, buc
         # Frequent words, the end, starts, transitions, tokens of each state.
         total = np.zeros((end + 3 + states, states))
 
+        def sums_of(c: Chunk) -> pa.RecordBatch:
+            model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
+            emit = np.zeros(c.table.shape)
+            for block in c.blocks():
+                start, pairs, part = expected_counts([c.texts[i] for i in block], model)
+                total[end + 1] += start
+                total[end + 2 : -1] += pairs
+                emit += part
+            total[c.frequent] += emit[: len(c.frequent)]
+            total[-1] += emit.sum(axis=0)
+            own = shortened(emit[len(c.frequent) :])
+            sums = np.zeros(int(c.shared.sum()), record_type(states))
+            sums["word"], sums["v"] = c.words[c.shared], own[c.shared]
+            return batch_of(1, chunk=[c.number], local=[own[~c.shared].tobytes()], sums=[sums.tobytes()])
+
+        # One chunk is open at a time: what it needs is gone when the next one comes.
         for batch in batches:
-            for c in opened(batch, hmm, vocab, first):
-                model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
-                emit = np.zeros(c.table.shape)
-                for a, b in c.blocks():
-                    start, pairs, part = expected_counts(c.texts[a:b], model)
-                    total[end + 1] += start
-                    total[end + 2 : -1] += pairs
-                    emit += part
-                total[c.frequent] += emit[: len(c.frequent)]
-                total[-1] += emit.sum(axis=0)
-                own = shortened(emit[len(c.frequent) :])
-                sums = np.zeros(int(c.shared.sum()), record_type(states))
-                sums["word"], sums["v"] = c.words[c.shared], own[c.shared]
-                yield batch_of(1, chunk=[c.number], local=[own[~c.shared].tobytes()], sums=[sums.tobytes()])
+            for i in range(batch.num_rows):
+                yield sums_of(opened(batch, i, hmm, vocab, first))
         place = np.flatnonzero(total.any(axis=1))
         for at in np.split(place, range(PIECE, len(place), PIECE)):
             yield batch_of(len(at), place=at, **dict(zip(g, total[at].T, strict=True)))
@@ -495,7 +512,10 @@ def met_again(own: DataFrame, held_out: DataFrame | None, states: int, parts: in
 
     def back(rows: np.ndarray, place: np.ndarray) -> np.ndarray:
         values = lengthened(rows["v"], states)
-        return shortened(np.stack([np.bincount(place, values[:, k]) for k in range(states)], axis=1))[place]
+        sums = np.empty((len(np.bincount(place)), states), np.float32)
+        for k in range(states):
+            sums[:, k] = np.bincount(place, values[:, k])
+        return shortened(sums)[place]
 
     none = lambda kind: F.lit(None).cast(kind)
     rows = own.where("chunk is not null").select("chunk", "sums", none("array<long>").alias("words"), none("binary").alias("facts"))
@@ -509,38 +529,42 @@ def met_again(own: DataFrame, held_out: DataFrame | None, states: int, parts: in
 
 def log_likelihoods(texts: list[np.ndarray], hmm: Hmm) -> np.ndarray:
     """log10 of each whole text's probability: the forward recursion, all texts in step."""
-    order, flat, begin, live = in_step(texts)
+    order, symbols, live = in_step(texts)
     table = np.ascontiguousarray(hmm.emit.T)
-    total = np.zeros(len(texts))
+    scale = np.empty((len(symbols), 1))
+    ends = np.cumsum(live)
     now = np.broadcast_to(hmm.start, (len(texts), len(hmm.start)))
-    for t, rows in enumerate(live):
-        now = (now[:rows] if t == 0 else now[:rows] @ hmm.move) * table[flat[begin[:rows] + t]]
-        scale = now.sum(axis=1)
-        now = now / scale[:, None]
-        total[:rows] += np.log10(scale)
+    for i, j in zip((ends - live).tolist(), ends.tolist(), strict=True):
+        now = (now[: j - i] if i == 0 else np.dot(now[: j - i], hmm.move)) * np.take(table, symbols[i:j], axis=0)
+        now.sum(axis=1, out=scale[i:j, 0])
+        now /= scale[i:j]
+    row = np.arange(len(symbols)) - np.repeat(ends - live, live)
     out = np.empty(len(texts))
-    out[order] = total
+    out[order] = np.bincount(row, np.log10(scale[:, 0]), len(texts))
     return out
 
 
 def scored(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool) -> DataFrame:
     names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
 
+    def scores(c: Chunk) -> Iterator[pa.RecordBatch]:
+        model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
+        for block in c.blocks():
+            texts = [c.texts[i] for i in block]
+            n = np.array([len(t) for t in texts])
+            begin, flat = np.cumsum(n) - n, np.concatenate(texts)
+            count = c.counts[flat]
+            base = np.add.reduceat(np.log10(count + 0.5), begin) - n * np.log10(vocab.base)
+            known = np.add.reduceat((count > 0).astype(np.int64), begin)
+            yield pa.RecordBatch.from_arrays(
+                [c.ids.take(pa.array(block)), pa.array(n), pa.array(known), pa.array(base), pa.array(log_likelihoods(texts, model))],
+                names=names,
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in opened(batch, hmm, vocab, first):
-                model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
-                for a, b in c.blocks():
-                    texts = c.texts[a:b]
-                    n = np.array([len(t) for t in texts])
-                    begin, flat = np.cumsum(n) - n, np.concatenate(texts)
-                    count = c.counts[flat]
-                    base = np.add.reduceat(np.log10(count + 0.5), begin) - n * np.log10(vocab.base)
-                    known = np.add.reduceat((count > 0).astype(np.int64), begin)
-                    yield pa.RecordBatch.from_arrays(
-                        [c.ids[a:b], pa.array(n), pa.array(known), pa.array(base), pa.array(log_likelihoods(texts, model))],
-                        names=names,
-                    )
+            for i in range(batch.num_rows):
+                yield from scores(opened(batch, i, hmm, vocab, first))
 
     id_type = dict(chunks.dtypes)["ids"][len("array<") : -1]
     return chunks.mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")

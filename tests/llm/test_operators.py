@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 import checks.compare as compare
 from hearsay.llm.bpe import bpe_round_trip, decode_ids
 from hearsay.llm.exact_dedup import drop_exact_copies, exact_dedup, merge_runs
-from hearsay.llm.hmm_scoring import Hmm, emissions, expected_counts, first_shares, hmm_scoring, log_likelihoods
+from hearsay.llm.hmm_scoring import Chunk, Hmm, emissions, expected_counts, first_shares, hmm_scoring, log_likelihoods
 from hearsay.llm.mixing import mix_sources, mixed_documents
 from hearsay.llm.ngram_join import ngram_join, one_per_component
 from hearsay.llm.oracle import ORACLE
@@ -190,6 +190,17 @@ def test_forward_recursion_is_exact():
         assert abs(got - math.log10(total)) < 1e-9
 
 
+def test_blocks_hold_texts_of_like_length(monkeypatch):
+    """Each text once; one long text among many short ones makes its own block alone run for many steps."""
+    monkeypatch.setattr("hearsay.llm.hmm_scoring.BLOCK", 1_000)
+    rng = np.random.default_rng(3)
+    texts = [np.zeros(n, np.uint32) for n in [*rng.integers(1, 20, 400), 900, *rng.integers(1, 20, 400), 3_000, 1]]
+    blocks = [list(b) for b in Chunk(0, None, texts, *[None] * 5).blocks()]
+    assert sorted(i for b in blocks for i in b) == list(range(len(texts)))
+    assert all(len(b) == 1 or sum(len(texts[i]) for i in b) <= 1_000 for b in blocks)
+    assert sum(max(len(texts[i]) for i in b) for b in blocks) < 3_000 + 900 + 20 * len(blocks)
+
+
 def test_expected_counts_cross_segment_borders():
     rng = np.random.default_rng(5)
     share = lambda x: x / x.sum(axis=-1, keepdims=True)
