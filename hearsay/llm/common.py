@@ -53,15 +53,18 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     return staged
 
 
-def stage_by(frame: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """As `stage`, in buckets of a key: tables of one key and number of buckets are joined without a shuffle."""
+def stage_by(frame: DataFrame, name: str, key: str, buckets: int, compression: str = "snappy") -> DataFrame:
+    """As `stage`, in buckets of a key: tables of one key and number of buckets are joined without a shuffle.
+
+    Rows of megabytes had better not be compressed by snappy, which keeps whole pages in memory outside the heap.
+    """
     spark = frame.sparkSession
     folder = shared_folder(spark, "llm-" + name)
     owner = _owner.get()
     owner.append(folder)
     # Only a table can say that it is bucketed; its entry goes as soon as the files are known by it.
     table = "hearsay_" + folder.rsplit("-", 1)[-1]
-    frame.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", folder).saveAsTable(table)
+    frame.write.format("parquet").bucketBy(buckets, key).sortBy(key).options(path=folder, compression=compression).saveAsTable(table)
     staged = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
     staged._scratch_folder, staged._scratch_owner = folder, owner

@@ -28,23 +28,24 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearsay.llm.common import discard, let_go, stage, stage_by
 from hearsay.llm.words import hashed_words, mix, slices
 
 STATES, FREQUENT, PASSES = 8, 150_000, 6
-# Rows that are handed on at once; bytes of shared words' sums that one task adds up.
-PIECE, PART = 50_000, 32 << 20
+# Bytes of shared words' sums that one task adds up.
+PART = 32 << 20
 # Bytes of text in a chunk; the fewest chunks in a bucket while tasks are enough, and the most; tokens whose recursions
-# run in step, and of which all steps are kept.
-CHUNK, FEW, MANY, BLOCK, WINDOW = 6 << 20, 6, 16, 1 << 20, 3 << 19
+# run in step, and of which all steps are kept; rows that are added up at once.
+CHUNK, FEW, MANY, BLOCK, WINDOW, SPAN = 6 << 20, 6, 16, 3 << 17, 3 << 18, 1 << 12
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -106,17 +107,17 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     def code(part: pa.Table, held_out: bool) -> pa.RecordBatch:
         h, first = hashed_words(part.column(3).combine_chunks())
-        at = np.minimum(np.searchsorted(vocab.words, h), max(vocab.end - 1, 0))
-        hit = vocab.words[at] == h if vocab.end else np.zeros(len(h), bool)
-        words, place = np.unique(h[~hit], return_inverse=True)
-        every = np.where(hit, at, 0)
-        every[~hit] = vocab.end + 1 + place
-        distinct, symbols = np.unique(np.insert(every, first[1:], vocab.end), return_inverse=True)
+        words, place, n = np.unique(h, return_inverse=True, return_counts=True)
+        at = np.minimum(np.searchsorted(vocab.words, words), max(vocab.end - 1, 0))
+        hit = vocab.words[at] == words if vocab.end else np.zeros(len(words), bool)
+        # The frequent words, the end, the others.
+        symbol = np.where(hit, np.cumsum(hit) - 1, hit.sum() + np.cumsum(~hit))
+        symbols = np.insert(symbol[place], first[1:], hit.sum())
         one = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
         return pa.RecordBatch.from_arrays(
             [part.column(0).chunk(0)[:1], pa.array([held_out]), one(part.column(1).combine_chunks()), one(pa.array(np.diff(first) + 1)),
-             pa.array([dense(symbols)], pa.binary()), one(pa.array(distinct[distinct <= vocab.end].astype(np.int32))),
-             one(pa.array(words.view(np.int64))), one(pa.array(np.bincount(place, minlength=len(words)) * (not held_out)))],
+             pa.array([dense(symbols)], pa.binary()), one(pa.array(np.append(at[hit], vocab.end).astype(np.int32))),
+             one(pa.array(words[~hit].view(np.int64))), one(pa.array(n[~hit] * (not held_out)))],
             names=["chunk", "held_out", "ids", "n", "symbols", "frequent", "words", "counts"],
         )
 
@@ -268,7 +269,7 @@ def chunk_table(coded: DataFrame, states: int) -> tuple[DataFrame, int, int]:
     facts = through_words(coded.select("chunk", "words", "counts"), kind, records, back, parts, buckets)
     # Chunks move once, to the buckets in which they are joined and written.
     whole = coded.drop("counts").repartition(buckets, "chunk").join(facts.withColumnRenamed("data", "facts"), "chunk", "left")
-    return stage_by(whole, "chunks", "chunk", buckets), buckets, parts
+    return stage_by(whole, "chunks", "chunk", buckets, "zstd"), buckets, parts
 
 
 def first_model(vocab: Vocabulary, tokens: np.ndarray, states: int) -> Hmm:
@@ -294,72 +295,123 @@ def first_tokens(counts: DataFrame, ends: int, states: int) -> np.ndarray:
     return np.array([x or 0.0 for x in sums]) + ends / states
 
 
+def blocks(texts: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Places of texts with about BLOCK tokens, the longest first: texts of much the same length run in step, so few steps have few rows."""
+    size = np.array([len(t) for t in texts])
+    order = np.argsort(-size, kind="stable")
+    ends = np.cumsum(size[order])
+    a = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
+        yield order[a:b]
+        a = b
+
+
 def in_step(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-    """Order by falling length, so that those still running are always the first rows; all symbols; where texts begin; rows running at each step."""
+    """Order by falling length, so that those still running are always the first rows; symbols, step by step; rows running at each step."""
     n = np.array([len(t) for t in texts])
     order = np.argsort(-n, kind="stable")
     length = n[order]
-    flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
-    begin = np.concatenate([[0], np.cumsum(length)[:-1]])
     live = np.searchsorted(-length, -np.arange(int(length[0])), "left")
-    return order, flat, begin, live
+    slot = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    slot = (np.cumsum(live) - live)[slot]
+    slot += np.repeat(np.arange(len(n)), length)
+    seen = np.empty(len(slot), np.int64)
+    seen[slot] = np.concatenate([texts[i] for i in order])
+    return order, seen, live
+
+
+def seldom(least: float, digits: int) -> int:
+    """Steps to go without scaling, so that all and one more leave 10^-digits, when each leaves `least` at least."""
+    return max(1, int(digits / max(-np.log10(least), 0.1)) - 1) if least > 0 else 1
 
 
 def expected_counts(texts: list[np.ndarray], hmm: Hmm, steps: int | None = None) -> tuple[np.ndarray, ...]:
     """Baum-Welch sums over whole texts: of starts, transitions and emissions (words x states).
 
-    All texts run in step. What a step leaves is kept for a window of about `WINDOW`
-    tokens (or of `steps` steps); with more than one, the forward recursion starts anew
+    Texts run in step, a block at a time. What a step leaves is kept for a window of about
+    `WINDOW` tokens (or of `steps` steps); with more than one, the forward recursion starts anew
     from its state at a window's border, and the backward recursion is carried over it.
-    Recursions are scaled at each step, in 32-bit floats; sums are in 64 bits.
+    Only the recursions go step by step, the sums `SPAN` rows at once. Emissions count
+    relative to the word's likeliest state, so a step leaves at least the least transition,
+    and recursions are scaled as seldom as 32-bit floats allow; sums are in 64 bits.
     """
     states, size = hmm.emit.shape
-    table, move, start = (np.ascontiguousarray(v, np.float32) for v in (hmm.emit.T, hmm.move, hmm.start))
-    back, ones = np.ascontiguousarray(move.T), np.ones(states, np.float32)
-    _, flat, begin, live = in_step(texts)
+    table, move, begin = (np.ascontiguousarray(v, np.float32) for v in (hmm.emit.T / hmm.emit.max(axis=0)[:, None], hmm.move, hmm.start))
+    start, pairs, emit = np.zeros(states), np.zeros((states, states)), np.zeros((size, states))
+    for block in blocks(texts):
+        add_counts([texts[i] for i in block], table, move, begin, steps, (start, pairs, emit))
+    return start, pairs * hmm.move, emit
+
+
+def add_counts(
+    texts: list[np.ndarray], table: np.ndarray, move: np.ndarray, begin: np.ndarray, steps: int | None, sums: tuple[np.ndarray, ...]
+) -> None:
+    """Add a block's starts, transitions (to be multiplied by `move`) and emissions to the sums."""
+    start, pairs, emit = sums
+    states, size = len(begin), len(table)
+    back, ones = np.ascontiguousarray(move.T), np.ones((states, 1), np.float32)
+    scaled = seldom(float(move.min()), 28)
+    _, symbols, live = in_step(texts)
     place, last = np.concatenate([[0], np.cumsum(live)]), len(live)
     cuts = range(0, last, steps) if steps else np.unique(np.searchsorted(place, np.arange(0, place[-1], WINDOW), "left")).tolist()
     windows = list(zip(cuts, [*cuts[1:], last], strict=True))
 
-    def slots(a: int, t: int) -> slice:
-        return slice(place[t] - place[a], place[t + 1] - place[a])
+    def slots(a: int, b: int) -> list[tuple[int, int, int]]:
+        edges = (place[a : b + 1] - place[a]).tolist()
+        return list(zip(range(a, b), edges[:-1], edges[1:], strict=True))
 
     def forward(a: int, b: int, now: np.ndarray | None) -> tuple[np.ndarray, ...]:
-        """Symbols, scaled emissions and forward probabilities of steps a to b, one step after the other."""
-        seen = np.concatenate([flat[begin[: live[t]] + t] for t in range(a, b)])
-        shown = table[seen]
+        """Scaled emissions and forward probabilities of steps a to b, one step after the other."""
+        shown = np.take(table, symbols[place[a] : place[b]], axis=0)
         alpha = np.empty_like(shown)
-        for t in range(a, b):
-            out, emitted = alpha[slots(a, t)], shown[slots(a, t)]
+        for t, i, j in slots(a, b):
+            out, emitted = alpha[i:j], shown[i:j]
             if now is None:
-                out[:] = start
+                out[:] = begin
             else:
-                np.matmul(now[: len(out)], move, out=out)
-            out *= emitted
-            scale = (out @ ones)[:, None]
-            out /= scale
-            emitted /= scale
+                np.dot(now[: j - i], move, out)
+            np.multiply(out, emitted, out)
+            if t % scaled == 0:
+                scale = np.dot(out, ones)
+                out /= scale
+                emitted /= scale
             now = out
-        return seen, shown, alpha
+        return shown, alpha
 
     borders: list[np.ndarray | None] = [None]
     for a, b in windows[:-1]:
-        borders.append(forward(a, b, borders[-1])[2][slots(a, b - 1)].copy())
-    pairs, emit = np.zeros((states, states)), np.zeros((size, states))
-    ahead = np.zeros((0, states), np.float32)
+        borders.append(forward(a, b, borders[-1])[1][place[b - 1] - place[a] :].copy())
+    ahead, later = np.zeros((0, states), np.float32), np.empty((len(texts), states), np.float32)
+    fewer = live - np.append(live[1:], 0)
     for (a, b), now in zip(reversed(windows), reversed(borders), strict=True):
-        seen, shown, weight = forward(a, b, now)
-        for t in reversed(range(a, b)):
-            own, emitted, k = weight[slots(a, t)], shown[slots(a, t)], len(ahead)
+        shown, alpha = forward(a, b, now)
+        # A text's last rows in their steps: the probability of the whole text is left there.
+        ends = np.flatnonzero(fewer[a:b]) + a
+        ends = np.concatenate([np.arange(place[t + 1] - fewer[t], place[t + 1]) for t in ends] or [ends]) - place[a]
+        shown[ends] /= np.dot(alpha[ends], ones)
+        edge = int(place[b - 1] - place[a])
+        pairs += alpha[edge : edge + len(ahead)].T @ ahead
+        for _, i, j in reversed(slots(a, b)):
+            k, emitted = len(ahead), shown[i:j]
             if k:
-                pairs += own[:k].T @ ahead
-                beta = ahead @ back
-                own[:k] *= beta
-                emitted[:k] *= beta
+                met = emitted[:k]
+                np.multiply(met, np.dot(ahead, back, later[:k]), met)
             ahead = emitted
+        # The row before lies as far back as its step is wide. From the last rows on, as probabilities take the place of `alpha`.
+        ahead, seen, width = ahead.copy(), symbols[place[a] : place[b]], int(live[a])
+        step = np.repeat(live[a : b - 1].astype(np.int32), live[a + 1 : b])
+        for i in reversed(range(0, len(seen), SPAN)):
+            j, k = min(i + SPAN, len(seen)), max(i, width)
+            if k < j:
+                pairs += np.take(alpha, np.arange(k, j) - step[k - width : j - width], axis=0).T @ shown[k:j]
+            own = alpha[i:j]
+            own *= shown[i:j]
+            own /= np.take(table, seen[i:j], axis=0)
+            own /= np.dot(own, ones)
         for j in range(states):
-            emit[:, j] += np.bincount(seen, weight[:, j], size)
-    return weight[slots(0, 0)].sum(axis=0, dtype=float), pairs * hmm.move, emit
+            emit[:, j] += np.bincount(seen, alpha[:, j], size)
+    start += alpha[: live[0]].sum(axis=0, dtype=float)
 
 
 @dataclass
@@ -375,15 +427,6 @@ class Chunk:
     counts: np.ndarray
     table: np.ndarray
 
-    def blocks(self) -> Iterator[tuple[int, int]]:
-        """Ranges of texts with about BLOCK tokens."""
-        ends = np.cumsum([len(t) for t in self.texts])
-        a = 0
-        while a < len(ends):
-            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
-            yield a, b
-            a = b
-
 
 def shortened(values: np.ndarray) -> np.ndarray:
     """Floats in three bytes each: 15 bits of fraction and the whole range of a 32-bit float."""
@@ -397,30 +440,43 @@ def lengthened(data: np.ndarray, states: int) -> np.ndarray:
     return out.view("<f4")[..., 0]
 
 
-def opened(batch: pa.RecordBatch, hmm: Hmm, vocab: Vocabulary, first: bool) -> Iterator[Chunk]:
-    """The chunks of a batch. At first, words have the counts dealt at random, later those that the last pass left."""
+def opened(batch: pa.RecordBatch, i: int, hmm: Hmm, vocab: Vocabulary, first: bool, kind: type) -> Chunk:
+    """A chunk of a batch, emissions as floats of a kind. At first, words have the counts dealt at random, later those that the last pass left."""
     states = len(hmm.start)
-    for i in range(batch.num_rows):
-        cell = lambda c: batch.column(c)[i]  # noqa: B023, E731
-        values = lambda c, t: (cell(c).values if cell(c).is_valid else pa.array([], t)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
-        n, frequent, words = (values(c, pa.int64()) for c in ("n", "frequent", "words"))
-        facts = np.frombuffer(cell("facts").as_py() or b"", FACTS)
-        count, shared = facts["n"], facts["shared"]
-        symbols = undense(cell("symbols").as_py(), int(n.sum()))
-        if first:
-            expected = count[:, None] * first_shares(words.view(np.uint64), states)
-        else:
-            expected = np.zeros((len(words), states))
-            own, met = (lengthened(np.frombuffer(cell(c).as_py() or b"", np.uint8), states) for c in ("local", "met"))
-            if len(own):
-                expected[~shared] = own
-            if len(met):
-                expected[shared] = met
-        table = np.vstack([hmm.emit.T[frequent], emissions(expected, hmm.tokens, vocab.distinct)])
-        yield Chunk(
-            cell("chunk").as_py(), cell("ids").values, np.split(symbols, np.cumsum(n)[:-1]), frequent, words, shared,
-            np.concatenate([vocab.counts[frequent], count]), table,
-        )
+    cell = lambda c: batch.column(c)[i]
+    values = lambda c, t: (cell(c).values if cell(c).is_valid else pa.array([], t)).to_numpy(zero_copy_only=False)
+    n, frequent, words = (values(c, pa.int64()) for c in ("n", "frequent", "words"))
+    facts = np.frombuffer(cell("facts").as_py() or b"", FACTS)
+    count, shared = facts["n"], facts["shared"]
+    symbols = undense(cell("symbols").as_py(), int(n.sum()))
+    if first:
+        expected = count[:, None] * first_shares(words.view(np.uint64), states)
+    else:
+        expected = np.zeros((len(words), states))
+        own, met = (lengthened(np.frombuffer(cell(c).as_py() or b"", np.uint8), states) for c in ("local", "met"))
+        if len(own):
+            expected[~shared] = own
+        if len(met):
+            expected[shared] = met
+    table = np.empty((len(frequent) + len(words), states), kind)
+    table[: len(frequent)] = hmm.emit.T[frequent]
+    table[len(frequent) :] = emissions(expected, hmm.tokens, vocab.distinct)
+    return Chunk(
+        cell("chunk").as_py(), cell("ids").values, np.split(symbols, np.cumsum(n)[:-1]), frequent, words, shared,
+        np.concatenate([vocab.counts[frequent], count]), table,
+    )
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside the block hand rows to Python a few at a time: large ones, of which neither side should hold a bucket."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def expectation(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool, buckets: int) -> tuple[DataFrame, Hmm]:
@@ -430,43 +486,64 @@ def expectation(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool, buc
     has, and records (word, expected counts) of those that are shared.
     """
     states, end = len(hmm.start), vocab.end
+    # Ranges of the sums are as many as partitions, which grow with the corpus, so no range grows with it.
+    pieces = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    piece = ceil((end + 3 + states) / pieces)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Frequent words, the end, starts, transitions, tokens of each state.
         total = np.zeros((end + 3 + states, states))
 
+        def sums_of(c: Chunk) -> pa.RecordBatch:
+            start, pairs, emit = expected_counts(c.texts, Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T))
+            total[end + 1] += start
+            total[end + 2 : -1] += pairs
+            total[c.frequent] += emit[: len(c.frequent)]
+            total[-1] += emit.sum(axis=0)
+            own = shortened(emit[len(c.frequent) :])
+            sums = np.zeros(int(c.shared.sum()), record_type(states))
+            sums["word"], sums["v"] = c.words[c.shared], own[c.shared]
+            return batch_of(1, chunk=[c.number], local=[own[~c.shared].tobytes()], sums=[sums.tobytes()])
+
+        # One chunk is open at a time: what it needs is gone when the next one comes.
         for batch in batches:
-            for c in opened(batch, hmm, vocab, first):
-                model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
-                emit = np.zeros(c.table.shape)
-                for a, b in c.blocks():
-                    start, pairs, part = expected_counts(c.texts[a:b], model)
-                    total[end + 1] += start
-                    total[end + 2 : -1] += pairs
-                    emit += part
-                total[c.frequent] += emit[: len(c.frequent)]
-                total[-1] += emit.sum(axis=0)
-                own = shortened(emit[len(c.frequent) :])
-                sums = np.zeros(int(c.shared.sum()), record_type(states))
-                sums["word"], sums["v"] = c.words[c.shared], own[c.shared]
-                yield batch_of(1, chunk=[c.number], local=[own[~c.shared].tobytes()], sums=[sums.tobytes()])
-        place = np.flatnonzero(total.any(axis=1))
-        for at in np.split(place, range(PIECE, len(place), PIECE)):
-            yield batch_of(len(at), place=at, **dict(zip(g, total[at].T, strict=True)))
-
-    g = [f"g{k}" for k in range(states)]
-    types = {"chunk": pa.int64(), "local": pa.binary(), "sums": pa.binary(), "place": pa.int64()} | dict.fromkeys(g, pa.float32())
+            for i in range(batch.num_rows):
+                yield sums_of(opened(batch, i, hmm, vocab, first, np.float32))
+        for part, at in enumerate(range(0, len(total), piece)):
+            rows = total[at : at + piece]
+            found = np.zeros(int(rows.any(axis=1).sum()), kind)
+            found["place"] = np.flatnonzero(rows.any(axis=1))
+            found["v"] = rows[found["place"]]
+            if len(found):
+                yield batch_of(1, part=[part], data=[found.tobytes()])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = np.frombuffer(data.as_buffer(), kind)
+                totals.setdefault(part, np.zeros((piece, states)))[found["place"]] += found["v"]
+        for part, rows in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([rows.tobytes()], pa.binary())], names=["part", "data"])
+
+    kind = np.dtype([("place", "<i4"), ("v", "<f4", (states,))])
+    types = {"chunk": pa.int64(), "local": pa.binary(), "sums": pa.binary(), "part": pa.int32(), "data": pa.binary()}
 
     def batch_of(size: int, **columns) -> pa.RecordBatch:
         cells = [pa.array(columns[c], t) if c in columns else pa.nulls(size, t) for c, t in types.items()]
         return pa.RecordBatch.from_arrays(cells, names=list(types))
 
-    schema = "chunk long, local binary, sums binary, place long, " + ", ".join(f"{c} float" for c in g)
-    found = stage_by(chunks.mapInArrow(run, schema), "sums", "chunk", buckets)
-    # One row per frequent word and for the rest of the model, at any size of the corpus.
-    sums = found.where("chunk is null").groupBy("place").agg(*[F.sum(c).alias(c) for c in g]).toArrow()
-    total = np.zeros((end + 3 + states, states))
-    total[sums.column("place").to_numpy()] = np.stack([sums.column(c).to_numpy() for c in g], axis=1)
+    schema = "chunk long, local binary, sums binary, part int, data binary"
+    with batches_of(chunks.sparkSession, 1):
+        found = stage_by(chunks.mapInArrow(run, schema), "sums", "chunk", buckets, "none")
+    # One entry per frequent word and for the rest of the model, at any size of the corpus; tasks send them by ranges.
+    dealt = found.where("chunk is null").select("part", "data").repartition(pieces, "part")
+    with batches_of(chunks.sparkSession, 64):
+        sums = dealt.mapInArrow(added, "part int, data binary").toArrow()
+    total = np.zeros((pieces * piece, states))
+    for part, data in zip(sums.column(0).to_pylist(), sums.column(1).to_pylist(), strict=True):
+        total[part * piece : (part + 1) * piece] = np.frombuffer(data).reshape(piece, states)
+    total = total[: end + 3 + states]
     let_go(found)
     share = lambda x: x / x.sum(axis=-1, keepdims=True)
     emit = emissions(total[: end + 1], total[-1], vocab.distinct).T
@@ -502,45 +579,55 @@ def met_again(own: DataFrame, held_out: DataFrame | None, states: int, parts: in
     if held_out is not None:
         rows = rows.union(held_out.select("chunk", none("binary"), "words", "facts"))
     found = through_words(rows, kind, records, back, parts, buckets)
-    met = stage_by(found.withColumnRenamed("data", "met"), "met", "chunk", buckets)
+    met = stage_by(found.withColumnRenamed("data", "met"), "met", "chunk", buckets, "none")
     let_go(met)
     return met
 
 
 def log_likelihoods(texts: list[np.ndarray], hmm: Hmm) -> np.ndarray:
-    """log10 of each whole text's probability: the forward recursion, all texts in step."""
-    order, flat, begin, live = in_step(texts)
-    table = np.ascontiguousarray(hmm.emit.T)
-    total = np.zeros(len(texts))
-    now = np.broadcast_to(hmm.start, (len(texts), len(hmm.start)))
-    for t, rows in enumerate(live):
-        now = (now[:rows] if t == 0 else now[:rows] @ hmm.move) * table[flat[begin[:rows] + t]]
-        scale = now.sum(axis=1)
-        now = now / scale[:, None]
-        total[:rows] += np.log10(scale)
+    """log10 of each whole text's probability: the forward recursion, all texts in step, scaled as seldom as 64-bit floats allow."""
+    order, symbols, live = in_step(texts)
+    table, move, ones = np.ascontiguousarray(hmm.emit.T), np.ascontiguousarray(hmm.move), np.ones((len(hmm.start), 1))
+    scaled = seldom(float(hmm.move.min() * table.max(axis=1).min()), 250)
+    total, left = np.zeros(len(texts)), np.empty((len(texts), len(hmm.start)))
+    now = np.broadcast_to(hmm.start, left.shape)
+    ends = np.cumsum(live).tolist()
+    for t, (i, j) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+        k = j - i
+        left[k : len(now)] = now[k:]
+        now = now[:k] if t == 0 else np.dot(now[:k], move)
+        now = now * np.take(table, symbols[i:j], axis=0)
+        if (t + 1) % scaled == 0:
+            scale = np.dot(now, ones)
+            now /= scale
+            total[:k] += np.log10(scale[:, 0])
+    left[: len(now)] = now
     out = np.empty(len(texts))
-    out[order] = total
+    out[order] = total + np.log10(left.sum(axis=1))
     return out
 
 
 def scored(chunks: DataFrame, hmm: Hmm, vocab: Vocabulary, first: bool) -> DataFrame:
     names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
 
+    def scores(c: Chunk) -> Iterator[pa.RecordBatch]:
+        model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
+        for block in blocks(c.texts):
+            texts = [c.texts[i] for i in block]
+            n = np.array([len(t) for t in texts])
+            begin, flat = np.cumsum(n) - n, np.concatenate(texts)
+            count = c.counts[flat]
+            base = np.add.reduceat(np.log10(count + 0.5), begin) - n * np.log10(vocab.base)
+            known = np.add.reduceat((count > 0).astype(np.int64), begin)
+            yield pa.RecordBatch.from_arrays(
+                [c.ids.take(pa.array(block)), pa.array(n), pa.array(known), pa.array(base), pa.array(log_likelihoods(texts, model))],
+                names=names,
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in opened(batch, hmm, vocab, first):
-                model = Hmm(hmm.start, hmm.tokens, hmm.move, c.table.T)
-                for a, b in c.blocks():
-                    texts = c.texts[a:b]
-                    n = np.array([len(t) for t in texts])
-                    begin, flat = np.cumsum(n) - n, np.concatenate(texts)
-                    count = c.counts[flat]
-                    base = np.add.reduceat(np.log10(count + 0.5), begin) - n * np.log10(vocab.base)
-                    known = np.add.reduceat((count > 0).astype(np.int64), begin)
-                    yield pa.RecordBatch.from_arrays(
-                        [c.ids[a:b], pa.array(n), pa.array(known), pa.array(base), pa.array(log_likelihoods(texts, model))],
-                        names=names,
-                    )
+            for i in range(batch.num_rows):
+                yield from scores(opened(batch, i, hmm, vocab, first, float))
 
     id_type = dict(chunks.dtypes)["ids"][len("array<") : -1]
     return chunks.mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
