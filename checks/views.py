@@ -20,6 +20,8 @@ from hearsay.sources.landing import with_page_facts
 FETCHED_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
 FIRST_SECOND = 1704067200  # 2024-01-01T00:00:00Z
 PAGE_SIZE = 20
+# Document numbers after which pages of all topics end: PAGE_SIZE times 3, 15 and 4 numbers make a page.
+RUN = 60 * PAGE_SIZE
 CAP = 50
 
 TOPICS = (
@@ -121,7 +123,11 @@ def _page(rank: Column) -> Column:
 
 
 def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document under two topics: `(topic, topic_order, page, pos, doc_id, json)`."""
+    """Every document under two topics: `(doc_id, json, topic, topic_order, page, pos)`."""
+    return _listed(texts(spark, sf_dir))
+
+
+def _listed(docs: DataFrame, *carried: str) -> DataFrame:
     doc = F.col("doc_id")
     rest = F.expr("doc_id div 3") * 2 + doc % 3 - 1
     first_rank = F.when(doc % 3 == 0, F.expr("doc_id div 3")).otherwise(((rest - rest % 10) / 10).cast("bigint"))
@@ -138,8 +144,8 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _page(second_rank).alias("page"),
         (second_rank % PAGE_SIZE).cast("int").alias("pos"),
     )
-    d = texts(spark, sf_dir).withColumn("json", _hit_json(doc))
-    return d.select("doc_id", "json", F.inline(F.array(first, second)))
+    d = docs.withColumn("json", _hit_json(doc))
+    return d.select(*carried, "doc_id", "json", F.inline(F.array(first, second)))
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +156,14 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw pages of at most PAGE_SIZE hits, with a gap, a corrupt, an empty and a last page."""
-    grouped = listed(spark, sf_dir).groupBy("topic", "page").agg(
+    """Raw pages of at most PAGE_SIZE hits, with a gap, a corrupt, an empty and a last page.
+
+    A page's documents lie within RUN numbers, so documents are dealt by these runs,
+    once and not under each of their topics.
+    """
+    run = F.greatest(F.expr(f"doc_id div {RUN}"), F.lit(0)).alias("run")
+    docs = table(spark, sf_dir, "documents").select("*", run).repartition("run")
+    grouped = _listed(docs, "run").groupBy("run", "topic", "page").agg(
         F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("hits")
     )
     at = lambda topic, page: (F.col("topic") == topic) & (F.col("page") == page)

@@ -8,6 +8,7 @@ so a topic holding a third of all pages is no bottleneck.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -157,6 +158,44 @@ def paging_after(read: DataFrame) -> DataFrame:
     )
 
 
+class PageRun(NamedTuple):
+    """Pages `low` to `high` of a topic that gives `hits` in all; of its page `last` only `last_take` are taken."""
+
+    topic: str
+    topic_order: int
+    low: int
+    high: int
+    hits: int
+    last: int
+    last_take: int
+
+
+def page_runs(chosen: DataFrame) -> list[PageRun]:
+    """The pages that `advance` gave as one run per topic: they follow each other, and only the last may be cut."""
+    runs = chosen.groupBy("topic", "topic_order").agg(
+        F.min("page"), F.max("page"), F.sum("take"), F.max("page"), F.max_by("take", "page")
+    )
+    return [PageRun(*row) for row in runs.collect()]
+
+
+def cut_runs(runs: Sequence[PageRun], slices: int) -> list[list[PageRun]]:
+    """Runs cut into `slices` of about as many hits, the last in (topic order, page) first."""
+    parts: list[list[PageRun]] = [[] for _ in range(slices)]
+    total, before = sum(run.hits for run in runs), 0
+    for run in sorted(runs, key=lambda r: (r.topic_order, r.topic)):
+        pages, low = run.high - run.low + 1, run.low
+        for part in range(slices):
+            # The first page behind this slice: where hits, spread evenly over the run, pass its share.
+            ahead = (part + 1) * total - slices * before
+            end = run.low + -(-ahead * pages // (slices * run.hits)) if run.hits and part + 1 < slices else run.high + 1
+            end = min(max(end, low), run.high + 1)
+            if end > low:
+                parts[part].append(run._replace(low=low, high=end - 1))
+            low = end
+        before += run.hits
+    return parts[::-1]
+
+
 def taken_hits(kept: DataFrame) -> DataFrame:
     """The first `take` hits of each page of `capped_pages`."""
     hits = kept.select(

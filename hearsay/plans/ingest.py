@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +17,14 @@ from hearsay.operators.pages import capped_hits, frontier, topic_frame
 from hearsay.operators.report_state import relabelled
 from hearsay.operators.runs import COUNTERS
 from hearsay.operators.upsert import first_per_payload, insert_or_ignore, last_per_id
-from hearsay.session import staging
+from hearsay.session import let_go, staging
 from hearsay.settings import RunSettings
 from hearsay.sources.landing import read_landing
 from hearsay.sources.store import MentionStore
 
+# What the counts of the report states are made from.
+CELL = ("topic", "category", "sentiment", "sentiment_score")
+
 
 def batch_hits(spark: SparkSession, pages: DataFrame, settings: RunSettings) -> DataFrame:
     """The hits one run offers: accepted pages of configured topics, capped per topic."""
@@ -73,21 +77,50 @@ def batch_counters(
 def ingest_hits(
     hits: DataFrame, store: MentionStore, settings: RunSettings, at: datetime
 ) -> dict[str, int]:
-    """Load hits into the store and return the counters of the steps.
+    """Load hits into the store and return the counters of the steps."""
+    return ingest_slices([hits], store, settings, at)
+
 
-    Assessed hits, and new mentions with their labels, are each written once to
-    the shared folder: later steps read those tables instead of computing again,
-    and a lost executor costs no more than its own tasks. Every write to the
-    store skips what is stored, so a run that failed half way is repaired by
-    running it again. Texts of stored mentions are not read.
+def ingest_slices(
+    slices: Iterable[DataFrame], store: MentionStore, settings: RunSettings, at: datetime
+) -> dict[str, int]:
+    """Load a batch of hits, given in slices, into the store and return the counters of the steps.
+
+    The slice that is last in (topic order, page) comes first: of an id in several
+    of them the last record is stored, as within a slice, and the others are known.
+    Each slice stages its assessed hits, and its new mentions with their labels:
+    later steps read those tables instead of computing again, and a lost executor
+    costs no more than its own tasks. They go with the slice; keys of all hits and
+    payloads of the rejected ones stay to the end, for counters and quarantine.
+    Every write to the store skips what is stored, so a run that failed half way is
+    repaired by running it again. Texts of stored mentions are not read.
     """
     spark = store.spark
+    with staging(spark) as written:
+        assessed, inserted = None, 0
+        for hits in slices:
+            keys, n = _ingest_slice(hits, store, settings, at, written)
+            let_go(spark)
+            assessed, inserted = keys if assessed is None else assessed.unionByName(keys), inserted + n
+        late = _label_late(store, settings, at)
+
+        # What this run inserted is stored by now.
+        counters = step_counters(assessed, store.table("mentions_base")).first().asDict()
+        known = counters["inserted"] + counters["duplicates"] - inserted
+        rejects = first_per_payload(rejected_hits(assessed))
+        store.append(insert_or_ignore(rejects, store.quarantine(), "payload_hash"), "quarantine")
+    return counters | {"inserted": inserted, "duplicates": known, "classified": inserted + late}
+
+
+def _ingest_slice(
+    hits: DataFrame, store: MentionStore, settings: RunSettings, at: datetime,
+    kept: Callable[[DataFrame, str], DataFrame],
+) -> tuple[DataFrame, int]:
+    """Store and label what is new in a slice: its assessed hits without texts, `kept` as a table, and how many are new."""
     stamp = F.lit(at).cast("timestamp")
     assessed = assess_hits(hits, stamp, settings.source, settings.permalink_prefix)
-    with staging(spark) as written:
+    with staging(store.spark) as written:
         staged = written(assessed, "staged-hits")
-        counters = step_counters(staged, store.table("mentions_base")).first().asDict()
-
         batch = last_per_id(staged.filter("reason is null").select(*RECORD_COLUMNS, *ORDER_COLUMNS))
         fresh = insert_or_ignore(batch, store.table("mentions_base"), "id")
         fresh = written(label_records(fresh, settings), "new-mentions")
@@ -95,24 +128,30 @@ def ingest_hits(
         store.open_batch(report)
         store.append(fresh, "mentions_base")
         store.append(fresh.withColumn("labelled_at", stamp), "mention_labels")
-
-        # Rows that an earlier run stored but did not label; usually none.
-        left = store.unlabelled_ids()
-        late = left.count()
-        cell = ("topic", "category", "sentiment", "sentiment_score")
-        came, went = fresh.select(*cell), fresh.select(*cell).limit(0)
-        if late:
+        came = fresh.select(*CELL)
+        store.close_batch(report, came, came.limit(0), fresh)
+        keys = kept(staged.select(
+            "id", "topic", *ORDER_COLUMNS, "reason", "raw_id", "payload", "fetched_at"
+        ), "assessed-keys")
+        return keys, fresh.count()
+
+
+def _label_late(store: MentionStore, settings: RunSettings, at: datetime) -> int:
+    """Label rows that an earlier run stored but did not label, usually none; their number."""
+    left = store.unlabelled_ids()
+    late = left.count()
+    if late:
+        with staging(store.spark) as written:
+            report = uuid.uuid4().hex
+            store.open_batch(report)
             open_rows = store.table("mentions_base").join(left, "id", "left_semi")
-            labels = written(label_rows(open_rows, settings).withColumn("labelled_at", stamp), "late-labels")
-            before = store.mentions().join(labels.select("id"), "id", "left_semi").select("id", *cell)
-            more, went = relabelled(written(before, "before"), labels)
-            came = came.unionByName(more)
+            labels = label_rows(open_rows, settings).withColumn("labelled_at", F.lit(at).cast("timestamp"))
+            labels = written(labels, "late-labels")
+            before = store.mentions().join(labels.select("id"), "id", "left_semi").select("id", *CELL)
+            came, went = relabelled(written(before, "before"), labels)
             store.append(labels, "mention_labels")
-        store.close_batch(report, came, went, fresh)
-
-        rejects = first_per_payload(rejected_hits(staged))
-        store.append(insert_or_ignore(rejects, store.quarantine(), "payload_hash"), "quarantine")
-    return counters | {"classified": counters["inserted"] + late}
+            store.close_batch(report, came, went, store.mentions().limit(0))
+    return late
 
 
 def run(

@@ -12,9 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearsay.functions.hits import kind
+from hearsay.session import BROADCAST_ROWS, COMPRESSION, let_go, staging
 
 LANDING_SCHEMA = "topic string, page int, payload string, n_hits int, nb_pages bigint"
 
+# Pages are landed in slices of about SLICE_PAGES, at most SLICES: only a slice's payloads are shuffled at once.
+SLICE_PAGES, SLICES = 5_000, 2
+
 # Fixed value: page files are named page_000.json, page_001.json, ...
 _PAGE_DIGITS = 3
 _PAGE_FILE = r"/([^/]+)/page_(\d+)\.json$"
@@ -92,15 +96,57 @@ def new_pages(incoming: DataFrame, landed: DataFrame) -> DataFrame:
     return joined.filter(wanted).select("topic", "page", "payload", "n_hits", "nb_pages")
 
 
+def wanted_keys(pages: DataFrame, landed: DataFrame) -> DataFrame:
+    """Every `(topic, page)` of `pages`: its `copies`, if it is landed (`known`) and if a readable copy is (`readable`)."""
+    state = landed.groupBy("topic", "page").agg(F.max(F.col("n_hits").isNotNull()).alias("readable"))
+    keys = pages.groupBy("topic", "page").agg(F.count(F.lit(1)).alias("copies"))
+    return keys.join(state, ["topic", "page"], "left").select(
+        "topic", "page", "copies", F.col("readable").isNotNull().alias("known"),
+        F.coalesce("readable", F.lit(False)).alias("readable"),
+    )
+
+
 def land(spark: SparkSession, pages: DataFrame, folder: str) -> None:
     """Append new pages to the landing table.
 
-    The rebalance hint lets the adaptive planner split a hot topic over many
-    tasks and files.
+    Keys are compared first, without payloads; where no page is new nothing else is
+    read. Payloads of many pages move in slices, each of which lets go of its shuffles.
+    """
+    with staging(spark) as written:
+        keys = written(wanted_keys(pages, read_landing(spark, folder)), "page-keys")
+        n = keys.where("not readable").count()
+        slices = min(SLICES, -(-n // SLICE_PAGES))
+        for part in range(slices):
+            _land_slice(spark, pages, keys, folder, part, slices)
+            let_go(spark)
+
+
+def _land_slice(
+    spark: SparkSession, pages: DataFrame, keys: DataFrame, folder: str, part: int, slices: int
+) -> None:
+    """Land the new ones among every `slices`-th page.
+
+    Few wanted pages are picked by their keys before anything moves. Copies are looked
+    for only where the keys show some. The rebalance hint lets the adaptive planner
+    split a hot topic over many tasks and files.
     """
-    incoming = with_page_facts(pages)
-    fresh = new_pages(incoming, read_landing(spark, folder))
-    fresh.hint("rebalance", "topic").write.mode("append").partitionBy("topic").parquet(folder)
+    def own(frame: DataFrame) -> DataFrame:
+        return frame.filter(F.pmod(F.xxhash64("topic", "page"), F.lit(slices)) == part) if slices > 1 else frame
+
+    wanted = own(keys).where("not readable")
+    n, odd = wanted.agg(F.count(F.lit(1)), F.max((F.col("copies") > 1) | F.col("known"))).first()
+    if not n:
+        return
+    picked, incoming = own(keys).count() == n, own(pages)
+    if not picked and n <= BROADCAST_ROWS:
+        few = F.broadcast(wanted.select(F.col("topic").alias("_topic"), F.col("page").alias("_page")))
+        same = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("page").eqNullSafe(F.col("_page"))
+        incoming, picked = incoming.join(few, same, "left_semi"), True
+    fresh = with_page_facts(incoming)
+    if odd or not picked:
+        fresh = new_pages(fresh, own(read_landing(spark, folder)))
+    writer = fresh.hint("rebalance", "topic").write.mode("append").option("compression", COMPRESSION)
+    writer.partitionBy("topic").parquet(folder)
 
 
 def read_landing(spark: SparkSession, folder: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from hearsay.operators import report_state
 from hearsay.operators.normalise import RECORD_COLUMNS
 from hearsay.operators.runs import COUNTERS, EVENT_SCHEMA, run_log
-from hearsay.session import staging
+from hearsay.session import COMPRESSION, staging
 
 TABLES: dict[str, tuple[str, str | None]] = {
     "mentions_base": (
@@ -87,7 +87,8 @@ class MentionStore:
         cluster = f"CLUSTERED BY ({key}) INTO {self.buckets} BUCKETS" if key else ""
         place = f"{self.folder}/{table}" + (f".{version}" if version else "")
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name}.{name} ({schema}) USING parquet {cluster} LOCATION '{place}'"
+            f"CREATE TABLE IF NOT EXISTS {self.name}.{name} ({schema}) USING parquet "
+            f"OPTIONS (compression '{COMPRESSION}') {cluster} LOCATION '{place}'"
         )
 
     def compact(self, table: str, delete_old: bool = False) -> int:

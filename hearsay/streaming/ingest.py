@@ -22,14 +22,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hearsay.operators.pages import (
-    FACTS, advance, named_pages, paging_after, taken_hits, topic_frame,
+    FACTS, PageRun, advance, cut_runs, named_pages, page_runs, paging_after, taken_hits, topic_frame,
 )
-from hearsay.plans.ingest import ingest_hits
+from hearsay.plans.ingest import ingest_slices
 from hearsay.session import broadcast_if, staging
 from hearsay.settings import RunSettings, Topic
 from hearsay.sources.landing import LANDING_SCHEMA, land, page_of_path, read_landing, topic_of_path
 from hearsay.sources.store import MentionStore
 
+# A batch is loaded in slices of about SLICE_HITS hits, at most SLICES: only a slice's texts are staged and shuffled at once.
+SLICE_HITS, SLICES = 25_000, 8
+
 
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(microsecond=0)
@@ -90,7 +93,8 @@ def ingest_arrivals(
     """Load what the topics that got new pages may read from where they stand.
 
     Paging is decided on page facts, and the open pages are written as a small
-    table of keys; only then are payloads read. The state of paging is kept last.
+    table of keys; only then are payloads read, slice by slice of many pages. The
+    state of paging is kept last.
     """
     spark = store.spark
     n_topics, cap = len(settings.topics), settings.max_items_per_topic
@@ -107,19 +111,34 @@ def ingest_arrivals(
         low = state.agg(F.min("next_page")).first()[0]
         facts = pages.select(*FACTS).filter(F.col("page") >= F.lit(low))
         chosen = written(advance(facts, state, n_topics, settings.hits_per_page, cap), "open-pages")
-        counters = ingest_hits(taken_hits(with_payload(pages, chosen)), store, settings, at)
+        runs = page_runs(chosen)
+        slices = min(SLICES, max(1, -(-sum(run.hits for run in runs) // SLICE_HITS)))
+        parts = (taken_hits(_payloads(pages, part)) for part in cut_runs(runs, slices))
+        counters = ingest_slices(parts, store, settings, at)
         store.save_paging(paging_after(chosen))
     return counters
 
 
 def with_payload(pages: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The chosen pages `(topic, topic_order, page, take)` with their payloads.
+    """The chosen pages `(topic, topic_order, page, take)` with their payloads."""
+    return _payloads(pages, page_runs(chosen))
+
 
-    Keys are counted and broadcast while they are few, so payloads stay where they
-    are and topic folders without an open page are not read; page bounds skip the
-    files of a topic that hold older pages alone.
+def _payloads(pages: DataFrame, runs: Sequence[PageRun]) -> DataFrame:
+    """The pages of the runs, with their payloads and the number of hits to `take`.
+
+    There is one run per topic, however many its pages, so runs are broadcast and
+    payloads stay where they are. Topic folders without an open page are not read;
+    page bounds skip the files of a topic that hold older pages alone.
     """
-    n, low, high = chosen.agg(F.count(F.lit(1)), F.min("page"), F.max("page")).first()
+    low, high = min((r.low for r in runs), default=None), max((r.high for r in runs), default=None)
     readable = pages.filter(F.col("n_hits").isNotNull() & F.col("page").between(F.lit(low), F.lit(high)))
-    keys = broadcast_if(chosen.select("topic", "topic_order", "page", "take"), n)
-    return readable.select("topic", "page", "payload").join(keys, ["topic", "page"])
+    schema = "topic string, topic_order int, low int, high int, hits bigint, last int, last_take int"
+    bounds = pages.sparkSession.createDataFrame(list(runs), schema).drop("hits")
+    # All runs pass the filter; where there is one, Spark prunes the folders by the topics that are left.
+    bounds = broadcast_if(bounds.filter(F.col("high") >= F.lit(low)), len(runs))
+    found = readable.select("topic", "page", "payload", "n_hits").join(bounds, "topic").filter(
+        F.col("page").between(F.col("low"), F.col("high"))
+    )
+    take = F.when(F.col("page") == F.col("last"), F.col("last_take")).otherwise(F.col("n_hits"))
+    return found.select("topic", "page", "payload", "topic_order", take.alias("take"))
