@@ -25,7 +25,7 @@ from hearsay.operators.pages import (
     FACTS, PageRun, advance, cut_runs, named_pages, page_runs, paging_after, taken_hits, topic_frame,
 )
 from hearsay.plans.ingest import ingest_slices
-from hearsay.session import broadcast_if, staging
+from hearsay.session import broadcast_if, let_go, staging
 from hearsay.settings import RunSettings, Topic
 from hearsay.sources.landing import LANDING_SCHEMA, land, page_of_path, read_landing, topic_of_path
 from hearsay.sources.store import MentionStore
@@ -116,6 +116,7 @@ def ingest_arrivals(
         parts = (taken_hits(_payloads(pages, part)) for part in cut_runs(runs, slices))
         counters = ingest_slices(parts, store, settings, at)
         store.save_paging(paging_after(chosen))
+    let_go(spark)
     return counters
 
 
